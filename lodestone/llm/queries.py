@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import exact_dedup, secret_scan
+from lodestone.llm import exact_dedup, html_text, packing, piece_codec, secret_scan
 from lodestone.llm.shared import read_table
 
 
@@ -20,6 +20,18 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_report(secret_scan.secret_spans(rows))
 
 
+def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encode(read_table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 OP1_SQL = """
 WITH d AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
@@ -36,7 +48,8 @@ WINDOW w AS (PARTITION BY norm)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op5_secret_scan": op5_secret_scan}
+    found = (op1_exact_dedup, op2_piece_codec, op5_secret_scan, op8_packing, op10_html_text)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -63,3 +63,19 @@ def let(value: Column, body) -> Column:
 def doc_bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n: the fold that says which rows are held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+def vocabulary_path(name: str) -> str:
+    """An absolute path as it is; else the place of a public vocabulary file of that name on this machine."""
+    if name.startswith("/"):
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and text (null: empty), whatever else docs holds."""
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    )
