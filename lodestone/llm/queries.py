@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import exact_dedup, html_text, packing, piece_codec, secret_scan
+from lodestone.llm import exact_dedup, html_text, language_id, packing, piece_codec, secret_scan, topk
 from lodestone.llm.shared import read_table
 
 
@@ -15,6 +15,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(rows).drop(exact_dedup.ROW)
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.numbered(read_table(spark, sf_dir, "documents"))
     return secret_scan.span_report(secret_scan.secret_spans(rows))
@@ -46,11 +55,35 @@ FROM d
 WINDOW w AS (PARTITION BY norm)
 """
 
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_exact_dedup, op2_piece_codec, op5_secret_scan, op8_packing, op10_html_text)
+    found = (
+        op1_exact_dedup,
+        op2_piece_codec,
+        op3_top_k,
+        op4_language_id,
+        op5_secret_scan,
+        op8_packing,
+        op10_html_text,
+    )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op3_top_k": OP3_SQL}
