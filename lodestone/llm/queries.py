@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import exact_dedup, html_text, language_id, packing, piece_codec, secret_scan, topk
+from lodestone.llm import exact_dedup, html_text, language_id, packing, piece_codec, quality, secret_scan, topk
 from lodestone.llm.shared import read_table
 
 
@@ -33,6 +33,10 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode(read_table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_top_k,
         op4_language_id,
         op5_secret_scan,
+        op7_quality,
         op8_packing,
         op10_html_text,
     )
