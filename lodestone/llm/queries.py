@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestone.llm import exact_dedup, html_text, language_id, packing, piece_codec, quality, secret_scan, topk
+from lodestone.llm import (
+    exact_dedup,
+    html_text,
+    language_id,
+    packing,
+    piece_codec,
+    quality,
+    secret_scan,
+    topk,
+    toxicity,
+)
 from lodestone.llm.shared import read_table
 
 
@@ -41,6 +51,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
@@ -85,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_secret_scan,
         op7_quality,
         op8_packing,
+        op9_toxicity,
         op10_html_text,
     )
     return {f.__name__: f for f in found}
