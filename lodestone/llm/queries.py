@@ -10,6 +10,7 @@ from lodestone.llm import (
     exact_dedup,
     html_text,
     language_id,
+    near_dup,
     packing,
     piece_codec,
     quality,
@@ -43,6 +44,11 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode(read_table(spark, sf_dir, "documents"))
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_dedup.numbered(read_table(spark, sf_dir, "documents"))
+    return near_dup.near_classes(rows).drop(exact_dedup.ROW)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -97,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_top_k,
         op4_language_id,
         op5_secret_scan,
+        op6_near_dup,
         op7_quality,
         op8_packing,
         op9_toxicity,

@@ -61,15 +61,12 @@ class Tokens:
         self.data, self.starts, self.ends = data, starts, ends
         self.is_word = kind[starts] == _WORD
         self.doc = np.searchsorted(bounds, starts, side="right").astype(np.int32)
-        self.lower_hash = run_hashes(self._lower(texts, data), starts, ends)
+        self.lower_hash = run_hashes(np.frombuffer(b" ".join(map(self._lower, texts, raw)) + b" ", np.uint8), starts, ends)
 
     @staticmethod
-    def _lower(texts: list[str], data: np.ndarray) -> np.ndarray:
-        low = np.frombuffer((" ".join(texts) + " ").lower().encode(), np.uint8)
-        if len(low) == len(data):
-            return low
-        upper = (data >= 65) & (data < 91)  # some letter's lower case has another length: ASCII only
-        return data + upper.astype(np.uint8) * np.uint8(32)
+    def _lower(text: str, raw: bytes) -> bytes:
+        low = text.lower().encode()
+        return low if len(low) == len(raw) else raw.lower()  # where a lower case has another length: ASCII only
 
     def shapes(self) -> np.ndarray:
         """A key for each token: words by case, digits and repetition, other runs by their bytes."""
