@@ -199,7 +199,9 @@ def pack(
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(7)]
             if with_ids:
                 names.append("ids")
-                columns.append(pa.array([r[7].astype(np.int32) for r in rows], pa.list_(pa.int32())))
+                ends = np.cumsum([0] + [len(r[7]) for r in rows]).astype(np.int32)
+                flat = np.concatenate([r[7] for r in rows]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
             return pa.RecordBatch.from_arrays(columns, names)
 
         def settle(last: bool) -> None:

@@ -171,7 +171,6 @@ def score(
     held_out: int = 0,
     per_class: int = 2500,
     threshold: float = 0.3,
-    keep_row: str | None = None,
 ) -> DataFrame:
     """Score every whole text, by a model of labels outside the held-out fold, in Arrow batches without a shuffle.
 
@@ -181,8 +180,7 @@ def score(
     a quarter of the sample sets the scale of scores. The weights, two arrays
     of 2^18, go to every task. Labels, lang, source and id are no inputs.
 
-    Columns: doc_id, held_out, score, predicted (1 if score >= threshold), and
-    keep_row's if given.
+    Columns: doc_id, held_out, score, predicted (1 if score >= threshold).
 
     Defined results: null and empty texts have the score of no n-grams; without
     labels of both classes every score is 0.5; equal texts score equally; a null
@@ -192,25 +190,18 @@ def score(
     fold = doc_bucket(F.col("doc_id"), folds) != held_out
     model = fit(labelled(docs, labels, label, fold, per_class, label))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    extra = [keep_row] if keep_row else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
         for batch in batches:
-            texts = batch.column("text")
-            scores = np.full(len(texts), 0.5)
-            if found:
-                w, r, a, b = found
-                weight, square = w[:-1] * r, r * r
-                for at, part in text_runs(texts):
-                    d, f = indicators(part)
-                    top = np.bincount(d, weights=weight[f], minlength=len(part))
-                    norm = np.sqrt(np.bincount(d, weights=square[f], minlength=len(part)))
-                    margin = np.divide(top, norm, out=np.zeros(len(part)), where=norm > 0) + w[-1]
-                    scores[at : at + len(part)] = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
-            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
+            scores = _scores(shared.value, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                columns + [batch.column(c) for c in extra], ["doc_id", "held_out", "score", "predicted", *extra]
+                [
+                    batch.column("doc_id"),
+                    batch.column("held_out"),
+                    pa.array(scores),
+                    pa.array((scores >= threshold).astype(np.int32)),
+                ],
+                ["doc_id", "held_out", "score", "predicted"],
             )
 
     out = F.coalesce(doc_bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
@@ -218,8 +209,43 @@ def score(
         F.col("doc_id").cast("long").alias("doc_id"),
         out.alias("held_out"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        *extra,
-    )
-    return rows.mapInArrow(
-        run, "doc_id long, held_out boolean, score double, predicted int" + "".join(f", {c} long" for c in extra)
     )
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def accepted(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    folds: int = 5,
+    held_out: int = 0,
+    per_class: int = 2500,
+    threshold: float = 0.3,
+) -> DataFrame:
+    """The rows of docs whose score reaches the threshold, with all their columns, in one pass without a shuffle.
+
+    The model is score()'s. Without labels of both classes every row stays.
+    """
+    fold = doc_bucket(F.col("doc_id"), folds) != held_out
+    model = fit(labelled(docs, labels, label, fold, per_class, label))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(shared.value, batch.column("text")) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _scores(found: tuple | None, texts: pa.Array) -> np.ndarray:
+    scores = np.full(len(texts), 0.5)
+    if found is not None:
+        w, r, a, b = found
+        weight, square = w[:-1] * r, r * r
+        for at, part in text_runs(texts):
+            d, f = indicators(part)
+            top = np.bincount(d, weights=weight[f], minlength=len(part))
+            norm = np.sqrt(np.bincount(d, weights=square[f], minlength=len(part)))
+            margin = np.divide(top, norm, out=np.zeros(len(part)), where=norm > 0) + w[-1]
+            scores[at : at + len(part)] = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
+    return scores
