@@ -1 +1 @@
-"""functions of the engine."""
+"""Column functions: URL keys, study levels, names, grades, money, dates, nested metadata and markdown."""

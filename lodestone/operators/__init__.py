@@ -1 +1 @@
-"""operators of the engine."""
+"""Relational operators: DataFrame in, DataFrame out, no actions inside."""
