@@ -26,7 +26,7 @@ class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.out: list[list[str]] = [[]]
-        self.open: list[tuple[str, dict, int]] = []
+        self.open: list[tuple[str, dict]] = []
         self.skip = 0
         self.rows: list[list[str]] = []
         self.label = ""
@@ -38,25 +38,25 @@ class _Reader(HTMLParser):
             if tag == "br" and not self.skip:
                 self.out[-1].append("\n")
             return
-        if tag in ("p", "li", "dt", "dd", "tr") and self.open and self.open[-1][0] == tag:
-            self.handle_endtag(tag)  # an unclosed one ends where its like begins
+        ends = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
+        while self.open and self.open[-1][0] in ends.get(tag, (tag,) if tag in ("p", "li") else ()):
+            self.handle_endtag(self.open[-1][0])  # an unclosed one ends where its like begins
         if tag in _BLOCK and self.open and self.open[-1][0] in ("p", "b", "strong", "em", "i"):
             while self.open and self.open[-1][0] in ("p", "b", "strong", "em", "i"):
                 self.handle_endtag(self.open[-1][0])
-        depth = sum(t in ("ul", "ol") for t, _, _ in self.open)
-        self.open.append((tag, dict(attrs), depth))
+        self.open.append((tag, dict(attrs)))
         self.out.append([])
 
     def handle_endtag(self, tag):
-        if not any(t == tag for t, _, _ in self.open):
+        if not any(t == tag for t, _ in self.open):
             return
         while self.open:
-            name, attrs, depth = self.open.pop()
+            name, attrs = self.open.pop()
             text = "".join(self.out.pop())
             if name in DROPPED:
                 self.skip = max(0, self.skip - 1)
             else:
-                self.out[-1].append(self.written(name, attrs, depth, text))
+                self.out[-1].append(self.written(name, attrs, text))
             if name == tag:
                 return
 
@@ -64,7 +64,7 @@ class _Reader(HTMLParser):
         if not self.skip:
             self.out[-1].append(re.sub(r"\s+", " ", data))
 
-    def written(self, name: str, attrs: dict, depth: int, text: str) -> str:
+    def written(self, name: str, attrs: dict, text: str) -> str:
         flat = " ".join(text.split())
         if re.fullmatch("h[1-6]", name):
             return f"\n\n{'#' * int(name[1])} {flat}\n\n" if flat else ""
@@ -78,8 +78,7 @@ class _Reader(HTMLParser):
         if name == "p":
             return f"\n\n{text.strip()}\n\n" if text.strip() else ""
         if name == "li":
-            pad = "  " * depth
-            return f"{'  ' * (depth - 1)}- {re.sub(chr(10) + '+', chr(10) + pad, text.strip())}\n" if flat else ""
+            return f"- {re.sub(chr(10) + '+', chr(10) + '  ', text.strip())}\n" if flat else ""
         if name in ("ul", "ol"):
             return f"\n{text}" if flat else ""
         if name in ("td", "th"):

@@ -1 +1 @@
-"""streaming of the engine."""
+"""Resumable keyed work and stateful listings on Structured Streaming."""
