@@ -49,7 +49,7 @@ def date_token(token: Column, reference: datetime.date) -> Column:
 
 def date_list(value: Column, reference: datetime.date) -> Column:
     """A comma list of date tokens, each with its year."""
-    tokens = F.filter(F.transform(F.split(value, r",\s*"), F.trim), lambda x: x != "")
+    tokens = F.filter(F.transform(F.split(value, r",\s*"), lambda x: F.trim(x)), lambda x: x != "")
     return F.coalesce(
         F.array_join(F.filter(F.transform(tokens, lambda x: date_token(x, reference)), lambda x: x != ""), ", "), F.lit("")
     )
@@ -87,7 +87,7 @@ def short_month(text: Column) -> Column:
 def intake_text(text: Column) -> Column:
     """An intake line: of a comma list the parts with a year or month, else all 'Month YYYY' in it, else a short month spelt out."""
     t = F.coalesce(F.trim(text), F.lit(""))
-    parts = F.filter(F.transform(F.split(t, ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(t, ","), lambda x: F.trim(x)), lambda x: x != "")
     dated = F.filter(parts, lambda x: x.rlike(r"\b(19|20)\d{2}\b") | x.rlike(rf"(?i)\b({_NAMES})\b"))
     p = rf"(?i)\b({_NAMES})\s+((?:19|20)\d{{2}})\b"
     pairs = F.zip_with(
@@ -101,7 +101,7 @@ def intake_text(text: Column) -> Column:
 
 def intake_tokens(raw: Column) -> Column:
     """'Sep-26' and 'Sep 2026' as 'sep 2026': the tokens of a comma list that can be read."""
-    parts = F.transform(F.split(raw, ","), F.trim)
+    parts = F.transform(F.split(raw, ","), lambda x: F.trim(x))
     p = r"^([A-Za-z]{3,9})[-\s](\d{2}|\d{4})$"
     known = [*MONTHS, *(m[:3] for m in MONTHS), "sept"]
 

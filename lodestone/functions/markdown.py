@@ -63,7 +63,7 @@ def front_matter(text: Column) -> tuple[Column, Column]:
 
 def title(body: Column, url: Column, skip: tuple[str, ...] = ()) -> Column:
     """The first level-1 heading that no skipped pattern matches, else the URL's last segment as words."""
-    heads = F.filter(F.transform(lines_of(body), F.trim), lambda x: x.startswith("# "))
+    heads = F.filter(F.transform(lines_of(body), lambda x: F.trim(x)), lambda x: x.startswith("# "))
     names = F.transform(heads, lambda x: F.trim(F.substring(x, 3, 10_000)))
     for p in skip:
         names = F.filter(names, lambda x, p=p: ~wildcard(x, p))
@@ -132,10 +132,10 @@ def is_entry_line(text: Column) -> Column:
 
 def entry_lines(body: Column) -> Column:
     """Entry requirements of a course page: rows of its table as `name: value`, and its tariff and GCSE sentences."""
-    lines = F.filter(F.transform(lines_of(section(body, "Entry requirements")), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(lines_of(section(body, "Entry requirements")), lambda x: F.trim(x)), lambda x: x != "")
 
     def read(x: Column) -> Column:
-        cells = F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), F.trim)
+        cells = F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), lambda x: F.trim(x))
         rule = F.get(cells, 0).rlike("^-+$") & F.get(cells, 1).rlike("^-+$")
         head = F.lower(F.get(cells, 0)).isin("qualification", "entry requirements")
         row = F.when((F.size(cells) >= 2) & ~rule & ~head, F.concat_ws(": ", F.get(cells, 0), F.get(cells, 1)))
@@ -231,7 +231,7 @@ def with_level(text: Column, level: Column) -> Column:
 
 def drop_column(table: Column, header: str) -> Column:
     """A pipe table without the column whose header is `header` (no regard to case); unchanged if there is none."""
-    cells = lambda x: F.transform(F.split(F.regexp_replace(F.trim(x), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = lambda x: F.transform(F.split(F.regexp_replace(F.trim(x), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = F.filter(lines_of(table), lambda x: F.trim(x) != "")
     at = F.array_position(F.transform(cells(F.get(rows, 0)), F.lower), header.lower()).cast("int")
     put = F.transform(

@@ -81,7 +81,7 @@ def offer_gpa(combo: Column) -> Column:
 def number_text(x: Column) -> Column:
     """A number without closing zeros; whole ones with .0, as grade points print."""
     short = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", x), "0+$", ""), r"\.$", "")
-    return F.when(x % 1 == 0, F.format_string("%.1f", x)).otherwise(short)
+    return F.when(x.isNull(), None).when(x % 1 == 0, F.format_string("%.1f", x)).otherwise(short)
 
 
 def school_gpa_text(text: Column) -> Column:
@@ -132,7 +132,9 @@ def fee_number(value: Column) -> Column:
     """All digits of a text as a number with at most two places; '' if none."""
     digits = F.regexp_replace(value, r"[^\d.]", "")
     number = digits.try_cast("double")
-    text = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", number), "0+$", ""), r"\.$", "")
+    text = F.when(
+        number.isNotNull(), F.regexp_replace(F.regexp_replace(F.format_string("%.2f", number), "0+$", ""), r"\.$", "")
+    )
     return F.coalesce(F.when(digits == "", "").otherwise(F.coalesce(text, digits)), F.lit(""))
 
 
@@ -168,7 +170,7 @@ def fee_in_text(text: Column, explicit_only: Column | None = None) -> Column:
 
 def no_international_fee(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.transform(F.split(t, r"\r?\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(t, r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
     lone = (F.size(lines) == 1) & F.coalesce(
         F.get(lines, 0).rlike(r"(?i)^International students\s*\(\d{4}/\d{2}\)$"), F.lit(False)
     )

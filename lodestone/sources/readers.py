@@ -141,7 +141,7 @@ def dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 def registry(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Rows of a pipe table in a markdown file, in the file's order of columns."""
-    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("value"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     rows = spark.read.text(path).where(F.trim("value").startswith("|")).select(cells.alias("c"))
     rows = rows.where((F.size("c") >= len(columns)) & ~F.get("c", 0).rlike("^:?-+:?$") & (F.lower(F.get("c", 0)) != columns[0].lower()))
     return rows.select(*(F.get("c", k).alias(name) for k, name in enumerate(columns)))
