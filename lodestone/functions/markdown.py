@@ -65,8 +65,7 @@ def title(body: Column, url: Column, skip: tuple[str, ...] = ()) -> Column:
     """The first level-1 heading that no skipped pattern matches, else the URL's last segment as words."""
     heads = F.filter(F.transform(lines_of(body), lambda x: F.trim(x)), lambda x: x.startswith("# "))
     names = F.transform(heads, lambda x: F.trim(F.substring(x, 3, 10_000)))
-    for p in skip:
-        names = F.filter(names, lambda x, p=p: ~wildcard(x, p))
+    names = F.filter(names, lambda x: ~any_of([wildcard(x, p) for p in skip] or [F.lit(False)]))
     last = F.regexp_extract(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), "/+$", ""), r"([^/]*)$", 1)
     return F.coalesce(F.nullif(F.get(names, 0), F.lit("")), F.initcap(F.replace(last, F.lit("-"), F.lit(" "))))
 

@@ -7,7 +7,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import any_of
+from lodestone.functions.text import any_of, let
 
 #: Percent to grade point, school certificates. Fixed values.
 SCHOOL_SCALE = {80: 5.0, 70: 4.0, 60: 3.5, 50: 3.0, 40: 2.0, 33: 1.0}
@@ -80,8 +80,12 @@ def offer_gpa(combo: Column) -> Column:
 
 def number_text(x: Column) -> Column:
     """A number without closing zeros; whole ones with .0, as grade points print."""
-    short = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", x), "0+$", ""), r"\.$", "")
-    return F.when(x.isNull(), None).when(x % 1 == 0, F.format_string("%.1f", x)).otherwise(short)
+
+    def put(v: Column) -> Column:
+        short = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", v), "0+$", ""), r"\.$", "")
+        return F.when(v.isNull(), None).when(v % 1 == 0, F.format_string("%.1f", v)).otherwise(short)
+
+    return let(x, put)
 
 
 def school_gpa_text(text: Column) -> Column:
@@ -103,24 +107,35 @@ def gpa(text: Column, degree: Column, scale: dict[float, float] | None = None) -
     up = F.upper(F.trim(text))
     for filler in FILLERS:
         up = F.replace(up, F.lit(filler), F.lit(""))
+    return let(up, lambda u: _gpa_of(u, degree, scale))
+
+
+def _gpa_of(up: Column, degree: Column, scale: dict[float, float] | None) -> Column:
     stated = F.round(F.regexp_extract(up, r"(?:GPA|CGPA)\s*[:\-]?\s*([\d.]+)", 1).try_cast("double"), 2)
     exact = F.nullif(F.regexp_extract(up, rf"\b({'|'.join(OFFER_POINTS)})\b", 1), F.lit(""))
-    of_points = F.when(
-        exact.isNull() & tariff_points(up).isNotNull(),
-        offer_gpa(F.coalesce(F.nullif(offer(up), F.lit("")), points_to_offer(tariff_points(up)))),
-    )
     word = F.regexp_extract(up, "|".join(w for w, _ in CLASS_POINTS), 0)
-    of_class = None
-    for w, points in CLASS_POINTS:
-        of_class = F.when(word == w, points) if of_class is None else of_class.when(word == w, points)
     percent = F.regexp_extract(up, r"([\d.]+)\s*%", 1).try_cast("double")
-    school = degree.isin("HSC", "Diploma")
-    of_percent = F.when(
-        exact.isNull() & of_class.isNull(),
-        F.when(school, band(percent, scale or SCHOOL_SCALE)).otherwise(band(percent, DEGREE_SCALE)),
+
+    def least(v: Column) -> Column:
+        of_points = F.when(
+            v["exact"].isNull() & v["points"].isNotNull(),
+            offer_gpa(F.coalesce(F.nullif(offer(up), F.lit("")), points_to_offer(v["points"]))),
+        )
+        of_class = None
+        for w, points in CLASS_POINTS:
+            of_class = F.when(v["word"] == w, points) if of_class is None else of_class.when(v["word"] == w, points)
+        of_percent = F.when(
+            v["exact"].isNull() & (v["word"] == ""),
+            F.when(degree.isin("HSC", "Diploma"), band(v["percent"], scale or SCHOOL_SCALE)).otherwise(
+                band(v["percent"], DEGREE_SCALE)
+            ),
+        )
+        return F.array_min(F.array_compact(F.array(offer_gpa(v["exact"]), of_points, of_class, of_percent)))
+
+    parts = F.struct(
+        exact.alias("exact"), tariff_points(up).alias("points"), word.alias("word"), percent.alias("percent")
     )
-    found = F.array_compact(F.array(offer_gpa(exact), of_points, of_class, of_percent))
-    return F.coalesce(stated, F.array_min(found))
+    return F.coalesce(stated, let(parts, least))
 
 
 def money(raw: Column) -> Column:

@@ -34,8 +34,8 @@ def without_repeated_titles(lines: DataFrame, key: str) -> DataFrame:
     """Level-1 headings that repeat the title in force go."""
     before = Window.partitionBy(key).orderBy("ix").rowsBetween(Window.unboundedPreceding, -1)
     title = F.when(F.col("depth") == 1, F.lower(F.trim(F.regexp_extract("line", r"^#\s+(.*)$", 1))))
-    last = F.last(title, ignorenulls=True).over(before)
-    return lines.where(~F.coalesce((F.col("depth") == 1) & (title == last), F.lit(False)))
+    marked = lines.withColumn("__l", F.last(title, ignorenulls=True).over(before))
+    return marked.where(~F.coalesce((F.col("depth") == 1) & (title == F.col("__l")), F.lit(False))).drop("__l")
 
 
 def without_empty_headings(lines: DataFrame, key: str) -> DataFrame:

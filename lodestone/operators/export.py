@@ -58,7 +58,9 @@ def audit_rows(reviewed: DataFrame, parts: dict[str, tuple[DataFrame, list[str]]
     out = reviewed
     for name, (table, paths) in parts.items():
         read = table.select(F.col(key), *(nested.by_path(F.col("json"), p).alias(f"{name}.{p}") for p in paths))
-        out = out.join(read, key, "left").fillna("", [f"{name}.{p}" for p in paths])
+        out = out.join(read, key, "left").withColumns(
+            {f"{name}.{p}": F.coalesce(F.col(f"`{name}.{p}`"), F.lit("")) for p in paths}
+        )
     return out
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import dates, nested, numbers
-from lodestone.functions.text import known_degree
+from lodestone.functions.text import any_of, known_degree
 
 #: Fixed values.
 REQUIRED = ("uniName", "programmeName", "degreeName", "courseName", "minDegreeName", "minGpa", "intakeInfo")
@@ -29,9 +29,13 @@ def level_mismatch(level: Column, name: Column, meta: Column, declared: Column)
     hay = F.lower(F.concat_ws("\n", name, nested.meta_text(meta)))
     ug, pg = match.isin("foundation", "undergraduate"), match == "postgraduate"
     said = F.lower(F.coalesce(declared, F.lit("")))
-    fits = F.lit(False)
-    for lvl, names in nested.LEVEL_NAMES.items():
-        fits = fits | ((match == lvl) & F.exists(F.split(said, "[,/&]"), lambda t, names=names: F.trim(t).isin(*names)))
+    tokens = F.transform(F.split(said, "[,/&]"), lambda t: F.trim(t))
+    fits = any_of(
+        [
+            (match == lvl) & any_of([F.array_contains(tokens, n) for n in names])
+            for lvl, names in nested.LEVEL_NAMES.items()
+        ]
+    )
     off = (said != "") & ~fits
     has_pg, has_ug = hay.rlike(r"\bpostgraduate\b|\bmasters?\b"), hay.rlike(r"\bundergraduate\b")
     return (
@@ -134,7 +138,7 @@ def document_issues(df: DataFrame, key: str, document: str, required: tuple[str,
     found = [F.when(bad, F.struct(F.lit("ERROR").alias("severity"), F.lit("INVALID_JSON").alias("code"), F.lit("no JSON").alias("message")))]
     for lvl in required:
         names = nested.LEVEL_NAMES.get(lvl, (lvl,))
-        absent = ~bad & ~F.coalesce(F.exists(levels, lambda x, names=names: x.isin(*names)), F.lit(False))
+        absent = ~bad & ~F.coalesce(any_of([F.array_contains(levels, n) for n in names]), F.lit(False))
         found.append(
             F.when(absent, F.struct(F.lit("WARN").alias("severity"), F.lit("MISSING_LEVEL").alias("code"), F.lit(lvl).alias("message")))
         )

@@ -36,7 +36,9 @@ def partitioned(df: DataFrame, path: str, keys: list[str], mode: str = "overwrit
 
 def split_by(df: DataFrame, wanted: DataFrame, key: str, path: str) -> DataFrame:
     """Rows of the wanted keys as CSV in a folder a key; returns the wanted keys that have no rows."""
-    df.join(wanted.select(key), key, "left_semi").write.mode("overwrite").option("header", True).partitionBy(key).csv(path)
+    rows = df.join(wanted.select(key), key, "left_semi")
+    flat = rows.select(*(cell(F.col(f"`{c}`"), kind).alias(c) for c, kind in rows.dtypes))
+    flat.write.mode("overwrite").option("header", True).partitionBy(key).csv(path)
     return wanted.select(key).join(df.select(key), key, "left_anti")
 
 
