@@ -16,6 +16,8 @@ from lodestone.llm.tokens import Tokens, mixed, run_hashes, text_runs
 WORDS = 5
 BANDS, PER_BAND = 26, 5
 SLOTS = BANDS * PER_BAND
+#: Up to so many row numbers (8 bytes each) are broadcast to pick texts; beyond, the texts are shuffled instead.
+BROADCAST_ROWS = 2_000_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -79,8 +81,8 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
         for least, most in ((-1.0, 1.0), (1.0, 8.0), (8.0, 64.0), (64.0, 512.0), (512.0, np.inf)):
             part = todo[(expected > least) & (expected <= most)]
             width = 3 if most == 1.0 else int(min(most, 2048.0) * 1.3) + 4
-            for a in range(0, len(part), max(1, 2_000_000 // width)):
-                live, step = part[a : a + max(1, 2_000_000 // width)], 0
+            for a in range(0, len(part), max(1, 400_000 // width)):
+                live, step = part[a : a + max(1, 400_000 // width)], 0
                 time = np.zeros(len(live))
                 while len(live):
                     ks = np.arange(step, step + width, dtype=np.uint64)
@@ -143,7 +145,7 @@ def _sign(docs: DataFrame, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.asarray(batch.column("row"))
-            for first, texts in text_runs(batch.column("text"), 2_000_000):
+            for first, texts in text_runs(batch.column("text"), 500_000):
                 words, k1, k2, sig = signed(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -189,20 +191,129 @@ def _spread(many: DataFrame, one: DataFrame, key: str, by: str, salts: int = 32)
     return salted.join(copies, [key, "__salt"]).drop("__salt")
 
 
-def _verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose bags overlap by at least `similarity`."""
+def _verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """(a, b, j): the pairs whose bags have a similarity j of at least `least`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                overlap(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) >= similarity
-                for x, y in zip(batch.column("bag_a"), batch.column("bag_b"), strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            j = np.array(
+                [
+                    overlap(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
+                    for x, y in zip(batch.column("bag_a"), batch.column("bag_b"), strict=True)
+                ],
+                dtype=float,
+            )
+            got = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(j)], ["a", "b", "j"])
+            yield got.filter(pa.array(j >= least))
 
     with_a = pairs.join(bags.select(F.col("row").alias("a"), F.col("bag").alias("bag_a")), "a")
     with_b = _spread(with_a, bags.select(F.col("row").alias("b"), F.col("bag").alias("bag_b")), "b", "a")
-    return with_b.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a long, b long")
+    return with_b.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a long, b long, j double")
+
+
+def _against_stars(missed: DataFrame, stars: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): a link of each row that missed a hub to a row that the hub has, if there is one.
+
+    missed and stars: (hub, row, j). A row that hub has lies within the distance
+    1 - similarity of it, and the distance 1 - j is a metric: so only rows that
+    missed a hub by less than twice that distance can be linked to its star, and
+    only pairs whose distances to the hub differ by no more need a look. Both
+    sides come in blocks, and a tile of two blocks is one row.
+    """
+
+    def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+        counts = rows.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("k"))
+        placed = rows.join(counts, "hub").withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")))
+        return (
+            placed.join(bags, "row")
+            .groupBy("hub", "block")
+            .agg(F.collect_list(F.struct("row", "j", "bag")).alias(name))
+            .drop("block")
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slack = 1.0 - similarity
+        for batch in batches:
+            found = []
+            for missed_, star in zip(batch.column("missed").to_pylist(), batch.column("star").to_pylist(), strict=True):
+                star_bags = [np.frombuffer(m["bag"], np.uint64) for m in star]
+                for o in missed_:
+                    own = np.frombuffer(o["bag"], np.uint64)
+                    for m, other in zip(star, star_bags, strict=True):
+                        if abs(m["j"] - o["j"]) <= slack and overlap(own, other) >= similarity:
+                            found.append((o["row"], m["row"]))
+                            break
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"]
+            )
+
+    tiles = blocks(missed, 64, "missed").join(blocks(stars, 128, "star"), "hub").select("missed", "star")
+    return tiles.mapInArrow(run, "a long, b long").distinct()
+
+
+def _links_among(rows: DataFrame, similarity: float, size: int = 512, mass: int = 8_000_000) -> DataFrame:
+    """(a, b): links between rows (hub, row, root, sig, bag) of one hub whose roots differ, enough to connect all that are linked.
+
+    The rows of a hub are cut into blocks of about `size` rows and `mass` bytes,
+    and each two of its blocks meet in a tile, so that no task holds more than
+    two. Pairs whose signatures agree in too few slots for the similarity, by
+    five standard deviations, are passed over; so are pairs that links of the
+    tile already connect. The others are checked on the full bags.
+    """
+    least = int(SLOTS * (similarity - 0.18))
+    counts = rows.groupBy("hub").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
+    )
+    cut = (
+        rows.join(counts, "hub")
+        .withColumn("i", F.pmod(F.xxhash64("row"), F.col("k")).cast("int"))
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        .select("hub", F.least("i", "o").alias("lo"), F.greatest("i", "o").alias("hi"), "i", "row", "root", "sig", "bag")
+        .repartition("hub", "lo", "hi")
+        .sortWithinPartitions("hub", "lo", "hi", "row")
+    )
+
+    def tile(key: tuple, parts: list) -> pa.RecordBatch:
+        i, row, root = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        sig = np.frombuffer(b"".join(x for p in parts for x in p[3]), np.uint32).reshape(-1, SLOTS)
+        bags = [np.frombuffer(x, np.uint64) for p in parts for x in p[4]]
+        first = np.flatnonzero(i == key[1])
+        second = first if key[1] == key[2] else np.flatnonzero(i == key[2])
+        with_ = {int(r): int(r) for r in set(root.tolist())}
+
+        def top(r: int) -> int:
+            while with_[r] != r:
+                with_[r] = r = with_[with_[r]]
+            return r
+
+        a, b = [], []
+        for x in first:
+            near = second[(sig[second] == sig[x]).sum(axis=1) >= least]
+            for y in near[near > x] if second is first else near:
+                p, q = top(int(root[x])), top(int(root[y]))
+                if p != q and overlap(bags[x], bags[y]) >= similarity:
+                    with_[p] = q
+                    a.append(row[x])
+                    b.append(row[y])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+        for batch in batches:
+            hub, lo, hi, i, row, root = (np.asarray(batch.column(c)) for c in ("hub", "lo", "hi", "i", "row", "root"))
+            change = np.flatnonzero((np.diff(hub) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)) + 1
+            for x, y in zip([0, *change], [*change, len(hub)], strict=True):
+                key = (hub[x], lo[x], hi[x])
+                if held is not None and key != held:
+                    yield tile(held, parts)
+                    parts = []
+                held = key
+                cells = (batch.column(c)[x:y].to_pylist() for c in ("sig", "bag"))
+                parts.append((i[x:y], row[x:y], root[x:y], *cells))
+        if held is not None:
+            yield tile(held, parts)
+
+    return cut.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -248,10 +359,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        0.8 shares a band with probability 0.99995.
     3. Of a band's bucket the member that shares most buckets with others is
        the hub; each member is checked against it on the full multisets, so the
-       work is linear in the bucket. Components of the links follow.
-    4. Only members of one bucket that are still in different components are
-       paired, if their signatures agree in 62 % of slots or more (five standard
-       deviations under 0.8), and checked likewise. No link is lost to hubs.
+       work is linear in the bucket.
+    4. Members that missed the hub, but by less than twice the distance that
+       links, are checked against those that the hub has, in tiles of blocks
+       (the distance is a metric, so no others can be linked to those).
+    5. Members that missed a hub and are still in different components are
+       held against one another, in tiles of blocks, by signatures (62 % of
+       slots or more: five standard deviations under 0.8) and then on the full
+       multisets. So no link between classes is lost to hubs.
 
     Columns: __row, doc_id, class_id (least doc_id of the class), class_size,
     kept (one row of each class).
@@ -307,37 +422,45 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .distinct(),
         "pairs",
     )
+    wanted = staged(ranked.select("row").distinct(), "wanted")
+    few = wanted.count() <= BROADCAST_ROWS
     kept_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")  # rows of the next tables are long
-        bags = staged(_bags(docs, ranked.select("row").distinct(), text_col), "bags")
-        links = staged(_verified(pairs, bags, similarity), "links")
+        bags = staged(_bags(docs, F.broadcast(wanted) if few else wanted, text_col), "bags")
+        judged = staged(_verified(pairs, bags, 2 * similarity - 1), "judged")
+        links = judged.where(F.col("j") >= similarity).select("a", "b")
         roots = components(links)
-        placed = staged(
-            ranked.join(roots.select(F.col("node").alias("row"), "root"), "row", "left").select(
-                "h", "row", F.coalesce("root", "row").alias("root")
-            ),
-            "placed",
+        root_of = lambda name, new: roots.select(F.col("node").alias(name), F.col("root").alias(new))
+        missed = (
+            judged.where(F.col("j") < similarity)
+            .join(root_of("a", "ra"), "a", "left")
+            .join(root_of("b", "rb"), "b")
+            .where(F.coalesce("ra", "a") != F.col("rb"))
+            .select(F.col("b").alias("hub"), F.col("a").alias("row"), "j")
         )
-        split = placed.groupBy("h").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("h")
-        open_ = placed.join(split, "h", "left_semi")
-        sig = signs.select("row", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.substring(F.col("sig"), i * 4 + 1, F.lit(4))).alias("sig"))
-        side = staged(open_.join(sig, "row"), "open")
-        alike = F.size(F.filter(F.zip_with("x.sig", "y.sig", lambda p, q: p == q), lambda e: e))
-        rest = (
-            side.alias("x")
-            .join(side.alias("y"), F.expr("x.h = y.h and x.root < y.root") & (alike >= int(SLOTS * (similarity - 0.18))))
-            .select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-            .distinct()
-            .join(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
+        missed = staged(missed, "missed")
+        stars = judged.where(F.col("j") >= similarity).select(F.col("b").alias("hub"), F.col("a").alias("row"), "j")
+        stars = stars.join(missed.select("hub").distinct(), "hub", "left_semi")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+        links = staged(links.unionByName(_against_stars(missed, stars, bags, similarity)), "links")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+        roots = components(links)
+        left = (
+            pairs.join(links, ["a", "b"], "left_anti")
+            .select(F.col("a").alias("row"), F.col("b").alias("hub"))
+            .join(root_of("row", "root"), "row", "left")
+            .select("hub", "row", F.coalesce("root", "row").alias("root"))
         )
-        rest = staged(rest, "rest")
-        if not rest.isEmpty():
-            more = staged(_verified(rest, bags, similarity), "links")
+        left = staged(left, "left")
+        split = left.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
+        rest = left.join(split, "hub", "left_semi").join(signs.select("row", "sig"), "row").join(bags, "row")
+        more = staged(_links_among(rest, similarity), "more")
+        if not more.isEmpty():
             roots = components(links.unionByName(more))
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept_rows)
-    for old in (bags, crowded, ranked, side, placed, pairs):
+    for old in (bags, crowded, ranked, pairs, wanted, judged, missed, left):
         discard(old)
     ids = docs.select(F.col(ROW).alias("row"), F.col(id_col).cast("long").alias("doc_id"))
     of = (
