@@ -26,6 +26,8 @@ HOLDERS = frozenset(
     "article aside body center details dialog div dl fieldset figure footer form header main menu nav ol search section"
     " table ul".split()
 )
+#: Holders whose lines count as lines of what stands around them. Fixed values.
+INNER = frozenset("ul ol dl table figure details center".split())
 #: Words of class, id and role that name boilerplate. Fixed values.
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|"
@@ -43,17 +45,19 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page without its markup: text, length for the distribution, inside article or main.
+def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
+    """Lines of a page without its markup: text, length for the distribution, inside article or main, number of the
+    element around it.
 
     A block is a line. Lines in frame elements, or in elements whose class, id
     or role names boilerplate, count as length 0, as does the text of links in
     lines that have little else. Where a frame begins or ends stands an empty line.
     """
-    lines: list[tuple[str, int, bool]] = []
+    lines: list[tuple[str, int, bool, int]] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, article
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, article, number
+    made = 0
     in_link = False
 
     def close() -> None:
@@ -61,9 +65,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, off, inside = stack[-1] if stack else ("", False, False)
+            _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
             plain = len(text) - min(linked, len(text))
-            lines.append((text, 0 if off or plain * 3 < len(text) and not inside else len(text), inside))
+            lines.append((text, 0 if off or plain * 3 < len(text) and not inside else len(text), inside, around))
         linked = 0
 
     at = 0
@@ -93,18 +97,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                         was = stack[k][1]
                         del stack[k:]
                         if was and not (stack and stack[-1][1]):
-                            lines.append(("", 0, False))
+                            lines.append(("", 0, False, 0))
                         break
             else:
-                _, off, inside = stack[-1] if stack else ("", False, False)
+                _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
                 names = " ".join(filter(None, (v for g in _NAMES.findall(m["attrs"] or m["attrs2"] or "") for v in g)))
                 mine = tag in FRAME or tag == "header" and not inside or bool(names and NAMED.search(names))
                 if tag in ("main", "article", "body") and not off:
                     mine = bool(inside and names and NAMED.search(names))
                 inside = (inside or tag in ("article", "main") or "main" in names.split()) and not (off or mine)
                 if mine and not off:
-                    lines.append(("", 0, False))
-                stack.append((tag, off or mine, inside))
+                    lines.append(("", 0, False, 0))
+                if tag not in INNER:
+                    made += 1
+                stack.append((tag, off or mine, inside, around if tag in INNER else made))
     if at < len(page):
         parts.append(page[at:])
     close()
@@ -117,14 +123,15 @@ def main_text(page: str | None, window: int = 3, rise: float = 0.15) -> str:
     The lengths of `window` lines from each line on are summed. A stretch
     starts where a sum rises from 0 to the surge and ends at the dive, where
     the lines have no text again; stretches whose highest sum is under `rise` of
-    the page's highest are not main text. Where a page marks an article, lines
-    outside it count as empty.
+    the page's highest are not main text, unless they stand in the element that
+    the highest does. Where a page marks an article, lines outside it count as
+    empty.
     """
     lines = lines_of(page or "")
     if not lines:
         return ""
-    sizes = np.array([n for _, n, _ in lines], dtype=np.int64)
-    inside = np.array([i for _, _, i in lines], dtype=bool)
+    sizes = np.array([x[1] for x in lines], dtype=np.int64)
+    inside = np.array([x[2] for x in lines], dtype=bool)
     if (sizes * inside).sum():
         sizes = sizes * inside
     if not sizes.sum():
@@ -133,10 +140,12 @@ def main_text(page: str | None, window: int = 3, rise: float = 0.15) -> str:
     padded = np.concatenate([[0], (sizes > 0).astype(np.int8), [0]])
     surges, dives = np.flatnonzero(np.diff(padded) == 1), np.flatnonzero(np.diff(padded) == -1)
     peak = sums.max()
+    top = next((a, b) for a, b in zip(surges, dives, strict=True) if sums[a:b].max() == sums[sizes > 0].max())
+    home = max(range(*top), key=lambda k: sizes[k])
     kept = [
         lines[k][0]
         for a, b in zip(surges, dives, strict=True)
-        if inside[a] or sums[a:b].max() >= rise * peak
+        if inside[a] or sums[a:b].max() >= rise * peak or any(lines[k][3] == lines[home][3] for k in range(a, b))
         for k in range(a, b)
     ]
     return "\n\n".join(kept)
