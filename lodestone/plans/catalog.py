@@ -721,16 +721,18 @@ def progress_upsert(spark, sf_dir):
     return progress.latest_status(_table(spark, sf_dir, "events"), "user_id", "event_id", "event_type")
 
 
-@query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+@query("""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def windowed_counts(spark, sf_dir):
-    return progress.windowed_counts(_table(spark, sf_dir, "events"), "ts", "event_type", "1 hour", "10 minutes")
+    rows = progress.windowed_counts(_table(spark, sf_dir, "events"), "ts", "event_type", "1 hour", "10 minutes")
+    return rows.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("""WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events
   WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM e)
-SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM g GROUP BY user_id, s""")
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM g GROUP BY user_id, s""")
 def session_windows(spark, sf_dir):
-    return progress.sessions(_table(spark, sf_dir, "events"), "ts", "user_id", "30 minutes")
+    rows = progress.sessions(_table(spark, sf_dir, "events"), "ts", "user_id", "30 minutes")
+    return rows.select("user_id", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
 
 
 # --- markdown and HTML ----------------------------------------------------------------------------------------------
