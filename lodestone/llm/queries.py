@@ -81,10 +81,10 @@ WINDOW w AS (PARTITION BY norm)
 
 OP3_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
@@ -96,6 +96,42 @@ WHERE rank <= 5
 """
 
 
+def _op5_kind(number: int) -> str:
+    """Spans of one kind: values and gaps of its matches, each placed by a running sum of lengths."""
+    _, pattern, least = secret_scan.KINDS[number]
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, owner, repo, {number} AS kind, m, v, sum(length(g) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS stop, {least} AS least
+  FROM (SELECT doc_id, owner, repo, unnest(ms) AS m, unnest(vs) AS v, unnest(gs[1:len(ms)]) AS g, generate_subscripts(ms, 1) AS i
+    FROM (SELECT doc_id, owner, repo, regexp_extract_all(t, '{quoted}', 0) AS ms, regexp_extract_all(t, '{quoted}', 1) AS vs,
+                 string_split_regex(t, '{quoted}') AS gs FROM d))"""
+
+
+OP5_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS repo, regexp_extract(coalesce(source, ''), '^[^/]*', 0) AS owner
+  FROM documents
+),
+s AS (SELECT doc_id, owner, kind, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, v FROM (
+  {" UNION ALL ".join(_op5_kind(k) for k in range(len(secret_scan.KINDS)))}) WHERE length(v) >= least),
+f AS (SELECT v, count(DISTINCT owner) AS owners FROM s GROUP BY v),
+j AS (SELECT s.*, owners >= 3 AS copied,
+  owners < 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 6
+  AND NOT regexp_matches(v, '(?i)example|changeme|placeholder|your|dummy|xxxx|0000|12345') AS live
+  FROM s JOIN f USING (v)),
+l AS (SELECT *, concat(['assign', 'access', 'hex', 'prefixed'][kind + 1], ':', start, ':', stop) AS line FROM j),
+a AS (SELECT doc_id, start, kind, line FROM l UNION
+  SELECT doc_id, stop - length(v), 4, concat('live:', stop - length(v), ':', stop) FROM j WHERE live),
+c AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+  count(*) FILTER (WHERE kind = 2) AS n_hex, string_agg(line, ',' ORDER BY start, kind) FILTER (WHERE kind < 3) AS base,
+  count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE copied) AS n_copied FROM l GROUP BY doc_id),
+t AS (SELECT doc_id, string_agg(line, ',' ORDER BY start, kind, line) AS spans FROM a GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_exact_dedup,
@@ -113,4 +149,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op3_top_k": OP3_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op3_top_k": OP3_SQL, "op5_secret_scan": OP5_SQL}

@@ -58,7 +58,7 @@ def spans_of(text: Column, number: int) -> Column:
     whole = number not in (0, 3)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    kind = f"array<struct<kind:int,start:bigint,end:bigint,value:string>>"  # noqa: F541
+    kind = "array<struct<kind:int,start:bigint,end:bigint,value:string>>"
     if whole:  # a failing run holds no passing one, so short runs need no place
         pattern = pattern.replace("+)", f"{{{least - 4 * (number == 1)},}})")
         found = values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
