@@ -123,28 +123,60 @@ def page_markdown(html: str | None) -> str:
     return reader.result()
 
 
-_MAIN = re.compile(
-    r"""<(main|article)\b|<(\w+)\b[^>]*?(?:role=["']main["']|id=["'](?:content|main-content)["']|class=["'][^"']*\b(?:main-content|whole-content|page-content|field-body)\b)""",
-    re.I,
+#: Where main content stands, in order of preference: tag, or attribute and value. Fixed values.
+MAIN = (
+    ("tag", "main"),
+    ("tag", "article"),
+    ("role", "main"),
+    ("id", "content"),
+    ("id", "main-content"),
+    ("class", "main-content"),
+    ("class", "whole-content"),
+    ("class", "page-content"),
+    ("class", "field-body"),
 )
 
 
+def _opening(kind: str, name: str) -> re.Pattern:
+    """The opening tag that a place of MAIN names; a class may stand among others."""
+    if kind == "tag":
+        return re.compile(rf"<({name})\b[^>]*>", re.I)
+    value = rf"(?:[^\"']*\s)?{name}(?:\s[^\"']*)?" if kind == "class" else name
+    return re.compile(rf"""<(\w+)\b[^>]*?\b{kind}\s*=\s*["']{value}["'][^>]*>""", re.I)
+
+
+_PLACES = [_opening(*place) for place in MAIN]
+_BLOCKS = re.compile(r"<(main|article|section|div)\b[^>]*>", re.I)
+
+
+def _element(html: str, opening: re.Match) -> str:
+    """An element from its opening tag to the end tag that matches, or to the end."""
+    depth = 0
+    for t in re.compile(rf"<(/?){opening[1]}\b[^>]*>", re.I).finditer(html, opening.start()):
+        depth += -1 if t[1] else 1
+        if depth == 0:
+            return html[opening.start() : t.end()]
+    return html[opening.start() :]
+
+
+def _text_length(html: str) -> int:
+    return len("".join(re.sub("<[^>]*>", "", html).split()))
+
+
 def main_part(html: str | None, least: int = 200) -> str:
-    """The first main element whose text is longer than `least`, else the body."""
+    """The first place of MAIN whose text is longer than `least`, else the block with the longest text, else the body."""
     html = html or ""
-    for m in _MAIN.finditer(html):
-        tag = (m[1] or m[2]).lower()
-        depth, end = 0, len(html)
-        for t in re.finditer(rf"<(/?){tag}\b[^>]*>", html[m.start() :], re.I):
-            depth += -1 if t[1] else 1
-            if depth == 0:
-                end = m.start() + t.end()
-                break
-        part = html[m.start() : end]
-        if len("".join(re.sub("<[^>]*>", "", part).split())) > least:
+    for place in _PLACES:
+        if (m := place.search(html)) and _text_length(part := _element(html, m)) > least:
             return part
     body = re.search(r"(?is)<body\b[^>]*>(.*)(?:</body>|$)", html)
-    return body[1] if body else html
+    inner = body[1] if body else html
+    first = _BLOCKS.search(inner)  # of nested blocks the outermost has the longest text
+    blocks = []
+    while first:
+        blocks.append(_element(inner, first))
+        first = _BLOCKS.search(inner, first.start() + len(blocks[-1]))
+    return max(blocks, key=_text_length, default=inner)
 
 
 def _mapped(read) -> Callable[[Column], Column]:

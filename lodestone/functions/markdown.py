@@ -12,18 +12,20 @@ from lodestone.functions.text import any_of, wildcard
 SKIP_ENTRY = (
     r"^see\s+", "see information about application", r"\bielts\b", r"\btoefl\b", r"\bpearson pte\b", r"\bpte academic\b",
     "english is not your first language", "english language requirement", "proficient in english", "command of english",
-    "previously been taught in english", "taught in english", "check the section", "please contact", "admissions@",
+    "previously been taught in english", "sufficient command of english", "taught in english", "check the section",
+    "please contact", "contact aru", "admissions@",
     "mailto:", "guide only", "treat everyone as an individual", "should still consider applying",
-    "our decision will be based", r"^international students$", r"^standard entry requirements$", r"^requirement \d+$",
-    r"^applicants must have:\s*$", "life/work skills", "whole application", "personal circumstances",
-    "equivalent english", "computer and reliable internet",
+    "our decision will be based", "studying for other qualifications should contact", r"^international students$", r"^standard entry requirements$", r"^requirement \d+$",
+    r"^applicants must have:\s*$", "did not achieve our required grades", "life/work skills", "whole application", "personal circumstances",
+    "equivalent english", "welcome applications from international", "computer and reliable internet",
+    "digital audition", "portfolios? and auditions", "clearing auditions",
 )
 #: Signs that a sentence is one. Fixed values.
 KEEP_ENTRY = (
-    r"\b2:2\b", r"\b2:1\b", r"\bbachelor", r"\bmaster", r"\bdegree\b", r"\bgcse\b", r"\bucas\b", r"\ba[- ]?level",
+    r"\b2:2\b", r"\b2:1\b", r"\b3:2\b", r"\bbachelor", r"\bmaster", r"\bdegree\b", r"\bgcse\b", r"\bucas\b", r"\ba[- ]?level",
     r"\bbtec\b", r"\bib\b", r"\bhonou?rs\b", r"\bqualifications\b", r"\bnormally a minimum\b", "applicants must have:",
     r"\bphd\b", r"\bmphil\b", r"\blower second\b", r"\bupper second\b", r"\btariff points\b", r"\bdiploma\b",
-    "you'll need a", "you will need a", "pass in", "at grade", r"\bpoints\b",
+    "you'll need a", "you will need a", "pass in", "at grade", r"\bcccs?\b", r"\bpoints\b",
 )
 
 

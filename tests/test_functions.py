@@ -329,3 +329,11 @@ def test_stats_mining(spark):
     best = stats.suggested_templates(df, "url", 3).collect()
     assert [(r.template, r.n, r.share) for r in best] == [("^/study/courses/[^/]+$", 5, round(5 / 6, 4))]
     assert [(r.path, r.n) for r in stats.exclusions(df, "url", F.col("hit"), 2).collect()] == [("/about", 3)]
+
+
+def test_main_part():
+    long = "word " * 60
+    page = f'<body><div><div class="a page-content b"><p>{long}</p></div></div><div id="content">short</div><div>{long}{long}</div></body>'
+    assert html_.main_part(page).startswith('<div class="a page-content b">')
+    assert html_.main_part(f"<body><div>a</div><section>{'x' * 50}<div>b</div></section></body>").startswith("<section>")
+    assert html_.main_part(None) == ""
