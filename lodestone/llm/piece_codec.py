@@ -7,6 +7,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,7 +51,8 @@ class Codec:
             raise ValueError("a piece has a space after another sign")
         crossing = {a + b for p in self.rank for a, b in zip(p, p[1:], strict=False) if len(_FINE.findall(a + b)) > 1}
         self.crossing = re.compile("|".join(map(re.escape, sorted(crossing)))) if crossing else None
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.changed: dict[str, str] = {}  # segments whose decoded text is not their own, with that text
 
     def merge(self, segment: str) -> list[str]:
         """Symbols of a segment: an agenda of adjacent pairs gives the best score first, ties leftmost."""
@@ -135,18 +137,25 @@ class Codec:
         cache = self.cache
         if len(cache) > _CACHED_SEGMENTS:
             cache.clear()
+            self.changed.clear()
         cut = [self.segments(t) for t in texts]
-        new = {s for segments in cut for s in segments if s not in cache}
-        found = {s: self.segment_ids(s) for s in new}
+        found = {s: self.segment_ids(s) for s in set(chain.from_iterable(cut)).difference(cache)}
         if found:
             self.check(found)
-        fresh = {s: (struct.pack(f"<{len(i)}I", *i), self._decoded_segment(i)) for s, i in found.items()}
-        long = {s: v for s, v in fresh.items() if len(s) > _CACHED_CHARS}
-        cache.update((s, v) for s, v in fresh.items() if len(s) <= _CACHED_CHARS)
+        for s, ids in found.items():
+            cache[s] = struct.pack(f"<{len(ids)}I", *ids)
+            if (text := self._decoded_segment(ids)) != s.replace(SPACE, " "):
+                self.changed[s] = text
         begin, end = struct.pack("<I", self.library.bos_id()), struct.pack("<I", self.library.eos_id())
-        for segments in cut:
-            coded = [cache[s] if s in cache else long[s] for s in segments] if long else [cache[s] for s in segments]
-            yield b"".join([begin, *[c[0] for c in coded], end]), "".join([c[1] for c in coded])[1:]
+        for text, segments in zip(texts, cut, strict=True):
+            raw = b"".join((begin, *map(cache.__getitem__, segments), end))
+            if self.changed and not self.changed.keys().isdisjoint(segments):
+                yield raw, "".join(self.changed.get(s, s.replace(SPACE, " ")) for s in segments)[1:]
+            else:
+                yield raw, text.replace(SPACE, " ")
+        for s in [s for s in found if len(s) > _CACHED_CHARS]:
+            del cache[s]
+            self.changed.pop(s, None)
 
 
 _CODECS: dict[str, Codec] = {}
