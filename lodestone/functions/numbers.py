@@ -111,10 +111,16 @@ def gpa(text: Column, degree: Column, scale: dict[float, float] | None = None) -
 
 
 def _gpa_of(up: Column, degree: Column, scale: dict[float, float] | None) -> Column:
-    stated = F.round(F.regexp_extract(up, r"(?:GPA|CGPA)\s*[:\-]?\s*([\d.]+)", 1).try_cast("double"), 2)
+    # a plain search tells cheaply where an expression cannot match
+    has = lambda *marks: any_of([F.contains(up, F.lit(m)) for m in marks])
+    stated = F.when(
+        has("GPA"), F.round(F.regexp_extract(up, r"(?:GPA|CGPA)\s*[:\-]?\s*([\d.]+)", 1).try_cast("double"), 2)
+    )
     exact = F.nullif(F.regexp_extract(up, rf"\b({'|'.join(OFFER_POINTS)})\b", 1), F.lit(""))
-    word = F.regexp_extract(up, "|".join(w for w, _ in CLASS_POINTS), 0)
-    percent = F.regexp_extract(up, r"([\d.]+)\s*%", 1).try_cast("double")
+    words = [w for w, _ in CLASS_POINTS]
+    word = F.when(has(*words), F.regexp_extract(up, "|".join(words), 0)).otherwise("")
+    percent = F.when(has("%"), F.regexp_extract(up, r"([\d.]+)\s*%", 1).try_cast("double"))
+    points = F.when(has("UCAS"), tariff_points(up))
 
     def least(v: Column) -> Column:
         of_points = F.when(
@@ -133,7 +139,7 @@ def _gpa_of(up: Column, degree: Column, scale: dict[float, float] | None) -> Col
         return F.array_min(F.array_compact(F.array(offer_gpa(v["exact"]), of_points, of_class, of_percent)))
 
     parts = F.struct(
-        exact.alias("exact"), tariff_points(up).alias("points"), word.alias("word"), percent.alias("percent")
+        exact.alias("exact"), points.alias("points"), word.alias("word"), percent.alias("percent")
     )
     return F.coalesce(stated, let(parts, least))
 
