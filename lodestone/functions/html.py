@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 #: Elements whose content is dropped. Fixed values.
 DROPPED = frozenset(
@@ -197,6 +197,68 @@ def main_markdown(html: Column) -> Column:
     return _mapped(lambda h: page_markdown(main_part(h)))(html)
 
 
+_SELECTOR = re.compile(r"""^([a-z][a-z0-9]*)?(?:\#([\w-]+)|\.([\w-]+)|\[([\w-]+)(\*?=)["']?([^"'\]]+)["']?\])?$""", re.I)
+
+
+def _selected(html: str, selector: str) -> str | None:
+    """The first element that a selector names: tag, #id, .class, [attr="v"], [attr*="v"], each with a tag before it or
+    not, descendants parted by spaces, alternatives by commas."""
+    for choice in selector.split(","):
+        part: str | None = html
+        for step in choice.split():
+            m = _SELECTOR.match(step)
+            if not m:
+                raise ValueError(f"no such selector: {step}")
+            tag = m[1] or r"\w+"
+            if m[2] or m[3] or m[4]:
+                key = "id" if m[2] else "class" if m[3] else m[4]
+                value = re.escape(m[2] or m[3] or m[6])
+                if m[3] or m[5] == "*=":
+                    edge = r"(?:[^\"']*\s)?{}(?:\s[^\"']*)?" if m[3] else r"[^\"']*{}[^\"']*"
+                    value = edge.format(value)
+                opening = re.compile(rf"""<({tag})\b[^>]*?\b{key}\s*=\s*["']{value}["'][^>]*>""", re.I)
+            else:
+                opening = re.compile(rf"<({tag})\b[^>]*>", re.I)
+            inner = part if part is html else part[part.index(">") + 1 :]
+            found = opening.search(inner)
+            part = _element(inner, found) if found else None
+            if part is None:
+                break
+        if part is not None and part is not html:
+            return part
+    return None
+
+
+def page_blocks(html: str | None, blocks: list[tuple[str, str]], least: int = 20) -> tuple[str, list[str]]:
+    """A page's title and the named blocks, each (heading, selector), as markdown, and what is missing or short."""
+    html = html or ""
+    title = re.search(r"(?is)<h1\b[^>]*>(.*?)</h1>", html)
+    out = [f"# {' '.join(re.sub('<[^>]*>', ' ', title[1]).split())}"] if title else []
+    warnings = [] if title else ["no title"]
+    for heading, selector in blocks:
+        part = _selected(html, selector)
+        text = page_markdown(part) if part else ""
+        if len(text) < least:
+            warnings.append(f"{heading}: {'too short' if part else 'not found'}")
+            continue
+        first = text.split("\n", 1)[0].lstrip("# ").strip()
+        if first.lower() == heading.lower():  # the block brings its own heading
+            text = text.split("\n", 1)[1].strip() if "\n" in text else ""
+        out.append(f"## {heading}\n\n{text}")
+    return "\n\n".join(out), warnings
+
+
+def blocks_markdown(html: Column, blocks: list[tuple[str, str]], least: int = 20) -> Column:
+    """Struct (markdown, warnings) of page_blocks, in Arrow batches."""
+
+    def run(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in pages:
+            yield pd.DataFrame([page_blocks(h, blocks, least) for h in batch], columns=["markdown", "warnings"])
+
+    kind = StructType([StructField("markdown", StringType()), StructField("warnings", ArrayType(StringType()))])
+    return pandas_udf(run, kind)(html)
+
+
 def page_title(html: Column) -> Column:
     """Text of the first h1, else of the title, without markup."""
     one = lambda tag: F.nullif(

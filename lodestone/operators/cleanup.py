@@ -146,6 +146,11 @@ def pick_variant(df: DataFrame, key: str, wishes: list[list[Column]], order: lis
     return df.withColumn("__n", F.row_number().over(w)).where("`__n` = 1").drop("__n")
 
 
+def variant_rows(df: DataFrame, modes: str, starts: str) -> DataFrame:
+    """One row a mode of study and start date of a page; pages without either keep a row with nulls."""
+    return df.withColumn("mode", F.explode_outer(modes)).withColumn("start", F.explode_outer(starts))
+
+
 def level_rows(df: DataFrame, level: str, is_foundation: Column) -> DataFrame:
     """An undergraduate page that also offers a foundation year becomes two rows."""
     both = F.when((F.col(level) == "undergraduate") & is_foundation, F.array(F.lit("undergraduate"), F.lit("foundation"))).otherwise(

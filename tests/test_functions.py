@@ -337,3 +337,20 @@ def test_main_part():
     assert html_.main_part(page).startswith('<div class="a page-content b">')
     assert html_.main_part(f"<body><div>a</div><section>{'x' * 50}<div>b</div></section></body>").startswith("<section>")
     assert html_.main_part(None) == ""
+
+
+def test_configured_blocks(spark):
+    page = '<h1>Art</h1><div id="k"><h2>Facts</h2><p>three years of study, full time</p></div><div class="x fees"><p>£9,000 a year for all students</p></div><main><section data-t="tab-entry"><p>A degree in any subject</p></section></main>'
+    blocks = [("Facts", "#k"), ("Fees", "span.fees, .fees"), ("Entry", 'main [data-t*="entry"]'), ("None", "#zz"), ("Title", "h1")]
+    text_, warnings = html_.page_blocks(page, blocks)
+    assert text_.startswith("# Art\n\n## Facts\n\nthree years") and "## Fees\n\n£9,000" in text_ and text_.endswith("A degree in any subject")
+    assert warnings == ["None: not found", "Title: too short"]
+    assert of(spark, lambda c: html_.blocks_markdown(c, blocks)["markdown"], page, None)[0] == text_
+    with pytest.raises(ValueError, match="selector"):
+        html_.page_blocks(page, [("a", ">>")])
+
+
+def test_variant_rows(spark):
+    df = spark.createDataFrame([(1, ["full", "part"], ["Sep", "Jan"]), (2, [], None)], "id int, modes array<string>, starts array<string>")
+    rows = cleanup.variant_rows(df, "modes", "starts").collect()
+    assert sorted((r.id, r.mode or "", r.start or "") for r in rows) == [(1, "full", "Jan"), (1, "full", "Sep"), (1, "part", "Jan"), (1, "part", "Sep"), (2, "", "")]
