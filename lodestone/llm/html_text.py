@@ -36,6 +36,8 @@ NAMED = re.compile(
     r"pagination|pager|copyright|legal|contentinfo|complementary|navigation)(?:$|[\s_-])",
     re.I,
 )
+#: A name like has-sidebar says what an element has around it, not what it is.
+_AROUND = re.compile(r"(?:has|with|no|is|without|show|hide)[_-]", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -45,6 +47,15 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 
+def is_frame(names: list[str], inside: bool) -> bool:
+    """Whether class, id or role names say boilerplate. A header inside an article is the article's own."""
+    for name in names:
+        m = NAMED.search(name)
+        if m and not _AROUND.match(name) and not (inside and m[0].strip(" _-").lower() == "header"):
+            return True
+    return False
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
     """Lines of a page without its markup: text, length for the distribution, inside article or main, number of the
     element around it.
@@ -101,11 +112,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
                         break
             else:
                 _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
-                names = " ".join(filter(None, (v for g in _NAMES.findall(m["attrs"] or m["attrs2"] or "") for v in g)))
-                mine = tag in FRAME or tag == "header" and not inside or bool(names and NAMED.search(names))
+                names = " ".join(v for g in _NAMES.findall(m["attrs"] or m["attrs2"] or "") for v in g if v).split()
+                mine = tag in FRAME or tag == "header" and not inside or is_frame(names, inside)
                 if tag in ("main", "article", "body") and not off:
-                    mine = bool(inside and names and NAMED.search(names))
-                inside = (inside or tag in ("article", "main") or "main" in names.split()) and not (off or mine)
+                    mine = inside and is_frame(names, inside)
+                inside = (inside or tag in ("article", "main") or "main" in names) and not (off or mine)
                 if mine and not off:
                     lines.append(("", 0, False, 0))
                 if tag not in INNER:

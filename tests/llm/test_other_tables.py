@@ -59,6 +59,8 @@ def test_main_text():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<p></p>") == ""
     assert html_text.main_text("just words") == "just words"
     assert html_text.main_text("<p>a < b and 'c' <p>d") == "a < b and 'c'\n\nd"
+    wrapped = '<div class="layout has-sidebar"><div class="sidebar"><p>links here</p></div><article><div class="entry-header"><h1>T</h1></div><p>Body text.</p><div class="share-bar">Share</div></article></div>'
+    assert html_text.main_text(wrapped) == "T\n\nBody text."
     big = "<article>" + "<p>word word</p>" * 20000 + "</article>"
     assert html_text.main_text(big).count("word") == 40000
     assert html_text.main_text("<a " * 20000) is not None
