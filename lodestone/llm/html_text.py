@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ HOLDERS = frozenset(
     " table ul".split()
 )
 #: Holders whose lines count as lines of what stands around them. Fixed values.
-INNER = frozenset("ul ol dl table figure details center".split())
+INNER = frozenset("ul ol dl table figure details center section".split())
 #: Words of class, id and role that name boilerplate. Fixed values.
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|"
@@ -46,6 +46,12 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
+#: Lines of a window of the distribution, and what stands between lines that no window may join.
+WINDOW = 3
+_GAP = ("", 0, False, ())
+#: Weights of a letter: in an article or main, on a page without any, and outside of those that a page has. Fixed values.
+MARKED, PLAIN, UNMARKED = 2.0, 1.0, 0.25
+
 
 def is_frame(names: list[str], inside: bool) -> bool:
     """Whether class, id or role names say boilerplate. A header inside an article is the article's own."""
@@ -56,18 +62,19 @@ def is_frame(names: list[str], inside: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
-    """Lines of a page without its markup: text, length for the distribution, inside article or main, number of the
-    element around it.
+def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
+    """Lines of a page without its markup: text, length for the distribution, inside article or main, numbers of the
+    elements around it from the outermost on (the page's body has none).
 
     A block is a line. Lines in frame elements, or in elements whose class, id
     or role names boilerplate, count as length 0, as does the text of links in
-    lines that have little else. Where a frame begins or ends stands an empty line.
+    lines that have little else. Where a frame begins or ends stands an empty
+    line; where an article does, as many as a window has.
     """
-    lines: list[tuple[str, int, bool, int]] = []
+    lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, article, number
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # tag, boilerplate, article, numbers
     made = 0
     in_link = False
 
@@ -76,7 +83,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
+            _, off, inside, around = stack[-1] if stack else ("", False, False, ())
             plain = len(text) - min(linked, len(text))
             lines.append((text, 0 if off or plain * 3 < len(text) and not inside else len(text), inside, around))
         linked = 0
@@ -105,61 +112,76 @@ def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
             if ends:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
-                        was = stack[k][1]
+                        was, within = stack[k][1], any(x[2] for x in stack[k:])
                         del stack[k:]
                         if was and not (stack and stack[-1][1]):
-                            lines.append(("", 0, False, 0))
+                            lines.append(_GAP)
+                        if within and not any(x[2] for x in stack):
+                            lines.extend([_GAP] * WINDOW)
                         break
             else:
-                _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
+                _, off, inside, around = stack[-1] if stack else ("", False, False, ())
+                held = any(x[2] for x in stack)
                 names = " ".join(v for g in _NAMES.findall(m["attrs"] or m["attrs2"] or "") for v in g if v).split()
                 mine = tag in FRAME or tag == "header" and not inside or is_frame(names, inside)
                 if tag in ("main", "article", "body") and not off:
                     mine = inside and is_frame(names, inside)
                 inside = (inside or tag in ("article", "main") or "main" in names) and not (off or mine)
                 if mine and not off:
-                    lines.append(("", 0, False, 0))
-                if tag not in INNER:
+                    lines.append(_GAP)
+                if inside and not held:
+                    lines.extend([_GAP] * WINDOW)
+                if tag not in INNER and tag != "body":
                     made += 1
-                stack.append((tag, off or mine, inside, around if tag in INNER else made))
+                    around = (*around, made)
+                stack.append((tag, off or mine, inside, around))
     if at < len(page):
         parts.append(page[at:])
     close()
     return lines
 
 
-def main_text(page: str | None, window: int = 3, rise: float = 0.15) -> str:
+def main_text(page: str | None, window: int = WINDOW, least: float = 80, rise: float = 0.15) -> str:
     """Text between the surge and dive points of a page's line-block distribution.
 
-    The lengths of `window` lines from each line on are summed. A stretch
-    starts where a sum rises from 0 to the surge and ends at the dive, where
-    the lines have no text again; stretches whose highest sum is under `rise` of
-    the page's highest are not main text, unless they stand in the element that
-    the highest does. Where a page marks an article, lines outside it count as
-    empty.
+    The lengths of `window` lines from each line on are summed; tags and names
+    only weigh the lengths. A surge is where a sum rises to `least` letters (on
+    pages whose highest sum is small, to `rise` of that), its stretch goes from
+    where the sums leave 0 to the dive, where they are 0 again. Stretches
+    without a surge are main text only under the element that holds those with
+    one; text right in the body holds only what stands right there too.
     """
     lines = lines_of(page or "")
-    if not lines:
-        return ""
-    sizes = np.array([x[1] for x in lines], dtype=np.int64)
-    inside = np.array([x[2] for x in lines], dtype=bool)
-    if (sizes * inside).sum():
-        sizes = sizes * inside
+    sizes = np.array([x[1] for x in lines], dtype=float)
     if not sizes.sum():
         return ""
-    sums = np.convolve(sizes, np.ones(window, dtype=np.int64))[window - 1 :]
-    padded = np.concatenate([[0], (sizes > 0).astype(np.int8), [0]])
-    surges, dives = np.flatnonzero(np.diff(padded) == 1), np.flatnonzero(np.diff(padded) == -1)
-    peak = sums.max()
-    top = next((a, b) for a, b in zip(surges, dives, strict=True) if sums[a:b].max() == sums[sizes > 0].max())
-    home = max(range(*top), key=lambda k: sizes[k])
+    inside = np.array([x[2] for x in lines], dtype=bool)
+    sizes *= np.where(inside, MARKED, UNMARKED) if (sizes * inside).any() else PLAIN
+    sums = np.convolve(sizes, np.ones(window))[window - 1 :]
+    padded = np.concatenate([[0], (sums > 0).astype(np.int8), [0]])
+    starts, dives = np.flatnonzero(np.diff(padded) == 1), np.flatnonzero(np.diff(padded) == -1)
+    stretches = [[k for k in range(a, b) if sizes[k]] for a, b in zip(starts, dives, strict=True)]
+    highest = [sums[a:b].max() for a, b in zip(starts, dives, strict=True)]
+    bound = min(least, rise * max(highest))
+    peak = stretches[int(np.argmax(highest))]
+    marked = inside[max(peak, key=lambda k: sizes[k])]
+    surged = [s for s, h in zip(stretches, highest, strict=True) if h >= bound and inside[s[0]] == marked]
+    home = _common(lines[k][3] for s in surged for k in s) or _common(lines[k][3] for k in peak)
+
+    def at_home(k: int) -> bool:
+        return inside[k] == marked and (lines[k][3][: len(home)] == home if home else not lines[k][3])
+
     kept = [
-        lines[k][0]
-        for a, b in zip(surges, dives, strict=True)
-        if inside[a] or sums[a:b].max() >= rise * peak or any(lines[k][3] == lines[home][3] for k in range(a, b))
-        for k in range(a, b)
+        k for s, h in zip(stretches, highest, strict=True) if h >= bound or any(map(at_home, s)) for k in s
     ]
-    return "\n\n".join(kept)
+    return "\n\n".join(lines[k][0] for k in kept)
+
+
+def _common(paths: Iterable[tuple[int, ...]]) -> tuple[int, ...]:
+    """The elements that all paths begin with."""
+    paths = list(paths)
+    low, high = min(paths), max(paths)
+    return low[: next((k for k, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -66,6 +66,22 @@ def test_main_text():
     assert html_text.main_text("<a " * 20000) is not None
 
 
+def test_main_text_by_the_distribution():
+    long, tail = "word " * 1000, "tail " * 80
+    ad = '<div class="ad"><p>Buy this now</p></div>'
+    parts = f"<section><p>{long}</p></section>{ad}<section><p>{tail}</p></section>{ad}<section><p>Short end.</p></section>"
+    want = [long.strip(), tail.strip(), "Short end."]
+    # sections that differ much in length, on a page without article or main
+    assert html_text.main_text(f"<body><div>{parts}</div><footer>f</footer></body>").split("\n\n") == want
+    assert html_text.main_text(f"<body><div>{parts}</div>{ad}<div><p>Short junk</p></div></body>").split("\n\n") == want
+    # an article that is only a teaser does not decide: the lengths do
+    teased = f"<body><div><p>{long}</p><p>{tail}</p></div><article><p>Read on</p></article></body>"
+    assert html_text.main_text(teased).split("\n\n") == want[:2]
+    # and the other way round: little text beside an article is not main text
+    beside = f"<body><article><p>{long}</p></article><div><p>Written by someone.</p></div></body>"
+    assert html_text.main_text(beside) == want[0]
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
