@@ -17,8 +17,12 @@ BLOCKS = frozenset(
     " footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody"
     " td tfoot th thead tr ul".split()
 )
-#: Elements whose whole content goes. Fixed values.
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|button|head|canvas|audio|video"
+#: Elements whose whole content goes, to the end of the page where the end tag is missing: no tag in them counts. Fixed values.
+RAW = "script|style|textarea"
+#: Elements whose whole content goes where they are closed. Fixed values.
+HELD = "title|noscript|template|svg|math|iframe|object|select|button|canvas|audio|video"
+#: Of these, the ones that hold a label: not closed, they end at the next block. Fixed values.
+LABELS = frozenset("title select button".split())
 #: Elements whose lines have no text for the distribution. Fixed values.
 FRAME = frozenset("nav aside footer form menu dialog fieldset search".split())
 #: Elements that can hold others and are tracked as open. Fixed values.
@@ -44,6 +48,14 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9:-]*)(?P<attrs2>[^>]*+)>|<[!?][^>]*+>",
     re.I | re.S,
 )
+_PAIRED = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    rf"|<(?P<end>/?)(?P<tag>{HELD})(?![a-z0-9:-])(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    rf"|<(?P<end2>/?)(?P<tag2>{HELD})(?![a-z0-9:-])(?P<attrs2>[^>]*+)>",
+    re.I | re.S,
+)
+_IS_HELD = re.compile(HELD, re.I)
+_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?![a-z0-9:-])", re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 #: Lines of a window of the distribution, and what stands between lines that no window may join.
@@ -62,6 +74,22 @@ def is_frame(names: list[str], inside: bool) -> bool:
     return False
 
 
+def closed_elements(page: str) -> dict[int, int]:
+    """Where each closed element of HELD begins and ends; an end tag closes the latest of its kind that is open."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in _PAIRED.finditer(page):
+        tag = (m["tag"] or m["tag2"] or "").lower()
+        if not tag:
+            continue
+        if not (m["end"] or m["end2"]):
+            if not (m["attrs"] or m["attrs2"] or "").endswith("/"):
+                opened.setdefault(tag, []).append(m.start())
+        elif opened.get(tag):
+            ends[opened[tag].pop()] = m.end()
+    return ends
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
     """Lines of a page without its markup: text, length for the distribution, inside article or main, numbers of the
     elements around it from the outermost on (the page's body has none).
@@ -89,7 +117,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
         linked = 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    closed, block = None, -1
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             text = page[at : m.start()]
             parts.append(text)
@@ -100,7 +129,18 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
         if not tag:
             continue
         ends = bool(m["end"] or m["end2"])
-        if tag == "br":
+        if _IS_HELD.fullmatch(tag):
+            if not ends and not (m["attrs"] or m["attrs2"] or "").endswith("/"):
+                if closed is None:
+                    closed = closed_elements(page)
+                if m.start() in closed:
+                    at = closed[m.start()]
+                elif tag in LABELS:
+                    if block < at:
+                        found = _BLOCK.search(page, at)
+                        block = found.start() if found else len(page)
+                    at = block if block < len(page) else max(at, page.find("<", at))
+        elif tag == "br":
             parts.append(" ")
         elif tag == "a":
             in_link = not ends

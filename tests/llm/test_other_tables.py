@@ -82,6 +82,19 @@ def test_main_text_by_the_distribution():
     assert html_text.main_text(beside) == want[0]
 
 
+def test_missing_end_tags_lose_nothing():
+    want = "Some words of the article."
+    body = f"<body><article><p>{want}</p></article>"
+    assert html_text.main_text(f"<html><head><title>T</title>{body}") == want
+    assert html_text.main_text(f"<html><head><title>T{body}") == want
+    for tag in ("svg", "button", "select", "object", "canvas", "iframe", "noscript"):
+        assert html_text.main_text(f"<body><{tag}><div></div><article><p>{want}</p></article>") == want
+        assert html_text.main_text(f"<body><{tag}><article><p>{want}</p></article><{tag}>no</{tag}>") == want
+        assert html_text.main_text(f"<body><article><{tag}>no <{tag}>no</{tag}></{tag}><p>{want}</p></article>") == want
+    assert html_text.main_text(f"<body><p>{want}</p><script>var a = '<p>no</p>'") == want
+    assert html_text.main_text("<svg>" * 20000 + f"<p>{want}</p>") == want
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
