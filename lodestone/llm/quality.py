@@ -101,14 +101,10 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class: int, salt: str) -> DataFrame:
-    """doc_id, text, y of about per_class labelled rows a class that `fold` keeps, by a hash of the id.
-
-    The bound makes the sample, and so the broadcast of its ids, of fixed size.
-    Ids with contradictory labels are left out.
-    """
+def clean_labels(labels: DataFrame, label: str, fold: Column) -> DataFrame:
+    """doc_id and y of the labelled ids that `fold` keeps, once each. Ids with contradictory labels are left out."""
     y = F.col(label).cast("int")
-    clean = (
+    return (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), y.alias("y"))
         .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -117,10 +113,26 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_c
         .drop("y2")
         .where(fold)
     )
-    n = {r["y"]: r["n"] for r in clean.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    spot = F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def class_counts(clean: DataFrame) -> dict[int, int]:
+    return {r["y"]: r["n"] for r in clean.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def spot(salt: str) -> Column:
+    """A number from 0 to 1 by a hash of the id."""
+    return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class: int, salt: str) -> DataFrame:
+    """doc_id, text, y of about per_class labelled rows a class that `fold` keeps, by a hash of the id.
+
+    The bound makes the sample, and so the broadcast of its ids, of fixed size.
+    """
+    clean = clean_labels(labels, label, fold)
+    n = class_counts(clean)
     share = F.when(F.col("y") == 1, min(1.0, per_class / n.get(1, 1))).otherwise(min(1.0, per_class / n.get(0, 1)))
-    chosen = clean.where(spot < share)
+    chosen = clean.where(spot(salt) < share)
     return keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
 
 

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.quality import labelled
-from lodestone.llm.shared import doc_bucket
+from lodestone.llm.quality import class_counts, clean_labels, spot
+from lodestone.llm.shared import doc_bucket, keyed_texts
 
 _WORD = re.compile(r"[^\W\d_]+")
 _BEGIN, _END = "\x02", "\x03"
 _CACHED_WORDS = 400_000
+_COUNTED = 200_000
 _DISCOUNT = 0.75
 FEATURES = 7
 
@@ -64,18 +65,28 @@ class Pair:
         return total
 
 
+def letter_grams(word: str, order: int) -> list[str]:
+    """What each letter and the end of a word are counted under: the letter after up to order - 1 others."""
+    padded = _BEGIN + word + _END
+    return [padded[max(0, i - order + 1) : i + 1] for i in range(1, len(padded))]
+
+
 def kneser_ney(words: tuple[Counter, Counter], order: int = 5, discounts: tuple[float, ...] = (1.0, 1.8, 2.5)) -> Pair:
-    """The pair of models of ordinary (0) and toxic (1) word counts.
+    """The pair of models of ordinary (0) and toxic (1) word counts."""
+    top = (Counter(), Counter())
+    for c in (0, 1):
+        for word, n in words[c].items():
+            for gram in letter_grams(word, order):
+                top[c][gram] += n
+    return of_grams(top, order, discounts)
+
+
+def of_grams(top: tuple[Counter, Counter], order: int = 5, discounts: tuple[float, ...] = (1.0, 1.8, 2.5)) -> Pair:
+    """The pair of models of ordinary (0) and toxic (1) counts of letter_grams().
 
     discounts: what an n-gram of count 1, 2, 3 or more gives up to the backoff.
     One that a class has once gives up all: a chance hit says nothing.
     """
-    top = [Counter(), Counter()]
-    for c in (0, 1):
-        for word, n in words[c].items():
-            padded = _BEGIN + word + _END
-            for i in range(1, len(padded)):
-                top[c][padded[max(0, i - order + 1) : i + 1]] += n
     # continuation counts: before how many different letters (or word beginnings) an n-gram stands, in either class
     levels: list[set[str]] = [set(top[0]) | set(top[1])]
     shared, shared_back = {}, {}
@@ -180,26 +191,100 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30))))
 
 
-def fit(sample: DataFrame, order: int) -> Model | None:
-    """The weights of the ratios, and so the scale, come from a third of the sample, under letter models of the
-    other two thirds; the final letter models are of the whole sample."""
-    got = sample.toArrow()
-    rows = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "y", "text")), strict=True))
-    parts: dict[bool, list] = defaultdict(list)
-    for n, (_, y, text) in enumerate(rows):
-        parts[n % 3 == 2].append((y, text))
-    counts = (Counter(), Counter())
-    for y, text in parts[False]:
-        counts[y].update(set(_WORD.findall(text.lower())))  # in how many texts a word is
-    held = parts[True] or parts[False]
-    if not counts[0] or not counts[1] or len({y for y, _ in held}) < 2:
+def gram_counts(rows: DataFrame, order: int) -> DataFrame:
+    """gram and n0 to n3: in how many texts of rows (text, slot) of slot 0 to 3 a word with it is, over all such words."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            arrays = [pa.array([w for w, _ in counts], pa.string()), pa.array([k for _, k in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(arrays, ["word", "slot", "n"])
+
+        for batch in batches:
+            for text, slot in zip(batch.column("text"), batch.column("slot").to_pylist(), strict=True):
+                counts.update((word, slot) for word in set(_WORD.findall(text.as_py().lower())))
+                if len(counts) > _COUNTED:
+                    yield out()
+        yield out()
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+
+        def out() -> pa.RecordBatch:
+            table = np.array(list(counts.values()), np.int64).reshape(-1, 4)
+            arrays = [pa.array(list(counts), pa.string()), *(pa.array(table[:, k]) for k in range(4))]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(arrays, ["gram", "n0", "n1", "n2", "n3"])
+
+        for batch in batches:
+            each = np.stack([batch.column(f"n{k}").to_numpy() for k in range(4)], axis=1)
+            for word, n in zip(batch.column("word").to_pylist(), each, strict=True):
+                for gram in letter_grams(word, order):
+                    counts[gram] = counts[gram] + n if gram in counts else n
+                if len(counts) > _COUNTED:
+                    yield out()
+        yield out()
+
+    slots = [F.sum(F.when(F.col("slot") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)]
+    counted = rows.mapInArrow(words, "word string, slot int, n long").groupBy("word").agg(*slots)
+    counted = counted.mapInArrow(grams, "gram string, n0 long, n1 long, n2 long, n3 long")
+    return counted.groupBy("gram").agg(*(F.sum(f"n{k}").alias(f"n{k}") for k in range(4)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class: int, order: int) -> Model | None:
+    """The model of all labelled rows that `fold` keeps.
+
+    N-grams are counted over every row, by Spark. The weights of the ratios, and
+    so the scale, come from up to per_class / 3 rows a class, a third of few,
+    under letter models of all other rows; only their features come to the driver.
+    """
+    clean = clean_labels(labels, label, fold)
+    n = class_counts(clean)
+    if len(n) < 2:
+        return None
+    share = {y: min(1.0, per_class / n[y]) / 3 for y in n}
+    held = spot(label) < F.when(F.col("y") == 1, share[1]).otherwise(share[0])
+    # the fold spares the join the texts of other ids; labels grow with the input, so the join is a merge at any size
+    rows = keyed_texts(docs).where(fold).join(clean.withColumn("held", held).hint("merge"), "doc_id")
+    got = gram_counts(rows.select("text", (F.col("held").cast("int") * 2 + F.col("y")).alias("slot")), order).toArrow()
+    got = got.sort_by("gram")
+    names = got.column("gram").to_pylist()
+    table = np.stack([got.column(f"n{k}").to_numpy() for k in range(4)])
+    del got
+
+    def models(counts: np.ndarray) -> Pair:
+        return of_grams(tuple(Counter({names[i]: int(c[i]) for i in np.flatnonzero(c)}) for c in counts), order)
+
+    if not table[:2].any(axis=1).all():
         return None
-    model = Model(kneser_ney(counts, order), np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
-    x = np.array([_features(model.ratios(text)) for _, text in held])
-    model.weights, model.mean, model.scale = logistic(x, np.array([y for y, _ in held], dtype=float))
-    for y, text in parts[True]:
-        counts[y].update(set(_WORD.findall(text.lower())))
-    return Model(kneser_ney(counts, order), model.weights, model.mean, model.scale)
+    model = Model(models(table[:2]), np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
+    x, y = features_of(docs, clean.where(held), model)
+    if len(set(y.tolist())) < 2:  # too few rows to hold any out
+        some = spot(label) < F.when(F.col("y") == 1, 3 * share[1]).otherwise(3 * share[0])
+        x, y = features_of(docs, clean.where(some), model)
+        if len(set(y.tolist())) < 2:
+            return None
+    model.weights, model.mean, model.scale = logistic(x, y)
+    return Model(models(table[:2] + table[2:]), model.weights, model.mean, model.scale)
+
+
+def features_of(docs: DataFrame, chosen: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Features and class of the texts of a bounded number of chosen ids (doc_id, y), in order of id."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [_features(shared.value.ratios(t.as_py())) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("y"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "y", "x"]
+            )
+
+    rows = keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    got = sorted((r["doc_id"], r["y"], r["x"]) for r in rows.mapInArrow(run, "doc_id long, y int, x array<double>").collect())
+    shared.destroy()
+    return np.array([x for *_, x in got]).reshape(-1, FEATURES), np.array([y for _, y, _ in got], dtype=float)
 
 
 def score(
@@ -214,9 +299,9 @@ def score(
 ) -> DataFrame:
     """Score every whole text by toxic against ordinary log-likelihoods, from labels outside the held-out fold.
 
-    About `per_class` labelled rows a class (the documented bound) fit the two
-    Kneser-Ney models and the weights of their length-normalised ratios; the
-    model goes to every task. Texts are scored in Arrow batches without a
+    All labelled rows are counted for the two Kneser-Ney models; about
+    `per_class` / 3 rows a class (the documented bound) fit the weights of their
+    length-normalised ratios, a small logistic model; it all goes to every task. Texts are scored in Arrow batches without a
     shuffle. Labels, lang, source and id are no inputs.
 
     Columns: doc_id, held_out, score, predicted (1 if score >= threshold).
@@ -227,7 +312,7 @@ def score(
     ignored.
     """
     fold = doc_bucket(F.col("doc_id"), folds) != held_out
-    model = fit(labelled(docs, labels, label, fold, per_class, label), order)
+    model = fit(docs, labels, label, fold, per_class, order)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -284,6 +284,22 @@ def test_toxicity(spark, nothing):
     assert toxicity.score(nothing, labels).count() == 0
 
 
+def test_toxicity_counts_every_labelled_row(spark):
+    from collections import Counter
+
+    docs, labels = _labelled(spark, "A plain sentence of ordinary words goes here. ", "You are a moronic worthless fool of words. ")
+    # each row has a word of its own: only counts over all rows know them
+    docs = docs.withColumn("text", F.when(F.col("doc_id") < 240, F.concat("text", F.translate(F.col("doc_id").cast("string"), "0123456789", "ghijklmnop"))).otherwise(F.col("text")))
+    model = toxicity.fit(docs, labels, "toxic", F.lit(True), 12, 5)
+    words = [Counter(), Counter()]
+    for r in docs.collect():
+        if r.doc_id is not None and r.doc_id < 240:
+            words[r.doc_id % 3 == 0].update(set(toxicity._WORD.findall(r.text.lower())))
+    want = toxicity.kneser_ney(tuple(words))
+    for got, full in ((model.pair.shared, want.shared), *((model.pair.own[c], want.own[c]) for c in (0, 1))):
+        assert got.keys() == full.keys() and all(abs(got[g] - p) < 1e-9 for g, p in full.items())
+
+
 def test_kneser_ney_sums_to_one():
     from collections import Counter
 
