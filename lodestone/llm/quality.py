@@ -83,15 +83,24 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, c: np.nda
     return w
 
 
-def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def class_weights(y: np.ndarray, n: dict[int, int] | None) -> np.ndarray:
+    """Weights, 1 on average, that give the classes of a sample (y: 0 or 1) the shares they have in all n rows."""
+    if n is None:
+        return np.ones(len(y))
+    w = np.where(y == 1, n[1] / max(1, (y == 1).sum()), n[0] / max(1, (y == 0).sum()))
+    return w / w.mean()
+
+
+def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float]:
     """a and b of 1 / (1 + exp(-(a * margin + b))) by Newton steps on smoothed targets (y: 0 or 1)."""
-    pos, neg = y.sum(), (1 - y).sum()
+    weight = np.ones(len(y)) if weight is None else weight
+    pos, neg = (weight * y).sum(), (weight * (1 - y)).sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     a, b = 1.0, float(np.log((pos + 1) / (neg + 1)))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
-        s = p * (1 - p) + 1e-9
-        ga, gb = (margin * (p - target)).sum() + 1e-3 * a, (p - target).sum()
+        s = weight * (p * (1 - p) + 1e-9)
+        ga, gb = (weight * margin * (p - target)).sum() + 1e-3 * a, (weight * (p - target)).sum()
         haa, hab, hbb = (margin * margin * s).sum() + 1e-3, (margin * s).sum(), s.sum() + 1e-9
         det = haa * hbb - hab * hab
         da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
@@ -124,8 +133,9 @@ def spot(salt: str) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class: int, salt: str) -> DataFrame:
-    """doc_id, text, y of about per_class labelled rows a class that `fold` keeps, by a hash of the id.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class: int, salt: str) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id, text, y of about per_class labelled rows a class that `fold` keeps, by a hash of the id; and how many
+    rows each class has in all.
 
     The bound makes the sample, and so the broadcast of its ids, of fixed size.
     """
@@ -133,11 +143,17 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_c
     n = class_counts(clean)
     share = F.when(F.col("y") == 1, min(1.0, per_class / n.get(1, 1))).otherwise(min(1.0, per_class / n.get(0, 1)))
     chosen = clean.where(spot(salt) < share)
-    return keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    return keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), n
 
 
-def fit(sample: DataFrame, strength: float = 1.0) -> tuple[np.ndarray, np.ndarray, float, float] | None:
-    """Weights over the hashed n-grams, their ratios, and the scale of scores, from rows (doc_id, text, y)."""
+def fit(
+    sample: DataFrame, n: dict[int, int] | None = None, strength: float = 1.0
+) -> tuple[np.ndarray, np.ndarray, float, float] | None:
+    """Weights over the hashed n-grams, their ratios, and the scale of scores, from rows (doc_id, text, y).
+
+    n: how many rows each class has in all. The scale is that of their base
+    rate, however the sample was drawn.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +181,7 @@ def fit(sample: DataFrame, strength: float = 1.0) -> tuple[np.ndarray, np.ndarra
     w = dual_descent([rows[i] for i in train], y[train] * 2.0 - 1, r, np.full(len(train), strength))
     if len(held) == 0 or len(set(y[held].tolist())) < 2:
         held = train
-    a, b = platt(np.array([_margin(w, r, rows[i]) for i in held]), y[held])
+    a, b = platt(np.array([_margin(w, r, rows[i]) for i in held]), y[held], class_weights(y[held], n))
     return w.astype(np.float32), r.astype(np.float32), a, b
 
 
@@ -200,7 +216,7 @@ def score(
     ignored.
     """
     fold = doc_bucket(F.col("doc_id"), folds) != held_out
-    model = fit(labelled(docs, labels, label, fold, per_class, label))
+    model = fit(*labelled(docs, labels, label, fold, per_class, label))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +255,7 @@ def accepted(
     The model is score()'s. Without labels of both classes every row stays.
     """
     fold = doc_bucket(F.col("doc_id"), folds) != held_out
-    model = fit(labelled(docs, labels, label, fold, per_class, label))
+    model = fit(*labelled(docs, labels, label, fold, per_class, label))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.quality import class_counts, clean_labels, spot
+from lodestone.llm.quality import class_counts, class_weights, clean_labels, spot
 from lodestone.llm.shared import doc_bucket, keyed_texts
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -151,15 +151,17 @@ def _features(ratios: np.ndarray) -> list[float]:
     return [float(ratios.mean()), window, best, float(np.log1p(far)), far / root, float(np.log1p(beyond)), lean / root]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights (the last is the bias), means and scales of a small logistic model, by Newton steps."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    weight = np.ones(len(x)) if weight is None else weight
+    mean = np.average(x, axis=0, weights=weight)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=weight)) + 1e-6
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + ridge * len(x) / 100 * w
-        hess = (z * (p * (1 - p) + 1e-6)[:, None]).T @ z + np.eye(len(w)) * ridge * len(x) / 100
+        grad = z.T @ (weight * (p - y)) + ridge * len(x) / 100 * w
+        hess = (z * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ z + np.eye(len(w)) * ridge * len(x) / 100
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -266,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class:
         x, y = features_of(docs, clean.where(some), model)
         if len(set(y.tolist())) < 2:
             return None
-    model.weights, model.mean, model.scale = logistic(x, y)
+    model.weights, model.mean, model.scale = logistic(x, y, weight=class_weights(y, n))
     return Model(models(table[:2] + table[2:]), model.weights, model.mean, model.scale)
 
 

@@ -284,6 +284,27 @@ def test_toxicity(spark, nothing):
     assert toxicity.score(nothing, labels).count() == 0
 
 
+def test_scales_keep_the_base_rate_of_all_rows():
+    rng = np.random.default_rng(3)
+    y = (rng.random(6000) < 0.85).astype(float)
+    margin = rng.normal(size=6000) + 2 * y - 1
+    even = np.concatenate([np.flatnonzero(y == 1)[:700], np.flatnonzero(y == 0)[:700]])  # one to one, as on large tables
+    n = {1: int(y.sum()), 0: int((1 - y).sum())}
+    for b in (
+        lambda k, w: quality.platt(margin[k], y[k], w)[1],
+        lambda k, w: (lambda t: t[0][-1] - t[0][0] * t[1][0] / t[2][0])(toxicity.logistic(margin[k, None], y[k], weight=w)),
+    ):
+        whole, sample = b(np.arange(6000), None), b(even, quality.class_weights(y[even], n))
+        assert abs(whole - sample) < 0.3 and abs(whole - b(even, None)) > 1
+
+
+def test_quality_scores_do_not_move_with_the_bound(spark):
+    docs, labels = _labelled(spark, "A plain sentence of ordinary words goes here. ", "BUY!! NOW!! ### $$$ BUY!! ")
+    sample, n = quality.labelled(docs, labels, "quality", F.lit(True), 60, "quality")
+    assert n == {0: 80, 1: 160} and sample.count() < 180
+    assert quality.fit(sample, n)[3] > quality.fit(sample)[3]
+
+
 def test_toxicity_counts_every_labelled_row(spark):
     from collections import Counter
 
