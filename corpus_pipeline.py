@@ -30,7 +30,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed sequences: one row a piece, with its token ids."""
-    return packing.pack(docs, with_ids=True)
+    return packing.pack(docs, with_ids=True, added_tokens=True)
 
 
 STAGES = [

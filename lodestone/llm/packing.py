@@ -20,7 +20,7 @@ VOCABULARY = "byte_bpe_50k.json"
 def _encoder(vocabulary: str):
     """Byte-level BPE of a tokenizers file, run by tiktoken, whose ids are the same and come five times as fast.
 
-    Strings of special tokens inside a text are ordinary text.
+    The vocabulary's added tokens are known; ids_of() says what they are inside a text.
     """
     import public_tokenizers
     import tiktoken
@@ -30,10 +30,10 @@ def _encoder(vocabulary: str):
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(shown)]
     byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-    added = {t["content"] for t in entries.get("added_tokens", [])}
+    added = {t["content"]: t["id"] for t in entries.get("added_tokens", [])}
     ranks = {bytes(byte_of[c] for c in t): i for t, i in entries["model"]["vocab"].items() if t not in added}
     return tiktoken.Encoding(
-        vocabulary.rsplit("/", 1)[-1], pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        vocabulary.rsplit("/", 1)[-1], pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
     )
 
 
@@ -46,6 +46,11 @@ def encoder(vocabulary: str = VOCABULARY):
     return _ENCODERS[vocabulary]
 
 
+def ids_of(coder, text: str, added_tokens: bool) -> np.ndarray:
+    """Ids of a text. Strings of added tokens are those tokens, as by the library's default, or else ordinary text."""
+    return coder.encode_to_numpy(text, allowed_special="all" if added_tokens else set(), disallowed_special=())
+
+
 @dataclass
 class Limits:
     """What one sequence holds at most. min_piece: no example is cut to fill fewer tokens than that."""
@@ -147,6 +152,7 @@ def pack(
     loss_from_col: str | None = None,
     buffered: int = 1024,
     with_ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Pack every text, each scan partition by itself and without a shuffle: one row a piece.
 
@@ -155,7 +161,8 @@ def pack(
     of each example is packed with others, `buffered` at a time, under the
     limits on tokens, segments and loss-bearing tokens. loss_from_col counts the
     characters at the head of a text, its prompt, whose tokens bear no loss;
-    without it every token bears loss.
+    without it every token bears loss. added_tokens: whether strings of the
+    vocabulary's added tokens are those tokens, as the library reads them.
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset;
     with_ids adds ids (array of int). Sequence ids hold the partition's number,
@@ -217,14 +224,14 @@ def pack(
             heads = batch.column("head") if loss_from_col is not None else None
             for n, (doc, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)):
                 text = text.as_py()
-                ids = coder.encode_to_numpy(text)
+                ids = ids_of(coder, text, added_tokens)
                 tokens = np.empty(len(ids) + 1, dtype="<u4")
                 tokens[:-1], tokens[-1] = ids, end_id
                 key = state["key"] = state["key"] + 1
                 held[key] = (doc, tokens, len(tokens))
                 loss = None
                 if heads is not None:
-                    first = len(coder.encode_to_numpy(text[: heads[n].as_py()]))
+                    first = len(ids_of(coder, text[: heads[n].as_py()], added_tokens))
                     loss = np.maximum(0, np.arange(len(tokens) + 1) - first)
                 rest = Piece(key, 0, len(tokens), loss)
                 while rest.tokens >= limits.tokens:

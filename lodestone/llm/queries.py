@@ -54,7 +54,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

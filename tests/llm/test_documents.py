@@ -214,6 +214,19 @@ def test_packing(docs, nothing):
     assert packing.pack(nothing).count() == 0
 
 
+def test_packing_reads_added_tokens_as_the_library(spark, tmp_path):
+    from lodestone.llm import queries
+    from lodestone.llm.shared import vocabulary_path
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary_path(packing.VOCABULARY))  # its default settings
+    texts = ["x <|endoftext|> y", "<|endoftext|><|endoftext|>a", "<|endoftext", "plain"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op8_packing(spark, str(tmp_path)).collect():
+        ids = np.array([*t.encode(texts[r.doc_id], add_special_tokens=False).ids, 0], dtype="<u4")
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+
+
 def test_packing_limits_all_three(spark):
     rows = [(i, "ask " * (i % 40), "ask " * (i % 40) + "word " * (5 + i % 90)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, prompt string, text string").withColumn("head", F.length("prompt"))
