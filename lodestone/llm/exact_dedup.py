@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import ascii_lower
+from lodestone.llm.shared import ascii_lower, staged
 
 ROW = "__row"
 
@@ -15,6 +15,11 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def held_rows(docs: DataFrame) -> DataFrame:
+    """numbered(), written once: the numbers stay those of the same rows in later jobs, however these split their scans."""
+    return staged(numbered(docs), "rows")
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32) -> DataFrame:
     """One verdict per row of `docs`, which must carry `__row` from numbered().
 

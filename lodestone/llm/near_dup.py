@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.exact_dedup import ROW, numbered
+from lodestone.llm.exact_dedup import ROW, held_rows
 from lodestone.llm.shared import discard, staged
 from lodestone.llm.tokens import Tokens, mixed, run_hashes, text_runs
 
@@ -489,6 +489,6 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
     """The rows of docs that stay, with all their columns: one of each near-duplicate class."""
-    rows = numbered(docs)
+    rows = held_rows(docs)
     stay = near_classes(rows, id_col, text_col, similarity).where("kept").select(ROW)
     return rows.join(stay, ROW, "left_semi").drop(ROW)

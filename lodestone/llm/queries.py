@@ -45,7 +45,7 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exact_dedup.numbered(read_table(spark, sf_dir, "documents"))
+    rows = exact_dedup.held_rows(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return near_dup.near_classes(rows).drop(exact_dedup.ROW)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.exact_dedup import ROW, numbered
+from lodestone.llm.exact_dedup import ROW, held_rows
 from lodestone.llm.shared import let, staged
 
 #: kind, pattern (group 1: the value), least length, of the value for `assign` and `prefixed` and of the match for the others.
@@ -210,7 +210,7 @@ def span_report(spans: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
     """`docs` with the value of every span masked, but for widely copied examples. n_chars follows."""
-    rows = numbered(docs)
+    rows = held_rows(docs)
     spans = secret_spans(rows, text_col=text_col, **options)
     cuts = spans.select(
         F.col(ROW),

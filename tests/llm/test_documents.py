@@ -189,6 +189,27 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
 
 
+def test_rows_keep_their_identity_when_scans_differ(spark):
+    def another_order(batches):
+        import os
+        import random
+
+        import pyarrow as pa
+
+        for batch in batches:
+            at = list(range(batch.num_rows))
+            random.Random(os.urandom(8)).shuffle(at)
+            yield pa.Table.from_batches([batch]).take(at).combine_chunks().to_batches()[0]
+
+    rows = [(i, f"row {i} " + " ".join(f"w{i}x{k}" for k in range(30)) + f" token=mine{i:04d}abcd9xyz", f"o{i}/r") for i in range(200)]
+    rows += [(i + 1000, t + " end", s) for i, t, s in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).mapInArrow(another_order, "doc_id long, text string, source string")
+    text = {i: t for i, t, _ in rows}
+    out = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
+    assert out == {i: re.sub("mine[0-9]{4}abcd9xyz", "[SECRET]", t) for i, t in text.items()}
+    assert sorted(r.doc_id for r in near_dup.near_dedup(docs).collect()) == list(range(200))
+
+
 def test_packing(docs, nothing):
     from lodestone.llm.shared import vocabulary_path
     from tokenizers import Tokenizer
