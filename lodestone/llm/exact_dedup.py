@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.shared import ascii_lower, staged
+from lodestone.llm.shared import ascii_lower, masked_salts, salt_masks, salt_of, set_aside, staged
 
 ROW = "__row"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Add the scan position as a row number, the identity of a row within one input."""
+    """Add the scan position as a row number, the identity of a row within one job."""
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
@@ -20,28 +21,35 @@ def held_rows(docs: DataFrame) -> DataFrame:
     return staged(numbered(docs), "rows")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32) -> DataFrame:
-    """One verdict per row of `docs`, which must carry `__row` from numbered().
+def identified(docs: DataFrame) -> DataFrame:
+    """Add an identity that stays a row's however scans are split: its file and place there, or else its number in a written copy."""
+    try:
+        return docs.withColumn(ROW, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")))
+    except AnalysisException:  # no scan of Parquet files
+        return held_rows(docs)
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One verdict per row of `docs`, which must carry `__row`, from numbered() or identified().
 
     Texts are equal when identical after lower-casing A-Z only; null counts as
     empty. Three combining stages, each grouped on the digest AND the whole
     text, so that no decision rests on a hash alone:
 
     1. local: the partial aggregate of a scan partition keeps one row a text;
-    2. salted: the rows of a digest meet in up to `salts` groups, by a hash of
+    2. salted: the rows of a digest meet in up to 1,024 groups, by a hash of
        the id, so a text held by a third of all rows is spread over many tasks;
-    3. global: the salt winners, at most `salts` rows a text, are combined.
+    3. global: the salt winners are combined.
 
     The verdict goes back to the rows by (digest, salt): a text of one copy has
-    one such key, a hot one `salts`. Were two texts ever to share a digest and
+    one such key, a hot one 1,024. Were two texts ever to share a digest and
     a salt, the job would stop with an error rather than merge them.
 
     Defined results: null and '' form one group; a null id loses to any other
     id; rows repeating both id and text are one document, of which one row is
-    kept; an empty table gives an empty table; other columns are ignored.
+    kept; texts are compared whole at any length; an empty table gives an empty
+    table; other columns are ignored.
     """
-    if not 1 <= salts <= 62:
-        raise ValueError("salts must be between 1 and 62")
     rows = docs.select(
         F.col(ROW),
         F.col(id_col).alias("doc_id"),
@@ -51,7 +59,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id",
         "norm",
         F.sha2("norm", 256).alias("text_sha256"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
+        salt_of("doc_id").alias("salt"),
     )
     salted = rows.groupBy("text_sha256", "salt", "norm").agg(
         F.max("doc_id").alias("best"), F.count(F.lit(1)).alias("n")
@@ -59,14 +67,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = salted.groupBy("text_sha256", "norm").agg(
         F.max("best").alias("keep_id"),
         F.sum("n").alias("group_size"),
-        F.expr("bit_or(shiftleft(1L, salt))").alias("mask"),
+        *salt_masks(),
     )
     verdicts = (
         whole.select(
             "text_sha256",
             "keep_id",
             "group_size",
-            F.explode(F.expr(f"filter(sequence(0, {salts - 1}), i -> (shiftright(mask, i) & 1L) = 1L)")).alias("salt"),
+            masked_salts().alias("salt"),
         )
         .groupBy("text_sha256", "salt")
         .agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts"))
@@ -93,8 +101,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 32) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: of equal texts the largest id."""
-    rows = numbered(docs)
-    stay = exact_groups(rows, id_col, text_col, salts).where("kept").select(ROW)
-    return rows.join(stay, ROW, "left_semi").drop(ROW)
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: of equal texts the largest id.
+
+    Defined results are those of exact_groups(); a column of docs named like the row's identity is kept.
+    """
+    rows, own = set_aside(docs, ROW)
+    rows = identified(rows)
+    new = {old: renamed for renamed, old in own.items()}
+    stay = exact_groups(rows, new.get(id_col, id_col), new.get(text_col, text_col)).where("kept").select(ROW)
+    return rows.join(stay, ROW, "left_semi").drop(ROW).withColumnsRenamed(own).select(*docs.columns)

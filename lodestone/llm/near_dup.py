@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.exact_dedup import ROW, held_rows
-from lodestone.llm.shared import discard, staged
+from lodestone.llm.shared import discard, masked_salts, salt_masks, salt_of, set_aside, staged
 from lodestone.llm.tokens import Tokens, mixed, run_hashes, text_runs
 
 WORDS = 5
@@ -179,16 +179,12 @@ def _bags(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return texts.join(wanted, "row", "left_semi").mapInArrow(run, "row long, bag binary")
 
 
-def _spread(many: DataFrame, one: DataFrame, key: str, by: str, salts: int = 32) -> DataFrame:
+def _spread(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
     """many joined with one (a row a key), a hot key of many being spread over salts of `by`."""
-    salted = many.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
-    needed = salted.groupBy(key).agg(F.expr("bit_or(shiftleft(1L, __salt))").alias("__mask"))
-    copies = (
-        needed.join(one, key)
-        .withColumn("__salt", F.explode(F.expr(f"filter(sequence(0, {salts - 1}), i -> (shiftright(__mask, i) & 1L) = 1L)")))
-        .drop("__mask")
-    )
-    return salted.join(copies, [key, "__salt"]).drop("__salt")
+    salted = many.withColumn("salt", salt_of(by))
+    needed = salted.groupBy(key).agg(*salt_masks())
+    copies = needed.join(one, key).withColumn("salt", masked_salts()).drop("mask_hi", "mask_lo")
+    return salted.join(copies, [key, "salt"]).drop("salt")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -211,23 +207,53 @@ def _verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
     return with_b.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a long, b long, j double")
 
 
-def _against_stars(missed: DataFrame, stars: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+def _narrowed(rows: DataFrame, most: int) -> DataFrame:
+    """rows (hub, row, sig, ...) with `hub` replaced by a smaller meeting place where more than `most` rows have it.
+
+    Rows of a crowded hub meet only where they share one more band: a row then
+    stands in up to BANDS places, and a pair at 0.8 that shares one band has
+    another one in common with probability 0.99995.
+    """
+    counts = rows.groupBy("hub").agg((F.count(F.lit(1)) > most).alias("crowded"))
+    bands = F.array(*(F.xxhash64("hub", F.lit(b), F.substring("sig", b * 4 * PER_BAND + 1, 4 * PER_BAND)) for b in range(BANDS)))
+    return (
+        rows.join(counts, "hub")
+        .withColumn("hub", F.explode(F.when(F.col("crowded"), bands).otherwise(F.array("hub"))))
+        .drop("crowded")
+    )
+
+
+def _agreeing(sig: np.ndarray, other: np.ndarray, similarity: float) -> np.ndarray:
+    """Which rows of `sig` agree with `other` in as many slots as the similarity asks for, less five standard deviations."""
+    return np.flatnonzero((sig == other).sum(axis=1) >= int(SLOTS * (similarity - 0.18)))
+
+
+def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
     """(a, b): a link of each row that missed a hub to a row that the hub has, if there is one.
 
     missed and stars: (hub, row, j). A row that hub has lies within the distance
     1 - similarity of it, and the distance 1 - j is a metric: so only rows that
     missed a hub by less than twice that distance can be linked to its star, and
-    only pairs whose distances to the hub differ by no more need a look. Both
-    sides come in blocks, and a tile of two blocks is one row.
+    only pairs whose distances to the hub differ by no more need a look. Rows of
+    a crowded hub meet in _narrowed() places. Both sides come in blocks, bounded
+    in rows and bytes, and a tile of two blocks is one row; signatures are
+    compared before bags.
     """
-
-    def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-        counts = rows.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("k"))
-        placed = rows.join(counts, "hub").withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")))
+    sig = signs.select("row", "sig")
+    both = missed.withColumn("star", F.lit(False)).unionByName(stars.withColumn("star", F.lit(True))).join(sig, "row")
+    placed = _narrowed(both, 256).join(bags.select("row", "bag", F.length("bag").alias("size")), "row")
+    kinds = placed.groupBy("hub").agg(F.min("star").alias("some"), F.max("star").alias("all")).where("all and not some").select("hub")
+    placed = placed.join(kinds, "hub", "left_semi")
+
+    def blocks(rows: DataFrame, size: int, name: str, mass: int = 8_000_000) -> DataFrame:
+        counts = rows.groupBy("hub").agg(
+            F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum("size") / mass)).cast("int").alias("k")
+        )
         return (
-            placed.join(bags, "row")
+            rows.join(counts, "hub")
+            .withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")))
             .groupBy("hub", "block")
-            .agg(F.collect_list(F.struct("row", "j", "bag")).alias(name))
+            .agg(F.collect_list(F.struct("row", "j", "sig", "bag")).alias(name))
             .drop("block")
         )
 
@@ -235,32 +261,38 @@ def _against_stars(missed: DataFrame, stars: DataFrame, bags: DataFrame, similar
         slack = 1.0 - similarity
         for batch in batches:
             found = []
-            for missed_, star in zip(batch.column("missed").to_pylist(), batch.column("star").to_pylist(), strict=True):
-                star_bags = [np.frombuffer(m["bag"], np.uint64) for m in star]
-                for o in missed_:
+            for missed_, star in zip(batch.column("missed"), batch.column("star"), strict=True):
+                star = star.as_py()
+                at = np.array([m["j"] for m in star])
+                sigs = np.frombuffer(b"".join(m["sig"] for m in star), np.uint32).reshape(-1, SLOTS)
+                for o in missed_.as_py():
                     own = np.frombuffer(o["bag"], np.uint64)
-                    for m, other in zip(star, star_bags, strict=True):
-                        if abs(m["j"] - o["j"]) <= slack and overlap(own, other) >= similarity:
-                            found.append((o["row"], m["row"]))
+                    for k in _agreeing(sigs, np.frombuffer(o["sig"], np.uint32), similarity):
+                        if abs(at[k] - o["j"]) <= slack and overlap(own, np.frombuffer(star[k]["bag"], np.uint64)) >= similarity:
+                            found.append((o["row"], star[k]["row"]))
                             break
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"]
             )
 
-    tiles = blocks(missed, 64, "missed").join(blocks(stars, 128, "star"), "hub").select("missed", "star")
-    return tiles.mapInArrow(run, "a long, b long").distinct()
+    tiles = blocks(placed.where("not star"), 64, "missed").join(blocks(placed.where("star"), 128, "star"), "hub")
+    return tiles.select("missed", "star").mapInArrow(run, "a long, b long").distinct()
 
 
-def _links_among(rows: DataFrame, similarity: float, size: int = 512, mass: int = 8_000_000) -> DataFrame:
-    """(a, b): links between rows (hub, row, root, sig, bag) of one hub whose roots differ, enough to connect all that are linked.
+def _links_among(rows: DataFrame, bags: DataFrame, similarity: float, size: int = 128, mass: int = 8_000_000) -> DataFrame:
+    """(a, b): links between rows (hub, row, root, sig) of one hub whose roots differ, enough to connect all that are linked.
 
-    The rows of a hub are cut into blocks of about `size` rows and `mass` bytes,
-    and each two of its blocks meet in a tile, so that no task holds more than
-    two. Pairs whose signatures agree in too few slots for the similarity, by
-    five standard deviations, are passed over; so are pairs that links of the
-    tile already connect. The others are checked on the full bags.
+    Rows of a crowded hub meet in _narrowed() places; places where all rows have
+    one root are passed over. The rows of a place are cut into blocks of about
+    `size` rows and `mass` bytes, and each two of its blocks meet in a tile, so
+    that no task holds more than two. Pairs whose signatures agree in too few
+    slots for the similarity, by five standard deviations, are passed over; so
+    are pairs that links of the tile already connect. The others are checked on
+    the full bags.
     """
-    least = int(SLOTS * (similarity - 0.18))
+    placed = _narrowed(rows, 4 * size)
+    split = placed.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
+    rows = placed.join(split, "hub", "left_semi").join(bags, "row")
     counts = rows.groupBy("hub").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
     )
@@ -288,7 +320,7 @@ def _links_among(rows: DataFrame, similarity: float, size: int = 512, mass: int
 
         a, b = [], []
         for x in first:
-            near = second[(sig[second] == sig[x]).sum(axis=1) >= least]
+            near = second[_agreeing(sig[second], sig[x], similarity)]
             for y in near[near > x] if second is first else near:
                 p, q = top(int(root[x])), top(int(root[y]))
                 if p != q and overlap(bags[x], bags[y]) >= similarity:
@@ -319,17 +351,28 @@ def _links_among(rows: DataFrame, similarity: float, size: int = 512, mass: int
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the least node of its component) of every node of the edges (a, b), by contraction.
 
-    In a turn every node goes to the least of itself and its neighbours, and
-    the edges follow; the number of edges left falls fast, and a turn's tables
-    are written to the shared folder, which cuts the lineage.
+    In a turn every node points to the least of itself and its neighbours, the
+    pointers are doubled until each ends at a node that points to itself, and
+    the edges follow to these ends. Of two neighbours one at most is an end, so
+    a turn leaves half of the nodes or fewer, and a path of n nodes in order of
+    their numbers is one turn of log n doublings. A turn's tables are written to
+    the shared folder, which cuts the lineage.
     """
     nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     roots = staged(nodes.withColumn("root", F.col("node")), "roots")
     edges = staged(edges.where("a <> b").distinct(), "edges")
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = staged(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("p")), "least")
-        to = lambda name, new: least.select(F.col("a").alias(name), F.col("p").alias(new))  # noqa: E731, B023
+        ends = staged(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("p"), F.lit(True).alias("moved")), "ends")
+        while not ends.where("moved").isEmpty():
+            onward = ends.select(F.col("node").alias("p"), F.col("p").alias("q"))
+            doubled = staged(
+                ends.select("node", "p").join(onward, "p").select("node", F.col("q").alias("p"), (F.col("q") != F.col("p")).alias("moved")),
+                "ends",
+            )
+            discard(ends)
+            ends = doubled
+        to = lambda name, new: ends.select(F.col("node").alias(name), F.col("p").alias(new))  # noqa: E731, B023
         moved = (
             edges.join(to("a", "pa"), "a")
             .join(to("b", "pb"), "b")
@@ -341,9 +384,10 @@ def components(edges: DataFrame) -> DataFrame:
         further = staged(
             roots.join(to("root", "p"), "root", "left").select("node", F.coalesce("p", "root").alias("root")), "roots"
         )
-        for old in (edges, roots, least):
+        for old in (edges, roots, ends):
             discard(old)
         edges, roots = fresh, further
+    discard(edges)
     return roots
 
 
@@ -368,29 +412,25 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        slots or more: five standard deviations under 0.8) and then on the full
        multisets. So no link between classes is lost to hubs.
 
+    In steps 4 and 5 the rows of a crowded hub meet only where they share one
+    more band, so a hot bucket falls into small ones. Blocks are bounded in rows
+    and in bytes.
+
     Columns: __row, doc_id, class_id (least doc_id of the class), class_size,
     kept (one row of each class).
 
     Defined results: null and wordless texts are classes of their own; texts of
-    fewer than five words are one shingle; repeated rows fall in one class, of
-    which one row is kept; null ids come last within a class; an empty table
-    gives an empty table; other columns are ignored.
+    fewer than five words are one shingle; texts are read whole at any length;
+    repeated rows fall in one class, of which one row is kept; null ids come
+    last within a class; an empty table gives an empty table; other columns are
+    ignored.
     """
-    spark = docs.sparkSession
     signs = staged(_sign(docs, text_col), "signs")
-    salts = 32
-    salted = signs.where("words > 0").select(
-        "row", "k1", "k2", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt")
-    )
+    salted = signs.where("words > 0").select("row", "k1", "k2", salt_of("row").alias("salt"))
     firsts = (
         salted.groupBy("k1", "k2")
-        .agg(F.min("row").alias("node"), F.expr("bit_or(shiftleft(1L, salt))").alias("mask"))
-        .select(
-            "k1",
-            "k2",
-            "node",
-            F.explode(F.expr(f"filter(sequence(0, {salts - 1}), i -> (shiftright(mask, i) & 1L) = 1L)")).alias("salt"),
-        )
+        .agg(F.min("row").alias("node"), *salt_masks())
+        .select("k1", "k2", "node", masked_salts().alias("salt"))
     )
     members = staged(salted.join(firsts, ["k1", "k2", "salt"]).select("row", "node"), "members")
     nodes = members.where("row = node").select("row")
@@ -398,16 +438,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         *(F.xxhash64(F.lit(b), F.substring("sig", b * 4 * PER_BAND + 1, 4 * PER_BAND)) for b in range(BANDS))
     )
     in_band = signs.join(nodes, "row", "left_semi").select("row", F.explode(bands).alias("h"))
-    in_band = in_band.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
+    in_band = in_band.withColumn("salt", salt_of("row"))
     shared = (
         in_band.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("n"), F.expr("bit_or(shiftleft(1L, salt))").alias("mask"))
+        .agg(F.count(F.lit(1)).alias("n"), *salt_masks())
         .where("n > 1")
-        .select(
-            "h",
-            "n",
-            F.explode(F.expr(f"filter(sequence(0, {salts - 1}), i -> (shiftright(mask, i) & 1L) = 1L)")).alias("salt"),
-        )
+        .select("h", "n", masked_salts().alias("salt"))
     )
     crowded = staged(in_band.join(shared, ["h", "salt"]).select("h", "row", "n"), "crowded")
     density = crowded.groupBy("row").agg(F.sum("n").alias("d"))
@@ -424,43 +460,38 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     wanted = staged(ranked.select("row").distinct(), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
-    kept_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    try:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")  # rows of the next tables are long
-        bags = staged(_bags(docs, F.broadcast(wanted) if few else wanted, text_col), "bags")
-        judged = staged(_verified(pairs, bags, 2 * similarity - 1), "judged")
-        links = judged.where(F.col("j") >= similarity).select("a", "b")
-        roots = components(links)
-        root_of = lambda name, new: roots.select(F.col("node").alias(name), F.col("root").alias(new))
-        missed = (
-            judged.where(F.col("j") < similarity)
-            .join(root_of("a", "ra"), "a", "left")
-            .join(root_of("b", "rb"), "b")
-            .where(F.coalesce("ra", "a") != F.col("rb"))
-            .select(F.col("b").alias("hub"), F.col("a").alias("row"), "j")
-        )
-        missed = staged(missed, "missed")
-        stars = judged.where(F.col("j") >= similarity).select(F.col("b").alias("hub"), F.col("a").alias("row"), "j")
-        stars = stars.join(missed.select("hub").distinct(), "hub", "left_semi")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-        links = staged(links.unionByName(_against_stars(missed, stars, bags, similarity)), "links")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-        roots = components(links)
-        left = (
-            pairs.join(links, ["a", "b"], "left_anti")
-            .select(F.col("a").alias("row"), F.col("b").alias("hub"))
-            .join(root_of("row", "root"), "row", "left")
-            .select("hub", "row", F.coalesce("root", "row").alias("root"))
-        )
-        left = staged(left, "left")
-        split = left.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
-        rest = left.join(split, "hub", "left_semi").join(signs.select("row", "sig"), "row").join(bags, "row")
-        more = staged(_links_among(rest, similarity), "more")
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept_rows)
-    for old in (bags, crowded, ranked, pairs, wanted, judged, missed, left):
+    bags = staged(_bags(docs, F.broadcast(wanted) if few else wanted, text_col), "bags")
+    judged = staged(_verified(pairs, bags, 2 * similarity - 1), "judged")
+    links = judged.where(F.col("j") >= similarity).select("a", "b")
+    first_roots = components(links)
+    root_of = lambda roots, name, new: roots.select(F.col("node").alias(name), F.col("root").alias(new))
+    missed = (
+        judged.where(F.col("j") < similarity)
+        .join(root_of(first_roots, "a", "ra"), "a", "left")
+        .join(root_of(first_roots, "b", "rb"), "b")
+        .where(F.coalesce("ra", "a") != F.col("rb"))
+        .select(F.col("b").alias("hub"), F.col("a").alias("row"), "j")
+    )
+    missed = staged(missed, "missed")
+    stars = judged.where(F.col("j") >= similarity).select(F.col("b").alias("hub"), F.col("a").alias("row"), "j")
+    stars = stars.join(missed.select("hub").distinct(), "hub", "left_semi")
+    links = staged(links.unionByName(_against_stars(missed, stars, signs, bags, similarity)), "links")
+    roots = components(links)
+    left = (
+        pairs.join(links, ["a", "b"], "left_anti")
+        .select(F.col("a").alias("row"), F.col("b").alias("hub"))
+        .join(root_of(roots, "row", "root"), "row", "left")
+        .select("hub", "row", F.coalesce("root", "row").alias("root"))
+    )
+    left = staged(left, "left")
+    split = left.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
+    rest = left.join(split, "hub", "left_semi").join(signs.select("row", "sig"), "row")
+    more = staged(_links_among(rest, bags, similarity), "more")
+    used = [signs, crowded, ranked, pairs, wanted, bags, judged, missed, left, links, first_roots, more]
+    if not more.isEmpty():
+        used.append(roots)
+        roots = components(links.unionByName(more))
+    for old in used:
         discard(old)
     ids = docs.select(F.col(ROW).alias("row"), F.col(id_col).cast("long").alias("doc_id"))
     of = (
@@ -488,7 +519,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
-    """The rows of docs that stay, with all their columns: one of each near-duplicate class."""
-    rows = held_rows(docs)
-    stay = near_classes(rows, id_col, text_col, similarity).where("kept").select(ROW)
-    return rows.join(stay, ROW, "left_semi").drop(ROW)
+    """The rows of docs that stay, with all their columns: one of each near-duplicate class.
+
+    Defined results are those of near_classes(); a column of docs named like the row's identity is kept.
+    """
+    rows, own = set_aside(docs, ROW)
+    new = {old: renamed for renamed, old in own.items()}
+    rows = held_rows(rows)
+    stay = near_classes(rows, new.get(id_col, id_col), new.get(text_col, text_col), similarity).where("kept").select(ROW)
+    return rows.join(stay, ROW, "left_semi").drop(ROW).withColumnsRenamed(own).select(*docs.columns)

@@ -16,12 +16,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where none is set (local tests)."""
+    """The folder named by spark.checkpoint.dir; a temporary one only where none is set and the master is local."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir")
     if not folder:
         made = context._jsc.sc().getCheckpointDir()
         if made.isEmpty():
+            if not context.master.split("[")[0] == "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="lodestone-"))
             made = context._jsc.sc().getCheckpointDir()
         folder = made.get()
@@ -60,6 +62,46 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: A hot key is spread over SALT_SIDE * SALT_SIDE salts.
+SALT_SIDE = 32
+
+
+def salt_of(by: str) -> Column:
+    """The salt of a row, by a hash of one of its columns."""
+    return F.pmod(F.xxhash64(by), F.lit(SALT_SIDE * SALT_SIDE)).cast("int")
+
+
+def salt_masks() -> list[Column]:
+    """Two aggregates that say which salts the rows of a key have: bits of the salts' two digits."""
+    return [
+        F.expr(f"bit_or(shiftleft(1L, salt div {SALT_SIDE}))").alias("mask_hi"),
+        F.expr(f"bit_or(shiftleft(1L, salt % {SALT_SIDE}))").alias("mask_lo"),
+    ]
+
+
+def masked_salts() -> Column:
+    """One row for each salt that mask_hi and mask_lo allow: one for a key of one row, all for a hot key."""
+    digits = lambda mask: f"filter(sequence(0, {SALT_SIDE - 1}), i -> (shiftright({mask}, i) & 1L) = 1L)"
+    return F.explode(
+        F.expr(f"flatten(transform({digits('mask_hi')}, h -> transform({digits('mask_lo')}, l -> h * {SALT_SIDE} + l)))")
+    )
+
+
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its own columns of these names renamed, and the renaming to undo."""
+    taken = {c.lower() for c in docs.columns}
+    renamed = {}
+    for column in docs.columns:
+        if column.lower() in {n.lower() for n in names}:
+            new = column
+            while new.lower() in taken:
+                new += "_"
+            taken.add(new.lower())
+            renamed[new] = column
+            docs = docs.withColumnRenamed(column, new)
+    return docs, renamed
+
+
 def doc_bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n: the fold that says which rows are held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n
