@@ -13,27 +13,37 @@ def brute(rows, asked, k=5):
     for i, q in good:
         if i not in asked:
             continue
-        hits = sorted({(-int(q @ c), j) for j, c in good if j != i and len(c) == len(q)})[:k]
+        hits = sorted((-int(q @ c), j) for j, c in good if j != i and len(c) == len(q))[:k]
         out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(hits)]
-    return sorted(out)
+    return sorted(set(out))
 
 
 def test_top_k_with_awkward_rows(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(120)]
-    rows += [(200 + i, [0.5] * 6) for i in range(40)] + [(7, rows[7][1])]
+    rows += [(200 + i, [0.5] * 6) for i in range(40)] + [(7, rows[7][1])] + [(33, [4.0] * 6)] * 9 + [(44, [4.0] * 6)] * 2
     rows += [(300, None), (301, [None] + [1.0] * 5), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, [1.0, 2.0]), (305, []), (None, [1.0] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash")).repartition(5)
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     asked = {i for i, _ in rows if i is not None and i % 10 == 0}
     want = brute(rows, asked)
-    for options in ({}, {"shard_rows": 9, "fan_in": 2}):
+    for options in ({}, {"shard_rows": 9, "fan_in": 2}, {"shard_rows": 4, "fan_in": 3, "cells": 6}):
         got = topk.top_k(df, df.where("vec_id % 10 = 0"), **options).collect()
         assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
     empty = df.where("false")
     assert topk.top_k(empty, empty).count() == 0
 
 
+def test_top_k_of_repeated_rows(spark):
+    rows = [(0, [1.0, 0.0])] + [(1, [9.0, 0.0])] * 8 + [(i, [float(i), 0.0]) for i in range(2, 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for options in ({}, {"shard_rows": 2}):
+        got = topk.top_k(df, df.where("vec_id = 0"), **options).orderBy("rank").collect()
+        assert [(r.rank, r.vec_id, r.score) for r in got] == [(k, 1, 9 * 256 * 256) for k in range(1, 6)]
+    got = topk.top_k(df, df.where("vec_id = 1").limit(1)).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [7, 6, 5, 4, 3]
+
+
 def test_top_k_beyond_exact_doubles(spark):
     rows = [(i, [1e9 + i, 3.0 * i]) for i in range(8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
