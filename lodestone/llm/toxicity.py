@@ -20,7 +20,11 @@ _BEGIN, _END = "\x02", "\x03"
 _CACHED_WORDS = 400_000
 _COUNTED = 200_000
 _DISCOUNT = 0.75
-FEATURES = 7
+ORDER = 6
+#: How much less likely, in nats, a word of a toxic text is to come from the toxic model than from the ordinary one.
+MARGIN = 2.0
+#: The length-normalised lead of the toxic likelihood that counts as half of the evidence there can be.
+HALF = 0.3
 
 
 @dataclass
@@ -42,27 +46,30 @@ class Pair:
     def lower(self, gram: str) -> float:
         """Log probability of the last letter after the others, by the shared counts."""
         mass = 0.0
-        while len(gram) > 1:
+        while gram:
             if (p := self.shared.get(gram)) is not None:
                 return mass + p
             mass += self.shared_back.get(gram[:-1], 0.0)
             gram = gram[1:]
-        return mass + self.shared.get(gram, self.floor)
+        return mass + self.floor
 
-    def ratio(self, word: str) -> float:
-        """Log-likelihood ratio of a word, toxic over ordinary; letters that neither class has seen so count for nothing."""
-        padded, total = _BEGIN + word + _END, 0.0
-        for i in range(1, len(padded)):
-            gram = padded[max(0, i - self.order + 1) : i + 1]
+    def leans(self) -> tuple[dict[str, float], dict[str, float]]:
+        """Log-likelihood ratios, toxic over ordinary: of each n-gram that a class has, and of the others of each context.
+
+        Where neither class has an n-gram, both give it the same backoff, which cancels out.
+        """
+        grams = {}
+        for gram in self.own[0].keys() | self.own[1].keys():
             base = None
+            ratio = 0.0
             for c, sign in ((1, 1.0), (0, -1.0)):
                 if (p := self.own[c].get(gram)) is None:
-                    back = self.back[c].get(gram[:-1], 0.0)
-                    if base is None:
-                        base = self.lower(gram[1:] if len(gram) > 1 else gram)
-                    p = back + base
-                total += sign * p
-        return total
+                    base = self.lower(gram[1:]) if base is None else base
+                    p = self.back[c].get(gram[:-1], 0.0) + base
+                ratio += sign * p
+            grams[gram] = ratio
+        contexts = self.back[0].keys() | self.back[1].keys()
+        return grams, {c: self.back[1].get(c, 0.0) - self.back[0].get(c, 0.0) for c in contexts}
 
 
 def letter_grams(word: str, order: int) -> list[str]:
@@ -71,7 +78,7 @@ def letter_grams(word: str, order: int) -> list[str]:
     return [padded[max(0, i - order + 1) : i + 1] for i in range(1, len(padded))]
 
 
-def kneser_ney(words: tuple[Counter, Counter], order: int = 5, discounts: tuple[float, ...] = (1.0, 1.8, 2.5)) -> Pair:
+def kneser_ney(words: tuple[Counter, Counter], order: int = ORDER, discounts: tuple[float, ...] = (1.0, 1.8, 2.5)) -> Pair:
     """The pair of models of ordinary (0) and toxic (1) word counts."""
     top = (Counter(), Counter())
     for c in (0, 1):
@@ -81,43 +88,31 @@ def kneser_ney(words: tuple[Counter, Counter], order: int = 5, discounts: tuple[
     return of_grams(top, order, discounts)
 
 
-def of_grams(top: tuple[Counter, Counter], order: int = 5, discounts: tuple[float, ...] = (1.0, 1.8, 2.5)) -> Pair:
+def of_grams(top: tuple[Counter, Counter], order: int = ORDER, discounts: tuple[float, ...] = (1.0, 1.8, 2.5)) -> Pair:
     """The pair of models of ordinary (0) and toxic (1) counts of letter_grams().
 
     discounts: what an n-gram of count 1, 2, 3 or more gives up to the backoff.
-    One that a class has once gives up all: a chance hit says nothing.
+    One that a class has once gives up all: a chance hit says nothing. Lower
+    orders count, in either class, after how many different letters (or word
+    beginnings) an n-gram stands.
     """
-    # continuation counts: before how many different letters (or word beginnings) an n-gram stands, in either class
-    levels: list[set[str]] = [set(top[0]) | set(top[1])]
-    shared, shared_back = {}, {}
-    counts: list[Counter] = []
-    while True:
-        below: Counter = Counter()
-        for gram in levels[-1]:
-            if len(gram) > 1:
-                below[gram[1:]] += 1
-        if not below:
-            break
-        counts.append(below)
-        levels.append(set(below))
-    merged: Counter = Counter()
-    for level in counts:
-        for gram, n in level.items():
-            merged[gram] = max(merged[gram], n)
+    seen = {gram[k:] for c in (0, 1) for gram in top[c] for k in range(len(gram))}
+    continued = Counter(gram[1:] for gram in seen if len(gram) > 1)
+    del seen
     sums: Counter = Counter()
     kinds: Counter = Counter()
-    for gram, n in merged.items():
+    for gram, n in continued.items():
         sums[gram[:-1]] += n
         kinds[gram[:-1]] += 1
-    letters = kinds[""] + 1
+    letters = kinds[""] + 1  # one for all that was never seen
     prob: dict[str, float] = {}
-    for gram in sorted(merged, key=len):
-        context, n = gram[:-1], merged[gram]
+    for gram in sorted(continued, key=len):
+        context = gram[:-1]
         rest = _DISCOUNT * kinds[context] / sums[context]
-        under = prob[gram[1:]] if len(gram) > 1 and gram[1:] in prob else 1 / letters
-        prob[gram] = (n - _DISCOUNT) / sums[context] + rest * under
+        under = prob[gram[1:]] if len(gram) > 1 else 1 / letters
+        prob[gram] = (continued[gram] - _DISCOUNT) / sums[context] + rest * under
     shared = {g: float(np.log(p)) for g, p in prob.items()}
-    shared_back = {c: float(np.log(_DISCOUNT * kinds[c] / sums[c])) for c in sums if c}
+    shared_back = {c: float(np.log(_DISCOUNT * kinds[c] / sums[c])) for c in sums}
     pair = Pair(order, ({}, {}), ({}, {}), shared, shared_back, float(np.log(1 / letters)))
     for c in (0, 1):
         total: Counter = Counter()
@@ -130,25 +125,23 @@ def of_grams(top: tuple[Counter, Counter], order: int = 5, discounts: tuple[floa
         for gram, n in top[c].items():
             context = gram[:-1]
             own = (n - discounts[min(n, len(discounts)) - 1]) / total[context]
-            under = np.exp(pair.lower(gram[1:]) + pair.back[c][context])
-            pair.own[c][gram] = float(np.log(own + under))
+            if own > 0:  # else the backoff says the same
+                under = np.exp(pair.lower(gram[1:]) + pair.back[c][context])
+                pair.own[c][gram] = float(np.log(own + under))
     return pair
 
 
-def _features(ratios: np.ndarray) -> list[float]:
-    """Length-normalised log-likelihood ratios: of the whole text, of its best window and word, and of the words that lean far."""
-    n = len(ratios)
-    if not n:
-        return [0.0] * FEATURES
-    best = float(ratios.max())
-    sums = np.cumsum(np.concatenate([[0.0], np.maximum(ratios, 0)]))
-    wide = min(20, n)
-    window = float((sums[wide:] - sums[:-wide]).max() / wide)
-    each = np.unique(ratios)  # different words; a word that a text repeats counts once
-    far = float((each > 3).sum())
-    beyond, lean = float(np.maximum(each - 3, 0).sum()), float(np.maximum(each - 2, 0).sum())
-    root = len(each) ** 0.5
-    return [float(ratios.mean()), window, best, float(np.log1p(far)), far / root, float(np.log1p(beyond)), lean / root]
+def evidence(ratios: np.ndarray, margin: float = MARGIN) -> float:
+    """How much better a text's different words are explained as toxic, over the root of their number, from 0 to 1.
+
+    ratios: log-likelihoods of the words as toxic less those as ordinary. Most
+    words of a toxic text are ordinary ones: under it a word is as likely as the
+    better of the ordinary model and, by `margin` nats less, the toxic one.
+    """
+    if not len(ratios):
+        return 0.0
+    lead = float(np.maximum(ratios - margin, 0).sum()) / len(ratios) ** 0.5
+    return lead / (lead + HALF)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,26 +164,36 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, weight: np.ndarr
 
 @dataclass
 class Model:
-    pair: Pair
-    weights: np.ndarray
-    mean: np.ndarray
-    scale: np.ndarray
+    """What a task needs of the two models, and the scale, slope and bias, that turns a text's evidence into a score."""
+
+    grams: dict[str, float]
+    contexts: dict[str, float]
+    order: int
+    slope: float = 0.0
+    bias: float = 0.0
 
     def __post_init__(self):
         self.cache: dict[str, float] = {}
 
-    def ratios(self, text: str) -> np.ndarray:
-        words = _WORD.findall(text.lower())
+    def ratio(self, word: str) -> float:
+        """Log-likelihood ratio of a word, toxic over ordinary."""
+        total = 0.0
+        for gram in letter_grams(word, self.order):
+            lean = self.grams.get(gram)
+            total += self.contexts.get(gram[:-1], 0.0) if lean is None else lean
+        return total
+
+    def evidence(self, text: str) -> float:
+        words = set(_WORD.findall(text.lower()))
         cache = self.cache
         if len(cache) > _CACHED_WORDS:
             cache.clear()
-        for word in set(words).difference(cache):
-            cache[word] = self.pair.ratio(word)
-        return np.fromiter((cache[w] for w in words), float, len(words))
+        for word in words.difference(cache):
+            cache[word] = self.ratio(word)
+        return evidence(np.fromiter((cache[w] for w in sorted(words)), float, len(words)))
 
     def score(self, text: str) -> float:
-        z = np.append((np.array(_features(self.ratios(text))) - self.mean) / self.scale, 1.0)
-        return float(1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.slope * self.evidence(text) + self.bias, -30, 30))))
 
 
 def gram_counts(rows: DataFrame, order: int) -> DataFrame:
@@ -235,12 +238,21 @@ def gram_counts(rows: DataFrame, order: int) -> DataFrame:
     return counted.groupBy("gram").agg(*(F.sum(f"n{k}").alias(f"n{k}") for k in range(4)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class: int, order: int) -> Model | None:
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    fold: Column,
+    per_class: int,
+    order: int = ORDER,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> Model | None:
     """The model of all labelled rows that `fold` keeps.
 
-    N-grams are counted over every row, by Spark. The weights of the ratios, and
-    so the scale, come from up to per_class / 3 rows a class, a third of few,
-    under letter models of all other rows; only their features come to the driver.
+    N-grams are counted over every row, by Spark. The scale of scores comes from
+    up to per_class / 3 ids a class, a third of few, under letter models of all
+    other rows; only their evidence, a number each, comes to the driver.
     """
     clean = clean_labels(labels, label, fold)
     n = class_counts(clean)
@@ -249,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class:
     share = {y: min(1.0, per_class / n[y]) / 3 for y in n}
     held = spot(label) < F.when(F.col("y") == 1, share[1]).otherwise(share[0])
     # the fold spares the join the texts of other ids; labels grow with the input, so the join is a merge at any size
-    rows = keyed_texts(docs).where(fold).join(clean.withColumn("held", held).hint("merge"), "doc_id")
+    rows = keyed_texts(docs, id_col, text_col).where(fold).join(clean.withColumn("held", held).hint("merge"), "doc_id")
     got = gram_counts(rows.select("text", (F.col("held").cast("int") * 2 + F.col("y")).alias("slot")), order).toArrow()
     got = got.sort_by("gram")
     names = got.column("gram").to_pylist()
@@ -261,32 +273,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class:
 
     if not table[:2].any(axis=1).all():
         return None
-    model = Model(models(table[:2]), np.zeros(FEATURES + 1), np.zeros(FEATURES), np.ones(FEATURES))
-    x, y = features_of(docs, clean.where(held), model)
+    model = Model(*models(table[:2]).leans(), order)
+    x, y = evidence_of(docs, clean.where(held), model, id_col, text_col)
     if len(set(y.tolist())) < 2:  # too few rows to hold any out
         some = spot(label) < F.when(F.col("y") == 1, 3 * share[1]).otherwise(3 * share[0])
-        x, y = features_of(docs, clean.where(some), model)
+        x, y = evidence_of(docs, clean.where(some), model, id_col, text_col)
         if len(set(y.tolist())) < 2:
             return None
-    model.weights, model.mean, model.scale = logistic(x, y, weight=class_weights(y, n))
-    return Model(models(table[:2] + table[2:]), model.weights, model.mean, model.scale)
+    (weight, bias), mean, scale = logistic(x[:, None], y, weight=class_weights(y, n))
+    slope = float(weight / scale[0])
+    return Model(*models(table[:2] + table[2:]).leans(), order, slope, float(bias) - slope * float(mean[0]))
 
 
-def features_of(docs: DataFrame, chosen: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Features and class of the texts of a bounded number of chosen ids (doc_id, y), in order of id."""
+def evidence_of(docs: DataFrame, chosen: DataFrame, model: Model, id_col: str, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Evidence and class of the texts of a bounded number of chosen ids (doc_id, y), in order of id."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [_features(shared.value.ratios(t.as_py())) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("y"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "y", "x"]
-            )
+            x = [shared.value.evidence(t.as_py()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(x, pa.float64())], ["doc_id", "y", "x"])
 
-    rows = keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
-    got = sorted((r["doc_id"], r["y"], r["x"]) for r in rows.mapInArrow(run, "doc_id long, y int, x array<double>").collect())
+    rows = keyed_texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    found = rows.mapInArrow(run, "doc_id long, y int, x double").groupBy("doc_id", "y").agg(F.max("x").alias("x"))
+    got = sorted((r["doc_id"], r["y"], r["x"]) for r in found.collect())
     shared.destroy()
-    return np.array([x for *_, x in got]).reshape(-1, FEATURES), np.array([y for _, y, _ in got], dtype=float)
+    return np.array([x for *_, x in got]), np.array([y for _, y, _ in got], dtype=float)
 
 
 def score(
@@ -297,24 +309,30 @@ def score(
     held_out: int = 1,
     per_class: int = 2000,
     threshold: float = 0.7,
-    order: int = 5,
+    order: int = ORDER,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Score every whole text by toxic against ordinary log-likelihoods, from labels outside the held-out fold.
 
-    All labelled rows are counted for the two Kneser-Ney models; about
-    `per_class` / 3 rows a class (the documented bound) fit the weights of their
-    length-normalised ratios, a small logistic model; it all goes to every task. Texts are scored in Arrow batches without a
-    shuffle. Labels, lang, source and id are no inputs.
+    All labelled rows are counted for the two Kneser-Ney models. Of each text
+    the two length-normalised log-likelihoods make one number, evidence(); a
+    slope and a bias, fitted on about `per_class` / 3 ids a class (the
+    documented bound), make it a score. The model goes to every task: its size
+    is that of the different n-grams of letters within words, not of the words.
+    Texts are scored in Arrow batches without a shuffle. Labels, lang, source
+    and id are no inputs.
 
     Columns: doc_id, held_out, score, predicted (1 if score >= threshold).
 
-    Defined results: null, empty and wordless texts have ratios of 0; without
-    labels of both classes every score is 0; equal texts score equally; a null
-    id is not held out; an empty table gives an empty table; other columns are
-    ignored.
+    Defined results: null, empty and wordless texts have no evidence; a word
+    counts once a text, so long texts are read whole and in bounded memory;
+    without labels of both classes every score is 0; equal texts score equally;
+    a labelled id that docs repeats counts with every row; a null id is not
+    held out; an empty table gives an empty table; other columns are ignored.
     """
     fold = doc_bucket(F.col("doc_id"), folds) != held_out
-    model = fit(docs, labels, label, fold, per_class, order)
+    model = fit(docs, labels, label, fold, per_class, order, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,8 +344,6 @@ def score(
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    out = F.coalesce(doc_bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    )
+    held = F.coalesce(doc_bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
+    rows = keyed_texts(docs, id_col, text_col).select("doc_id", held.alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
