@@ -32,12 +32,21 @@ HOLDERS = frozenset(
 )
 #: Holders whose lines count as lines of what stands around them. Fixed values.
 INNER = frozenset("ul ol dl table figure details center section".split())
-#: Words of class, id and role that name boilerplate. Fixed values.
+#: Elements that end where another of the group begins. Fixed values.
+SIBLINGS = {tag: group.split() for group in ("p", "li", "dt dd", "td th", "tr", "tbody thead tfoot") for tag in group.split()}
+#: Words of class, id, role and label that name boilerplate. Fixed values.
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|"
-    r"newsletter|subscribe|signup|login|search|nav\w*|menu|breadcrumbs?|topbar|masthead|sidebar|side-bar|aside|footer|"
+    r"ads?|adsbygoogle|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|"
+    r"newsletter|subscribe|signup|login|search|nav\w*|menu|breadcrumbs?|topbar|masthead|sidebar|aside|footer|"
     r"header|comments?|commentlist|disqus|replies|respond|related|recommend\w*|share|sharing|social|widget|toolbar|"
-    r"pagination|pager|copyright|legal|contentinfo|complementary|navigation)(?:$|[\s_-])",
+    r"pagination|pager|copyright|legal|contentinfo|complementary|navigation",
+    re.I,
+)
+#: Words that may stand beside them in a name without giving it another sense: related-posts, but not related-work. Fixed values.
+GENERIC = re.compile(
+    r"\d*|area|articles?|bar|blocks?|body|bottom|box|buttons?|column|container|content|fixed|form|global|google|group|holder|"
+    r"icons?|id|inner|items?|js|left|lists?|links?|main|media|mobile|outer|page|panel|policy|posts?|primary|right|row|rows|"
+    r"secondary|section|side|site|slot|small|sticky|stories|text|thread|top|unit|widgets?|wrap|wrapper|zone",
     re.I,
 )
 #: A name like has-sidebar says what an element has around it, not what it is.
@@ -56,7 +65,7 @@ _PAIRED = re.compile(
 )
 _IS_HELD = re.compile(HELD, re.I)
 _BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?![a-z0-9:-])", re.I)
-_NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_NAMES = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
 #: Lines of a window of the distribution, and what stands between lines that no window may join.
 WINDOW = 3
@@ -65,12 +74,23 @@ _GAP = ("", 0, False, ())
 MARKED, PLAIN, UNMARKED = 2.0, 1.0, 0.25
 
 
+def names_of(attrs: str) -> list[str]:
+    """The names that class, id and role give an element; a label is one name."""
+    names = []
+    for key, *values in _NAMES.findall(attrs):
+        words = "".join(values).split()
+        names += ["-".join(words)] if key.lower() == "aria-label" else words
+    return names
+
+
 def is_frame(names: list[str], inside: bool) -> bool:
     """Whether class, id or role names say boilerplate. A header inside an article is the article's own."""
     for name in names:
-        m = NAMED.search(name)
-        if m and not _AROUND.match(name) and not (inside and m[0].strip(" _-").lower() == "header"):
-            return True
+        parts = re.split(r"[-_]", name)
+        said = [part for part in parts if NAMED.fullmatch(part)]
+        if said and not _AROUND.match(name) and all(NAMED.fullmatch(part) or GENERIC.fullmatch(part) for part in parts):
+            if not (inside and {part.lower() for part in said} == {"header"}):
+                return True
     return False
 
 
@@ -95,9 +115,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
     elements around it from the outermost on (the page's body has none).
 
     A block is a line. Lines in frame elements, or in elements whose class, id
-    or role names boilerplate, count as length 0, as does the text of links in
-    lines that have little else. Where a frame begins or ends stands an empty
-    line; where an article does, as many as a window has.
+    or role names boilerplate, are empty ones. Outside of an article a line of
+    links that has little else counts as length 0. Where a frame begins or ends
+    stands an empty line; where an article does, as many as a window has.
     """
     lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
     parts: list[str] = []
@@ -113,7 +133,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
         if text:
             _, off, inside, around = stack[-1] if stack else ("", False, False, ())
             plain = len(text) - min(linked, len(text))
-            lines.append((text, 0 if off or plain * 3 < len(text) and not inside else len(text), inside, around))
+            lines.append(_GAP if off else (text, 0 if plain * 3 < len(text) and not inside else len(text), inside, around))
         linked = 0
 
     at = 0
@@ -147,7 +167,16 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
         elif tag in BLOCKS:
             close()
             in_link = False
-            if tag not in HOLDERS:
+            if stack and stack[-1][0] not in HOLDERS and (not ends and (stack[-1][0] in SIBLINGS.get(tag, ()) or stack[-1][0] == "p")):
+                stack.pop()  # its end tag may be left out
+                if not (stack and stack[-1][1]):
+                    lines.append(_GAP)
+            if tag not in HOLDERS and not ends:
+                # of the elements that hold a line or two, only those that are boilerplate are tracked
+                _, off, inside, around = stack[-1] if stack else ("", False, False, ())
+                if not off and is_frame(names_of(m["attrs"] or m["attrs2"] or ""), inside):
+                    lines.append(_GAP)
+                    stack.append((tag, True, False, around))
                 continue
             if ends:
                 for k in range(len(stack) - 1, -1, -1):
@@ -162,7 +191,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
             else:
                 _, off, inside, around = stack[-1] if stack else ("", False, False, ())
                 held = any(x[2] for x in stack)
-                names = " ".join(v for g in _NAMES.findall(m["attrs"] or m["attrs2"] or "") for v in g if v).split()
+                names = names_of(m["attrs"] or m["attrs2"] or "")
                 mine = tag in FRAME or tag == "header" and not inside or is_frame(names, inside)
                 if tag in ("main", "article", "body") and not off:
                     mine = inside and is_frame(names, inside)
@@ -201,6 +230,8 @@ def main_text(page: str | None, window: int = WINDOW, least: float = 80, rise: f
     padded = np.concatenate([[0], (sums > 0).astype(np.int8), [0]])
     starts, dives = np.flatnonzero(np.diff(padded) == 1), np.flatnonzero(np.diff(padded) == -1)
     stretches = [[k for k in range(a, b) if sizes[k]] for a, b in zip(starts, dives, strict=True)]
+    # what stands between the first and the last line with a length belongs to a stretch, lines of links too
+    stretches = [[k for k in range(s[0], s[-1] + 1) if lines[k][0] and inside[k] == inside[s[0]] or sizes[k]] for s in stretches]
     highest = [sums[a:b].max() for a, b in zip(starts, dives, strict=True)]
     bound = min(least, rise * max(highest))
     peak = stretches[int(np.argmax(highest))]
@@ -228,9 +259,10 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """page_id, url, text and n_chars of every page, in Arrow batches, without a shuffle.
 
     Defined results: null, empty and text-free pages give ''; unclosed and
-    stray tags are tolerated; each row is read by itself, so repeated rows and
-    null keys pass through; an empty table gives an empty table; other columns
-    are ignored.
+    stray tags are tolerated; pages are read whole at any length; of equal peaks
+    the first decides; each row is read by itself, so repeated rows and null
+    keys pass through; an empty table gives an empty table; other columns are
+    ignored.
     """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html")
