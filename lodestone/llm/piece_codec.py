@@ -29,7 +29,8 @@ class Codec:
 
     A text is cut where no piece of the vocabulary spans the cut, so that no
     merge can cross it; each segment is then merged by itself and kept in a
-    bounded cache. Segments new to the cache are compared with the library.
+    bounded cache. Of segments new to the cache both ways are compared with the
+    library. Whole texts are decoded from their ids.
     """
 
     def __init__(self, path: str):
@@ -52,7 +53,11 @@ class Codec:
         crossing = {a + b for p in self.rank for a, b in zip(p, p[1:], strict=False) if len(_FINE.findall(a + b)) > 1}
         self.crossing = re.compile("|".join(map(re.escape, sorted(crossing)))) if crossing else None
         self.cache: dict[str, bytes] = {}
-        self.changed: dict[str, str] = {}  # segments whose decoded text is not their own, with that text
+        #: What an id adds to a decoded text, in bytes.
+        self.said = [
+            b"" if i in special else bytes([self.bytes_of[i]]) if i in self.bytes_of else p.replace(SPACE, " ").encode()
+            for i, p in enumerate(self.pieces)
+        ]
 
     def merge(self, segment: str) -> list[str]:
         """Symbols of a segment: an agenda of adjacent pairs gives the best score first, ties leftmost."""
@@ -99,25 +104,9 @@ class Codec:
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: specials vanish, runs of byte pieces are UTF-8, the first space is dropped."""
-        out, run, first = [], bytearray(), True
-        for i in [*ids, None]:
-            if i in self.bytes_of:
-                run.append(self.bytes_of[i])
-                first = False
-                continue
-            if run:
-                out.append(run.decode(errors="replace"))
-                run.clear()
-            if i is not None and i not in self.special:
-                piece = self.pieces[i]
-                if first and piece.startswith(SPACE):
-                    piece = piece[1:]
-                out.append(piece.replace(SPACE, " "))
-                first = False
-        return "".join(out)
-
-    def _decoded_segment(self, ids: list[int]) -> str:
-        return self.decode([next(iter(self.byte_ids.values())), *ids])[1:]
+        first = next((i for i in ids if i not in self.special), None)
+        text = b"".join(map(self.said.__getitem__, ids)).decode(errors="replace")
+        return text[1:] if first is not None and first not in self.bytes_of and self.pieces[first].startswith(SPACE) else text
 
     def check(self, found: dict[str, list[int]]) -> None:
         """Compare segments with the library; those without a space before them are put behind a line break."""
@@ -131,31 +120,27 @@ class Codec:
         wrong = [s for s, ids in found.items() if ids != got[s] and s != SPACE]
         if wrong:
             raise ValueError(f"the library encodes {wrong[0]!r} as {got[wrong[0]]}, not {found[wrong[0]]}")
+        for ids, text in zip(found.values(), self.library.decode(list(found.values())), strict=True):
+            if self.decode(ids) != text:
+                raise ValueError(f"the library decodes {ids} as {text!r}, not {self.decode(ids)!r}")
 
     def encode_many(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids, begin and end ids included, as little-endian uint32, and its decoded text."""
         cache = self.cache
         if len(cache) > _CACHED_SEGMENTS:
             cache.clear()
-            self.changed.clear()
         cut = [self.segments(t) for t in texts]
         found = {s: self.segment_ids(s) for s in set(chain.from_iterable(cut)).difference(cache)}
         if found:
             self.check(found)
         for s, ids in found.items():
             cache[s] = struct.pack(f"<{len(ids)}I", *ids)
-            if (text := self._decoded_segment(ids)) != s.replace(SPACE, " "):
-                self.changed[s] = text
         begin, end = struct.pack("<I", self.library.bos_id()), struct.pack("<I", self.library.eos_id())
-        for text, segments in zip(texts, cut, strict=True):
+        for segments in cut:
             raw = b"".join((begin, *map(cache.__getitem__, segments), end))
-            if self.changed and not self.changed.keys().isdisjoint(segments):
-                yield raw, "".join(self.changed.get(s, s.replace(SPACE, " ")) for s in segments)[1:]
-            else:
-                yield raw, text.replace(SPACE, " ")
+            yield raw, self.decode(memoryview(raw).cast("I").tolist())
         for s in [s for s in found if len(s) > _CACHED_CHARS]:
             del cache[s]
-            self.changed.pop(s, None)
 
 
 _CODECS: dict[str, Codec] = {}
@@ -192,6 +177,8 @@ def encode(
 
     Defined results: null text counts as empty, whose ids are begin and end;
     each row is encoded by itself, so repeated rows and null ids pass through;
+    long texts are encoded whole, segment by segment; of equal scores the
+    leftmost pair merges first;
     an empty table gives an empty table; other columns are ignored.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.llm.exact_dedup import ROW, held_rows
-from lodestone.llm.shared import let, staged
+from lodestone.llm.shared import let, masked_salts, salt_masks, salt_of, set_aside, staged
 
 #: kind, pattern (group 1: the value), least length, of the value for `assign` and `prefixed` and of the match for the others.
 KINDS = (
@@ -56,32 +56,29 @@ def spans_of(text: Column, number: int) -> Column:
     """
     _, pattern, least = KINDS[number]
     whole = number not in (0, 3)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     kind = "array<struct<kind:int,start:bigint,end:bigint,value:string>>"
     if whole:  # a failing run holds no passing one, so short runs need no place
         pattern = pattern.replace("+)", f"{{{least - 4 * (number == 1)},}})")
-        found = values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
-    def placed(matches: Column, values: Column) -> Column:
+    def placed(matches: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
         lengths = F.zip_with(gaps, matches, lambda g, m: (F.length(g) + F.length(m)).cast("long"))
         ends = let(lengths, _running_ends)
         rows = F.zip_with(
-            F.arrays_zip(matches.alias("m"), values.alias("v")),
+            matches,
             ends,
-            lambda x, end: F.struct(
+            lambda m, end: F.struct(
                 F.lit(number).alias("kind"),
-                (end - F.length(x["m"])).alias("start"),
+                (end - F.length(m)).alias("start"),
                 end.alias("end"),
-                x["v"].alias("value"),
+                (m if whole else F.regexp_extract(m, pattern, 1)).alias("value"),
             ),
         )
         return F.filter(rows, lambda r: F.length(r["value"]) >= least).cast(kind)
 
     return let(
-        F.struct(found.alias("m"), values.alias("v")),
-        lambda x: F.when(F.size(x["m"]) == 0, F.array().cast(kind)).otherwise(placed(x["m"], x["v"])),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda m: F.when(F.size(m) == 0, F.array().cast(kind)).otherwise(placed(m)),
     )
 
 
@@ -108,23 +105,19 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str) -> Da
     )
 
 
-def ownership(found: DataFrame, salts: int) -> DataFrame:
+def ownership(found: DataFrame) -> DataFrame:
     """Owners and repositories of each value's hash, one row for each salt that its rows have.
 
     Three narrowing aggregates, each combined before its shuffle: a value that
     a third of all rows hold arrives as one row a task.
     """
-    per_repo = found.groupBy("hash", "owner", "repo").agg(F.expr("bit_or(shiftleft(1L, salt))").alias("mask"))
-    per_owner = per_repo.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.bit_or("mask").alias("mask"))
+    masks = [F.bit_or("mask_hi").alias("mask_hi"), F.bit_or("mask_lo").alias("mask_lo")]
+    per_repo = found.groupBy("hash", "owner", "repo").agg(*salt_masks())
+    per_owner = per_repo.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), *masks)
     return (
         per_owner.groupBy("hash")
-        .agg(F.sum("repos").alias("repos"), F.count(F.lit(1)).alias("owners"), F.bit_or("mask").alias("mask"))
-        .select(
-            "hash",
-            "repos",
-            "owners",
-            F.explode(F.expr(f"filter(sequence(0, {salts - 1}), i -> (shiftright(mask, i) & 1L) = 1L)")).alias("salt"),
-        )
+        .agg(F.sum("repos").alias("repos"), F.count(F.lit(1)).alias("owners"), *masks)
+        .select("hash", "repos", "owners", masked_salts().alias("salt"))
     )
 
 
@@ -134,19 +127,21 @@ def secret_spans(
     text_col: str = "text",
     repo_col: str = "source",
     copied_owners: int = 3,
-    salts: int = 32,
+    copied_repos: int = 10,
 ) -> DataFrame:
     """Per row of `docs` (with `__row`): its spans and which values are owner-specific.
 
     Candidates of every kind are hashed and counted over the whole corpus by
     distinct repository (`repo_col`) and owner (the part before the first '/').
     A value that `copied_owners` or more owners hold is a widely copied example
-    (`copied`); one that fewer hold and that looks live is `live`. Both flags
+    (`copied`) if it does not look live, or stands in `copied_repos` or more
+    repositories; one that looks live and is not copied is `live`. Both flags
     join the spans by (hash, salt), so that a hot value is spread over tasks.
 
     Defined results: null text has no spans; a missing or null repository is
-    ''; rows repeating an id are scanned each by itself; an empty table gives
-    an empty table; other columns are ignored.
+    ''; texts are scanned whole at any length; spans that start together come in
+    the order of kinds; rows repeating an id are scanned each by itself; an
+    empty table gives an empty table; other columns are ignored.
     """
     base = staged(candidates(docs, id_col, text_col, repo_col), "secrets")
     found = base.select(ROW, "repo", "owner", F.explode("spans").alias("s")).select(
@@ -159,17 +154,18 @@ def secret_spans(
         F.length("s.value").alias("size"),
         F.sha2("s.value", 256).alias("hash"),
         live_looking(F.col("s.value")).alias("lively"),
-        F.pmod(F.xxhash64(ROW), F.lit(salts)).cast("int").alias("salt"),
+        salt_of(ROW).alias("salt"),
     )
-    judged = found.join(ownership(found, salts), ["hash", "salt"]).select(
+    copied = (F.col("owners") >= copied_owners) & (~F.col("lively") | (F.col("repos") >= copied_repos))
+    judged = found.join(ownership(found), ["hash", "salt"]).select(
         ROW,
         F.struct(
             F.col("start"),
             F.col("kind"),
             F.col("end"),
             F.col("size"),
-            (F.col("owners") >= copied_owners).alias("copied"),
-            (F.col("lively") & (F.col("owners") < copied_owners)).alias("live"),
+            copied.alias("copied"),
+            (F.col("lively") & ~copied).alias("live"),
         ).alias("span"),
     )
     per_row = judged.groupBy(ROW).agg(F.sort_array(F.collect_list("span")).alias("judged"))
@@ -208,59 +204,71 @@ def span_report(spans: DataFrame) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
-    """`docs` with the value of every span masked, but for widely copied examples. n_chars follows."""
-    rows = held_rows(docs)
-    spans = secret_spans(rows, text_col=text_col, **options)
-    cuts = spans.select(
-        F.col(ROW),
-        F.transform(
-            F.filter("judged", lambda s: ~s["copied"]),
-            lambda s: F.struct((s["end"] - s["size"]).alias("start"), s["end"].alias("end")),
-        ).alias("__cuts"),
-    ).where(F.size("__cuts") > 0)
-    # spans that overlap are joined; then the text is rebuilt from what lies between them
-    merged = F.aggregate(
-        F.array_sort("__cuts"),
-        F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["end"] >= s["start"]),
-            F.concat(
-                F.slice(acc, F.lit(1), F.size(acc) - 1),
-                F.array(
-                    F.struct(
-                        F.get(acc, F.size(acc) - 1)["start"].alias("start"),
-                        F.greatest(F.get(acc, F.size(acc) - 1)["end"], s["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
+def merged_cuts(spans: DataFrame) -> DataFrame:
+    """ROW and __cuts: the places of values that are not copied, spans that overlap or touch joined, in order."""
+    cut = spans.select(ROW, F.explode("judged").alias("s")).where("not s.copied")
+    cut = cut.select(ROW, (F.col("s.end") - F.col("s.size")).alias("start"), F.col("s.end").alias("end"))
+    in_row = Window.partitionBy(ROW).orderBy("start", "end")
+    before = F.max("end").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
+    apart = cut.withColumn("apart", F.coalesce((before < F.col("start")).cast("int"), F.lit(1)))
+    return (
+        apart.withColumn("part", F.sum("apart").over(in_row.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(ROW, "part")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy(ROW)
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
     )
-    text = F.col(text_col)
-    rebuilt = let(
-        merged,
-        lambda m: F.concat(
+
+
+def masked(text: Column, cuts: Column, mask: str) -> Column:
+    """text with each of the ordered cuts (start, end) replaced by mask.
+
+    The text comes in blocks, so that a part is found without counting signs
+    from the text's start, and the work stays in proportion to the text.
+    """
+    size = 4096
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+    def part(b: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / size).cast("int"), F.floor((end - 1) / size).cast("int")
+        at = (start - first * size + 1).cast("int")
+        within = F.substring(F.get(b, first), at, (end - start).cast("int"))
+        over = F.concat(
+            F.substring(F.get(b, first), at, F.lit(size)),
+            F.array_join(F.slice(b, first + 2, last - first - 1), ""),
+            F.substring(F.get(b, last), F.lit(1), (end - last * size).cast("int")),
+        )
+        return F.when(end <= start, F.lit("")).when(first == last, within).otherwise(over)
+
+    zero = F.lit(0).cast("long")
+    return let(
+        blocks,
+        lambda b: F.concat(
             F.array_join(
-                F.transform(
-                    m,
-                    lambda s, i: F.substring(
-                        text,
-                        (F.when(i == 0, F.lit(0)).otherwise(F.get(m, i - 1)["end"]) + 1).cast("int"),
-                        (s["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(m, i - 1)["end"])).cast("int"),
-                    ),
-                ),
+                F.transform(cuts, lambda s, i: part(b, F.when(i == 0, zero).otherwise(F.get(cuts, i - 1)["end"]), s["start"])),
                 mask,
             ),
             F.lit(mask),
-            F.substring(
-                text,
-                (F.get(m, F.size(m) - 1)["end"] + 1).cast("int"),
-                F.length(text),
-            ),
+            part(b, F.get(cuts, F.size(cuts) - 1)["end"], F.length(text).cast("long")),
         ),
     )
+
+
+def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", repo_col: str = "source", **options) -> DataFrame:
+    """`docs` with the value of every span masked, but for widely copied examples. n_chars follows.
+
+    Rows without such values are as they were; a column of docs named like one
+    that is used on the way is kept. Other defined results are secret_spans()'s.
+    """
+    rows, own = set_aside(docs, ROW, "__cuts")
+    new = {old: renamed for renamed, old in own.items()}
+    rows = held_rows(rows)
+    options["id_col"] = new.get(options.get("id_col", "doc_id"), options.get("id_col", "doc_id"))
+    text_col = new.get(text_col, text_col)
+    cuts = merged_cuts(secret_spans(rows, text_col=text_col, repo_col=new.get(repo_col, repo_col), **options))
+    text = F.col(text_col)
     out = rows.join(cuts, ROW, "left").withColumn(
-        text_col, F.when(F.col("__cuts").isNotNull(), rebuilt).otherwise(text)
+        text_col, F.when(F.col("__cuts").isNotNull(), masked(text, F.col("__cuts"), mask)).otherwise(text)
     )
     if "n_chars" in docs.columns:
         size = docs.schema["n_chars"].dataType
@@ -268,4 +276,4 @@ def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **
             "n_chars",
             F.when(F.col("__cuts").isNotNull(), F.length(text_col).cast(size)).otherwise(F.col("n_chars")),
         )
-    return out.select(*docs.columns)
+    return out.drop(ROW, "__cuts").withColumnsRenamed(own).select(*docs.columns)
