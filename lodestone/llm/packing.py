@@ -56,7 +56,7 @@ class Limits:
     """What one sequence holds at most. min_piece: no example is cut to fill fewer tokens than that."""
 
     tokens: int = 1024
-    segments: int = 64
+    segments: int = 256
     loss: int = 1024
     min_piece: int = 8
 
@@ -152,7 +152,7 @@ def pack(
     loss_from_col: str | None = None,
     buffered: int = 1024,
     with_ids: bool = False,
-    added_tokens: bool = False,
+    added_tokens: bool = True,
 ) -> DataFrame:
     """Pack every text, each scan partition by itself and without a shuffle: one row a piece.
 
@@ -162,14 +162,17 @@ def pack(
     limits on tokens, segments and loss-bearing tokens. loss_from_col counts the
     characters at the head of a text, its prompt, whose tokens bear no loss;
     without it every token bears loss. added_tokens: whether strings of the
-    vocabulary's added tokens are those tokens, as the library reads them.
+    vocabulary's added tokens are those tokens, as the library reads them, or
+    ordinary text.
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset;
     with_ids adds ids (array of int). Sequence ids hold the partition's number,
     so a task that runs again gives the same ones.
 
-    Defined results: null and empty texts are end_id alone; repeated rows are
-    packed each; an empty table gives an empty table; other columns are ignored.
+    Defined results: null and empty texts are end_id alone; long texts are
+    encoded whole and cut at limits.tokens; of equal dot products the longer
+    example, then the earlier goes first; repeated rows are packed each; an
+    empty table gives an empty table; other columns are ignored.
     """
     if min(limits.tokens, limits.segments, limits.loss) < 1:
         raise ValueError("limits must be positive")

@@ -133,17 +133,28 @@ def spot(salt: str) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, fold: Column, per_class: int, salt: str) -> tuple[DataFrame, dict[int, int]]:
-    """doc_id, text, y of about per_class labelled rows a class that `fold` keeps, by a hash of the id; and how many
-    rows each class has in all.
+def labelled(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    fold: Column,
+    per_class: int,
+    salt: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[DataFrame, dict[int, int]]:
+    """doc_id, text, y of about per_class labelled ids a class that `fold` keeps, by a hash of the id; and how many
+    ids each class has in all.
 
     The bound makes the sample, and so the broadcast of its ids, of fixed size.
+    An id that docs repeats gives one row, of its greatest text.
     """
     clean = clean_labels(labels, label, fold)
     n = class_counts(clean)
     share = F.when(F.col("y") == 1, min(1.0, per_class / n.get(1, 1))).otherwise(min(1.0, per_class / n.get(0, 1)))
     chosen = clean.where(spot(salt) < share)
-    return keyed_texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), n
+    rows = keyed_texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "y").agg(F.max("text").alias("text")).select("doc_id", "text", "y"), n
 
 
 def fit(
@@ -169,7 +180,7 @@ def fit(
     ids, y = np.asarray(got.column("doc_id")), np.asarray(got.column("y"))
     if len(set(y.tolist())) < 2:
         return None
-    order = np.lexsort((y, ids))
+    order = np.argsort(mixed(ids.astype(np.uint64)), kind="stable")  # by a hash, as labels may follow a period of the ids
     rows = [np.frombuffer(got.column("f")[int(i)].as_py(), np.int32) for i in order]
     ids, y = ids[order], y[order]
     for_scale = np.arange(len(y)) % 4 == 3  # a quarter sets the scale of scores only
@@ -199,6 +210,8 @@ def score(
     held_out: int = 0,
     per_class: int = 2500,
     threshold: float = 0.3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Score every whole text, by a model of labels outside the held-out fold, in Arrow batches without a shuffle.
 
@@ -211,12 +224,13 @@ def score(
     Columns: doc_id, held_out, score, predicted (1 if score >= threshold).
 
     Defined results: null and empty texts have the score of no n-grams; without
-    labels of both classes every score is 0.5; equal texts score equally; a null
-    id is not held out; an empty table gives an empty table; other columns are
-    ignored.
+    labels of both classes every score is 0.5; equal texts score equally; texts
+    are read whole at any length; an id that docs repeats is learned from once;
+    a null id is not held out; an empty table gives an empty table; other
+    columns are ignored.
     """
     fold = doc_bucket(F.col("doc_id"), folds) != held_out
-    model = fit(*labelled(docs, labels, label, fold, per_class, label))
+    model = fit(*labelled(docs, labels, label, fold, per_class, label, id_col, text_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +246,8 @@ def score(
                 ["doc_id", "held_out", "score", "predicted"],
             )
 
-    out = F.coalesce(doc_bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        out.alias("held_out"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    )
+    held = F.coalesce(doc_bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
+    rows = keyed_texts(docs, id_col, text_col).select("doc_id", held.alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
@@ -249,18 +259,20 @@ def accepted(
     held_out: int = 0,
     per_class: int = 2500,
     threshold: float = 0.3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """The rows of docs whose score reaches the threshold, with all their columns, in one pass without a shuffle.
 
     The model is score()'s. Without labels of both classes every row stays.
     """
     fold = doc_bucket(F.col("doc_id"), folds) != held_out
-    model = fit(*labelled(docs, labels, label, fold, per_class, label))
+    model = fit(*labelled(docs, labels, label, fold, per_class, label, id_col, text_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_scores(shared.value, batch.column("text")) >= threshold))
+            yield batch.filter(pa.array(_scores(shared.value, batch.column(text_col)) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
 

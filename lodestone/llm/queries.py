@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestone.llm import (
     exact_dedup,
@@ -54,7 +55,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), added_tokens=True)
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations, of which only the assistant's bear loss, under three limits that all bind."""
+    turns = read_table(spark, sf_dir, "conversations").withColumn(
+        "head", F.when(F.col("role") == "assistant", 0).otherwise(F.length("text"))
+    )
+    limits = packing.Limits(tokens=1024, segments=24, loss=384)
+    return packing.pack(turns, id_col="conv_id", limits=limits, loss_from_col="head")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,12 +122,13 @@ WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS repo, regexp_extract(coalesce(source, ''), '^[^/]*', 0) AS owner
   FROM documents
 ),
-s AS (SELECT doc_id, owner, kind, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, v FROM (
+s AS (SELECT doc_id, owner, repo, kind, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, v FROM (
   {" UNION ALL ".join(_op5_kind(k) for k in range(len(secret_scan.KINDS)))}) WHERE length(v) >= least),
-f AS (SELECT v, count(DISTINCT owner) AS owners FROM s GROUP BY v),
-j AS (SELECT s.*, owners >= 3 AS copied,
-  owners < 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 6
-  AND NOT regexp_matches(v, '(?i)example|changeme|placeholder|your|dummy|xxxx|0000|12345') AS live
+f AS (SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos,
+  regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 6
+  AND NOT regexp_matches(v, '(?i)example|changeme|placeholder|your|dummy|xxxx|0000|12345') AS lively FROM s GROUP BY v),
+j AS (SELECT s.*, owners >= 3 AND (NOT lively OR repos >= 10) AS copied,
+  lively AND NOT (owners >= 3 AND (NOT lively OR repos >= 10)) AS live
   FROM s JOIN f USING (v)),
 l AS (SELECT *, concat(['assign', 'access', 'hex', 'prefixed'][kind + 1], ':', start, ':', stop) AS line FROM j),
 a AS (SELECT doc_id, start, kind, line FROM l UNION
@@ -144,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_packing,
         op9_toxicity,
         op10_html_text,
+        packed_conversations,
     )
     return {f.__name__: f for f in found}
 

@@ -47,7 +47,7 @@ def low(text):
 
 
 def test_exact_groups(docs, nothing):
-    got = exact_dedup.exact_groups(exact_dedup.numbered(docs), salts=4).collect()
+    got = exact_dedup.exact_groups(exact_dedup.numbered(docs)).collect()
     groups = {}
     for i, t, *_ in ROWS:
         groups.setdefault(low(t), []).append(i)
@@ -86,6 +86,10 @@ def test_pieces_equal_the_library(docs, nothing):
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
     assert piece_codec.encode(nothing).count() == 0
     assert piece_codec.codec().decode(want[12]) == lib.decode(want[12])
+    coder, rng = piece_codec.codec(), np.random.default_rng(4)
+    for ids in rng.integers(0, len(coder.pieces), (300, 7)).tolist():
+        ids = [i for i in ids if i not in coder.bytes_of and i != lib.unk_id()]
+        assert coder.decode(ids) == lib.decode(ids)
 
 
 SPANS = (
@@ -117,13 +121,30 @@ def test_secret_spans(docs, nothing, spark):
 
 
 def test_copied_values_are_no_live_secrets(spark):
-    rows = [(i, f"token={TOKEN}", f"owner{i}/repo") for i in range(4)] + [(9, "secret=mine1234abcd9xyz", "owner1/repo")]
+    rows = [(i, f"token={TOKEN}", f"owner{i}/repo{i}") for i in range(10)] + [(20, "secret=mine1234abcd9xyz", "owner1/repo")]
+    rows += [(30 + i, "token=your-token-goes-here", f"owner{i}/repo") for i in range(3)]
+    rows += [(40 + i, "token=real7key8held9by3three", f"owner{i}/repo") for i in range(3)]
+    rows += [(50 + i, "token=one8owners7own6secret5", f"owner1/repo{i}") for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r for r in secret_scan.span_report(secret_scan.secret_spans(exact_dedup.numbered(docs))).collect()}
-    assert (got[0].n_live, got[0].n_copied) == (0, 2)
-    assert (got[9].n_live, got[9].n_copied) == (1, 0)
+    assert (got[0].n_live, got[0].n_copied) == (0, 2)  # many owners and repositories
+    assert (got[20].n_live, got[20].n_copied) == (1, 0)
+    assert (got[30].n_live, got[30].n_copied) == (0, 1)  # some owners, and a placeholder
+    assert (got[40].n_live, got[40].n_copied) == (1, 0)  # some owners, but it looks live
+    assert (got[50].n_live, got[50].n_copied) == (1, 0)  # many repositories of one owner
     out = {r.doc_id: r.text for r in secret_scan.redacted(docs).collect()}
-    assert out[9] == "secret=[SECRET]" and out[0] == rows[0][1]
+    assert out[20] == "secret=[SECRET]" and out[0] == rows[0][1] and out[30] == rows[11][1]
+    assert out[40] == out[50] == "token=[SECRET]"
+
+
+def test_redaction_of_long_texts_with_many_spans(spark):
+    words = [f"é filler {k} token=abcd{k:05d}xyz9" if k % 3 else "x" * (k % 50) for k in range(6000)]
+    text = " ".join(words)
+    rows = [(1, text, 5, "a"), (2, "secret=abcdefgh1", 5, "b"), (3, "password=token=abcdef12 secret:zzzzzzzz9", 5, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row int, __cuts string")
+    out = {r.doc_id: r for r in secret_scan.redacted(docs).collect()}
+    assert out[1].text == re.sub("token=abcd[0-9]{5}xyz9", "token=[SECRET]", text) and (out[1]["__row"], out[1]["__cuts"]) == (5, "a")
+    assert out[2].text == "secret=[SECRET]" and out[3].text == "password=[SECRET] secret:[SECRET]"
 
 
 def test_redaction_keeps_the_rest(docs):
@@ -215,7 +236,6 @@ def test_packing(docs, nothing):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(vocabulary_path(packing.VOCABULARY))
-    t.encode_special_tokens = True
     got = packing.pack(docs, with_ids=True).collect()
     ids = {i: np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], dtype="<u4") for i, x, *_ in ROWS}
     total, sequences, counted = {}, {}, 0
@@ -248,6 +268,27 @@ def test_packing_reads_added_tokens_as_the_library(spark, tmp_path):
         assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
 
 
+def test_packing_of_short_texts_pads_little(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text")).coalesce(1)
+    got = packing.pack(docs).groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    assert got.where("n < 1000").count() <= 10 and got.agg(F.sum("n")).collect()[0][0] == 12000
+
+
+def test_packed_conversations(spark):
+    from lodestone.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    coder = packing.encoder()
+    full = {}
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        full.setdefault(r.conv_id, 0)
+        full[r.conv_id] += len(packing.ids_of(coder, r.text or "", True)) + 1
+    got = queries.packed_conversations(spark, sf)
+    sums = {r.doc_id: r.n for r in got.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert sums == full
+    assert got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("k")).where("n > 1024 or k > 24").count() == 0
+
+
 def test_packing_limits_all_three(spark):
     rows = [(i, "ask " * (i % 40), "ask " * (i % 40) + "word " * (5 + i % 90)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, prompt string, text string").withColumn("head", F.length("prompt"))
@@ -268,7 +309,7 @@ def test_packing_limits_all_three(spark):
 def test_language(spark, nothing):
     say = {"en": "the cat and the dog are here with that thing ", "fr": "le chat et la belle maison est une chose ", "de": "der hund und die katze ist nicht das ding "}
     rows = [(i, say[g] * (1 + i % 4), g, "s") for i, g in enumerate(["en", "fr", "de"] * 60)]
-    rows += [(1000, None, "en", "s"), (1001, "123 !!", "en", "s"), (1002, say["fr"] * 9000, None, "s"), (1002, say["fr"], None, "s"), (None, say["de"], "de", "s")]
+    rows += [(1000, None, "en", "s"), (1001, "123 !!", "en", "s"), (1003, "½ ² ① ٣", "en", "s"), (1004, "日本", None, "s"), (1002, say["fr"] * 9000, None, "s"), (1002, say["fr"], None, "s"), (None, say["de"], "de", "s")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("held_out", F.lit(1))
     got = language_id.identify(docs).collect()
     assert len(got) == len(rows)
@@ -277,13 +318,16 @@ def test_language(spark, nothing):
     assert held and all(r.lang_pred == truth[r.doc_id] for r in held)
     for r in got:
         assert 0 <= r.score <= 1
-        if r.doc_id in (1000, 1001):
+        if r.doc_id == 1004:
+            assert r.lang_pred in say
+        if r.doc_id in (1000, 1001, 1003):
             assert (r.lang_pred, r.score) == ("und", 0.0)
         if r.doc_id == 1002:
             assert r.lang_pred == "fr"
         if r.doc_id is not None:
             assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
     assert language_id.identify(nothing).count() == 0
+    assert language_id.decode(np.zeros((1, 3)), language_id.codewords(3)).argmax() == 0  # equal shares
     code = language_id.codewords(9)
     assert len({tuple(c) for c in code}) == 9
 
@@ -308,6 +352,16 @@ def test_quality(spark, nothing):
     assert quality.score(nothing, labels).count() == 0
 
 
+def test_quality_of_long_and_repeated_texts(spark):
+    docs, labels = _labelled(spark, "A plain sentence of ordinary words goes here. ", "BUY!! NOW!! ### $$$ BUY!! ")
+    again = docs.where("doc_id = 4").crossJoin(spark.range(500)).drop("id")
+    sample, n = quality.labelled(docs.unionByName(again), labels, "quality", F.lit(True), 1000, "quality")
+    assert n == {0: 80, 1: 160} and sample.count() == 240
+    long = spark.createDataFrame([(7000, "A plain sentence of ordinary words goes here. " * 40000, "x"), (7001, "BUY!! NOW!! " * 90000, "x")], docs.schema)
+    got = {r.doc_id: r.predicted for r in quality.score(docs.unionByName(long), labels).where("doc_id >= 7000").collect()}
+    assert got == {7000: 1, 7001: 0}
+
+
 def test_toxicity(spark, nothing):
     docs, labels = _labelled(spark, "A plain sentence of ordinary words goes here. ", "You are a moronic worthless fool of words. ")
     got = toxicity.score(docs, labels).collect()
@@ -345,22 +399,44 @@ def test_toxicity_counts_every_labelled_row(spark):
     docs, labels = _labelled(spark, "A plain sentence of ordinary words goes here. ", "You are a moronic worthless fool of words. ")
     # each row has a word of its own: only counts over all rows know them
     docs = docs.withColumn("text", F.when(F.col("doc_id") < 240, F.concat("text", F.translate(F.col("doc_id").cast("string"), "0123456789", "ghijklmnop"))).otherwise(F.col("text")))
-    model = toxicity.fit(docs, labels, "toxic", F.lit(True), 12, 5)
+    model = toxicity.fit(docs, labels, "toxic", F.lit(True), 12)
     words = [Counter(), Counter()]
     for r in docs.collect():
         if r.doc_id is not None and r.doc_id < 240:
             words[r.doc_id % 3 == 0].update(set(toxicity._WORD.findall(r.text.lower())))
     want = toxicity.kneser_ney(tuple(words))
-    for got, full in ((model.pair.shared, want.shared), *((model.pair.own[c], want.own[c]) for c in (0, 1))):
+    for got, full in zip((model.grams, model.contexts), want.leans(), strict=True):
         assert got.keys() == full.keys() and all(abs(got[g] - p) < 1e-9 for g, p in full.items())
 
 
 def test_kneser_ney_sums_to_one():
     from collections import Counter
 
-    pair = toxicity.kneser_ney((Counter({"abc": 5, "abd": 2, "b": 1}), Counter({"abx": 3, "abc": 1})), order=3)
-    letters = "abcdx\x03"
-    for c in (0, 1):
-        for context in ("\x02", "\x02a", "ab"):
-            mass = sum(np.exp(pair.own[c].get(context + ch, pair.back[c].get(context, 0.0) + pair.lower((context + ch)[1:]))) for ch in letters)
-            assert 0.8 < mass <= 1.05
+    for order in (2, 3, 4):
+        pair = toxicity.kneser_ney((Counter({"abc": 5, "abd": 2, "b": 1}), Counter({"abx": 3, "abc": 1, "bb": 4})), order=order)
+        for c in (0, 1):
+            for context in ("\x02", "\x02a", "ab", "abc", "b", "zz"):
+                context = context[-(order - 1) :]
+                mass = 0.0
+                for ch in "abcdx\x03?":  # the last stands for all that was never seen
+                    own = pair.own[c].get(context + ch)
+                    mass += np.exp(pair.back[c].get(context, 0.0) + pair.lower((context + ch)[1:]) if own is None else own)
+                assert abs(mass - 1) < 1e-9
+
+
+def test_toxic_evidence_is_the_lead_of_the_better_likelihood():
+    calm, one, long = np.zeros(100), np.array([8.0] + [0.0] * 99), np.array([8.0] + [0.0] * 9999)
+    assert toxicity.evidence(calm) == toxicity.evidence(np.zeros(0)) == toxicity.evidence(calm + 1.9) == 0
+    assert 0 < toxicity.evidence(long) < toxicity.evidence(one) < 1
+    assert toxicity.evidence(one) == pytest.approx(0.6 / 0.9)
+
+
+def test_toxicity_of_long_and_repeated_texts(spark):
+    docs, labels = _labelled(spark, "A plain sentence of ordinary words goes here. ", "You are a moronic worthless fool of words. ")
+    more = [(5000, LONG * 20), (5001, LONG + " moronic worthless fool"), (5001, LONG + " moronic worthless fool")]
+    more = spark.createDataFrame(more, "doc_id long, text string").withColumn("score", F.lit("x"))
+    got = {r.doc_id: r for r in toxicity.score(docs.unionByName(more), labels).where("doc_id >= 5000").collect()}
+    assert got[5000].predicted == 0 and got[5001].predicted == 1
+    renamed = docs.withColumnRenamed("doc_id", "key").withColumnRenamed("text", "body")
+    other = toxicity.score(renamed, labels, id_col="key", text_col="body").collect()
+    assert sorted((r.doc_id or -1, r.score) for r in other) == sorted((r.doc_id or -1, r.score) for r in toxicity.score(docs, labels).collect())
