@@ -234,31 +234,32 @@ def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags:
     missed and stars: (hub, row, j). A row that hub has lies within the distance
     1 - similarity of it, and the distance 1 - j is a metric: so only rows that
     missed a hub by less than twice that distance can be linked to its star, and
-    only pairs whose distances to the hub differ by no more need a look. Rows of
-    a crowded hub meet in _narrowed() places. Both sides come in blocks, bounded
-    in rows and bytes, and a tile of two blocks is one row; signatures are
+    only pairs whose distances to the hub differ by no more need a look. Both
+    sides come in blocks of like distances, bounded in rows and bytes; two
+    blocks that are near enough are a tile, which is one row. Signatures are
     compared before bags.
     """
+    slack = 1.0 - similarity + 1e-9
     sig = signs.select("row", "sig")
-    both = missed.withColumn("star", F.lit(False)).unionByName(stars.withColumn("star", F.lit(True))).join(sig, "row")
-    placed = _narrowed(both, 256).join(bags.select("row", "bag", F.length("bag").alias("size")), "row")
-    kinds = placed.groupBy("hub").agg(F.min("star").alias("some"), F.max("star").alias("all")).where("all and not some").select("hub")
-    placed = placed.join(kinds, "hub", "left_semi")
 
     def blocks(rows: DataFrame, size: int, name: str, mass: int = 8_000_000) -> DataFrame:
-        counts = rows.groupBy("hub").agg(
-            F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum("size") / mass)).cast("int").alias("k")
+        rows = rows.join(sig, "row").join(bags, "row").withColumn("ring", F.floor(F.col("j") / (slack / 4)))
+        counts = rows.groupBy("hub", "ring").agg(
+            F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
         )
         return (
-            rows.join(counts, "hub")
+            rows.join(counts, ["hub", "ring"])
             .withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")))
-            .groupBy("hub", "block")
-            .agg(F.collect_list(F.struct("row", "j", "sig", "bag")).alias(name))
-            .drop("block")
+            .groupBy("hub", "ring", "block")
+            .agg(
+                F.collect_list(F.struct("row", "j", "sig", "bag")).alias(name),
+                F.min("j").alias(f"{name}_from"),
+                F.max("j").alias(f"{name}_to"),
+            )
+            .drop("ring", "block")
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slack = 1.0 - similarity
         for batch in batches:
             found = []
             for missed_, star in zip(batch.column("missed"), batch.column("star"), strict=True):
@@ -275,7 +276,8 @@ def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags:
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"]
             )
 
-    tiles = blocks(placed.where("not star"), 64, "missed").join(blocks(placed.where("star"), 128, "star"), "hub")
+    near = F.col("star_from") - F.col("missed_to") <= slack
+    tiles = blocks(missed, 64, "missed").join(blocks(stars, 128, "star"), "hub").where(near)
     return tiles.select("missed", "star").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -290,7 +292,7 @@ def _links_among(rows: DataFrame, bags: DataFrame, similarity: float, size: int
     are pairs that links of the tile already connect. The others are checked on
     the full bags.
     """
-    placed = _narrowed(rows, 4 * size)
+    placed = _narrowed(rows, 32 * size)
     split = placed.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
     rows = placed.join(split, "hub", "left_semi").join(bags, "row")
     counts = rows.groupBy("hub").agg(
@@ -412,9 +414,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        slots or more: five standard deviations under 0.8) and then on the full
        multisets. So no link between classes is lost to hubs.
 
-    In steps 4 and 5 the rows of a crowded hub meet only where they share one
-    more band, so a hot bucket falls into small ones. Blocks are bounded in rows
-    and in bytes.
+    In step 5 the rows of a crowded hub meet only where they share one more
+    band, so a hot bucket falls into small ones. Blocks are bounded in rows and
+    in bytes.
 
     Columns: __row, doc_id, class_id (least doc_id of the class), class_size,
     kept (one row of each class).
@@ -461,7 +463,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = staged(ranked.select("row").distinct(), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
     bags = staged(_bags(docs, F.broadcast(wanted) if few else wanted, text_col), "bags")
-    judged = staged(_verified(pairs, bags, 2 * similarity - 1), "judged")
+    judged = staged(_verified(pairs, bags, 2 * similarity - 1 - 1e-9), "judged")
     links = judged.where(F.col("j") >= similarity).select("a", "b")
     first_roots = components(links)
     root_of = lambda roots, name, new: roots.select(F.col("node").alias(name), F.col("root").alias(new))
