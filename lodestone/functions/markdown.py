@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lodestone.functions.dates import intake_text
-from lodestone.functions.text import any_of, wildcard
+from lodestone.functions.text import any_of, let, wildcard
 
 #: Signs that a sentence is no entry requirement. Fixed values.
 SKIP_ENTRY = (
@@ -66,7 +66,7 @@ def front_matter(text: Column) -> tuple[Column, Column]:
 def title(body: Column, url: Column, skip: tuple[str, ...] = ()) -> Column:
     """The first level-1 heading that no skipped pattern matches, else the URL's last segment as words."""
     heads = F.filter(F.transform(lines_of(body), lambda x: F.trim(x)), lambda x: x.startswith("# "))
-    names = F.transform(heads, lambda x: F.trim(F.substring(x, 3, 10_000)))
+    names = F.transform(heads, lambda x: F.trim(F.substring(x, F.lit(3), F.length(x))))
     names = F.filter(names, lambda x: ~any_of([wildcard(x, p) for p in skip] or [F.lit(False)]))
     last = F.regexp_extract(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), "/+$", ""), r"([^/]*)$", 1)
     return F.coalesce(F.nullif(F.get(names, 0), F.lit("")), F.initcap(F.replace(last, F.lit("-"), F.lit(" "))))
@@ -82,30 +82,29 @@ def without_section(body: Column, heading: str, level: int, until: int | None =
     """All sections that start at a matching heading (wildcards allowed) of a level and end before the next heading of
     level `until` or above are dropped."""
     stop = until or level
-    rows = F.transform(
-        lines_of(body),
-        lambda x: F.struct(
-            x.alias("x"),
-            F.length(F.regexp_extract(x, r"^(#{1,6})\s+\S", 1)).alias("n"),
-            wildcard(F.regexp_extract(x, r"^#{1,6}\s+(.*)$", 1), heading).alias("hit"),
-        ),
-    )
-    kept = F.aggregate(
-        rows,
-        F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("off")),
-        lambda acc, r: F.struct(
-            F.when((r["n"] == level) & r["hit"], acc["out"])
-            .when(acc["off"] & ~((r["n"] > 0) & (r["n"] <= stop)), acc["out"])
-            .otherwise(F.concat(acc["out"], F.array(r["x"])))
-            .alias("out"),
-            F.when((r["n"] == level) & r["hit"], F.lit(True))
-            .when((r["n"] > 0) & (r["n"] <= stop), F.lit(False))
-            .otherwise(acc["off"])
-            .alias("off"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.array_join(kept, "\n")
+    text = F.concat(F.lit("\n"), F.array_join(lines_of(body), "\n"))
+    white = r"[ \t\x0B\f\r]+"
+
+    def parts(x: Column, hashes: str) -> Column:
+        return F.split(x, rf"(?=\n#{{{hashes}}}{white}\S)")
+
+    def hit(x: Column) -> Column:
+        head = F.regexp_extract(x, rf"^\n#{{{level}}}{white}(.*)", 1)
+        return x.rlike(rf"^\n#{{{level}}}{white}\S") & wildcard(head, heading)
+
+    def before_hit(x: Column) -> Column:
+        return let(
+            parts(x, str(level)),
+            lambda inner: let(
+                F.array_position(F.transform(inner, hit), True).cast("int"),
+                lambda at: F.array_join(F.when(at == 0, inner).otherwise(F.slice(inner, F.lit(1), F.greatest(at - 1, F.lit(0)))), ""),
+            ),
+        )
+
+    # a section that a heading above ends loses all from its own heading on; one that a heading of its level or below ends is one part
+    outer = parts(text, f"1,{stop}")
+    kept = F.transform(outer, before_hit) if stop < level else F.filter(outer, lambda x: ~hit(x))
+    return F.substring(F.array_join(kept, ""), F.lit(2), F.length(text))
 
 
 def without_sections(body: Column, rules: list[tuple[str, int]]) -> Column:
@@ -142,7 +141,7 @@ def entry_lines(body: Column) -> Column:
         row = F.when((F.size(cells) >= 2) & ~rule & ~head, F.concat_ws(": ", F.get(cells, 0), F.get(cells, 1)))
         ucas = F.when(x.endswith("."), x).otherwise(F.concat(x, F.lit(".")))
         gcse = x.rlike(r"(?i)\bgcse\b") & x.rlike("(?i)grade|at grade|c/4|4 or above")
-        return F.when(x.startswith("|") & F.contains(F.substring(x, 2, 10_000), F.lit("|")), row).otherwise(
+        return F.when(x.startswith("|") & F.contains(F.substring(x, F.lit(2), F.length(x)), F.lit("|")), row).otherwise(
             F.when(x.rlike(r"(?i)\bucas tariff points\b"), ucas).when(gcse, x)
         )
 

@@ -18,9 +18,9 @@ def _shuffled(df: DataFrame, url: str, level: str, seed: int, levels: tuple[str,
 
 
 def stratified(df: DataFrame, url: str, level: str, n: int = 10, seed: int = 0, levels: tuple[str, ...] = WORK_ORDER) -> DataFrame:
-    """n URLs, each once, taken from the levels in turn. Only the first n of a level can be chosen, so no more are carried."""
+    """n URLs, each once, taken from the levels in turn. A URL of several levels counts for the one where it comes first."""
     place = rank(F.col(level), WORK_ORDER)
-    rows = _shuffled(df, url, level, seed, levels).withColumn("__l", place).where(F.col("__r") <= 2 * n + n)
+    rows = _shuffled(df, url, level, seed, levels).withColumn("__l", place)
     once = first_per(rows, [trimmed(F.col(url))], [F.col("__r"), F.col("__l")])
     turn = once.withColumn("__t", F.row_number().over(Window.partitionBy(level).orderBy("__r")))
     return turn.orderBy("__t", "__l").limit(n).drop("__r", "__l", "__t")

@@ -593,22 +593,23 @@ SELECT id, d, m, y, {_MONTH} AS n, concat(upper(substring(m, 1, 1)), lower(subst
   SELECT id, token AS t, regexp_extract(token, '(?i)^(?:(\\d{{1,2}})(?:st|nd|rd|th)?\\s+)?({"|".join(dates.MONTHS)})(?:\\s+((?:19|20)\\d{{2}}))?$', 1) AS d,
   regexp_extract(token, '(?i)^(?:(\\d{{1,2}})(?:st|nd|rd|th)?\\s+)?({"|".join(dates.MONTHS)})(?:\\s+((?:19|20)\\d{{2}}))?$', 2) AS m,
   regexp_extract(token, '(?i)^(?:(\\d{{1,2}})(?:st|nd|rd|th)?\\s+)?({"|".join(dates.MONTHS)})(?:\\s+((?:19|20)\\d{{2}}))?$', 3) AS y
-  FROM ({INTAKES}) WHERE id % 6 <> 5)"""
+  FROM (SELECT id, CASE WHEN token LIKE '%, %' THEN split_part(token, ', ', 1) ELSE token END AS token FROM ({INTAKES})))"""
 
 
 @query(f"""WITH x AS ({_TOKEN}), z AS (SELECT *, TRY_CAST(concat('2026-', lpad(CAST(n AS VARCHAR), 2, '0'), '-', lpad(d, 2, '0')) AS DATE) AS dt FROM x)
 SELECT id, CASE WHEN m = '' THEN t WHEN d <> '' AND y = '' AND dt IS NULL THEN t ELSE concat_ws(' ', CASE WHEN d <> '' THEN CAST(CAST(d AS INTEGER) AS VARCHAR) END, nice,
   CASE WHEN y <> '' THEN y WHEN d <> '' AND dt < DATE '2026-09-01' THEN '2027' WHEN d = '' AND n < 9 THEN '2027' ELSE '2026' END) END AS normalized FROM z""")
 def date_tokens(spark, sf_dir):
-    rows = derived(spark, sf_dir, "intakes").where("id % 6 <> 5")
+    rows = derived(spark, sf_dir, "intakes").withColumn("token", F.get(F.split("token", ", "), 0))
     return rows.select("id", dates.date_token(F.col("token"), DAY).alias("normalized"))
 
 
-@query(f"""SELECT id, concat(upper(substring(m, 1, 1)), lower(substring(m, 2)), ' ', CASE WHEN {_MONTH} < 9 THEN '2027' ELSE '2026' END, ', January 2028') AS normalized
-FROM (SELECT id, split_part(token, ',', 1) AS m FROM ({INTAKES}) WHERE id % 6 = 5)""")
+@query(f"""WITH x AS ({_TOKEN}), z AS (SELECT *, TRY_CAST(concat('2026-', lpad(CAST(n AS VARCHAR), 2, '0'), '-', lpad(d, 2, '0')) AS DATE) AS dt FROM x)
+SELECT id, concat(CASE WHEN m = '' THEN t WHEN d <> '' AND y = '' AND dt IS NULL THEN t ELSE concat_ws(' ', CASE WHEN d <> '' THEN CAST(CAST(d AS INTEGER) AS VARCHAR) END, nice,
+  CASE WHEN y <> '' THEN y WHEN d <> '' AND dt < DATE '2026-09-01' THEN '2027' WHEN d = '' AND n < 9 THEN '2027' ELSE '2026' END) END,
+  CASE WHEN id % 6 = 5 THEN ', January 2028' ELSE '' END) AS normalized FROM z""")
 def date_list(spark, sf_dir):
-    rows = derived(spark, sf_dir, "intakes").where("id % 6 = 5")
-    return rows.select("id", dates.date_list(F.col("token"), DAY).alias("normalized"))
+    return derived(spark, sf_dir, "intakes").select("id", dates.date_list(F.col("token"), DAY).alias("normalized"))
 
 
 @query(f"""SELECT id, CASE id % 5 WHEN 0 THEN '12' WHEN 1 THEN '18' WHEN 2 THEN '18' WHEN 3 THEN '24' ELSE '' END AS months,
@@ -905,19 +906,23 @@ def selector_scores(spark, sf_dir):
     return out.select(F.lit("selector").alias("kind"), F.col("selector").alias("name"), "hits")
 
 
-@query(f"""{C}, d AS (SELECT name AS n, kind AS v FROM c WHERE ix < 64)
+@query(f"""{C}, d AS (SELECT name AS n, kind AS v FROM c WHERE brand <> 'Brand#11')
 SELECT ix, coalesce(v, '') AS "programmeName", CASE WHEN v IS NULL THEN '' ELSE concat('COMMENT: programmeName inferred from dictionary (', v, ')') END AS comment
 FROM c LEFT JOIN (SELECT n, min(v) AS v FROM d GROUP BY n) ON n = name""")
 def inferred_names(spark, sf_dir):
     c = _c(spark, sf_dir)
-    d = c.where("ix < 64").groupBy("name").agg(F.min("kind").alias("v"))
+    d = c.where("brand <> 'Brand#11'").groupBy("name").agg(F.min("kind").alias("v"))
     rows = validate.inferred(c.join(d, "name", "left").withColumn("programmeName", F.lit("")), "programmeName", F.col("v"))
     return rows.select("ix", "programmeName", F.col("programmeNameComment").alias("comment"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    from lodestone.plans import references
+
+    return _QUERIES | references.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    from lodestone.plans import references
+
+    return _SQL | references.SQL

@@ -87,7 +87,7 @@ SELECT doc_id AS id,
               CASE WHEN doc_id % 2 = 0 THEN '' ELSE concat('Annual tuition fees: | £', CAST(10 + doc_id % 9 AS STRING), ',500', chr(10)) END,
               CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'IELTS 6.5 with no element below 6.0 please' END, chr(10),
               '## Entry requirements', chr(10), CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'A degree in any subject, 2:1 or above at grade B' END,
-              chr(10), '## About', chr(10), substring(text, 1, 200)) AS body
+              chr(10), '## About', chr(10), text) AS body
 FROM documents
 """
 
