@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.functions import levels, numbers, text
-from lodestone.functions import markdown as md
-from lodestone.operators import cleanup, documents, export, lookup, stats
+from lodestone.functions import dates, levels, nested, numbers, text
+from lodestone.operators import cleanup, dedupe, documents, export, lookup, validate
 from lodestone.plans.inputs import COURSES, derived
 from lodestone.sources import catalogue, readers
 
@@ -260,3 +259,212 @@ def specification_facts(spark, sf_dir):
     return _part(spark, sf_dir).select(
         "p_partkey", F.array_join(catalogue.intake_points(spec), ",").alias("months"), ok.alias("candidate"), catalogue.section_text(F.lit("deposit-notes.md"), page).alias("section")
     )
+
+
+# --- lines of pages -------------------------------------------------------------------------------------------------
+
+_L = "chr(10)"
+
+
+def _lines(spark, sf_dir, *parts) -> DataFrame:
+    rows = _part(spark, sf_dir).select("p_partkey", F.concat_ws("\n", *parts).alias("body"))
+    return cleanup.numbered_lines(rows, "p_partkey", "body")
+
+
+@query(f"""SELECT p_partkey, concat('# ', p_name, {_L}, 'intro', {_L}, CASE WHEN p_partkey % 2 = 0 THEN '' ELSE concat('# Other', {_L}) END, 'end') AS body FROM part""")
+def repeated_titles(spark, sf_dir):
+    lines = _lines(spark, sf_dir, F.concat(F.lit("# "), "p_name"), F.lit("intro"), F.when(K % 2 == 0, F.concat(F.lit("#  "), F.upper("p_name"))).otherwise("# Other"), F.lit("end"))
+    return cleanup.rejoined(cleanup.without_repeated_titles(lines, "p_partkey"), "p_partkey", "body")
+
+
+@query(f"""SELECT p_partkey, concat('# T', {_L}, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE concat('## Fees', {_L}, p_name, {_L}) END, '## More', {_L}, 'text') AS body FROM part""")
+def empty_headings(spark, sf_dir):
+    lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## Fees"), F.when(K % 3 == 0, " ").otherwise(F.col("p_name")), F.lit("## More"), F.lit("text"))
+    return cleanup.rejoined(cleanup.without_empty_headings(lines, "p_partkey"), "p_partkey", "body")
+
+
+@query(f"""SELECT p_partkey, concat('# T', {_L}, '## Entry', {_L}, CASE WHEN p_partkey % 4 = 0 THEN concat('### Bangladesh', {_L}, p_name, {_L}) ELSE '' END, '## More', {_L}, 'text') AS body FROM part""")
+def country_blocks(spark, sf_dir):
+    country = F.when(K % 4 == 0, "Bangladesh").otherwise("Norway")
+    lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## Entry"), F.concat(F.lit("### "), country), F.col("p_name"), F.lit("## More"), F.lit("text"))
+    return cleanup.rejoined(cleanup.only_blocks(lines, "Entry", ["Bangladesh"]), "p_partkey", "body")
+
+
+@query(f"""SELECT p_partkey, concat('# T', {_L}, CASE WHEN p_partkey % 2 = 0 THEN concat('## 2027/28', {_L}, 'new') ELSE concat('## 2026/27', {_L}, 'old') END) AS body FROM part""")
+def year_blocks(spark, sf_dir):
+    lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## 2026/27\nold"), F.when(K % 2 == 0, "## 2027/28\nnew").otherwise("## 2025/26\nolder"))
+    return cleanup.rejoined(cleanup.latest_year_block(lines, "p_partkey"), "p_partkey", "body")
+
+
+@query(f"""SELECT p_partkey, concat('a', {_L}, CASE WHEN p_partkey % 2 = 0 THEN concat('Back on', {_L}, 'end') ELSE concat(p_name, {_L}, 'end') END) AS body FROM part""")
+def marked_lines(spark, sf_dir):
+    lines = _lines(spark, sf_dir, F.lit("a"), F.when(K % 2 == 0, "Switch off\nhidden\nBack on").otherwise(F.col("p_name")), F.lit("end"))
+    return cleanup.rejoined(cleanup.until_marker(lines, "p_partkey", "^Switch off", "^Back on"), "p_partkey", "body")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Home students|| fee | 1 |' ELSE 'Overseas students|| fee | 2 |' END AS rows FROM part""")
+def carried_table_rows(spark, sf_dir):
+    lines = _lines(spark, sf_dir, F.when(K % 2 == 0, "Home students\n| fee | 1 |\nPartners\n| fee | 3 |").otherwise("Partners\n| fee | 3 |\nOverseas students\n| fee | 2 |"))
+    kept = cleanup.carried_rows(lines, "p_partkey", r"^(Home students|Overseas students|Partners)$", "Partners")
+    return kept.groupBy("p_partkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", "line"))), lambda r: r["line"]), "|").alias("rows"))
+
+
+@query("""SELECT p_partkey, y AS year, CASE y WHEN '2026' THEN CAST(p_size AS VARCHAR) ELSE '9' END AS amount FROM part, (SELECT unnest(['2026', '2027']) AS y) WHERE y = '2026' OR p_partkey % 2 = 0""")
+def amounts_per_year(spark, sf_dir):
+    lines = _lines(spark, sf_dir, F.lit("Fees 2026"), F.concat(F.lit("£"), "p_size"), F.lit("£7"), F.when(K % 2 == 0, "In 2027:\n£9").otherwise("none"))
+    return cleanup.first_per_year(lines, "p_partkey")
+
+
+@query("""SELECT p_partkey, p_name AS duration, CASE WHEN p_partkey % 2 = 0 THEN 'IELTS 6.5 overall with no individual band below 6.0' ELSE 'no test' END AS ielts,
+  CASE WHEN p_partkey % 3 = 0 THEN 'text' ELSE concat('text', chr(10), 'more') END AS kept FROM part""")
+def labelled_lines(spark, sf_dir):
+    labels = cleanup.label_values(F.concat(F.lit("# T\n**Course length:** "), "p_name", F.lit("\n- Start: May\n")))
+    test = F.when(K % 2 == 0, "An IELTS score of 6.5 overall, at least 6.0 in each part.").otherwise("no test")
+    tail = F.when(K % 3 == 0, "text\nSee also: this\nand that").otherwise("text\nmore")
+    return _part(spark, sf_dir).select(
+        "p_partkey", cleanup.first_label(labels, "Duration", "Course length").alias("duration"), cleanup.ielts_line(test).alias("ielts"), cleanup.without_tail(tail, "See also").alias("kept")
+    )
+
+
+@query("""SELECT ix, mode, start, level FROM (SELECT p_partkey AS ix, unnest(CASE WHEN p_partkey % 2 = 0 THEN ['Full time', 'Part time'] ELSE ['Full time'] END) AS mode FROM part)
+JOIN (SELECT p_partkey AS ix, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['Sep', 'Jan'] ELSE [NULL] END) AS start FROM part) USING (ix)
+JOIN (SELECT p_partkey AS ix, unnest(CASE WHEN p_partkey % 5 = 0 THEN ['undergraduate', 'foundation'] ELSE ['undergraduate'] END) AS level FROM part) USING (ix)""")
+def page_variants(spark, sf_dir):
+    rows = _part(spark, sf_dir).select(
+        K.alias("ix"), F.when(K % 2 == 0, F.array(F.lit("Full time"), F.lit("Part time"))).otherwise(F.array(F.lit("Full time"))).alias("modes"),
+        F.when(K % 3 == 0, F.array(F.lit("Sep"), F.lit("Jan"))).alias("starts"), F.lit("undergraduate").alias("level"),
+    )
+    out = cleanup.level_rows(cleanup.variant_rows(rows, "modes", "starts"), "level", F.col("ix") % 5 == 0)
+    return out.select("ix", "mode", "start", "level")
+
+
+@query("""SELECT p_brand AS brand, min(p_partkey) FILTER (WHERE p_size = top) AS best FROM (SELECT *, max(p_size) OVER (PARTITION BY p_brand) AS top FROM part) GROUP BY p_brand""")
+def picked_variants(spark, sf_dir):
+    rows = _part(spark, sf_dir)
+    out = cleanup.pick_variant(rows, "p_brand", [[F.col("p_size") > 10**6]], [F.col("p_size").desc(), K])
+    return out.select(F.col("p_brand").alias("brand"), K.alias("best"))
+
+
+# --- lookups, merges and levels -------------------------------------------------------------------------------------
+
+
+@query(f"""WITH c AS ({COURSES}) SELECT ix, CASE WHEN level = 'undergraduate' THEN 'own' WHEN ix % 2 = 1 THEN 'all' END AS found FROM c""")
+def level_then_global_lookup(spark, sf_dir):
+    c = derived(spark, sf_dir, "courses")
+    own = c.where("level = 'undergraduate'").select("level", F.lower("name").alias("key"), F.lit("own").alias("value")).distinct()
+    every = c.where("ix % 2 = 1").select(F.lit(None).cast("string").alias("level"), F.lower("name").alias("key"), F.lit("all").alias("value")).distinct()
+    return lookup.by_level_then_global(c, own.unionByName(every), "name", "level", "ix", "found").select("ix", "found")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'model' ELSE p_name END AS name, CASE WHEN p_partkey % 2 = 0 THEN 'parsed' ELSE CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'model' END END AS fee FROM part""")
+def merged_stages(spark, sf_dir):
+    parsed = _part(spark, sf_dir).select("p_partkey", F.col("p_name").alias("name"), F.when(K % 2 == 0, "parsed").otherwise(" ").alias("fee"))
+    model = _part(spark, sf_dir).where("p_partkey % 5 <> 0 or p_partkey % 3 = 0").select(
+        "p_partkey", F.when(K % 3 == 0, "model").otherwise("").alias("name"), F.when(K % 5 == 0, "").otherwise("model").alias("fee")
+    )
+    return export.merge_stages(parsed, model, "p_partkey", ["fee"], ["name"])
+
+
+@query("""SELECT p_partkey, concat(CASE WHEN p_partkey % 2 = 0 THEN 'a;' ELSE '' END, CASE WHEN p_partkey % 3 = 0 THEN 'b;' ELSE '' END) AS items FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 3 = 0""")
+def combined_parts(spark, sf_dir):
+    part = lambda n, x: _part(spark, sf_dir).where(f"p_partkey % {n} = 0").select("p_partkey", F.array(F.lit(x)).alias("items"))
+    out = export.combine_parts([part(2, "a;"), part(3, "b;")], "p_partkey", ["items"])
+    return out.select("p_partkey", F.array_join("items", "").alias("items"))
+
+
+@query("""SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END AS "entry.a.0.b", CASE WHEN p_partkey % 2 = 0 THEN '{"c":1}' ELSE '' END AS "entry.d" FROM part""")
+def audited_rows(spark, sf_dir):
+    reviewed = _part(spark, sf_dir).select("p_partkey", "p_name")
+    docs = _part(spark, sf_dir).where("p_partkey % 2 = 0").select("p_partkey", F.format_string('{"a":[{"b":"%s"}],"d":{"c":1}}', F.col("p_brand")).alias("json"))
+    return export.audit_rows(reviewed, {"entry": (docs, ["a.0.b", "d"])}, "p_partkey")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 2 = 0 AND p_partkey % 5 < 3 THEN 'scholarship study level does not match course (undergraduate/foundation got postgraduate scholarship)'
+  WHEN p_partkey % 2 = 1 AND p_partkey % 5 >= 3 THEN 'scholarship study level does not match course (postgraduate got undergraduate scholarship)' ELSE '' END AS wrong FROM part""")
+def scholarship_level_mismatch(spark, sf_dir):
+    level = F.when(K % 2 == 0, "undergraduate").otherwise("postgraduate_research")
+    declared = F.when(K % 5 < 3, "Postgraduate").otherwise("undergraduate")
+    name = F.when(K % 3 == 0, "").otherwise("Award")
+    meta = F.array().cast(nested.META)
+    return _part(spark, sf_dir).select("p_partkey", validate.level_mismatch(level, name, meta, declared).alias("wrong"))
+
+
+@query("""SELECT p_brand AS brand, max(p_partkey) AS path_key FROM part WHERE p_size % 2 = (SELECT 1) GROUP BY p_brand""")
+def latest_pages_by_name(spark, sf_dir):
+    rows = _part(spark, sf_dir).where("p_size % 2 = 1").withColumn("path", F.format_string("x/%010d-2026-27/normalized.json", K))
+    return dedupe.latest_by_name(rows, "p_brand", "path").select(F.col("p_brand").alias("brand"), K.alias("path_key"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'postgraduate_research' WHEN 1 THEN 'foundation' WHEN 2 THEN 'undergraduate' WHEN 3 THEN 'other' ELSE '' END AS of_scope,
+  CASE p_partkey % 5 WHEN 0 THEN 'postgraduate_research' WHEN 1 THEN 'foundation' WHEN 3 THEN 'other' ELSE 'undergraduate' END AS folder,
+  CASE p_partkey % 5 WHEN 0 THEN 'postgraduate' WHEN 1 THEN 'foundation' ELSE 'undergraduate' END AS bucket,
+  concat(CASE p_partkey % 5 WHEN 0 THEN 'postgraduate_research' WHEN 1 THEN 'foundation' WHEN 3 THEN 'other' ELSE 'undergraduate' END, '::x') AS done FROM part""")
+def level_names(spark, sf_dir):
+    raw = F.when(K % 5 == 0, "Postgraduate-Research").when(K % 5 == 1, "foundation").when(K % 5 == 2, "UNDERGRADUATE").when(K % 5 == 3, "other").otherwise("evening")
+    return _part(spark, sf_dir).select(
+        "p_partkey", levels.from_scope(raw).alias("of_scope"), levels.folder(raw).alias("folder"), levels.bucket(raw).alias("bucket"), levels.resume_key(raw, F.lit("x")).alias("done")
+    )
+
+
+# --- scalars --------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT p_partkey, concat('£', p_size, ',000') AS pounds, CASE WHEN p_partkey % 2 = 0 THEN concat('£', p_size, ',500') ELSE '' END AS deposit,
+  p_partkey % 2 = 0 AS stated, p_partkey % 3 = 0 AS example, CAST((p_size + 9) // 10 AS INTEGER) AS pages,
+  CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS DOUBLE) WHEN p_partkey % 3 = 0 THEN CAST(p_size * 1000 AS DOUBLE) ELSE -1.0 END AS scholarship FROM part""")
+def money_texts(spark, sf_dir):
+    size = F.col("p_size")
+    says = F.when(K % 2 == 0, F.concat(F.lit("You'll pay a £"), size, F.lit(",500 deposit before CAS"))).otherwise("nothing")
+    amount = F.when(K % 2 == 0, F.concat(F.lit("£1 or £"), size)).otherwise("half")
+    more = F.when(K % 3 == 0, F.concat(F.lit("Scholarship value: £"), size, F.lit(",000, not £99,000,000"))).otherwise("none")
+    return _part(spark, sf_dir).select(
+        "p_partkey",
+        numbers.pounds((size * 1000).cast("string")).alias("pounds"),
+        numbers.stated_deposit(says).alias("deposit"),
+        numbers.amount_in(F.concat(size, F.lit("500")), says).alias("stated"),
+        numbers.example_amounts(F.when(K % 3 == 0, "AUD 42,500").otherwise("AUD 42,501")).alias("example"),
+        numbers.pages_of(size, F.lit(10)).alias("pages"),
+        numbers.scholarship_amount(amount, more).alias("scholarship"),
+    )
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'January 2026|September 2026|May 2027|soon' WHEN 1 THEN 'soon' ELSE '' END AS sorted,
+  CASE WHEN p_partkey % 2 = 0 THEN 'March 2028' ELSE 'next spring' END AS short, CASE WHEN p_partkey % 2 = 0 THEN 'May 2026, June 2027' ELSE 'September' END AS intake FROM part""")
+def month_texts(spark, sf_dir):
+    none = F.array().cast("array<string>")
+    values = F.when(K % 3 == 0, F.array(*map(F.lit, ("soon", "May 2027", "September 2026", "January 2026")))).when(K % 3 == 1, F.array(F.lit("soon"))).otherwise(none)
+    return _part(spark, sf_dir).select(
+        "p_partkey",
+        F.array_join(dates.sort_intakes(values), "|").alias("sorted"),
+        dates.short_month(F.when(K % 2 == 0, "mar 2028").otherwise(" next spring")).alias("short"),
+        dates.intake_text(F.when(K % 2 == 0, "May 2026, full, June 2027").otherwise("September")).alias("intake"),
+    )
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Group C' WHEN 1 THEN 'Group A' ELSE '' END AS grp, concat(lower(regexp_replace(p_name, '[^A-Za-z0-9_-]+', '-', 'g')), '-x') AS file,
+  CASE WHEN p_partkey % 2 = 0 THEN 'ABB;BBC' ELSE '' END AS offers FROM part""")
+def name_texts(spark, sf_dir):
+    first = F.when(K % 3 == 0, "see group c below").otherwise("none")
+    second = F.when(K % 3 == 1, "Group A or B").otherwise("no")
+    return _part(spark, sf_dir).select(
+        "p_partkey",
+        text.english_group(first, second).alias("grp"),
+        text.file_name(F.concat("p_name", F.lit(" / x!"))).alias("file"),
+        F.array_join(text.offer_grades(F.when(K % 2 == 0, "ABB - bbc, again ABB").otherwise("A or B")), ";").alias("offers"),
+    )
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN concat('HSC=', p_size, '%') ELSE '' END AS bullets, CASE WHEN p_partkey % 3 = 0 THEN 'Entry Requirements;English Requirement' ELSE 'Entry Requirements' END AS blocks,
+  CASE WHEN p_partkey % 2 = 0 THEN 'degree,grade' ELSE '' END AS shape FROM part""")
+def nested_texts(spark, sf_dir):
+    body = F.when(K % 2 == 0, F.concat(F.lit("# T\n- **HSC:** "), "p_size", F.lit("%\n- **Description:** 5%"))).otherwise("text")
+    meta = F.when(K % 3 == 0, '[{"subtitle":"entry requirements","description":["a"]},{"description":["IELTS 6.5 overall"]},{"subtitle":"Fees","description":["b"]}]').otherwise(
+        '[{"subtitle":"Entry Requirements","description":"a"},{"subtitle":"English Requirement","description":[]}]'
+    )
+    rows = F.when(K % 2 == 0, '[{"grade":"1","degree":"x"}]').otherwise("[]")
+    return _part(spark, sf_dir).select(
+        "p_partkey",
+        F.array_join(F.transform(nested.bullets(body), lambda r: F.concat(r["degree"], F.lit("="), r["grade"])), ";").alias("bullets"),
+        F.array_join(F.transform(nested.academic_only(nested.metadata(meta)), lambda b: b["subtitle"]), ";").alias("blocks"),
+        nested.signature(rows).alias("shape"),
+    )
