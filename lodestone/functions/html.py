@@ -17,6 +17,8 @@ DROPPED = frozenset(
     "script style noscript svg iframe nav header footer form button select textarea head".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Elements that a head can hold; any other ends it. Fixed values.
+_IN_HEAD = frozenset("head title meta link style script base noscript template".split())
 _BLOCK = frozenset("p div section article main ul ol li table blockquote dl dt dd h1 h2 h3 h4 h5 h6 tr".split())
 
 
@@ -26,14 +28,16 @@ class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.out: list[list[str]] = [[]]
-        self.open: list[tuple[str, dict]] = []
+        self.open: list[tuple[str, dict, bool]] = []  # tag, attributes, whether its content is dropped
         self.skip = 0
-        self.rows: list[list[str]] = []
+        self.rows: list[list[list[str]]] = []  # of each table that is open
         self.label = ""
 
     def handle_starttag(self, tag, attrs):
-        if tag in DROPPED:
-            self.skip += 1
+        if tag not in _IN_HEAD and any(t == "head" for t, *_ in self.open):
+            self.handle_endtag("head")  # its end tag may be left out
+        own = tag == "header" and any(t in ("article", "main") for t, *_ in self.open)
+        dropped = tag in DROPPED and not own
         if tag in _VOID:
             if tag == "br" and not self.skip:
                 self.out[-1].append("\n")
@@ -44,17 +48,20 @@ class _Reader(HTMLParser):
         if tag in _BLOCK and self.open and self.open[-1][0] in ("p", "b", "strong", "em", "i"):
             while self.open and self.open[-1][0] in ("p", "b", "strong", "em", "i"):
                 self.handle_endtag(self.open[-1][0])
-        self.open.append((tag, dict(attrs)))
+        self.skip += dropped
+        if tag == "table":
+            self.rows.append([])
+        self.open.append((tag, dict(attrs), dropped))
         self.out.append([])
 
     def handle_endtag(self, tag):
-        if not any(t == tag for t, _ in self.open):
+        if not any(t == tag for t, *_ in self.open):
             return
         while self.open:
-            name, attrs = self.open.pop()
+            name, attrs, dropped = self.open.pop()
             text = "".join(self.out.pop())
-            if name in DROPPED:
-                self.skip = max(0, self.skip - 1)
+            if dropped:
+                self.skip -= 1
             else:
                 self.out[-1].append(self.written(name, attrs, text))
             if name == tag:
@@ -85,10 +92,11 @@ class _Reader(HTMLParser):
             return flat.replace("|", "\\|") + "\x1f"
         if name == "tr":
             cells = text.split("\x1f")[:-1]
-            self.rows += [[c.strip() for c in cells]] if any(c.strip() for c in cells) else []
+            if self.rows and any(c.strip() for c in cells):
+                self.rows[-1].append([c.strip() for c in cells])
             return ""
         if name == "table":
-            rows, self.rows = self.rows, []
+            rows = self.rows.pop()
             if not rows:
                 return ""
             width = max(map(len, rows))

@@ -35,13 +35,21 @@ def course_level(df: DataFrame, known: DataFrame, index: DataFrame, url: str, na
     return rows.withColumn("level", F.coalesce("__l1", "__l2", classify(F.col(url), F.col(name)))).drop("__p", "__l1", "__l2")
 
 
-def english_programme(courses: DataFrame, programmes: DataFrame, key: str, score: Column) -> DataFrame:
+def english_programme(courses: DataFrame, programmes: DataFrame, key: str, score: Column, scope: list[str] = ()) -> DataFrame:
     """For each course its English programme: of its group by name, else, among those of its level, the best score over
-    0, else the first. courses: (key, level, name, body); programmes: (ix, level, programme); score over both."""
+    0, else the first. courses: (key, level, name, body); programmes: (ix, level, programme); score over both.
+
+    scope: columns of both, such as the university, within which a course meets
+    programmes; a university has a few of each level, so the join stays linear.
+    """
     group = english_group(F.coalesce("body", F.lit("")), F.coalesce("name", F.lit("")))
     c = courses.withColumn("__g", F.lower(group))
-    own = c.join(programmes.withColumnRenamed("level", "__pl"), F.col("__g") == F.lower(F.trim("programme"))).withColumn("__t", F.lit(0))
-    same = c.join(programmes.withColumnRenamed("level", "__pl"), F.col("level") == F.col("__pl")).withColumn("__t", F.lit(1))
+    p = programmes.withColumnsRenamed({"level": "__pl"} | {s: f"__of_{s}" for s in scope})
+    within = F.lit(True)
+    for s in scope:
+        within = within & (F.col(s) == F.col(f"__of_{s}"))
+    own = c.join(p, within & (F.col("__g") == F.lower(F.trim("programme")))).withColumn("__t", F.lit(0))
+    same = c.join(p, within & (F.col("level") == F.col("__pl"))).withColumn("__t", F.lit(1))
     rows = own.unionByName(same).withColumn("__s", F.when(F.col("__t") == 0, 0).otherwise(score))
     w = Window.partitionBy(key).orderBy("__t", F.desc("__s"), "ix")
     return rows.withColumn("__n", F.row_number().over(w)).where("`__n` = 1").select(key, "programme", F.col("__s").alias("score"))
@@ -75,12 +83,14 @@ def accepted_answers(answers: DataFrame, asked: DataFrame, allowed: DataFrame) -
 def index_update(index: DataFrame, done: DataFrame, path: str, columns: list[str]) -> DataFrame:
     """Index rows with the columns of `done` put in by path, else by file name where that is the index's only one."""
     base = F.regexp_extract(F.col(path), "([^/]*)$", 1)
-    rows = index.withColumn("__b", base).withColumn("__c", F.count(F.lit(1)).over(Window.partitionBy("__b")))
+    rows = index.withColumn("__b", base)
+    rows = rows.join(rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__c")), "__b")
     exact = done.select(F.col(path), *(F.col(c).alias(f"__1{c}") for c in columns), F.lit(True).alias("__1"))
-    by_name = done.join(index.select(path), path, "left_anti").select(
-        base.alias("__b"), *(F.col(c).alias(f"__2{c}") for c in columns), F.lit(True).alias("__2")
+    # of several with one file name the least path
+    by_name = done.join(index.select(path), path, "left_anti").groupBy(base.alias("__b")).agg(
+        *(F.min_by(F.col(c), F.col(path)).alias(f"__2{c}") for c in columns), F.lit(True).alias("__2")
     )
-    rows = rows.join(exact, path, "left").join(by_name.dropDuplicates(["__b"]), "__b", "left")
+    rows = rows.join(exact, path, "left").join(by_name, "__b", "left")
     put = {
         c: F.when(F.col("__1"), F.col(f"__1{c}")).when(F.col("__2") & (F.col("__c") == 1), F.col(f"__2{c}")).otherwise(F.col(c))
         for c in columns

@@ -48,8 +48,12 @@ def level_mismatch(level: Column, name: Column, meta: Column, declared: Column)
     )
 
 
-def errors(level: Column | None = None, declared: Column | None = None) -> Column:
-    """The errors of a row, in the order of the rules."""
+def errors(level: Column | None = None, declared: Column | None = None, parsed: dict[str, Column] | None = None) -> Column:
+    """The errors of a row, in the order of the rules.
+
+    parsed: columns that hold what is read from the academic blocks (sound,
+    entry, english), for callers that have read them already.
+    """
     rules: list[tuple[Column, Column]] = []
 
     def rule(condition: Column, code: str, message) -> None:
@@ -82,7 +86,8 @@ def errors(level: Column | None = None, declared: Column | None = None) -> Colum
         "intakeInfo must be parseable (e.g. Sep-26, Dec-26 or Sep 2026)",
     )
     for c in META_FIELDS:
-        rule(~nested.is_metadata(F.col(c)), "INVALID_JSON", f"{c} must be MetaDataItem[]")
+        sound = parsed["sound"] if parsed and c == META_FIELDS[0] else nested.is_metadata(F.col(c))
+        rule(~sound, "INVALID_JSON", f"{c} must be MetaDataItem[]")
     for c in ("degreeName", "minDegreeName", "higherDegreeName"):
         rule(
             ~known_degree(F.col(c)),
@@ -91,11 +96,10 @@ def errors(level: Column | None = None, declared: Column | None = None) -> Colum
                 F.lit('Unknown degree "'), _cell(c), F.lit('" for insert - add "'), _cell(c), F.lit('" to course-degree-level-order.ts')
             ),
         )
-    academic = nested.metadata(F.col("AcademicRequirementsMetaData"))
-    sound = nested.is_metadata(F.col("AcademicRequirementsMetaData"))
+    academic = parsed or academic_parts()
     for needle, block in (("entry", "Entry Requirements"), ("english", "English Requirement")):
         rule(
-            sound & ~nested.has_block(academic, needle),
+            academic["sound"] & ~academic[needle],
             "INVALID_JSON",
             f"AcademicRequirementsMetaData missing {block} block",
         )
@@ -106,9 +110,19 @@ def errors(level: Column | None = None, declared: Column | None = None) -> Colum
     return F.array_compact(F.array(*(F.when(condition, text) for condition, text in rules)))
 
 
+def academic_parts() -> dict[str, Column]:
+    """Whether the academic blocks are sound, and whether they have an entry and an English block."""
+    field = F.col(META_FIELDS[0])
+    blocks = nested.metadata(field)
+    return {"sound": nested.is_metadata(field), "entry": nested.has_block(blocks, "entry"), "english": nested.has_block(blocks, "english")}
+
+
 def validated(df: DataFrame, level: Column | None = None, declared: Column | None = None) -> DataFrame:
-    """df with errorReason: its errors joined by ' | ', '' for a sound row."""
-    return df.withColumn("errorReason", F.array_join(errors(level, declared), " | "))
+    """df with errorReason: its errors joined by ' | ', '' for a sound row. The academic blocks are parsed once a row."""
+    read = nested.metadata(F.col(META_FIELDS[0]))
+    held = df.withColumns({"__sound": nested.is_metadata(F.col(META_FIELDS[0])), "__blocks": read})
+    parsed = {"sound": F.col("__sound")} | {n: nested.has_block(F.col("__blocks"), n) for n in ("entry", "english")}
+    return held.withColumn("errorReason", F.array_join(errors(level, declared, parsed), " | ")).drop("__sound", "__blocks")
 
 
 def summary(reviewed: DataFrame) -> DataFrame:

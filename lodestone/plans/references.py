@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import dates, levels, nested, numbers, text
@@ -33,17 +33,19 @@ def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-K = F.col("p_partkey")
+def _key() -> Column:
+    return F.col("p_partkey")
+
 
 _ENTRY = '{"studyLevels":[{"studyLevel":"%s","programs":[{"program":"%s","requirements":[{"degree":"%s","grade":"%s"}],"description":[%s]}]}]}'
 
 
 def _entry(spark, sf_dir):
-    level = F.when(K % 5 == 0, "Nowhere").when(K % 2 == 0, "Undergraduate").otherwise("Foundation Year")
-    degree = F.when(K % 7 == 0, "").when(K % 3 == 0, "MSc").otherwise("HSC")
-    grade = F.when(K % 11 == 0, " ").otherwise(F.concat(F.col("p_size") + 40, F.lit("%")))
-    doc = F.format_string(_ENTRY, level, F.col("p_name"), degree, grade, F.when(K % 4 == 0, "").otherwise('"a", " b "'))
-    return _part(spark, sf_dir).select("p_partkey", "p_name", F.lit("entry").alias("kind"), F.when(K % 13 == 0, "[1").otherwise(doc).alias("doc"))
+    level = F.when(_key() % 5 == 0, "Nowhere").when(_key() % 2 == 0, "Undergraduate").otherwise("Foundation Year")
+    degree = F.when(_key() % 7 == 0, "").when(_key() % 3 == 0, "MSc").otherwise("HSC")
+    grade = F.when(_key() % 11 == 0, " ").otherwise(F.concat(F.col("p_size") + 40, F.lit("%")))
+    doc = F.format_string(_ENTRY, level, F.col("p_name"), degree, grade, F.when(_key() % 4 == 0, "").otherwise('"a", " b "'))
+    return _part(spark, sf_dir).select("p_partkey", "p_name", F.lit("entry").alias("kind"), F.when(_key() % 13 == 0, "[1").otherwise(doc).alias("doc"))
 
 
 @query("""WITH d AS (SELECT *, CASE WHEN p_partkey % 5 = 0 THEN 'Nowhere' WHEN p_partkey % 2 = 0 THEN 'Undergraduate' ELSE 'Foundation Year' END AS lvl,
@@ -67,16 +69,16 @@ def entry_document_issues(spark, sf_dir):
   CASE WHEN p_partkey % 11 = 0 THEN '' ELSE concat(chr(10), '- **', CASE WHEN p_partkey % 7 = 0 THEN 'Qualification' WHEN p_partkey % 3 = 0 THEN 'MSc' ELSE 'HSC' END, ':** ', p_size + 40, '%') END,
   CASE WHEN p_partkey % 4 = 0 THEN '' ELSE concat(chr(10), '- **Description:** a b') END, chr(10)) END AS page FROM part""")
 def entry_document_pages(spark, sf_dir):
-    page = F.when(K % 13 == 0, "").otherwise(documents.entry_page(F.col("doc")))
+    page = F.when(_key() % 13 == 0, "").otherwise(documents.entry_page(F.col("doc")))
     return _entry(spark, sf_dir).select("p_partkey", page.alias("page"))
 
 
 def _english(spark, sf_dir):
-    level = F.when(K % 3 == 0, "").when(K % 4 == 0, "Sixth form").otherwise("Postgraduate")
-    name = F.when(K % 10 == 0, "group c").otherwise(F.col("p_name"))
+    level = F.when(_key() % 3 == 0, "").when(_key() % 4 == 0, "Sixth form").otherwise("Postgraduate")
+    name = F.when(_key() % 10 == 0, "group c").otherwise(F.col("p_name"))
     row = '{"TestStudyLevel":"%s","ProgramName":"%s","TestRequirements":[{"TestName":"IELTS","ieltsMinOverall":"6.5","ieltsMinSection":"6.0"},{"pteMinOverall":"60"}],"description":[]}'
     return _part(spark, sf_dir).select(
-        "p_partkey", "p_name", F.lit("english").alias("kind"), F.when(K % 17 == 0, "[]").when(K % 19 == 0, "[1]").otherwise(F.concat(F.lit("["), F.format_string(row, level, name), F.lit("]"))).alias("doc")
+        "p_partkey", "p_name", F.lit("english").alias("kind"), F.when(_key() % 17 == 0, "[]").when(_key() % 19 == 0, "[1]").otherwise(F.concat(F.lit("["), F.format_string(row, level, name), F.lit("]"))).alias("doc")
     )
 
 
@@ -98,11 +100,11 @@ def english_document_pages(spark, sf_dir):
 
 
 def _scholarships(spark, sf_dir):
-    level = F.when(K % 3 == 0, "").when(K % 4 == 0, "Doctors").otherwise("Undergraduate, Postgraduate")
+    level = F.when(_key() % 3 == 0, "").when(_key() % 4 == 0, "Doctors").otherwise("Undergraduate, Postgraduate")
     row = '[{"scholarshipName":"%s","scholarshipType":"%s","scholarshipStudyLevel":"%s","Amount":"%d"}]'
-    kind = F.when(K % 5 == 0, "").when(K % 5 == 1, "PERCENTAGE").when(K % 5 == 2, "10% off").when(K % 5 == 3, "£ off").otherwise("gift")
+    kind = F.when(_key() % 5 == 0, "").when(_key() % 5 == 1, "PERCENTAGE").when(_key() % 5 == 2, "10% off").when(_key() % 5 == 3, "£ off").otherwise("gift")
     doc = F.format_string(row, F.col("p_name"), kind, level, F.col("p_size"))
-    return _part(spark, sf_dir).select("p_partkey", F.lit("scholarships").alias("kind"), kind.alias("type"), F.when(K % 17 == 0, "{}").otherwise(doc).alias("doc"))
+    return _part(spark, sf_dir).select("p_partkey", F.lit("scholarships").alias("kind"), kind.alias("type"), F.when(_key() % 17 == 0, "{}").otherwise(doc).alias("doc"))
 
 
 @query("""SELECT p_partkey, 'scholarships' AS kind, CASE WHEN p_partkey % 17 = 0 THEN 'ERROR' ELSE 'WARN' END AS severity,
@@ -128,9 +130,9 @@ def scholarship_document_pages(spark, sf_dir):
 
 
 def _deposit(spark, sf_dir):
-    meta = F.when(K % 2 == 0, '[{"subtitle":"Fees","description":["pay", "early"]}]').otherwise("[]")
-    doc = F.format_string('{"initialDeposit":"%s","feesMetaData":%s}', F.when(K % 3 == 0, "").otherwise(F.concat(F.lit("£"), F.col("p_size"))), meta)
-    return _part(spark, sf_dir).select("p_partkey", F.lit("deposit").alias("kind"), F.when(K % 17 == 0, "[]").otherwise(doc).alias("doc"))
+    meta = F.when(_key() % 2 == 0, '[{"subtitle":"Fees","description":["pay", "early"]}]').otherwise("[]")
+    doc = F.format_string('{"initialDeposit":"%s","feesMetaData":%s}', F.when(_key() % 3 == 0, "").otherwise(F.concat(F.lit("£"), F.col("p_size"))), meta)
+    return _part(spark, sf_dir).select("p_partkey", F.lit("deposit").alias("kind"), F.when(_key() % 17 == 0, "[]").otherwise(doc).alias("doc"))
 
 
 @query("""SELECT p_partkey, 'deposit' AS kind, CASE WHEN p_partkey % 17 = 0 THEN 'ERROR' ELSE 'WARN' END AS severity,
@@ -155,8 +157,8 @@ def deposit_document_pages(spark, sf_dir):
 def parsed_stage_rows(spark, sf_dir):
     stage = F.format_string(
         '{"tuitionFee":"£%s per year","currency":"%s","intakeInfo":"%s","courseDuration":"%s","ieltsMinOverall":" 6.5 "}',
-        F.format_number(F.col("p_size") * 1000, 0), F.when(K % 3 == 0, "EUR").otherwise(" "),
-        F.when(K % 2 == 0, "September 2026").otherwise("Sep 2027"), F.when(K % 5 == 0, "full time").otherwise("2 years"),
+        F.format_number(F.col("p_size") * 1000, 0), F.when(_key() % 3 == 0, "EUR").otherwise(" "),
+        F.when(_key() % 2 == 0, "September 2026").otherwise("Sep 2027"), F.when(_key() % 5 == 0, "full time").otherwise("2 years"),
     )
     row = documents.parsed_row(stage, F.lit("u"), F.lit("https://u.example.org/c"), F.col("p_name"), F.lit("BSc"))
     return _part(spark, sf_dir).select("p_partkey", row.alias("r")).select(
@@ -171,9 +173,9 @@ def model_stage_rows(spark, sf_dir):
     answer = F.format_string(
         '```json\n{"requirements":[{"degree":"%s","grade":"%d%%"},{"degree":"MSc","grade":""}],"AcademicRequirementsMetaData":[{"subtitle":"entry requirements","description":"x"},{"subtitle":"Other","description":["y"]}],'
         '"scholarshipName":" %s ","scholarshipAmount":"£%d00 off","scholarshipType":"£ off","invented":1}\n```',
-        F.when(K % 2 == 0, "HSC").otherwise("A Level"), F.col("p_size"), F.col("p_name"), F.col("p_size"),
+        F.when(_key() % 2 == 0, "HSC").otherwise("A Level"), F.col("p_size"), F.col("p_name"), F.col("p_size"),
     )
-    row = documents.model_row(F.when(K % 5 == 0, "sorry").otherwise(answer), "undergraduate")
+    row = documents.model_row(F.when(_key() % 5 == 0, "sorry").otherwise(answer), "undergraduate")
     rows = _part(spark, sf_dir).select("p_partkey", row.alias("r"))
     return rows.select(
         "p_partkey",
@@ -243,7 +245,7 @@ def index_records(spark, sf_dir):
 @query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN '../course_listing/a/b.html' WHEN 1 THEN '../x/y.html' WHEN 2 THEN '../course_listing/name.html'
   WHEN 3 THEN '../course_listing/p.html' WHEN 4 THEN 'x/y.html' ELSE '../uni_req/z.html' END AS path, replace(replace(p_name, ' ', '\\ '), '.', '\\.') AS css FROM part""")
 def portable_names(spark, sf_dir):
-    raw = F.when(K % 6 == 0, '"C:\\Users\\me\\course_listing\\a\\b.html"').when(K % 6 == 1, "../x/y.html").when(K % 6 == 2, "/home/me/name.html").when(K % 6 == 3, "p.html").when(K % 6 == 4, "x/y.html").otherwise("/d/uni_req//z.html")
+    raw = F.when(_key() % 6 == 0, '"C:\\Users\\me\\course_listing\\a\\b.html"').when(_key() % 6 == 1, "../x/y.html").when(_key() % 6 == 2, "/home/me/name.html").when(_key() % 6 == 3, "p.html").when(_key() % 6 == 4, "x/y.html").otherwise("/d/uni_req//z.html")
     return _part(spark, sf_dir).select("p_partkey", catalogue.portable_path(raw).alias("path"), catalogue.css_name(F.col("p_name")).alias("css"))
 
 
@@ -251,9 +253,9 @@ def portable_names(spark, sf_dir):
   p_partkey % 3 = 0 AND p_partkey % 2 = 0 AS candidate,
   concat('# Deposit Notes', chr(10), chr(10), 'Source file: clean/uni/deposit-notes.md', chr(10), chr(10), p_name) AS section FROM part""")
 def specification_facts(spark, sf_dir):
-    spec = F.when(K % 3 == 0, "UCIF  Standard intake points (months): Feb, Sept & Feb. Course title").when(K % 3 == 1, "Standard intake point January and May; Oct Final award BSc").otherwise("none")
-    body = F.concat(F.lit("# T\n## International entry requirements\n"), F.when(K % 3 == 0, "varies by institution").otherwise("as stated"), F.lit("\n## Fees\nvaries by institution"))
-    level = F.when(K % 2 == 0, " Postgraduate ").otherwise("undergraduate")
+    spec = F.when(_key() % 3 == 0, "UCIF  Standard intake points (months): Feb, Sept & Feb. Course title").when(_key() % 3 == 1, "Standard intake point January and May; Oct Final award BSc").otherwise("none")
+    body = F.concat(F.lit("# T\n## International entry requirements\n"), F.when(_key() % 3 == 0, "varies by institution").otherwise("as stated"), F.lit("\n## Fees\nvaries by institution"))
+    level = F.when(_key() % 2 == 0, " Postgraduate ").otherwise("undergraduate")
     ok = catalogue.derive_candidates(body, level, ["postgraduate"], "International entry requirements", ["(?i)by institution"])
     page = F.concat(F.lit("---\nkind: uni\n---\n\n"), F.col("p_name"), F.lit("\n"))
     return _part(spark, sf_dir).select(
@@ -273,45 +275,45 @@ def _lines(spark, sf_dir, *parts) -> DataFrame:
 
 @query(f"""SELECT p_partkey, concat('# ', p_name, {_L}, 'intro', {_L}, CASE WHEN p_partkey % 2 = 0 THEN '' ELSE concat('# Other', {_L}) END, 'end') AS body FROM part""")
 def repeated_titles(spark, sf_dir):
-    lines = _lines(spark, sf_dir, F.concat(F.lit("# "), "p_name"), F.lit("intro"), F.when(K % 2 == 0, F.concat(F.lit("#  "), F.upper("p_name"))).otherwise("# Other"), F.lit("end"))
+    lines = _lines(spark, sf_dir, F.concat(F.lit("# "), "p_name"), F.lit("intro"), F.when(_key() % 2 == 0, F.concat(F.lit("#  "), F.upper("p_name"))).otherwise("# Other"), F.lit("end"))
     return cleanup.rejoined(cleanup.without_repeated_titles(lines, "p_partkey"), "p_partkey", "body")
 
 
 @query(f"""SELECT p_partkey, concat('# T', {_L}, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE concat('## Fees', {_L}, p_name, {_L}) END, '## More', {_L}, 'text') AS body FROM part""")
 def empty_headings(spark, sf_dir):
-    lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## Fees"), F.when(K % 3 == 0, " ").otherwise(F.col("p_name")), F.lit("## More"), F.lit("text"))
+    lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## Fees"), F.when(_key() % 3 == 0, " ").otherwise(F.col("p_name")), F.lit("## More"), F.lit("text"))
     return cleanup.rejoined(cleanup.without_empty_headings(lines, "p_partkey"), "p_partkey", "body")
 
 
 @query(f"""SELECT p_partkey, concat('# T', {_L}, '## Entry', {_L}, CASE WHEN p_partkey % 4 = 0 THEN concat('### Bangladesh', {_L}, p_name, {_L}) ELSE '' END, '## More', {_L}, 'text') AS body FROM part""")
 def country_blocks(spark, sf_dir):
-    country = F.when(K % 4 == 0, "Bangladesh").otherwise("Norway")
+    country = F.when(_key() % 4 == 0, "Bangladesh").otherwise("Norway")
     lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## Entry"), F.concat(F.lit("### "), country), F.col("p_name"), F.lit("## More"), F.lit("text"))
     return cleanup.rejoined(cleanup.only_blocks(lines, "Entry", ["Bangladesh"]), "p_partkey", "body")
 
 
 @query(f"""SELECT p_partkey, concat('# T', {_L}, CASE WHEN p_partkey % 2 = 0 THEN concat('## 2027/28', {_L}, 'new') ELSE concat('## 2026/27', {_L}, 'old') END) AS body FROM part""")
 def year_blocks(spark, sf_dir):
-    lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## 2026/27\nold"), F.when(K % 2 == 0, "## 2027/28\nnew").otherwise("## 2025/26\nolder"))
+    lines = _lines(spark, sf_dir, F.lit("# T"), F.lit("## 2026/27\nold"), F.when(_key() % 2 == 0, "## 2027/28\nnew").otherwise("## 2025/26\nolder"))
     return cleanup.rejoined(cleanup.latest_year_block(lines, "p_partkey"), "p_partkey", "body")
 
 
 @query(f"""SELECT p_partkey, concat('a', {_L}, CASE WHEN p_partkey % 2 = 0 THEN concat('Back on', {_L}, 'end') ELSE concat(p_name, {_L}, 'end') END) AS body FROM part""")
 def marked_lines(spark, sf_dir):
-    lines = _lines(spark, sf_dir, F.lit("a"), F.when(K % 2 == 0, "Switch off\nhidden\nBack on").otherwise(F.col("p_name")), F.lit("end"))
+    lines = _lines(spark, sf_dir, F.lit("a"), F.when(_key() % 2 == 0, "Switch off\nhidden\nBack on").otherwise(F.col("p_name")), F.lit("end"))
     return cleanup.rejoined(cleanup.until_marker(lines, "p_partkey", "^Switch off", "^Back on"), "p_partkey", "body")
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'Home students|| fee | 1 |' ELSE 'Overseas students|| fee | 2 |' END AS rows FROM part""")
 def carried_table_rows(spark, sf_dir):
-    lines = _lines(spark, sf_dir, F.when(K % 2 == 0, "Home students\n| fee | 1 |\nPartners\n| fee | 3 |").otherwise("Partners\n| fee | 3 |\nOverseas students\n| fee | 2 |"))
+    lines = _lines(spark, sf_dir, F.when(_key() % 2 == 0, "Home students\n| fee | 1 |\nPartners\n| fee | 3 |").otherwise("Partners\n| fee | 3 |\nOverseas students\n| fee | 2 |"))
     kept = cleanup.carried_rows(lines, "p_partkey", r"^(Home students|Overseas students|Partners)$", "Partners")
     return kept.groupBy("p_partkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", "line"))), lambda r: r["line"]), "|").alias("rows"))
 
 
 @query("""SELECT p_partkey, y AS year, CASE y WHEN '2026' THEN CAST(p_size AS VARCHAR) ELSE '9' END AS amount FROM part, (SELECT unnest(['2026', '2027']) AS y) WHERE y = '2026' OR p_partkey % 2 = 0""")
 def amounts_per_year(spark, sf_dir):
-    lines = _lines(spark, sf_dir, F.lit("Fees 2026"), F.concat(F.lit("£"), "p_size"), F.lit("£7"), F.when(K % 2 == 0, "In 2027:\n£9").otherwise("none"))
+    lines = _lines(spark, sf_dir, F.lit("Fees 2026"), F.concat(F.lit("£"), "p_size"), F.lit("£7"), F.when(_key() % 2 == 0, "In 2027:\n£9").otherwise("none"))
     return cleanup.first_per_year(lines, "p_partkey")
 
 
@@ -319,8 +321,8 @@ def amounts_per_year(spark, sf_dir):
   CASE WHEN p_partkey % 3 = 0 THEN 'text' ELSE concat('text', chr(10), 'more') END AS kept FROM part""")
 def labelled_lines(spark, sf_dir):
     labels = cleanup.label_values(F.concat(F.lit("# T\n**Course length:** "), "p_name", F.lit("\n- Start: May\n")))
-    test = F.when(K % 2 == 0, "An IELTS score of 6.5 overall, at least 6.0 in each part.").otherwise("no test")
-    tail = F.when(K % 3 == 0, "text\nSee also: this\nand that").otherwise("text\nmore")
+    test = F.when(_key() % 2 == 0, "An IELTS score of 6.5 overall, at least 6.0 in each part.").otherwise("no test")
+    tail = F.when(_key() % 3 == 0, "text\nSee also: this\nand that").otherwise("text\nmore")
     return _part(spark, sf_dir).select(
         "p_partkey", cleanup.first_label(labels, "Duration", "Course length").alias("duration"), cleanup.ielts_line(test).alias("ielts"), cleanup.without_tail(tail, "See also").alias("kept")
     )
@@ -331,8 +333,8 @@ JOIN (SELECT p_partkey AS ix, unnest(CASE WHEN p_partkey % 3 = 0 THEN ['Sep', 'J
 JOIN (SELECT p_partkey AS ix, unnest(CASE WHEN p_partkey % 5 = 0 THEN ['undergraduate', 'foundation'] ELSE ['undergraduate'] END) AS level FROM part) USING (ix)""")
 def page_variants(spark, sf_dir):
     rows = _part(spark, sf_dir).select(
-        K.alias("ix"), F.when(K % 2 == 0, F.array(F.lit("Full time"), F.lit("Part time"))).otherwise(F.array(F.lit("Full time"))).alias("modes"),
-        F.when(K % 3 == 0, F.array(F.lit("Sep"), F.lit("Jan"))).alias("starts"), F.lit("undergraduate").alias("level"),
+        _key().alias("ix"), F.when(_key() % 2 == 0, F.array(F.lit("Full time"), F.lit("Part time"))).otherwise(F.array(F.lit("Full time"))).alias("modes"),
+        F.when(_key() % 3 == 0, F.array(F.lit("Sep"), F.lit("Jan"))).alias("starts"), F.lit("undergraduate").alias("level"),
     )
     out = cleanup.level_rows(cleanup.variant_rows(rows, "modes", "starts"), "level", F.col("ix") % 5 == 0)
     return out.select("ix", "mode", "start", "level")
@@ -341,8 +343,8 @@ def page_variants(spark, sf_dir):
 @query("""SELECT p_brand AS brand, min(p_partkey) FILTER (WHERE p_size = top) AS best FROM (SELECT *, max(p_size) OVER (PARTITION BY p_brand) AS top FROM part) GROUP BY p_brand""")
 def picked_variants(spark, sf_dir):
     rows = _part(spark, sf_dir)
-    out = cleanup.pick_variant(rows, "p_brand", [[F.col("p_size") > 10**6]], [F.col("p_size").desc(), K])
-    return out.select(F.col("p_brand").alias("brand"), K.alias("best"))
+    out = cleanup.pick_variant(rows, "p_brand", [[F.col("p_size") > 10**6]], [F.col("p_size").desc(), _key()])
+    return out.select(F.col("p_brand").alias("brand"), _key().alias("best"))
 
 
 # --- lookups, merges and levels -------------------------------------------------------------------------------------
@@ -358,9 +360,9 @@ def level_then_global_lookup(spark, sf_dir):
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'model' ELSE p_name END AS name, CASE WHEN p_partkey % 2 = 0 THEN 'parsed' ELSE CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'model' END END AS fee FROM part""")
 def merged_stages(spark, sf_dir):
-    parsed = _part(spark, sf_dir).select("p_partkey", F.col("p_name").alias("name"), F.when(K % 2 == 0, "parsed").otherwise(" ").alias("fee"))
+    parsed = _part(spark, sf_dir).select("p_partkey", F.col("p_name").alias("name"), F.when(_key() % 2 == 0, "parsed").otherwise(" ").alias("fee"))
     model = _part(spark, sf_dir).where("p_partkey % 5 <> 0 or p_partkey % 3 = 0").select(
-        "p_partkey", F.when(K % 3 == 0, "model").otherwise("").alias("name"), F.when(K % 5 == 0, "").otherwise("model").alias("fee")
+        "p_partkey", F.when(_key() % 3 == 0, "model").otherwise("").alias("name"), F.when(_key() % 5 == 0, "").otherwise("model").alias("fee")
     )
     return export.merge_stages(parsed, model, "p_partkey", ["fee"], ["name"])
 
@@ -382,17 +384,17 @@ def audited_rows(spark, sf_dir):
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 2 = 0 AND p_partkey % 5 < 3 THEN 'scholarship study level does not match course (undergraduate/foundation got postgraduate scholarship)'
   WHEN p_partkey % 2 = 1 AND p_partkey % 5 >= 3 THEN 'scholarship study level does not match course (postgraduate got undergraduate scholarship)' ELSE '' END AS wrong FROM part""")
 def scholarship_level_mismatch(spark, sf_dir):
-    level = F.when(K % 2 == 0, "undergraduate").otherwise("postgraduate_research")
-    declared = F.when(K % 5 < 3, "Postgraduate").otherwise("undergraduate")
-    name = F.when(K % 3 == 0, "").otherwise("Award")
+    level = F.when(_key() % 2 == 0, "undergraduate").otherwise("postgraduate_research")
+    declared = F.when(_key() % 5 < 3, "Postgraduate").otherwise("undergraduate")
+    name = F.when(_key() % 3 == 0, "").otherwise("Award")
     meta = F.array().cast(nested.META)
     return _part(spark, sf_dir).select("p_partkey", validate.level_mismatch(level, name, meta, declared).alias("wrong"))
 
 
 @query("""SELECT p_brand AS brand, max(p_partkey) AS path_key FROM part WHERE p_size % 2 = (SELECT 1) GROUP BY p_brand""")
 def latest_pages_by_name(spark, sf_dir):
-    rows = _part(spark, sf_dir).where("p_size % 2 = 1").withColumn("path", F.format_string("x/%010d-2026-27/normalized.json", K))
-    return dedupe.latest_by_name(rows, "p_brand", "path").select(F.col("p_brand").alias("brand"), K.alias("path_key"))
+    rows = _part(spark, sf_dir).where("p_size % 2 = 1").withColumn("path", F.format_string("x/%010d-2026-27/normalized.json", _key()))
+    return dedupe.latest_by_name(rows, "p_brand", "path").select(F.col("p_brand").alias("brand"), _key().alias("path_key"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'postgraduate_research' WHEN 1 THEN 'foundation' WHEN 2 THEN 'undergraduate' WHEN 3 THEN 'other' ELSE '' END AS of_scope,
@@ -400,7 +402,7 @@ def latest_pages_by_name(spark, sf_dir):
   CASE p_partkey % 5 WHEN 0 THEN 'postgraduate' WHEN 1 THEN 'foundation' ELSE 'undergraduate' END AS bucket,
   concat(CASE p_partkey % 5 WHEN 0 THEN 'postgraduate_research' WHEN 1 THEN 'foundation' WHEN 3 THEN 'other' ELSE 'undergraduate' END, '::x') AS done FROM part""")
 def level_names(spark, sf_dir):
-    raw = F.when(K % 5 == 0, "Postgraduate-Research").when(K % 5 == 1, "foundation").when(K % 5 == 2, "UNDERGRADUATE").when(K % 5 == 3, "other").otherwise("evening")
+    raw = F.when(_key() % 5 == 0, "Postgraduate-Research").when(_key() % 5 == 1, "foundation").when(_key() % 5 == 2, "UNDERGRADUATE").when(_key() % 5 == 3, "other").otherwise("evening")
     return _part(spark, sf_dir).select(
         "p_partkey", levels.from_scope(raw).alias("of_scope"), levels.folder(raw).alias("folder"), levels.bucket(raw).alias("bucket"), levels.resume_key(raw, F.lit("x")).alias("done")
     )
@@ -414,15 +416,15 @@ def level_names(spark, sf_dir):
   CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS DOUBLE) WHEN p_partkey % 3 = 0 THEN CAST(p_size * 1000 AS DOUBLE) ELSE -1.0 END AS scholarship FROM part""")
 def money_texts(spark, sf_dir):
     size = F.col("p_size")
-    says = F.when(K % 2 == 0, F.concat(F.lit("You'll pay a £"), size, F.lit(",500 deposit before CAS"))).otherwise("nothing")
-    amount = F.when(K % 2 == 0, F.concat(F.lit("£1 or £"), size)).otherwise("half")
-    more = F.when(K % 3 == 0, F.concat(F.lit("Scholarship value: £"), size, F.lit(",000, not £99,000,000"))).otherwise("none")
+    says = F.when(_key() % 2 == 0, F.concat(F.lit("You'll pay a £"), size, F.lit(",500 deposit before CAS"))).otherwise("nothing")
+    amount = F.when(_key() % 2 == 0, F.concat(F.lit("£1 or £"), size)).otherwise("half")
+    more = F.when(_key() % 3 == 0, F.concat(F.lit("Scholarship value: £"), size, F.lit(",000, not £99,000,000"))).otherwise("none")
     return _part(spark, sf_dir).select(
         "p_partkey",
         numbers.pounds((size * 1000).cast("string")).alias("pounds"),
         numbers.stated_deposit(says).alias("deposit"),
         numbers.amount_in(F.concat(size, F.lit("500")), says).alias("stated"),
-        numbers.example_amounts(F.when(K % 3 == 0, "AUD 42,500").otherwise("AUD 42,501")).alias("example"),
+        numbers.example_amounts(F.when(_key() % 3 == 0, "AUD 42,500").otherwise("AUD 42,501")).alias("example"),
         numbers.pages_of(size, F.lit(10)).alias("pages"),
         numbers.scholarship_amount(amount, more).alias("scholarship"),
     )
@@ -432,36 +434,36 @@ def money_texts(spark, sf_dir):
   CASE WHEN p_partkey % 2 = 0 THEN 'March 2028' ELSE 'next spring' END AS short, CASE WHEN p_partkey % 2 = 0 THEN 'May 2026, June 2027' ELSE 'September' END AS intake FROM part""")
 def month_texts(spark, sf_dir):
     none = F.array().cast("array<string>")
-    values = F.when(K % 3 == 0, F.array(*map(F.lit, ("soon", "May 2027", "September 2026", "January 2026")))).when(K % 3 == 1, F.array(F.lit("soon"))).otherwise(none)
+    values = F.when(_key() % 3 == 0, F.array(*map(F.lit, ("soon", "May 2027", "September 2026", "January 2026")))).when(_key() % 3 == 1, F.array(F.lit("soon"))).otherwise(none)
     return _part(spark, sf_dir).select(
         "p_partkey",
         F.array_join(dates.sort_intakes(values), "|").alias("sorted"),
-        dates.short_month(F.when(K % 2 == 0, "mar 2028").otherwise(" next spring")).alias("short"),
-        dates.intake_text(F.when(K % 2 == 0, "May 2026, full, June 2027").otherwise("September")).alias("intake"),
+        dates.short_month(F.when(_key() % 2 == 0, "mar 2028").otherwise(" next spring")).alias("short"),
+        dates.intake_text(F.when(_key() % 2 == 0, "May 2026, full, June 2027").otherwise("September")).alias("intake"),
     )
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Group C' WHEN 1 THEN 'Group A' ELSE '' END AS grp, concat(lower(regexp_replace(p_name, '[^A-Za-z0-9_-]+', '-', 'g')), '-x') AS file,
   CASE WHEN p_partkey % 2 = 0 THEN 'ABB;BBC' ELSE '' END AS offers FROM part""")
 def name_texts(spark, sf_dir):
-    first = F.when(K % 3 == 0, "see group c below").otherwise("none")
-    second = F.when(K % 3 == 1, "Group A or B").otherwise("no")
+    first = F.when(_key() % 3 == 0, "see group c below").otherwise("none")
+    second = F.when(_key() % 3 == 1, "Group A or B").otherwise("no")
     return _part(spark, sf_dir).select(
         "p_partkey",
         text.english_group(first, second).alias("grp"),
         text.file_name(F.concat("p_name", F.lit(" / x!"))).alias("file"),
-        F.array_join(text.offer_grades(F.when(K % 2 == 0, "ABB - bbc, again ABB").otherwise("A or B")), ";").alias("offers"),
+        F.array_join(text.offer_grades(F.when(_key() % 2 == 0, "ABB - bbc, again ABB").otherwise("A or B")), ";").alias("offers"),
     )
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN concat('HSC=', p_size, '%') ELSE '' END AS bullets, CASE WHEN p_partkey % 3 = 0 THEN 'Entry Requirements;English Requirement' ELSE 'Entry Requirements' END AS blocks,
   CASE WHEN p_partkey % 2 = 0 THEN 'degree,grade' ELSE '' END AS shape FROM part""")
 def nested_texts(spark, sf_dir):
-    body = F.when(K % 2 == 0, F.concat(F.lit("# T\n- **HSC:** "), "p_size", F.lit("%\n- **Description:** 5%"))).otherwise("text")
-    meta = F.when(K % 3 == 0, '[{"subtitle":"entry requirements","description":["a"]},{"description":["IELTS 6.5 overall"]},{"subtitle":"Fees","description":["b"]}]').otherwise(
+    body = F.when(_key() % 2 == 0, F.concat(F.lit("# T\n- **HSC:** "), "p_size", F.lit("%\n- **Description:** 5%"))).otherwise("text")
+    meta = F.when(_key() % 3 == 0, '[{"subtitle":"entry requirements","description":["a"]},{"description":["IELTS 6.5 overall"]},{"subtitle":"Fees","description":["b"]}]').otherwise(
         '[{"subtitle":"Entry Requirements","description":"a"},{"subtitle":"English Requirement","description":[]}]'
     )
-    rows = F.when(K % 2 == 0, '[{"grade":"1","degree":"x"}]').otherwise("[]")
+    rows = F.when(_key() % 2 == 0, '[{"grade":"1","degree":"x"}]').otherwise("[]")
     return _part(spark, sf_dir).select(
         "p_partkey",
         F.array_join(F.transform(nested.bullets(body), lambda r: F.concat(r["degree"], F.lit("="), r["grade"])), ";").alias("bullets"),

@@ -25,8 +25,12 @@ def csv(df: DataFrame, path: str, quote_all: bool = False, sep: str = ",", mode:
 
 def level_files(df: DataFrame, folder: str, level: str = "study_level") -> None:
     """One folder a level, those without rows included, so that readers find all five."""
-    for name in LEVELS:
-        csv(df.where(F.col(level) == name), f"{folder}/{name}_course_urls.csv", quote_all=True)
+    held = df.persist()  # one scan of the input, not one a level
+    try:
+        for name in LEVELS:
+            csv(held.where(F.col(level) == name), f"{folder}/{name}_course_urls.csv", quote_all=True)
+    finally:
+        held.unpersist()
 
 
 def partitioned(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:

@@ -43,8 +43,8 @@ def attempted(items: DataFrame, work: Callable[[pd.Series], pd.Series], column:
 
 
 def in_batches(items: DataFrame, ask: Callable[[list[str]], dict[str, str]], name: str, allowed: list[str], size: int = 20) -> DataFrame:
-    """(name, value) that a provider picks from a closed list, asked for `size` names at a time; a batch that fails or
-    an answer off the list gives no row."""
+    """(name, value, error) that a provider picks from a closed list, asked for `size` names at a time; an answer off the
+    list gives no row, a batch that fails one row a name with the error and no value."""
     legal = {a.lower(): a for a in allowed}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -53,12 +53,13 @@ def in_batches(items: DataFrame, ask: Callable[[list[str]], dict[str, str]], nam
             for k in range(0, len(names), size):
                 try:
                     got = ask(names[k : k + size])
-                except Exception:  # noqa: BLE001  the provider is the caller's
-                    continue
-                rows = [(n, legal[str(v).lower()]) for n, v in got.items() if n in names and str(v).lower() in legal]
-                yield pd.DataFrame(rows, columns=[name, "value"])
+                except Exception as failed:  # noqa: BLE001  the provider is the caller's
+                    rows = [(n, None, f"{type(failed).__name__}: {failed}") for n in names[k : k + size]]
+                else:
+                    rows = [(n, legal[str(v).lower()], None) for n, v in got.items() if n in names and str(v).lower() in legal]
+                yield pd.DataFrame(rows, columns=[name, "value", "error"], dtype=object)
 
-    return items.select(name).distinct().mapInPandas(run, f"`{name}` string, value string")
+    return items.select(name).distinct().mapInPandas(run, f"`{name}` string, value string, error string")
 
 
 def listing_batch(pages: DataFrame, key: str, page: str, urls: str) -> DataFrame:

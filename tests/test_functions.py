@@ -354,3 +354,62 @@ def test_variant_rows(spark):
     df = spark.createDataFrame([(1, ["full", "part"], ["Sep", "Jan"]), (2, [], None)], "id int, modes array<string>, starts array<string>")
     rows = cleanup.variant_rows(df, "modes", "starts").collect()
     assert sorted((r.id, r.mode or "", r.start or "") for r in rows) == [(1, "full", "Jan"), (1, "full", "Sep"), (1, "part", "Jan"), (1, "part", "Sep"), (2, "", "")]
+
+
+def test_pages_without_end_tags_nested_tables_and_headers():
+    from lodestone.functions.html import page_markdown
+
+    body = "<body><article><header><h1>Name</h1></header><p>Some text.</p></article><footer>f</footer>"
+    assert page_markdown(f"<html><head><title>T</title><meta charset=x>{body}") == "# Name\n\nSome text."
+    assert page_markdown(f"<html><head><title>T</title></head>{body}") == "# Name\n\nSome text."
+    assert page_markdown("<header><h1>Site</h1></header><p>x</p>") == "x"
+    table = "<table><tr><th>a</th><th><table><tr><td>in</td></tr></table></th></tr><tr><td>1</td><td>2</td></tr></table>"
+    lines = page_markdown(table).splitlines()
+    assert lines[0].startswith("| a |") and "in" in lines[0] and lines[-1] == "| 1 | 2 |"
+
+
+def test_sections_until_a_heading_above(spark):
+    body = "# T\n## A\n### Fees\nx\n### Other\ny\n## B\n### Kept\nz"
+    one = spark.createDataFrame([(body,)], "b string")
+    cut = lambda *a, **k: one.select(markdown.without_section(F.col("b"), *a, **k)).first()[0]
+    assert cut("fees", 3, until=2) == "# T\n## A\n## B\n### Kept\nz"
+    assert cut("fees", 3) == "# T\n## A\n### Other\ny\n## B\n### Kept\nz"
+    assert cut("b", 2) == "# T\n## A\n### Fees\nx\n### Other\ny"
+    long = spark.range(1).select(F.concat(F.lit("# T\n"), F.repeat(F.lit("## A\nline\n"), 50000)).alias("b"))
+    assert long.select(markdown.without_section(F.col("b"), "a", 2)).first()[0] == "# T"
+
+
+def test_a_failed_batch_leaves_a_trace(spark):
+    from lodestone.streaming import progress
+
+    def ask(names):
+        raise RuntimeError("no model")
+
+    rows = progress.in_batches(spark.createDataFrame([("a",), ("b",)], "k string"), ask, "k", ["x"]).collect()
+    assert sorted((r.k, r.value, r.error) for r in rows) == [("a", None, "RuntimeError: no model"), ("b", None, "RuntimeError: no model")]
+
+
+def test_templates(spark, tmp_path):
+    from lodestone.sources import catalogue
+
+    for n in (1, 2):
+        (tmp_path / f"t{n}.csv").write_text(
+            f"\ufeffCourse Type,ALL_COURSE.csv,,\nUni Name,Uni {n},\nUni Link,https://u{n}.example.org\n\n"
+            "Programme,ALL Course Listing URL,Page 1\nAll,https://u.example.org/all,,,d\nFoundation,,,,,,,,,note\n"
+        )
+    rows = catalogue.template(spark, str(tmp_path / "*.csv")).orderBy("university_name", "programme").collect()
+    assert [(r.university_name, r.programme, r.all_listing, r.detail, r.comments) for r in rows] == [
+        (f"Uni {n}", *x) for n in (1, 2) for x in (("All", "https://u.example.org/all", "d", ""), ("Foundation", "", "", "note"))
+    ]
+    assert {r.course_type for r in rows} == {"ALL_COURSE.csv"}
+
+
+def test_selection_of_index_entries(spark):
+    from lodestone.sources import catalogue
+
+    rows = spark.createDataFrame([(f"https://u.org/{k}", f"x/{k}.md", "undergraduate" if k % 2 else "foundation") for k in range(6)], "course_url string, md_file string, study_level string")
+    picked = lambda **k: sorted(r.md_file for r in catalogue.selected(rows, **k).collect())
+    assert picked(md_file="a/3.md", limit=1) == ["x/3.md"]
+    assert picked(url_list=["https://u.org/2/?x=1#y", "https://u.org/5"]) == ["x/2.md", "x/5.md"]
+    assert picked(levels=["foundation"], limit=2) == ["x/0.md", "x/2.md"]
+    assert picked(index=2) == ["x/1.md"] and picked(limit=1) == ["x/0.md"] and len(picked()) == 6
