@@ -179,12 +179,13 @@ def _bags(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return texts.join(wanted, "row", "left_semi").mapInArrow(run, "row long, bag binary")
 
 
-def _spread(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
+def _spread(many: DataFrame, one: DataFrame, key: str | list[str], by: str) -> DataFrame:
     """many joined with one (a row a key), a hot key of many being spread over salts of `by`."""
+    keys = [key] if isinstance(key, str) else key
     salted = many.withColumn("salt", salt_of(by))
-    needed = salted.groupBy(key).agg(*salt_masks())
-    copies = needed.join(one, key).withColumn("salt", masked_salts()).drop("mask_hi", "mask_lo")
-    return salted.join(copies, [key, "salt"]).drop("salt")
+    needed = salted.groupBy(*keys).agg(*salt_masks())
+    copies = needed.join(one, keys).withColumn("salt", masked_salts()).drop("mask_hi", "mask_lo")
+    return salted.join(copies, [*keys, "salt"]).drop("salt")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -217,7 +218,7 @@ def _narrowed(rows: DataFrame, most: int) -> DataFrame:
     counts = rows.groupBy("hub").agg((F.count(F.lit(1)) > most).alias("crowded"))
     bands = F.array(*(F.xxhash64("hub", F.lit(b), F.substring("sig", b * 4 * PER_BAND + 1, 4 * PER_BAND)) for b in range(BANDS)))
     return (
-        rows.join(counts, "hub")
+        _spread(rows, counts, "hub", "row")
         .withColumn("hub", F.explode(F.when(F.col("crowded"), bands).otherwise(F.array("hub"))))
         .drop("crowded")
     )
@@ -248,7 +249,7 @@ def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags:
             F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
         )
         return (
-            rows.join(counts, ["hub", "ring"])
+            _spread(rows, counts, ["hub", "ring"], "row")
             .withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")))
             .groupBy("hub", "ring", "block")
             .agg(
@@ -294,12 +295,12 @@ def _links_among(rows: DataFrame, bags: DataFrame, similarity: float, size: int
     """
     placed = _narrowed(rows, 32 * size)
     split = placed.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
-    rows = placed.join(split, "hub", "left_semi").join(bags, "row")
+    rows = _spread(placed, split, "hub", "row").join(bags, "row")
     counts = rows.groupBy("hub").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
     )
     cut = (
-        rows.join(counts, "hub")
+        _spread(rows, counts, "hub", "row")
         .withColumn("i", F.pmod(F.xxhash64("row"), F.col("k")).cast("int"))
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         .select("hub", F.least("i", "o").alias("lo"), F.greatest("i", "o").alias("hi"), "i", "row", "root", "sig", "bag")
@@ -487,7 +488,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     left = staged(left, "left")
     split = left.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
-    rest = left.join(split, "hub", "left_semi").join(signs.select("row", "sig"), "row")
+    rest = _spread(left, split, "hub", "row").join(signs.select("row", "sig"), "row")
     more = staged(_links_among(rest, bags, similarity), "more")
     used = [signs, crowded, ranked, pairs, wanted, bags, judged, missed, left, links, first_roots, more]
     if not more.isEmpty():
