@@ -179,13 +179,12 @@ def _bags(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return texts.join(wanted, "row", "left_semi").mapInArrow(run, "row long, bag binary")
 
 
-def _spread(many: DataFrame, one: DataFrame, key: str | list[str], by: str) -> DataFrame:
-    """many joined with one (a row a key), a hot key of many being spread over salts of `by`."""
-    keys = [key] if isinstance(key, str) else key
+def _spread(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
+    """many joined with one (a row a key), a hot key of many being spread over salts of `by`. many is planned twice."""
     salted = many.withColumn("salt", salt_of(by))
-    needed = salted.groupBy(*keys).agg(*salt_masks())
-    copies = needed.join(one, keys).withColumn("salt", masked_salts()).drop("mask_hi", "mask_lo")
-    return salted.join(copies, [*keys, "salt"]).drop("salt")
+    needed = salted.groupBy(key).agg(*salt_masks())
+    copies = needed.join(one, key).withColumn("salt", masked_salts()).drop("mask_hi", "mask_lo")
+    return salted.join(copies, [key, "salt"]).drop("salt")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -249,7 +248,7 @@ def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags:
             F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
         )
         return (
-            _spread(rows, counts, ["hub", "ring"], "row")
+            rows.join(counts, ["hub", "ring"])
             .withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")))
             .groupBy("hub", "ring", "block")
             .agg(
@@ -282,25 +281,23 @@ def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags:
     return tiles.select("missed", "star").mapInArrow(run, "a long, b long").distinct()
 
 
-def _links_among(rows: DataFrame, bags: DataFrame, similarity: float, size: int = 128, mass: int = 8_000_000) -> DataFrame:
+def _links_among(placed: DataFrame, bags: DataFrame, similarity: float, size: int = 128, mass: int = 8_000_000) -> DataFrame:
     """(a, b): links between rows (hub, row, root, sig) of one hub whose roots differ, enough to connect all that are linked.
 
-    Rows of a crowded hub meet in _narrowed() places; places where all rows have
-    one root are passed over. The rows of a place are cut into blocks of about
-    `size` rows and `mass` bytes, and each two of its blocks meet in a tile, so
-    that no task holds more than two. Pairs whose signatures agree in too few
-    slots for the similarity, by five standard deviations, are passed over; so
-    are pairs that links of the tile already connect. The others are checked on
-    the full bags.
+    placed: a written table of _narrowed() rows; hubs whose rows all have one
+    root are passed over. The rows of a hub are cut into blocks of about `size`
+    rows and `mass` bytes, and each two of its blocks meet in a tile, so that no
+    task holds more than two. Pairs whose signatures agree in too few slots for
+    the similarity, by five standard deviations, are passed over; so are pairs
+    that links of the tile already connect. The others are checked on the full
+    bags.
     """
-    placed = _narrowed(rows, 32 * size)
-    split = placed.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
-    rows = _spread(placed, split, "hub", "row").join(bags, "row")
-    counts = rows.groupBy("hub").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
-    )
+    sized = placed.select("hub", "row", "root").join(bags.select("row", F.length("bag").alias("size")), "row")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum("size") / mass)).cast("int")
+    hubs = sized.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), blocks.alias("k")).where("r1 <> r2").select("hub", "k")
     cut = (
-        _spread(rows, counts, "hub", "row")
+        _spread(placed, staged(hubs, "hubs"), "hub", "row")
+        .join(bags, "row")
         .withColumn("i", F.pmod(F.xxhash64("row"), F.col("k")).cast("int"))
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         .select("hub", F.least("i", "o").alias("lo"), F.greatest("i", "o").alias("hi"), "i", "row", "root", "sig", "bag")
@@ -488,9 +485,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     left = staged(left, "left")
     split = left.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
-    rest = _spread(left, split, "hub", "row").join(signs.select("row", "sig"), "row")
-    more = staged(_links_among(rest, bags, similarity), "more")
-    used = [signs, crowded, ranked, pairs, wanted, bags, judged, missed, left, links, first_roots, more]
+    rest = staged(_spread(left, split, "hub", "row").join(signs.select("row", "sig"), "row"), "rest")
+    placed = staged(_narrowed(rest, 4096), "placed")
+    more = staged(_links_among(placed, bags, similarity), "more")
+    used = [signs, crowded, ranked, pairs, wanted, bags, judged, missed, left, rest, placed, links, first_roots, more]
     if not more.isEmpty():
         used.append(roots)
         roots = components(links.unionByName(more))
