@@ -95,6 +95,18 @@ def unambiguous_levels(df: DataFrame, name: str, value: str, level: str) -> Data
     )
 
 
+def ambiguous_counts(df: DataFrame, name: str, value: str, level: str) -> DataFrame:
+    """(level, ambiguous): how many lookup keys of each level have more than one value, levels without any included."""
+    return (
+        df.where((F.trim(F.col(value)) != "") & (F.trim(F.col(name)) != ""))
+        .select(F.col(level).alias("level"), F.explode(lookup_keys(F.col(name))).alias("key"), F.trim(F.col(value)).alias("value"))
+        .groupBy("level", "key")
+        .agg((F.min("value") != F.max("value")).alias("__a"))
+        .groupBy("level")
+        .agg(F.count_if("__a").alias("ambiguous"))
+    )
+
+
 def band_of(df: DataFrame, bands: DataFrame, value: Column, out: str, row: str) -> DataFrame:
     """The banded value (columns threshold, points) of the largest threshold that is not above; 0 below all.
 

@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import any_of, error_bucket, is_empty
-from lodestone.functions.urls import path_of, path_template
+from lodestone.functions.urls import page_number, path_of, path_template
+
+
+def page_steps(df: DataFrame, url: str, by: list[str]) -> DataFrame:
+    """The step between a listing's two least page numbers, at least 1; 1 where it has one URL. One row a listing (`by`)."""
+    order = Window.partitionBy(*by).orderBy("__p")
+    return (
+        df.select(*by, page_number(F.col(url)).alias("__p"))
+        .withColumn("__n", F.row_number().over(order))
+        .where("__n <= 2")
+        .groupBy(*by)
+        .agg(F.greatest(F.lit(1), F.max("__p") - F.min("__p")).alias("page_step"))
+    )
 
 
 def missing_required(df: DataFrame, level: Column, required: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import dates, nested, numbers
-from lodestone.functions.text import any_of, known_degree
+from lodestone.functions.text import any_of, grounded, known_degree
 
 #: Fixed values.
 REQUIRED = ("uniName", "programmeName", "degreeName", "courseName", "minDegreeName", "minGpa", "intakeInfo")
@@ -17,6 +17,20 @@ NUMBERS = (
 META_FIELDS = ("AcademicRequirementsMetaData", "feesMetaData", "scholarshipMetaData")
 
 
+def drop_ungrounded(df: DataFrame, columns: list[str], body: str) -> DataFrame:
+    """Blanks each named text that the body does not hold and lists what was dropped in `warnings`.
+
+    A null or blank text stays as it is and gives no warning; a null body holds nothing.
+    """
+    texts = {c: F.trim(F.coalesce(F.col(c), F.lit(""))) for c in columns}
+    lost = {c: (t != "") & ~grounded(t, F.col(body)) for c, t in texts.items()}
+    quoted = {c: F.when(F.contains(t, F.lit("'")) & ~F.contains(t, F.lit('"')), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(t, F.lit("'"), F.lit("\\'")), F.lit("'"))) for c, t in texts.items()}
+    notes = [F.when(lost[c], F.concat(F.lit(f"{c}: dropped ungrounded value "), quoted[c])) for c in columns]
+    blanked = {c: F.when(lost[c], F.lit("")).otherwise(F.col(c)) for c in columns}
+    return df.withColumns(blanked | {"warnings": F.array_compact(F.array(*notes))})
+
+
 def _cell(name: str) -> Column:
     return F.coalesce(F.trim(F.col(name)), F.lit(""))
 

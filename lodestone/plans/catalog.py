@@ -88,6 +88,18 @@ def url_intake_folder(spark, sf_dir):
     return _c(spark, sf_dir).select("ix", urls.intake_folder(urls.slug(F.col("url"))).alias("folder"))
 
 
+@query("""SELECT listing, greatest(1, coalesce(min(p) FILTER (WHERE n = 2) - min(p) FILTER (WHERE n = 1), 1)) AS page_step FROM (
+  SELECT listing, p, row_number() OVER (PARTITION BY listing ORDER BY p) AS n FROM (
+    SELECT page_id % 7 AS listing, CAST(1 + (page_id // 7) * (page_id % 7) AS INTEGER) AS p FROM pages)) GROUP BY listing""")
+def page_steps(spark, sf_dir):
+    listing = F.col("page_id") % 7
+    page = F.lit(1) + F.expr("page_id div 7") * listing
+    rows = _table(spark, sf_dir, "pages").select(
+        listing.alias("listing"), F.concat(F.lit("https://u.example/list?q=a&Page="), page.cast("string")).alias("u")
+    )
+    return stats.page_steps(rows, "u", ["listing"])
+
+
 @query(r"""
 SELECT page_id,
        greatest(1, coalesce(TRY_CAST(nullif(regexp_extract(url, '(?i)[?&]page=([^&#]*)', 1), '') AS INTEGER), 1)) AS page_number,
@@ -316,6 +328,12 @@ def level_dict_grouping_sets(spark, sf_dir):
     return lookup.unambiguous_levels(_c(spark, sf_dir), "name", "kind", "level")
 
 
+@query(f"""{C}, k AS ({_KEYS.format(v="kind")})
+SELECT level, count(*) FILTER (WHERE n > 1) AS ambiguous FROM (SELECT level, k, count(DISTINCT v) AS n FROM k GROUP BY level, k) GROUP BY level""")
+def ambiguous_counts(spark, sf_dir):
+    return lookup.ambiguous_counts(_c(spark, sf_dir), "name", "kind", "level")
+
+
 @query(f"""{C}, d AS (SELECT k, v FROM (VALUES ('red widget', 'Widgets'), ('small ring', 'Rings'), ('hot gear phd', 'Gears')) t(k, v)),
 k AS ({_KEYS.format(v="kind")})
 SELECT c.ix, h.programme FROM c LEFT JOIN (SELECT k.ix, min_by(d.v, k.pos) AS programme FROM k JOIN d ON d.k = k.k GROUP BY k.ix) h ON h.ix = c.ix""")
@@ -587,6 +605,19 @@ def grounding_filter(spark, sf_dir):
     return _table(spark, sf_dir, "orders").select("o_orderkey", text.grounded(value, body).alias("ok"))
 
 
+@query("""SELECT o_orderkey, CASE WHEN k = 1 THEN '' ELSE f END AS fee, CASE WHEN k = 2 THEN '' ELSE 'O''Hara' END AS lead,
+  concat(CASE WHEN k = 1 THEN concat('fee: dropped ungrounded value ''', f, '''') ELSE '' END,
+         CASE WHEN k = 2 THEN 'lead: dropped ungrounded value "O''Hara"' ELSE '' END) AS warnings
+FROM (SELECT o_orderkey, o_orderkey % 3 AS k, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS f FROM orders)""")
+def ungrounded_warnings(spark, sf_dir):
+    k, fee = F.col("o_orderkey") % 3, F.floor("o_totalprice").cast("bigint").cast("string")
+    body = F.when(k == 0, F.concat(F.lit("O'Hara asks for £"), fee)).when(k == 1, "O'Hara asks for nothing").otherwise(fee)
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", fee.alias("fee"), F.lit("O'Hara").alias("lead"), body.alias("body"))
+    return validate.drop_ungrounded(rows, ["fee", "lead"], "body").select(
+        "o_orderkey", "fee", "lead", F.array_join("warnings", "").alias("warnings")
+    )
+
+
 _MONTH = "CASE lower(m) " + " ".join(f"WHEN '{m}' THEN {k}" for k, m in enumerate(dates.MONTHS, 1)) + " END"
 _TOKEN = f"""
 SELECT id, d, m, y, {_MONTH} AS n, concat(upper(substring(m, 1, 1)), lower(substring(m, 2))) AS nice, t FROM (

@@ -9,9 +9,16 @@ from lodestone.functions.levels import LEVELS
 from lodestone.operators.export import cell
 
 
-def csv(df: DataFrame, path: str, quote_all: bool = False, sep: str = ",", mode: str = "overwrite") -> None:
-    """A CSV with a header; nested columns as JSON text, nulls as ''."""
+def csv(df: DataFrame, path: str, quote_all: bool = False, sep: str = ",", mode: str = "overwrite", bom: bool = False) -> None:
+    """A CSV with a header; nested columns as JSON text, nulls as ''. With `bom` each file starts with the byte-order mark.
+
+    The mark is the first sign of the header's first name, so it goes with minimal quotes only.
+    """
+    if bom and quote_all:
+        raise ValueError("a byte-order mark before a quoted header is not supported")
     flat = df.select(*(cell(F.col(f"`{c}`"), kind).alias(c) for c, kind in df.dtypes))
+    if bom:
+        flat = flat.toDF("\ufeff" + flat.columns[0], *flat.columns[1:])
     (
         flat.write.mode(mode)
         .option("header", True)

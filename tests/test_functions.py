@@ -413,3 +413,29 @@ def test_selection_of_index_entries(spark):
     assert picked(url_list=["https://u.org/2/?x=1#y", "https://u.org/5"]) == ["x/2.md", "x/5.md"]
     assert picked(levels=["foundation"], limit=2) == ["x/0.md", "x/2.md"]
     assert picked(index=2) == ["x/1.md"] and picked(limit=1) == ["x/0.md"] and len(picked()) == 6
+
+
+def test_csv_byte_order_mark(spark, tmp_path):
+    sinks.csv(spark.createDataFrame([(1, "é, x")], "id int, name string").coalesce(1), str(tmp_path / "c"), bom=True)
+    (part,) = (tmp_path / "c").glob("part-*.csv")
+    assert part.read_bytes() == "\ufeffid,name\n1,\"é, x\"\n".encode()
+    with pytest.raises(ValueError):
+        sinks.csv(spark.range(1), str(tmp_path / "d"), quote_all=True, bom=True)
+
+
+def test_drop_ungrounded(spark):
+    rows = [("9000", None, "fee £9,000"), ("9000", " ", None), (None, "it's", "none")]
+    got = validate.drop_ungrounded(spark.createDataFrame(rows, "fee string, lead string, body string"), ["fee", "lead"], "body").collect()
+    assert [(r.fee, r.lead, r.warnings) for r in got] == [
+        ("9000", None, []),
+        ("", " ", ["fee: dropped ungrounded value '9000'"]),
+        (None, "", ["lead: dropped ungrounded value \"it's\""]),
+    ]
+
+
+def test_page_steps(spark):
+    urls = [("a", "http://x/l?page=1"), ("a", "http://x/l?page=1"), ("a", "http://x/l?page=9"), ("b", "http://x/l?page=10"),
+            ("b", "http://x/l?page=30"), ("c", None)]
+    got = stats.page_steps(spark.createDataFrame(urls, "k string, u string"), "u", ["k"])
+    assert sorted(map(tuple, got.collect())) == [("a", 1), ("b", 20), ("c", 1)]
+    assert stats.page_steps(spark.createDataFrame([], "k string, u string"), "u", ["k"]).count() == 0
