@@ -220,8 +220,8 @@ def merged_cuts(spans: DataFrame) -> DataFrame:
     )
 
 
-def masked(text: Column, cuts: Column, mask: str) -> Column:
-    """text with each of the ordered cuts (start, end) replaced by mask.
+def kept_parts(text: Column, cuts: Column) -> Column:
+    """The parts of text before, between and after the ordered cuts (start, end): one more than there are cuts.
 
     The text comes in blocks, so that a part is found without counting signs
     from the text's start, and the work stays in proportion to the text.
@@ -244,16 +244,17 @@ def masked(text: Column, cuts: Column, mask: str) -> Column:
     return let(
         blocks,
         lambda b: F.concat(
-            F.array_join(
-                F.transform(cuts, lambda s, i: part(b, F.when(i == 0, zero).otherwise(F.get(cuts, i - 1)["end"]), s["start"])),
-                mask,
-            ),
-            F.lit(mask),
-            part(b, F.get(cuts, F.size(cuts) - 1)["end"], F.length(text).cast("long")),
+            F.transform(cuts, lambda s, i: part(b, F.when(i == 0, zero).otherwise(F.get(cuts, i - 1)["end"]), s["start"])),
+            F.array(part(b, F.get(cuts, F.size(cuts) - 1)["end"], F.length(text).cast("long"))),
         ),
     )
 
 
+def masked(text: Column, cuts: Column, mask: str) -> Column:
+    """text with each of the ordered cuts (start, end) replaced by mask."""
+    return F.array_join(kept_parts(text, cuts), mask)
+
+
 def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", repo_col: str = "source", **options) -> DataFrame:
     """`docs` with the value of every span masked, but for widely copied examples. n_chars follows.
 

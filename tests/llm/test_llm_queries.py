@@ -21,6 +21,9 @@ COLUMNS = {
     "op7_quality": "doc_id bigint held_out boolean score double predicted int",
     "op8_packing": "doc_id bigint start bigint length bigint ids_crc32 bigint doc_tokens bigint sequence_id bigint offset bigint",
     "op9_toxicity": "doc_id bigint held_out boolean score double predicted int",
+    "op11_token_alignment": "doc_id bigint n_a bigint n_b bigint n_groups bigint n_links bigint n_best bigint count_sum bigint groups_sha256 string",
+    "op12_spelling_variants": "word string form string root string n bigint n_near bigint form_n bigint",
+    "op13_private_data": "doc_id bigint n_email bigint n_ip bigint n_card bigint n_phone bigint base_sha256 string spans string",
     "op10_html_text": "page_id bigint url string text string n_chars bigint",
 }
 FOLDS = {"op4_language_id": (4, 2), "op7_quality": (5, 0), "op9_toxicity": (3, 1)}
@@ -33,7 +36,7 @@ def test_contract(spark, name):
     want = COLUMNS[name].split()
     assert {k: kinds[k] for k in want[::2]} == dict(zip(want[::2], want[1::2], strict=True))
     rows = df.collect()
-    table = {"op3_top_k": None, "op8_packing": None, "op10_html_text": "pages"}.get(name, "documents")
+    table = {"op3_top_k": None, "op8_packing": None, "op12_spelling_variants": None, "op10_html_text": "pages"}.get(name, "documents")
     if table:
         assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name in FOLDS:
