@@ -69,6 +69,58 @@ def latest_year_block(lines: DataFrame, key: str, year: str = r"\b(20\d{2})[/-]\
     return marked.withColumn("__f", first).where("`__y` is null or `__s` = `__f`").drop("__y", "__s", "__m", "__f")
 
 
+def latest_year_in_place(lines: DataFrame, key: str, heading: str, ends: str = r"^###\s") -> DataFrame:
+    """Of blocks whose heading matches (group 1: the year) those of the latest year stay; lines outside of blocks stay where they are.
+
+    A block ends at the next such heading or at a line that matches `ends`. A
+    text with one block or none is as it was.
+    """
+    w = Window.partitionBy(key).orderBy("ix").rowsBetween(Window.unboundedPreceding, 0)
+    year = F.nullif(F.regexp_extract(F.trim("line"), heading, 1), F.lit("")).cast("int")
+    mark = F.when(year.isNotNull(), year).when(F.col("line").rlike(ends), F.lit(0))  # 0: outside of any block
+    marked = lines.withColumn("__y", F.nullif(F.coalesce(F.last(mark, ignorenulls=True).over(w), F.lit(0)), F.lit(0)))
+    return marked.withColumn("__m", F.max("__y").over(Window.partitionBy(key))).where("`__y` is null or `__y` = `__m`").drop("__y", "__m")
+
+
+def route_blocks(text: Column, heading: str, routes: list[tuple[str, str]], default: str) -> Column:
+    """Map of a page's entry routes: the key of each route heading to its block, the heading included.
+
+    heading: pattern of a route's heading (group 1: its label); routes: (key,
+    pattern of the label), the first that fits; a heading without a label is
+    `default`. A block ends at the next heading of level 2. Of two blocks with
+    one key the last counts.
+    """
+    lines = lines_of(text)
+    label = lambda x: F.lower(F.trim(F.regexp_extract(x, heading, 1)))
+    key = lambda x: F.coalesce(*(F.when(label(x).rlike(p), k) for k, p in routes), F.when(label(x) == "", default), F.lit(routes[-1][0]))
+    kind = "struct<key:string,lines:array<string>>"
+    start = F.struct(F.lit("").alias("at"), F.array().cast(f"array<{kind}>").alias("done"), F.array().cast("array<string>").alias("open"))
+
+    def close(s: Column) -> Column:
+        block = F.struct(s["at"].alias("key"), s["open"].alias("lines")).cast(kind)
+        return F.when(s["at"] != "", F.concat(s["done"], F.array(block))).otherwise(s["done"])
+
+    def step(s: Column, x: Column) -> Column:
+        begins, ends = x.rlike(heading), F.startswith(x, F.lit("## "))
+        fresh = F.struct(key(x).alias("at"), close(s).alias("done"), F.array(x).alias("open"))
+        over = F.struct(F.lit("").alias("at"), close(s).alias("done"), F.array().cast("array<string>").alias("open"))
+        more = F.struct(s["at"], s["done"], F.when(s["at"] != "", F.concat(s["open"], F.array(x))).otherwise(s["open"]).alias("open"))
+        return F.when(begins, fresh).when(ends, over).otherwise(more)
+
+    blocks = F.aggregate(lines, start, step, close)
+    keys = F.array_distinct(F.transform(blocks, lambda b: b["key"]))
+    last = lambda k: F.element_at(F.filter(blocks, lambda b: b["key"] == k), -1)["lines"]
+    return F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), F.trim(F.array_join(last(k), "\n")).alias("value"))))
+
+
+def picked_route(routes: Column, level: Column, fallback: Column, legacy: Column) -> Column:
+    """The block of a level; for other levels that of the fallback key, else the first; the legacy section where a page has no routes."""
+    named = level.isin("foundation", "undergraduate")
+    first = F.get(F.map_values(routes), 0)
+    other = F.coalesce(F.try_element_at(routes, fallback), first, F.lit(""))
+    return F.when(F.size(routes) == 0, F.coalesce(legacy, F.lit(""))).when(named, F.coalesce(F.try_element_at(routes, level), F.lit(""))).otherwise(other)
+
+
 def until_marker(lines: DataFrame, key: str, off: str, on: str) -> DataFrame:
     """Lines from one that matches `off` until one that matches `on` go."""
     w = Window.partitionBy(key).orderBy("ix").rowsBetween(Window.unboundedPreceding, 0)

@@ -948,12 +948,12 @@ def inferred_names(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from lodestone.plans import pages, references
+    from lodestone.plans import mending, pages, references
 
-    return _QUERIES | references.QUERIES | pages.QUERIES
+    return _QUERIES | references.QUERIES | pages.QUERIES | mending.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    from lodestone.plans import pages, references
+    from lodestone.plans import mending, pages, references
 
-    return _SQL | references.SQL | pages.SQL
+    return _SQL | references.SQL | pages.SQL | mending.SQL

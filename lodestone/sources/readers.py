@@ -128,6 +128,41 @@ def html_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def saved_pages(spark: SparkSession, folder: str, page_map: DataFrame | None = None) -> DataFrame:
+    """(course_url, path, html) of a university's saved pages: those of its page map, else all in its folder.
+
+    page_map: course_url and html_path (or html_file), below `folder`. Rows
+    without a path, or whose page is not there, do not count. Only where none
+    is left are all pages of `folder`/course_pages read and asked for their own
+    address, so no job reads both. A folder without pages gives no rows.
+    """
+    from lodestone.functions.urls import source_url
+
+    def read(paths: list[str] | str, **options) -> DataFrame:
+        reader = spark.read.options(**options).option("ignoreMissingFiles", True)
+        return reader.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    there = lambda path: hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop.Path(path))
+    root = folder.rstrip("/")
+    if page_map is not None:
+        names = [F.nullif(F.trim(c), F.lit("")) for c in ("html_path", "html_file") if c in page_map.columns]
+        listed = page_map.select(F.coalesce("course_url", F.lit("")).alias("course_url"), F.coalesce(*names).alias("name")).where("name is not null")
+        tail = lambda p: F.regexp_replace(F.url_decode(F.regexp_replace(p, r"\+", "%2B")), r"^.*?/course_pages/", "course_pages/")
+        if there(f"{root}/course_pages"):
+            # the listing of names alone tells which pages are there
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/course_pages").select("path")
+            known = files.select(tail(F.col("path")).alias("name"), "path")
+            found = listed.join(known, "name")
+            if not found.isEmpty():
+                pages = read(f"{root}/course_pages", recursiveFileLookup=True).withColumn("name", tail(F.col("path")))
+                return found.select("course_url", "name").join(pages, "name").select(F.trim("course_url").alias("course_url"), "path", "html")
+    if not there(f"{root}/course_pages"):
+        return spark.createDataFrame([], "course_url string, path string, html string")
+    pages = read(f"{root}/course_pages", pathGlobFilter="*.html")
+    return pages.select(source_url(F.col("html")).alias("course_url"), "path", "html")
+
+
 def dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(level, key, value) of a dictionary file: {key: value}, {"global": {...}}, or with byStudyLevel; level null for all."""
     text = spark.read.text(path, wholetext=True)

@@ -40,6 +40,39 @@ def level_files(df: DataFrame, folder: str, level: str = "study_level") -> None:
         held.unpersist()
 
 
+def appended(stream: DataFrame, path: str, checkpoint: str, columns: list[str], sep: str = "\t"):
+    """Append a stream's rows to a file of text parted by tabs: byte-order mark, `sep=`, the header once, then each batch.
+
+    The batch id is the guard: a batch that runs again replaces its own part,
+    so that no row is appended twice. The parts' names are in order, so that
+    they make the whole file when put together; separated() reads them. Values
+    are quoted where they must be, nested ones are JSON, nulls ''.
+    """
+
+    def quoted(c: str, kind: str):
+        value = cell(F.col(f"`{c}`"), kind)
+        return F.when(value.rlike(f'["\r\n{sep}]'), F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(value)
+
+    def put(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if number == 0:
+            head = spark.createDataFrame([(f"\ufeffsep={sep}\n{sep.join(columns)}",)], "value string")
+            head.coalesce(1).write.mode("overwrite").text(f"{path}/0-head")
+        kinds = dict(batch.dtypes)
+        lines = batch.select(F.concat_ws(sep, *(quoted(c, kinds[c]) for c in columns)).alias("value"))
+        lines.write.mode("overwrite").text(f"{path}/1-batch-{number:012d}")
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+
+
+def separated(spark, path: str, columns: list[str], sep: str = "\t") -> DataFrame:
+    """Rows of appended(), all columns as text, without the lines before the first row."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    rows = spark.read.option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", True).option("emptyValue", "").option("nullValue", "\u0000")
+    found = rows.schema(schema).csv(f"{path}/1-batch-*")
+    return found.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns))
+
+
 def partitioned(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
     """Parquet in a folder a key: what replaces a tree of small files."""
     df.repartition(*keys).write.mode(mode).partitionBy(*keys).parquet(path)

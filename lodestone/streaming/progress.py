@@ -138,6 +138,61 @@ def phase_status(counts: DataFrame, key: str) -> DataFrame:
     return counts.select(key, status.alias("status"))
 
 
+#: Phases and what shows how far they are: pattern of the artefacts that are wanted, of those that are there, of what a begun phase leaves.
+PHASES = (
+    ("download", "", r"/clean/courses/.*\.md$", r"/course_pages/[^/]+\.html$"),
+    ("extract", r"/clean/courses/.*\.md$", r"/extracted/.*/output\.json$", r"/extracted/extraction_progress\.json$"),
+    ("normalize", r"/extracted/.*/output\.json$", r"/extracted/.*/normalized\.json$", ""),
+)
+
+
+def artefacts(spark, folder: str) -> DataFrame:
+    """path, length and time of every file below a folder, from the file system's listing (Spark's lists no empty ones); no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select("path", "length", F.col("modificationTime").alias("time"))
+
+
+def artefact_states(files: DataFrame, expected: DataFrame | None = None, phases=PHASES, root: str = r"/([^/]+)/output/") -> DataFrame:
+    """university, phase, expected, done, begun, latest (time) and status of each phase, from its files.
+
+    The university is the folder that `root` finds. A phase without a pattern
+    of wanted files takes their number from expected (university, phase, n).
+    Empty files do not count as done. Statuses are those of phase_status().
+    """
+    uni = F.regexp_extract("path", root, 1)
+    full = F.col("length") > 0
+    count = lambda pattern, test: F.count_if(F.col("path").rlike(pattern) & test) if pattern else F.lit(0).cast("long")
+    sums = []
+    for name, wanted, done, begun in phases:
+        latest = F.max(F.when(F.col("path").rlike(done), F.col("time")))
+        sums.append(
+            F.struct(
+                F.lit(name).alias("phase"),
+                count(wanted, full).alias("wanted"),
+                count(done, full).alias("done"),
+                (count(begun, F.lit(True)) + count(done, ~full)).alias("begun"),
+                latest.alias("latest"),
+            )
+        )
+    per = files.withColumn("university", uni).where("university <> ''").groupBy("university").agg(F.array(*sums).alias("p"))
+    rows = per.select("university", F.explode("p").alias("p")).select("university", "p.*")
+    if expected is not None:
+        keys = ["university", "phase"]
+        rows = rows.join(expected.select(*keys, F.col("n").alias("told")), keys, "full")
+    else:
+        rows = rows.withColumn("told", F.lit(None).cast("long"))
+    zero = F.lit(0).cast("long")
+    counts = rows.select(
+        F.struct("university", "phase").alias("key"),
+        F.coalesce(F.col("told").cast("long"), "wanted", zero).alias("expected"),
+        F.coalesce("done", zero).alias("done"),
+        F.coalesce("begun", zero).alias("begun"),
+        "latest",
+    )
+    status = phase_status(counts, "key")
+    return counts.join(status, "key").select("key.university", "key.phase", "expected", "done", "begun", "latest", "status")
+
+
 def windowed_counts(events: DataFrame, time: str, kind: str, length: str, late: str) -> DataFrame:
     """Counts per tumbling window of event time; rows later than `late` are dropped."""
     return (
