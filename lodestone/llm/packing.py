@@ -53,10 +53,13 @@ def ids_of(coder, text: str, added_tokens: bool) -> np.ndarray:
 
 @dataclass
 class Limits:
-    """What one sequence holds at most. min_piece: no example is cut to fill fewer tokens than that."""
+    """What one sequence holds at most. min_piece: no example is cut to fill fewer tokens than that.
+
+    As many segments as tokens let the shortest examples fill a sequence.
+    """
 
     tokens: int = 1024
-    segments: int = 256
+    segments: int = 1024
     loss: int = 1024
     min_piece: int = 8
 
@@ -98,8 +101,9 @@ def pack_pieces(items: list[Piece], limits: Limits, last: bool) -> tuple[list[li
     segments and loss-bearing tokens, the one with the largest dot product of
     its needs and that room goes in; ties go to the earlier one. Where nothing
     fits whole, the largest example is cut to fill the room. The last sequences
-    are cut at powers of two, which need no padding.
+    are cut at powers of two, which need no padding, whatever a piece's size.
     """
+    least = min(limits.min_piece, limits.tokens, limits.loss)
     caps = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
     pool, sequences = sorted(items, key=lambda p: -p.tokens), []
     left = sum(p.tokens for p in pool)
@@ -122,13 +126,15 @@ def pack_pieces(items: list[Piece], limits: Limits, last: bool) -> tuple[list[li
                 else:
                     k = int(np.argmax(np.where(free, need[:, 0], -1.0)))
                     size = pool[k].fitting(int(room[0]), int(room[2]))
-                    if size < 1 or size < min(limits.min_piece, target):
+                    if size < (least if target == limits.tokens else 1) or size < 1:
                         break
                     piece, pool[k] = pool[k].cut(size)
                     need[k] = [pool[k].tokens, 1, pool[k].loss]
                     scaled[k] = need[k] / caps
                 room -= [piece.tokens, 1, piece.loss]
                 sequence.append(piece)
+            if not sequence:
+                raise ValueError("no example fits an empty sequence")
             sequences.append(sequence)
             left -= sum(p.tokens for p in sequence)
             left_loss -= sum(p.loss for p in sequence)

@@ -70,6 +70,26 @@ def test_exact_groups_of_a_hot_text(spark):
     assert got.where("kept").count() == 1
 
 
+def test_rows_multiplied_after_the_scan(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plain = sorted(r.doc_id for r in exact_dedup.exact_dedup(docs).collect())
+    twice = docs.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    crossed = docs.crossJoin(spark.range(3).withColumnRenamed("id", "n"))
+    for many in (twice, crossed, docs.unionAll(docs)):
+        kept = exact_dedup.exact_dedup(many)
+        assert kept.columns == many.columns and sorted(r.doc_id for r in kept.collect()) == plain
+    assert exact_dedup.exact_dedup(docs.where("doc_id % 2 = 0").select("text", "doc_id")).columns == ["text", "doc_id"]
+
+
+def test_a_hot_text_of_one_id(spark):
+    rows = spark.range(4000).selectExpr("if(id % 4 = 0, 7L, if(id % 4 = 1, null, id)) as doc_id", "if(id % 4 < 2, 'Same', concat('t', id)) as text")
+    got = exact_dedup.exact_groups(exact_dedup.numbered(rows)).where("group_size > 1")
+    assert {(r.keep_id, r.group_size) for r in got.collect()} == {(7, 2000)}
+    assert [r.doc_id for r in got.where("kept").collect()] == [7]
+    none = rows.withColumn("doc_id", F.lit(None).cast("long"))
+    assert exact_dedup.exact_dedup(none).count() == 2001
+
+
 def test_pieces_equal_the_library(docs, nothing):
     import sentencepiece
     from lodestone.llm.shared import vocabulary_path
@@ -274,6 +294,21 @@ def test_packing_of_short_texts_pads_little(spark):
     assert got.where("n < 1000").count() <= 10 and got.agg(F.sum("n")).collect()[0][0] == 12000
 
 
+@pytest.mark.parametrize("text", ["", "a", "a b"])
+def test_packing_of_the_shortest_texts_pads_little(spark, text):
+    got = packing.pack(spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).coalesce(1))
+    sizes = [r.n for r in got.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()]
+    assert sum(1024 - n for n in sizes if n & (n - 1)) <= sum(sizes) * 0.1
+
+
+@pytest.mark.parametrize("loss", [1, 4, 7])
+def test_packing_under_a_small_loss_limit_ends(spark, loss):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (2, ""), (3, "a b")], "doc_id long, text string")
+    got = packing.pack(docs.coalesce(1), limits=packing.Limits(tokens=64, segments=8, loss=loss)).collect()
+    assert sum(r.length for r in got) == sum({r.doc_id: r.doc_tokens for r in got}.values())
+    assert all(sum(r.length for r in got if r.sequence_id == s) <= loss for s in {r.sequence_id for r in got})
+
+
 def test_packed_conversations(spark):
     from lodestone.llm import queries
 
