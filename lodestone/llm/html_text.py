@@ -49,6 +49,12 @@ GENERIC = re.compile(
     r"secondary|section|side|site|slot|small|sticky|stories|text|thread|top|unit|widgets?|wrap|wrapper|zone",
     re.I,
 )
+#: Texts of headings that open the readers' comments, to the end of the element that the heading stands in. Fixed values.
+COMMENTS = re.compile(
+    r"(?:\d+\s+)?(?:(?:reader|user|visitor)s?['’]?s?\s+)?(?:comments?|replies|responses)(?:\s*\(\d+\))?:?"
+    r"|leave\s+a\s+(?:comment|reply)|join\s+the\s+(?:conversation|discussion)",
+    re.I,
+)
 #: A name like has-sidebar says what an element has around it, not what it is.
 _AROUND = re.compile(r"(?:has|with|no|is|without|show|hide)[_-]", re.I)
 _TOKEN = re.compile(
@@ -69,7 +75,7 @@ _NAMES = re.compile(r"""\b(class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)
 
 #: Lines of a window of the distribution, and what stands between lines that no window may join.
 WINDOW = 3
-_GAP = ("", 0, False, ())
+_GAP = ("", 0, False, 0)
 #: Weights of a letter: in an article or main, on a page without any, and outside of those that a page has. Fixed values.
 MARKED, PLAIN, UNMARKED = 2.0, 1.0, 0.25
 
@@ -110,28 +116,88 @@ def closed_elements(page: str) -> dict[int, int]:
     return ends
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
-    """Lines of a page without its markup: text, length for the distribution, inside article or main, numbers of the
-    elements around it from the outermost on (the page's body has none).
+class Holders:
+    """The elements that hold lines, numbered from 1 as they open, 0 for the page: what each stands in and the last one inside it."""
+
+    def __init__(self):
+        self.above, self.last = [0], [0]
+
+    def add(self, above: int) -> int:
+        self.above.append(above)
+        self.last.append(0)
+        return len(self.above) - 1
+
+    def shut(self, number: int) -> None:
+        self.last[number] = len(self.above) - 1
+
+    def holds(self, outer: int, number: int) -> bool:
+        return outer == number or outer == 0 or outer <= number <= (self.last[outer] or len(self.above))
+
+    def common(self, numbers: Iterable[int]) -> int:
+        """The innermost element that holds all of them."""
+        home = None
+        for number in numbers:
+            home = number if home is None else home
+            while not self.holds(home, number):
+                home = self.above[home]
+        return home or 0
+
+
+def lines_of(page: str) -> list[tuple[str, int, bool, int]]:
+    """The lines of read_lines()."""
+    return read_lines(page)[0]
+
+
+def read_lines(page: str, named_inside: bool = True) -> tuple[list[tuple[str, int, bool, int]], Holders]:
+    """Lines of a page without its markup: text, length for the distribution, inside article or main, number of the
+    element around it (0 right in the page's body); and these elements.
 
     A block is a line. Lines in frame elements, or in elements whose class, id
-    or role names boilerplate, are empty ones. Outside of an article a line of
-    links that has little else counts as length 0. Where a frame begins or ends
-    stands an empty line; where an article does, as many as a window has.
+    or role names boilerplate (inside of an article only if named_inside), are
+    empty ones, and so are those from a heading of comments on. Outside of an
+    article a line of links that has little else counts as length 0. Where a
+    frame begins or ends stands an empty line; where an article does, as many
+    as a window has.
     """
-    lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
+    lines: list[tuple[str, int, bool, int]] = []
+    holders = Holders()
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # tag, boilerplate, article, numbers
-    made = 0
-    in_link = False
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, boilerplate, article, number
+    counts: dict[str, int] = {}  # of the open elements, by tag
+    articles = 0  # of the open elements those inside an article
+    in_link = heading = over = False
+
+    def names_frame(attrs: str, inside: bool) -> bool:
+        return (named_inside or not inside) and is_frame(names_of(attrs), inside)
+
+    def push(tag: str, off: bool, inside: bool, around: int) -> None:
+        nonlocal articles
+        articles += inside
+        stack.append((tag, off, inside, around))
+
+    def pop() -> bool:
+        nonlocal articles
+        _, off, inside, around = stack.pop()
+        articles -= inside
+        if around and not (stack and stack[-1][3] == around):
+            holders.shut(around)
+        return off
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, heading, over
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
+        if text and heading and COMMENTS.fullmatch(text):
+            if stack and stack[-1][0] not in ("body", "html"):
+                tag, _, inside, around = stack[-1]
+                stack[-1] = (tag, True, inside, around)
+            else:
+                over = True
+        heading = False
         if text:
-            _, off, inside, around = stack[-1] if stack else ("", False, False, ())
+            _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
+            off = off or over
             plain = len(text) - min(linked, len(text))
             lines.append(_GAP if off else (text, 0 if plain * 3 < len(text) and not inside else len(text), inside, around))
         linked = 0
@@ -167,47 +233,54 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...]]]:
         elif tag in BLOCKS:
             close()
             in_link = False
+            heading = not ends and len(tag) == 2 and tag[0] == "h" and tag != "hr"
             if stack and stack[-1][0] not in HOLDERS and (not ends and (stack[-1][0] in SIBLINGS.get(tag, ()) or stack[-1][0] == "p")):
-                stack.pop()  # its end tag may be left out
+                counts[stack[-1][0]] -= 1
+                pop()  # its end tag may be left out
                 if not (stack and stack[-1][1]):
                     lines.append(_GAP)
             if tag not in HOLDERS and not ends:
                 # of the elements that hold a line or two, only those that are boilerplate are tracked
-                _, off, inside, around = stack[-1] if stack else ("", False, False, ())
-                if not off and is_frame(names_of(m["attrs"] or m["attrs2"] or ""), inside):
+                _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
+                if not off and names_frame(m["attrs"] or m["attrs2"] or "", inside):
                     lines.append(_GAP)
-                    stack.append((tag, True, False, around))
+                    push(tag, True, False, around)
+                    counts[tag] = counts.get(tag, 0) + 1
                 continue
             if ends:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        was, within = stack[k][1], any(x[2] for x in stack[k:])
-                        del stack[k:]
-                        if was and not (stack and stack[-1][1]):
-                            lines.append(_GAP)
-                        if within and not any(x[2] for x in stack):
-                            lines.extend([_GAP] * WINDOW)
-                        break
+                if counts.get(tag):
+                    held = articles
+                    while True:
+                        name = stack[-1][0]
+                        was = pop()
+                        counts[name] -= 1
+                        if name == tag:
+                            break
+                    if was and not (stack and stack[-1][1]):
+                        lines.append(_GAP)
+                    if held and not articles:
+                        lines.extend([_GAP] * WINDOW)
             else:
-                _, off, inside, around = stack[-1] if stack else ("", False, False, ())
-                held = any(x[2] for x in stack)
-                names = names_of(m["attrs"] or m["attrs2"] or "")
-                mine = tag in FRAME or tag == "header" and not inside or is_frame(names, inside)
+                _, off, inside, around = stack[-1] if stack else ("", False, False, 0)
+                held = articles
+                attrs = m["attrs"] or m["attrs2"] or ""
+                named = names_frame(attrs, inside)
+                mine = tag in FRAME or tag == "header" and not inside or named
                 if tag in ("main", "article", "body") and not off:
-                    mine = inside and is_frame(names, inside)
-                inside = (inside or tag in ("article", "main") or "main" in names) and not (off or mine)
+                    mine = inside and named
+                inside = (inside or tag in ("article", "main") or "main" in names_of(attrs)) and not (off or mine)
                 if mine and not off:
                     lines.append(_GAP)
                 if inside and not held:
                     lines.extend([_GAP] * WINDOW)
                 if tag not in INNER and tag != "body":
-                    made += 1
-                    around = (*around, made)
-                stack.append((tag, off or mine, inside, around))
+                    around = holders.add(around)
+                push(tag, off or mine, inside, around)
+                counts[tag] = counts.get(tag, 0) + 1
     if at < len(page):
         parts.append(page[at:])
     close()
-    return lines
+    return lines, holders
 
 
 def main_text(page: str | None, window: int = WINDOW, least: float = 80, rise: float = 0.15) -> str:
@@ -218,12 +291,16 @@ def main_text(page: str | None, window: int = WINDOW, least: float = 80, rise: f
     pages whose highest sum is small, to `rise` of that), its stretch goes from
     where the sums leave 0 to the dive, where they are 0 again. Stretches
     without a surge are main text only under the element that holds those with
-    one; text right in the body holds only what stands right there too.
+    one; text right in the body holds only what stands right there too. Where
+    names leave nothing of an article, they do not count inside it.
     """
-    lines = lines_of(page or "")
+    lines, holders = read_lines(page or "")
     sizes = np.array([x[1] for x in lines], dtype=float)
     if not sizes.sum():
-        return ""
+        lines, holders = read_lines(page or "", named_inside=False)
+        sizes = np.array([x[1] for x in lines], dtype=float)
+        if not sizes.sum():
+            return ""
     inside = np.array([x[2] for x in lines], dtype=bool)
     sizes *= np.where(inside, MARKED, UNMARKED) if (sizes * inside).any() else PLAIN
     sums = np.convolve(sizes, np.ones(window))[window - 1 :]
@@ -237,10 +314,10 @@ def main_text(page: str | None, window: int = WINDOW, least: float = 80, rise: f
     peak = stretches[int(np.argmax(highest))]
     marked = inside[max(peak, key=lambda k: sizes[k])]
     surged = [s for s, h in zip(stretches, highest, strict=True) if h >= bound and inside[s[0]] == marked]
-    home = _common(lines[k][3] for s in surged for k in s) or _common(lines[k][3] for k in peak)
+    home = holders.common(lines[k][3] for s in surged for k in s) or holders.common(lines[k][3] for k in peak)
 
     def at_home(k: int) -> bool:
-        return inside[k] == marked and (lines[k][3][: len(home)] == home if home else not lines[k][3])
+        return inside[k] == marked and (holders.holds(home, lines[k][3]) if home else not lines[k][3])
 
     kept = [
         k for s, h in zip(stretches, highest, strict=True) if h >= bound or any(map(at_home, s)) for k in s
@@ -248,18 +325,12 @@ def main_text(page: str | None, window: int = WINDOW, least: float = 80, rise: f
     return "\n\n".join(lines[k][0] for k in kept)
 
 
-def _common(paths: Iterable[tuple[int, ...]]) -> tuple[int, ...]:
-    """The elements that all paths begin with."""
-    paths = list(paths)
-    low, high = min(paths), max(paths)
-    return low[: next((k for k, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))]
-
-
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of every page, in Arrow batches, without a shuffle.
 
     Defined results: null, empty and text-free pages give ''; unclosed and
-    stray tags are tolerated; pages are read whole at any length; of equal peaks
+    stray tags are tolerated; pages are read whole at any length and depth, in
+    time in proportion to them; of equal peaks
     the first decides; each row is read by itself, so repeated rows and null
     keys pass through; an empty table gives an empty table; other columns are
     ignored.

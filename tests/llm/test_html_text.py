@@ -1,6 +1,7 @@
 """The line-block distribution: brute force, pages without article, names that only look like boilerplate."""
 
 import re
+import time
 
 import duckdb
 
@@ -77,3 +78,42 @@ def test_names():
                 assert got.count("word") == 80
     many = "<article>" + '<p class="ad">no</p><p>yes</p>' * 20000 + "</article>"
     assert html_text.main_text(many).count("yes") == 20000 and "no" not in html_text.main_text(many)
+
+
+def test_deep_pages_take_linear_time():
+    start = time.perf_counter()
+    assert html_text.main_text("<div>" * 40_000 + "<p>" + "word " * 50) == " ".join(["word"] * 50)
+    many = html_text.main_text("".join("<div><p>" + "word " * 20 for _ in range(20_000)))
+    assert many.count("\n\n") == 19_999
+    assert time.perf_counter() - start < 20
+
+
+def test_an_article_is_never_empty():
+    text = " ".join(["The law says so."] * 20)
+    for name in ("legal", "header", "comments"):
+        assert html_text.main_text(f'<nav>Menu</nav><main><div class="{name}"><p>{text}</p></div></main><footer>x</footer>') == text
+    assert html_text.main_text('<body><nav>Menu</nav><div class="ad">Buy this now</div></body>') == ""
+
+
+def test_comments_under_a_plain_name():
+    text = " ".join(["The article says so."] * 20)
+    said = " ".join(["I like it."] * 30)
+    after = f'<h3>{{}}</h3><div class="reader"><p>{said}</p></div>'
+    for heading in ("Comments", "3 comments", "Comments (12)", "Leave a reply", "Reader comments:"):
+        assert html_text.main_text(f"<article><p>{text}</p>{after.format(heading)}</article><p>foot</p>") == text
+        assert html_text.main_text(f"<div><p>{text}</p></div>{after.format(heading)}") == text
+    kept = html_text.main_text(f"<article><p>{text}</p>{after.format('Comments on the law')}</article>")
+    assert kept.endswith(said)
+
+
+def test_holders():
+    h = html_text.Holders()
+    a = h.add(0)
+    b = h.add(a)
+    h.shut(b)
+    c = h.add(a)
+    h.shut(c)
+    h.shut(a)
+    d = h.add(0)
+    assert h.common([b, c]) == a and h.common([b, d]) == 0 and h.common([c]) == c and h.common([]) == 0
+    assert h.holds(a, c) and not h.holds(b, c) and not h.holds(a, d) and h.holds(d, h.add(d))
