@@ -19,7 +19,7 @@ from lodestone.llm.shared import staged
 #: Bits of an id within a pair of ids.
 _BITS = 20
 #: Pairs counted in a task before they go out.
-_COUNTED = 4_000_000
+_COUNTED = 2_000_000
 #: Pairs whose counts every task holds; the others are joined.
 HEAD = 1 << 20
 #: Steps of the histogram of counts for each doubling.
@@ -172,7 +172,7 @@ def pairs_of(a_ids: list[np.ndarray], b_ids: list[np.ndarray], c: Coders) -> tup
     return keys >> 2 * _BITS, keys & ((1 << 2 * _BITS) - 1), times
 
 
-def _runs(batch: pa.RecordBatch, *columns: str, size: int = 1_000_000) -> Iterator[tuple[int, list[list]]]:
+def _runs(batch: pa.RecordBatch, *columns: str, size: int = 300_000) -> Iterator[tuple[int, list[list]]]:
     """Runs of rows with so many characters or bytes, and the place of their first."""
     run, held, first = [[] for _ in columns], 0, 0
     for n in range(batch.num_rows):
