@@ -24,6 +24,7 @@ SCHOLARSHIPS = (
     "array<struct<scholarshipName:string,scholarshipType:string,scholarshipStudyLevel:string,Eligibility:string,Amount:string,description:string>>"
 )
 DEPOSIT = "struct<initialDeposit:string,feesMetaData:array<struct<subtitle:string,description:array<string>>>>"
+_ENTRY_LEVEL = nested.ENTRY_DOCUMENT.removeprefix("struct<studyLevels:array<").removesuffix(">>")
 KINDS = ("entry", "english", "scholarships", "deposit")
 
 
@@ -88,6 +89,7 @@ def entry_issues(document: Column, required: tuple[str, ...] = tuple(nested.LEVE
 
         at = said("studyLevels[", k.cast("string"), "]")
         return _cases(
+            (level["off"], _one("ERROR", "invalid_study_level", said(at, " must be an object"))),
             (name == "", _one("ERROR", "missing_study_level_name", said(at, " is missing studyLevel"))),
             (known.isNull(), _one("ERROR", "unknown_study_level", said('studyLevel "', name, '" is no known level'))),
             (F.coalesce(F.size(level["programs"]), F.lit(0)) < 1, _one("WARN", "missing_programs", said(name, " has no programs[] entries"))),
@@ -95,7 +97,7 @@ def entry_issues(document: Column, required: tuple[str, ...] = tuple(nested.LEVE
         )
 
     def of_document(d: Column) -> Column:
-        levels = d["studyLevels"]
+        levels = d
         seen = F.transform(levels, lambda x: _level_of(x["studyLevel"]))
         absent = [
             _cases((~F.coalesce(F.array_contains(F.array_compact(seen), lvl), F.lit(False)), _one("WARN", "missing_pipeline_level", f"No studyLevel block found for pipeline level '{lvl}'")))
@@ -106,8 +108,18 @@ def entry_issues(document: Column, required: tuple[str, ...] = tuple(nested.LEVE
             (F.lit(True), F.concat(_each(levels, of_level), *absent)),
         )
 
-    bad = ~F.coalesce(F.schema_of_variant(F.try_parse_json(document)).startswith("OBJECT"), F.lit(False))
-    parsed = F.from_json(document, nested.ENTRY_DOCUMENT)
+    v = F.try_parse_json(document)
+    bad = ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+    def read(item: Column) -> Column:
+        """One item of studyLevels, read apart from the others, so that an odd one hides none of their issues."""
+        is_object = F.coalesce(F.schema_of_variant(item).startswith("OBJECT"), F.lit(False))
+        level = F.from_json(F.when(is_object, F.to_json(item)), _ENTRY_LEVEL)
+        return F.struct(
+            level["studyLevel"].alias("studyLevel"), level["programs"].alias("programs"), (~is_object).alias("off")
+        )
+
+    parsed = F.transform(F.try_variant_get(v, "$.studyLevels", "array<variant>"), read)
     return _cases((bad, _one("ERROR", "json_parse_failed", "Could not parse the entry document")), (F.lit(True), let(parsed, of_document)))
 
 

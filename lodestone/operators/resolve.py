@@ -35,13 +35,16 @@ def course_level(df: DataFrame, known: DataFrame, index: DataFrame, url: str, na
     return rows.withColumn("level", F.coalesce("__l1", "__l2", classify(F.col(url), F.col(name)))).drop("__p", "__l1", "__l2")
 
 
-def english_programme(courses: DataFrame, programmes: DataFrame, key: str, score: Column, scope: list[str] = ()) -> DataFrame:
+def english_programme(courses: DataFrame, programmes: DataFrame, key: str, score: Column, scope: list[str]) -> DataFrame:
     """For each course its English programme: of its group by name, else, among those of its level, the best score over
     0, else the first. courses: (key, level, name, body); programmes: (ix, level, programme); score over both.
 
     scope: columns of both, such as the university, within which a course meets
     programmes; a university has a few of each level, so the join stays linear.
+    Without one every course of a level would meet every programme of it.
     """
+    if not scope:
+        raise ValueError("scope names no column")
     group = english_group(F.coalesce("body", F.lit("")), F.coalesce("name", F.lit("")))
     c = courses.withColumn("__g", F.lower(group))
     p = programmes.withColumnsRenamed({"level": "__pl"} | {s: f"__of_{s}" for s in scope})
@@ -81,20 +84,22 @@ def accepted_answers(answers: DataFrame, asked: DataFrame, allowed: DataFrame) -
 
 
 def index_update(index: DataFrame, done: DataFrame, path: str, columns: list[str]) -> DataFrame:
-    """Index rows with the columns of `done` put in by path, else by file name where that is the index's only one."""
+    """Index rows with the columns of `done` put in by path, else by file name where that is the index's only one.
+
+    File names are counted by an aggregate and resolved to the path of their
+    only row, so the index is joined by path alone: a name that a third of the
+    rows share is no key of a join.
+    """
     base = F.regexp_extract(F.col(path), "([^/]*)$", 1)
-    rows = index.withColumn("__b", base)
-    rows = rows.join(rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__c")), "__b")
-    exact = done.select(F.col(path), *(F.col(c).alias(f"__1{c}") for c in columns), F.lit(True).alias("__1"))
+    exact = done.select(F.col(path), F.struct(*columns).alias("__put"))
     # of several with one file name the least path
     by_name = done.join(index.select(path), path, "left_anti").groupBy(base.alias("__b")).agg(
-        *(F.min_by(F.col(c), F.col(path)).alias(f"__2{c}") for c in columns), F.lit(True).alias("__2")
+        F.struct(*(F.min_by(F.col(c), F.col(path)).alias(c) for c in columns)).alias("__put")
     )
-    rows = rows.join(exact, path, "left").join(by_name, "__b", "left")
-    put = {
-        c: F.when(F.col("__1"), F.col(f"__1{c}")).when(F.col("__2") & (F.col("__c") == 1), F.col(f"__2{c}")).otherwise(F.col(c))
-        for c in columns
-    }
+    only = index.groupBy(base.alias("__b")).agg(F.count(F.lit(1)).alias("__c"), F.min(path).alias(path)).where("`__c` = 1")
+    named = only.join(by_name, "__b").select(path, "__put").join(done.select(path), path, "left_anti")
+    rows = index.join(exact.unionByName(named), path, "left")
+    put = {c: F.when(F.col("__put").isNotNull(), F.col(f"__put.{c}")).otherwise(F.col(c)) for c in columns}
     return rows.withColumns(put).select(*index.columns)
 
 

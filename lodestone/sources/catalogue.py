@@ -95,17 +95,12 @@ def template(spark: SparkSession, path: str) -> DataFrame:
     """Rows of onboarding templates: file, course_type, university_name, university_url and the matrix's columns.
 
     The first lines are told by their first cell, so files of any number and
-    order are read by one scan each in whole.
+    order are read by one scan each in whole. A quoted cell may hold line breaks.
     """
-    files = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿|\r$", "").alias("line"))
-        .where(F.trim("line") != "")
-    )
     schema = ", ".join(f"c{k} string" for k in range(len(TEMPLATE_COLUMNS)))
-    cells = files.select("file", F.from_csv("line", schema, {"escape": '"'}).alias("c"))
-    cells = cells.select("file", *(F.coalesce(F.trim(f"c.c{k}"), F.lit("")).alias(f"c{k}") for k in range(len(TEMPLATE_COLUMNS))))
+    read = spark.read.options(multiLine=True, quote='"', escape='"').schema(schema).csv(path)
+    cell = lambda k: F.regexp_replace(F.coalesce(F.col(f"c{k}"), F.lit("")), "^﻿?[ \r]*|[ \r]+$", "").alias(f"c{k}")
+    cells = read.select(F.col("_metadata.file_path").alias("file"), *map(cell, range(len(TEMPLATE_COLUMNS))))
     low = F.lower("c0")
     head = cells.groupBy("file").agg(
         F.max(F.when(low == "course type", F.col("c1"))).alias("course_type"),

@@ -31,13 +31,23 @@ def csv(df: DataFrame, path: str, quote_all: bool = False, sep: str = ",", mode:
 
 
 def level_files(df: DataFrame, folder: str, level: str = "study_level") -> None:
-    """One folder a level, those without rows included, so that readers find all five."""
-    held = df.persist()  # one scan of the input, not one a level
-    try:
-        for name in LEVELS:
-            csv(held.where(F.col(level) == name), f"{folder}/{name}_course_urls.csv", quote_all=True)
-    finally:
-        held.unpersist()
+    """One folder `level_file=<level>_course_urls.csv` a level, by one write; one of only a header for a level without rows.
+
+    Rows of other levels are left out. The rows are read once and nothing is cached.
+    """
+    known = df.where(F.col(level).isin(*LEVELS))
+    flat = known.select(*(cell(F.col(f"`{c}`"), kind).alias(c) for c, kind in df.dtypes))
+    rows = flat.withColumn("level_file", F.concat(F.col(level), F.lit("_course_urls.csv")))
+    quoted = {"header": True, "quoteAll": True, "escape": '"', "emptyValue": ""}
+    rows.write.mode("overwrite").partitionBy("level_file").options(**quoted).csv(folder)
+    head = flat.limit(0).coalesce(1)
+    for name in LEVELS:  # a folder with rows is left as it is
+        head.write.mode("ignore").options(**quoted).csv(f"{folder}/level_file={name}_course_urls.csv")
+
+
+def level_file(folder: str, level: str) -> str:
+    """Where level_files() puts a level."""
+    return f"{folder}/level_file={level}_course_urls.csv"
 
 
 def appended(stream: DataFrame, path: str, checkpoint: str, columns: list[str], sep: str = "\t"):

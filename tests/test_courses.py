@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions import courses, nested
@@ -83,10 +84,15 @@ def test_answers_and_programmes(spark):
     asked = spark.createDataFrame([("Art",), ("Law",)], "name string")
     allowed = spark.createDataFrame([("Design",), ("Legal",)], "value string")
     assert {tuple(r) for r in resolve.accepted_answers(answers, asked, allowed).collect()} == {("Art", "Design"), ("Law", "Legal")}
-    c = spark.createDataFrame([(1, "undergraduate", "Law", "see Group B"), (2, "undergraduate", "Physics", "")], "k int, level string, name string, body string")
-    p = spark.createDataFrame([(0, "undergraduate", "All"), (1, "postgraduate", "Group B"), (2, "undergraduate", "Physics set")], "ix int, level string, programme string")
+    c = spark.createDataFrame([(1, "u", "undergraduate", "Law", "see Group B"), (2, "u", "undergraduate", "Physics", "")], "k int, uni string, level string, name string, body string")
+    p = spark.createDataFrame(
+        [(0, "u", "undergraduate", "All"), (1, "u", "postgraduate", "Group B"), (2, "u", "undergraduate", "Physics set"), (0, "v", "undergraduate", "Physics set of v")],
+        "ix int, uni string, level string, programme string",
+    )
     score = F.when(F.contains(F.lower("programme"), F.lower("name")), 2).otherwise(0)
-    assert {r.k: r.programme for r in resolve.english_programme(c, p, "k", score).collect()} == {1: "Group B", 2: "Physics set"}
+    assert {r.k: r.programme for r in resolve.english_programme(c, p, "k", score, ["uni"]).collect()} == {1: "Group B", 2: "Physics set"}
+    with pytest.raises(ValueError):
+        resolve.english_programme(c, p, "k", score, [])
 
 
 def test_index_and_gaps(spark):

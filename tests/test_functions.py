@@ -269,7 +269,7 @@ def test_files(spark, tmp_path):
     sinks.csv(df, str(tmp_path / "out.csv"), quote_all=True)
     assert spark.read.option("header", True).csv(str(tmp_path / "out.csv")).collect()[0].n == "[1,2]"
     sinks.level_files(df, str(tmp_path / "levels"))
-    assert readers.url_levels(spark, [str(tmp_path / "levels" / f"{x}_course_urls.csv") for x in levels.LEVELS]).count() == 1
+    assert readers.url_levels(spark, [sinks.level_file(str(tmp_path / "levels"), x) for x in levels.LEVELS]).count() == 1
     missing = sinks.split_by(df, spark.createDataFrame([("foundation",), ("other",)], "study_level string"), "study_level", str(tmp_path / "split"))
     assert [r.study_level for r in missing.collect()] == ["other"]
 
@@ -439,3 +439,45 @@ def test_page_steps(spark):
     got = stats.page_steps(spark.createDataFrame(urls, "k string, u string"), "u", ["k"])
     assert sorted(map(tuple, got.collect())) == [("a", 1), ("b", 20), ("c", 1)]
     assert stats.page_steps(spark.createDataFrame([], "k string, u string"), "u", ["k"]).count() == 0
+
+
+def test_template_cells_with_line_breaks(spark, tmp_path):
+    from lodestone.sources import catalogue
+
+    (tmp_path / "t.csv").write_text('﻿Course Type,ALL_COURSE.csv\r\nUni Name,"Uni, 1"\r\nUni Link,https://u\r\n\r\nProgramme,All\r\nAll,https://a,,,,,,,,"one\ntwo, ""three"""\r\n')
+    rows = catalogue.template(spark, str(tmp_path / "t.csv")).collect()
+    assert [(r.university_name, r.programme, r.all_listing, r.comments) for r in rows] == [("Uni, 1", "All", "https://a", 'one\ntwo, "three"')]
+
+
+def test_an_odd_level_hides_no_issue_of_the_others(spark):
+    from lodestone.operators import documents
+
+    text = '{"studyLevels":[5,{"studyLevel":"Undergraduate","programs":[{"program":"p","requirements":[{"degree":"","grade":"60%"}],"description":["d"]}]},null]}'
+    docs = spark.createDataFrame([(1, "entry", text), (2, "entry", '{"studyLevels":{}}')], "k int, kind string, doc string")
+    got = sorted((r.k, r.code, r.message) for r in documents.issues(docs, "k", "kind", "doc").collect())
+    assert got == [
+        (1, "invalid_study_level", "studyLevels[0] must be an object"),
+        (1, "invalid_study_level", "studyLevels[2] must be an object"),
+        (1, "missing_degree", "Undergraduate requirements[0] is missing degree"),
+        (1, "missing_pipeline_level", "No studyLevel block found for pipeline level 'foundation'"),
+        (1, "missing_pipeline_level", "No studyLevel block found for pipeline level 'postgraduate'"),
+        (2, "missing_study_levels", "studyLevels must be a non-empty array"),
+    ]
+
+
+def test_a_file_for_every_level(spark, tmp_path):
+    rows = spark.createDataFrame([(f"http://{k}", x) for k, x in enumerate(("foundation", "unheard-of", "foundation"))], "course_url string, study_level string")
+    for _ in range(2):  # a second run replaces the first
+        sinks.level_files(rows, str(tmp_path / "l"))
+        found = {x: spark.read.option("header", True).csv(sinks.level_file(str(tmp_path / "l"), x)) for x in levels.LEVELS}
+        assert {x: d.count() for x, d in found.items()} == {x: 2 * (x == "foundation") for x in levels.LEVELS}
+        assert all(d.columns == ["course_url", "study_level"] for d in found.values())
+
+
+def test_index_update_joins_by_path_only(spark):
+    from lodestone.operators import resolve
+
+    index = spark.createDataFrame([(f"{k}/index.md", "") for k in range(50)] + [("x/only.md", "old")], "md string, out string")
+    done = spark.createDataFrame([("z/index.md", "no"), ("7/index.md", "7"), ("y/only.md", None)], "md string, out string")
+    got = {r.md: r.out for r in resolve.index_update(index, done, "md", ["out"]).collect()}
+    assert got == {f"{k}/index.md": "7" if k == 7 else "" for k in range(50)} | {"x/only.md": None}
