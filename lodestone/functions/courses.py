@@ -133,7 +133,7 @@ def fee_object(json: Column) -> Column:
     """Struct (fee, currency) of a fees object: its own tuitionFee, else of its first key that says international."""
     v = F.try_parse_json(json)
     own = numbers.fee_number(F.coalesce(F.try_variant_get(v, "$.tuitionFee", "string"), F.lit("")))
-    said = F.coalesce(F.try_variant_get(v, "$.currency", "string"), F.lit(""))
+    said = F.coalesce(F.trim(F.try_variant_get(v, "$.currency", "string")), F.lit(""))
     keys = F.filter(
         F.json_object_keys(F.to_json(v)),
         lambda k: F.contains(F.lower(k), F.lit("international")) & ~F.lower(k).isin("tuitionfee", "currency", "placementyearfee"),
@@ -147,7 +147,7 @@ def fee_object(json: Column) -> Column:
         )
         return F.struct(
             numbers.fee_number(fee).alias("fee"),
-            F.coalesce(F.try_variant_get(inner, "$.currency", "string"), F.lit("GBP")).alias("currency"),
+            F.coalesce(F.nullif(F.trim(F.try_variant_get(inner, "$.currency", "string")), F.lit("")), F.lit("GBP")).alias("currency"),
         )
 
     first = F.get(F.filter(F.transform(keys, one), lambda s: s["fee"] != ""), 0)
@@ -161,15 +161,18 @@ def _shown(fee: Column) -> Column:
     return F.concat(F.lit("£"), F.coalesce(F.format_number(whole, 0), fee))
 
 
-def fee_blocks(json: Column, fee: Column) -> Column:
-    """A fees object as a block of lines: the international fee (given, else its own) and the placement year's."""
+def fee_blocks(json: Column, fee: Column, own_fee: Column | None = None) -> Column:
+    """A fees object as a block of lines: the international fee (given, else its own) and the placement year's.
+
+    own_fee: where false, the line of the international fee is left out.
+    """
     v = F.try_parse_json(json)
     own = F.coalesce(F.nullif(fee, F.lit("")), F.try_variant_get(v, "$.tuitionFee", "string"))
     placement = F.try_variant_get(v, "$.placementYearFee", "string")
     lines = F.array_compact(
         F.array(
             F.when(
-                F.coalesce(own, F.lit("")) != "",
+                (F.coalesce(own, F.lit("")) != "") & (F.lit(True) if own_fee is None else own_fee),
                 F.concat(F.lit("International tuition fee: "), _shown(own), F.lit(" (full-time, per year)")),
             ),
             F.when(F.coalesce(placement, F.lit("")) != "", F.concat(F.lit("Placement year fee: "), _shown(placement))),

@@ -948,12 +948,12 @@ def inferred_names(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from lodestone.plans import mending, pages, references
+    from lodestone.plans import mending, pages, references, stages
 
-    return _QUERIES | references.QUERIES | pages.QUERIES | mending.QUERIES
+    return _QUERIES | references.QUERIES | pages.QUERIES | mending.QUERIES | stages.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    from lodestone.plans import mending, pages, references
+    from lodestone.plans import mending, pages, references, stages
 
-    return _SQL | references.SQL | pages.SQL | mending.SQL
+    return _SQL | references.SQL | pages.SQL | mending.SQL | stages.SQL
