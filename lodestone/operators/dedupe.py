@@ -79,6 +79,12 @@ def merge_by_key(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> D
     return incoming.unionByName(existing.join(incoming.select(*keys).distinct(), keys, "left_anti"))
 
 
+def replace_scope(existing: DataFrame, incoming: DataFrame, scope: list[str]) -> DataFrame:
+    """The incoming rows, and the existing ones of every scope, such as a university, that has no incoming row: a run that
+    found nothing takes nothing away."""
+    return incoming.unionByName(existing.join(incoming.select(*scope).distinct(), scope, "left_anti"))
+
+
 def upsert_first(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
     """Of the rows of existing with an incoming key the first is replaced and the others stay; new keys are appended."""
     w = Window.partitionBy(F.trim(F.col(key))).orderBy(order)

@@ -158,6 +158,87 @@ def inferred(df: DataFrame, field: str, value: Column) -> DataFrame:
     )
 
 
+def reviewed(df: DataFrame, fills: dict[str, Column], level: Column | None = None, declared: Column | None = None) -> DataFrame:
+    """Rows with blanks filled from dictionaries, then validated: errorReason ends with a comment for each filled field,
+    and `filled` lists these fields in the order of `fills`."""
+    rows = df
+    for field, value in fills.items():
+        rows = inferred(rows, field, value)
+    notes = [f"{field}Comment" for field in fills]
+    rows = validated(rows, level, declared)
+    said = F.filter(F.array(F.col("errorReason"), *(F.col(n) for n in notes)), lambda x: x != "")
+    which = F.array_compact(F.array(*(F.when(F.col(n) != "", F.lit(f)) for f, n in zip(fills, notes, strict=True)))) if fills else F.array()
+    return rows.withColumns({"errorReason": F.array_join(said, " | "), "filled": which.cast("array<string>")}).drop(*notes)
+
+
+def header_error(found: list[str], required: tuple[str, ...]) -> str:
+    """What is wrong with the header of a file; '' if it has all columns."""
+    lacking = [c for c in required if c not in found]
+    return f"MISSING_REQUIRED_FIELD: Missing required CSV headers: {', '.join(lacking)}. Found: {', '.join(found)}" if lacking else ""
+
+
+def file_report(rows: DataFrame, found: list[str], required: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
+    """The report on a file of reviewed() rows, or on one file for each value of `by`: n_rows, error_rows (those with more
+    than comments), empty (blank cells of each required column), filled (rows of each filled field) and file_error.
+
+    found: the file's header. A file that lacks columns, or has no rows, has no
+    counts of cells and no error rows. With `by`, a file without rows has no row
+    to be told by. Everything comes from one aggregate over the rows.
+    """
+    lacking = header_error(found, required)
+    none = F.lit(None).cast("map<string,bigint>")
+    counted = [F.count(F.lit(1)).alias("n_rows")]
+    if not lacking:
+        real = F.exists(F.split("errorReason", r" \| "), lambda e: (e != "") & ~e.startswith("COMMENT:"))
+        counted.append(F.coalesce(F.sum(real.cast("long")), F.lit(0)).alias("error_rows"))
+        counted += [F.coalesce(F.sum((_cell(c) == "").cast("long")), F.lit(0)).alias(f"__e_{c}") for c in required]
+        counted += [F.coalesce(F.sum(F.array_contains("filled", c).cast("long")), F.lit(0)).alias(f"__f_{c}") for c in required]
+    out = rows.groupBy(*by).agg(*counted)
+    if lacking:
+        return out.withColumns({"error_rows": F.lit(0).cast("long"), "empty": none, "filled": none, "file_error": F.lit(lacking)})
+    pairs = lambda p: F.create_map(*(x for c in required for x in (F.lit(c), F.col(f"__{p}_{c}"))))
+    empty_file = F.when(F.col("n_rows") == 0, "MISSING_REQUIRED_FIELD: CSV contains no data rows.").otherwise("")
+    filled = F.map_filter(pairs("f"), lambda _, n: n > 0)
+    return out.select(*by, "n_rows", "error_rows", pairs("e").alias("empty"), filled.alias("filled"), empty_file.alias("file_error"))
+
+
+def page_audit(pages: DataFrame, rules: DataFrame, scope: str, body: str, fields: list[str]) -> DataFrame:
+    """Pages with `found`, the text of each field, and `missing`, the names of those without one, by each university's rules.
+
+    rules: (scope, field, place, pattern, least); the first pattern by place
+    whose group 1 has `least` or more letters gives the field. A field without
+    rules is missing, as are all of a page without a body or of a university
+    without rules. The rules of a university are one row, so pages meet one row.
+    """
+    packed = rules.groupBy(scope).agg(F.array_sort(F.collect_list(F.struct("place", "field", "pattern", "least"))).alias("__rules"))
+    rows = pages.join(packed, scope, "left")
+    page = F.coalesce(F.col(body), F.lit(""))
+    read = F.transform(
+        "__rules",
+        lambda r: F.struct(
+            r["field"].alias("field"), F.trim(F.call_function("regexp_extract", page, r["pattern"], F.lit(1))).alias("text"), r["least"].alias("least")
+        ),
+    )
+    rows = rows.withColumn("__read", F.filter(read, lambda r: (r["text"] != "") & (F.length(r["text"]) >= r["least"])))
+    text = lambda c: F.coalesce(F.get(F.filter("__read", lambda r: r["field"] == c), 0)["text"], F.lit(""))
+    found = F.create_map(*(x for c in fields for x in (F.lit(c), text(c))))
+    rows = rows.withColumn("found", found)
+    missing = F.array_compact(F.array(*(F.when(F.col("found")[c] == "", F.lit(c)) for c in fields)))
+    return rows.withColumn("missing", missing).drop("__rules", "__read")
+
+
+def audit_totals(audited: DataFrame, level: str, fields: list[str]) -> DataFrame:
+    """(level, n, complete, and a column a field: the pages that lack it) of each level, and of all pages as level `all`.
+
+    A blank level is `unknown`. One aggregate with a rollup.
+    """
+    named = audited.withColumn("__l", F.coalesce(F.nullif(F.trim(F.col(level)), F.lit("")), F.lit("unknown")))
+    counts = [F.sum(F.array_contains("missing", c).cast("long")).alias(c) for c in fields]
+    complete = F.sum((F.size("missing") == 0).cast("long")).alias("complete")
+    rolled = named.rollup("__l").agg(F.grouping("__l").alias("__g"), F.count(F.lit(1)).alias("n"), complete, *counts)
+    return rolled.select(F.when(F.col("__g") == 1, "all").otherwise(F.col("__l")).alias("level"), "n", "complete", *fields)
+
+
 def document_issues(df: DataFrame, key: str, document: str, required: tuple[str, ...]) -> DataFrame:
     """Issues (key, severity, code, message) of nested entry documents: no JSON, absent levels, programmes without rows."""
     parsed = F.from_json(F.col(document), nested.ENTRY_DOCUMENT)

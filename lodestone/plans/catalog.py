@@ -500,6 +500,57 @@ def validation_summary(spark, sf_dir):
     return validate.summary(validate.validated(derived(spark, sf_dir, "sparse")))
 
 
+@query(f"""{_REVIEWED} SELECT s.uniName AS uni, count(*) AS n_rows, CAST(sum(CASE WHEN errorReason <> '' THEN 1 ELSE 0 END) AS BIGINT) AS error_rows,
+  CAST(sum(CASE WHEN s.ix % 13 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS no_degree, CAST(sum(CASE WHEN s.ix % 17 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS no_min_degree,
+  CAST(sum(CASE WHEN s.ix % 3 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS no_scholarship, CAST(sum(CASE WHEN s.ix % 3 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS filled, '' AS file_error
+  FROM v JOIN s ON s.ix = v.ix GROUP BY s.uniName""")
+def file_reports(spark, sf_dir):
+    rows = derived(spark, sf_dir, "sparse")
+    required = ("uniName", "degreeName", "minDegreeName", "scholarshipName")
+    done = validate.reviewed(rows, {"scholarshipName": F.when(F.col("ix") % 3 == 0, F.col("courseName"))})
+    report = validate.file_report(done, rows.columns, required, ("uniName",))
+    names = {"degreeName": "no_degree", "minDegreeName": "no_min_degree", "scholarshipName": "no_scholarship"}
+    return report.select(
+        F.col("uniName").alias("uni"), "n_rows", "error_rows", *(F.col("empty")[c].alias(n) for c, n in names.items()),
+        F.coalesce(F.col("filled")["scholarshipName"], F.lit(0).cast("long")).alias("filled"), "file_error",
+    )
+
+
+_U = f"""{C}, r(uni, field, place, pattern, least) AS (VALUES ('uni0', 'brand', 1, 'no such (x)', 1), ('uni0', 'brand', 2, 'Brand#(2.)', 1), ('uni0', 'kind', 1, '(STANDARD [A-Z]+)', 1),
+  ('uni1', 'brand', 1, 'Brand#(.)', 2), ('uni1', 'kind', 1, '([A-Z]+) ', 7), ('uni2', 'kind', 1, '(COPPER)', 1)),
+f AS (SELECT ix, field, arg_min(t, place) AS t FROM (SELECT ix, r.field, r.place, trim(regexp_extract(concat(brand, ' ', kind), r.pattern, 1)) AS t, r.least FROM c JOIN r ON r.uni = c.uni)
+  WHERE t <> '' AND length(t) >= least GROUP BY ix, field),
+a AS (SELECT c.ix, c.level, coalesce(b.t, '') AS brand, coalesce(k.t, '') AS kind FROM c LEFT JOIN f AS b ON b.ix = c.ix AND b.field = 'brand' LEFT JOIN f AS k ON k.ix = c.ix AND k.field = 'kind')"""
+_RULES = [("uni0", "brand", 1, "no such (x)", 1), ("uni0", "brand", 2, "Brand#(2.)", 1), ("uni0", "kind", 1, "(STANDARD [A-Z]+)", 1), ("uni1", "brand", 1, "Brand#(.)", 2),
+          ("uni1", "kind", 1, "([A-Z]+) ", 7), ("uni2", "kind", 1, "(COPPER)", 1)]
+
+
+def _audited(spark, sf_dir):
+    pages = _c(spark, sf_dir).select("ix", "uni", "level", F.concat_ws(" ", "brand", "kind").alias("body"))
+    rules = spark.createDataFrame(_RULES, "uni string, field string, place int, pattern string, least int")
+    return validate.page_audit(pages, rules, "uni", "body", ["brand", "kind"])
+
+
+@query(f"""{_U} SELECT ix, brand, kind, concat_ws(',', CASE WHEN brand = '' THEN 'brand' END, CASE WHEN kind = '' THEN 'kind' END) AS missing FROM a""")
+def page_audits(spark, sf_dir):
+    found = _audited(spark, sf_dir)
+    return found.select("ix", F.col("found")["brand"].alias("brand"), F.col("found")["kind"].alias("kind"), F.array_join("missing", ",").alias("missing"))
+
+
+@query(f"""{_U} SELECT coalesce(l, 'all') AS level, count(*) AS n, count(*) FILTER (WHERE brand <> '' AND kind <> '') AS complete, count(*) FILTER (WHERE brand = '') AS brand,
+  count(*) FILTER (WHERE kind = '') AS kind FROM (SELECT *, CASE WHEN ix % 5 = 0 THEN 'unknown' ELSE level END AS l FROM a) GROUP BY ROLLUP (l)""")
+def audit_totals(spark, sf_dir):
+    found = _audited(spark, sf_dir).withColumn("level", F.when(F.col("ix") % 5 != 0, F.col("level")).otherwise(" "))
+    return validate.audit_totals(found, "level", ["brand", "kind"])
+
+
+@query("""WITH e AS (SELECT *, o_custkey % 3 = 0 AND bool_or(o_orderkey % 2 = 0) OVER (PARTITION BY o_custkey) AS told FROM orders)
+SELECT o_orderkey AS k, o_custkey AS c, CASE WHEN told THEN 'new' ELSE o_orderstatus END AS v FROM e WHERE NOT told OR o_orderkey % 2 = 0""")
+def replaced_scopes(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("v"))
+    return dedupe.replace_scope(o, o.where("c % 3 = 0 and k % 2 = 0").withColumn("v", F.lit("new")), ["c"])
+
+
 @query(f"""{_REVIEWED} SELECT level, error_key, count(*) AS n FROM (SELECT studyLevel AS level,
   CASE WHEN errorReason = '' THEN 'OK' WHEN errorReason LIKE 'MISSING_REQUIRED_FIELD%' THEN concat('MISSING: ',
     CASE WHEN regexp_extract(errorReason, 'missing required field\\(s\\): ([^|]+)', 1) = '' THEN 'required'

@@ -12,11 +12,21 @@ from lodestone.operators.export import cell
 def csv(df: DataFrame, path: str, quote_all: bool = False, sep: str = ",", mode: str = "overwrite", bom: bool = False) -> None:
     """A CSV with a header; nested columns as JSON text, nulls as ''. With `bom` each file starts with the byte-order mark.
 
-    The mark is the first sign of the header's first name, so it goes with minimal quotes only.
+    With minimal quotes the mark is the first sign of the header's first name. A
+    quoted header cannot hold it, so there each file's text is put together: the
+    mark and the header stand before the first row of each partition.
     """
-    if bom and quote_all:
-        raise ValueError("a byte-order mark before a quoted header is not supported")
     flat = df.select(*(cell(F.col(f"`{c}`"), kind).alias(c) for c, kind in df.dtypes))
+    if bom and quote_all:
+        quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+        line = F.concat_ws(sep, *(quoted(F.col(f"`{c}`")) for c in flat.columns))
+        head = "\ufeff" + sep.join('"' + c.replace('"', '""') + '"' for c in flat.columns)
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # the row's place in its partition
+        rows = flat.select(F.when(first, F.concat(F.lit(head + "\n"), line)).otherwise(line).alias("value"))
+        if flat.isEmpty():
+            rows = df.sparkSession.createDataFrame([(head,)], "value string").coalesce(1)
+        rows.write.mode(mode).text(path)
+        return
     if bom:
         flat = flat.toDF("\ufeff" + flat.columns[0], *flat.columns[1:])
     (

@@ -419,8 +419,15 @@ def test_csv_byte_order_mark(spark, tmp_path):
     sinks.csv(spark.createDataFrame([(1, "é, x")], "id int, name string").coalesce(1), str(tmp_path / "c"), bom=True)
     (part,) = (tmp_path / "c").glob("part-*.csv")
     assert part.read_bytes() == "\ufeffid,name\n1,\"é, x\"\n".encode()
-    with pytest.raises(ValueError):
-        sinks.csv(spark.range(1), str(tmp_path / "d"), quote_all=True, bom=True)
+    two = spark.createDataFrame([(1, 'é, "x"'), (2, "two\nlines"), (3, None)], "id int, name string")
+    for n in (1, 2):
+        sinks.csv(two.repartitionByRange(n, "id"), str(tmp_path / f"d{n}"), quote_all=True, bom=True)
+        files = [f.read_text(encoding="utf-8") for f in (tmp_path / f"d{n}").glob("part-*")]
+        assert len(files) == n and all(f.startswith('\ufeff"id","name"\n') and f.count("\ufeff") == 1 for f in files)
+        back = spark.read.options(header=True, multiLine=True, escape='"').csv(str(tmp_path / f"d{n}"))
+        assert sorted(tuple(r) for r in back.fillna("").collect()) == [("1", 'é, "x"'), ("2", "two\nlines"), ("3", "")]
+    sinks.csv(two.limit(0), str(tmp_path / "d0"), quote_all=True, bom=True)
+    assert "".join(f.read_text(encoding="utf-8") for f in (tmp_path / "d0").glob("part-*")) == '\ufeff"id","name"\n'
 
 
 def test_drop_ungrounded(spark):
