@@ -732,18 +732,19 @@ def grade_extract(spark, sf_dir):
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN '' ELSE concat(CAST(4 + p_size % 5 AS VARCHAR), '.5') END AS ielts,
   CASE WHEN p_partkey % 3 = 0 THEN concat(CAST(3 + p_size % 5 AS VARCHAR), '.0') ELSE '' END AS ielts_section,
-  CASE WHEN p_partkey % 3 = 2 THEN CAST(60 + p_size AS VARCHAR) ELSE '' END AS toefl FROM part""")
+  CASE WHEN p_partkey % 3 = 2 THEN CAST(60 + p_size AS VARCHAR) ELSE '' END AS toefl, CASE WHEN p_partkey % 6 = 2 THEN CAST(10 + p_size % 9 AS VARCHAR) ELSE '' END AS toefl_section,
+  CASE WHEN p_partkey % 3 = 1 THEN CAST(40 + p_size AS VARCHAR) ELSE '' END AS pte, CASE WHEN p_partkey % 6 = 1 THEN CAST(30 + p_size AS VARCHAR) ELSE '' END AS pte_section FROM part""")
 def english_scores(spark, sf_dir):
-    s = F.col("p_size")
+    s, k = F.col("p_size"), F.col("p_partkey")
+    say = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
     body = (
-        F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("IELTS "), (4 + s % 5).cast("string"), F.lit(".5 overall with no individual band below "), (3 + s % 5).cast("string"), F.lit(".0.")))
-        .when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("IELTS of "), (4 + s % 5).cast("string"), F.lit(".5")))
-        .otherwise(F.concat(F.lit("TOEFL iBT "), (60 + s).cast("string")))
+        F.when(k % 3 == 0, say("IELTS ", 4 + s % 5, ".5 overall with no individual band below ", 3 + s % 5, ".0."))
+        .when(k % 3 == 1, say("IELTS of ", 4 + s % 5, ".5; PTE Academic ", 40 + s, F.when(k % 2 == 1, say(" with a minimum score of ", 30 + s)).otherwise("")))
+        .otherwise(say("TOEFL iBT ", 60 + s, F.when(k % 2 == 0, say(" with a minimum of ", 10 + s % 9)).otherwise("")))
     )
+    names = {"ielts": "ieltsMinOverall", "ielts_section": "ieltsMinSection", "toefl": "toeflMinOverall", "toefl_section": "toeflMinSection", "pte": "pteMinOverall", "pte_section": "pteMinSection"}
     found = numbers.test_scores(body)
-    return _table(spark, sf_dir, "part").select(
-        "p_partkey", found["ieltsMinOverall"].alias("ielts"), found["ieltsMinSection"].alias("ielts_section"), found["toeflMinOverall"].alias("toefl")
-    )
+    return _table(spark, sf_dir, "part").select("p_partkey", *(found[f].alias(n) for n, f in names.items()))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
@@ -999,12 +1000,12 @@ def inferred_names(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from lodestone.plans import mending, pages, references, stages
+    from lodestone.plans import enrichment, mending, pages, references, stages
 
-    return _QUERIES | references.QUERIES | pages.QUERIES | mending.QUERIES | stages.QUERIES
+    return _QUERIES | references.QUERIES | pages.QUERIES | mending.QUERIES | stages.QUERIES | enrichment.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    from lodestone.plans import mending, pages, references, stages
+    from lodestone.plans import enrichment, mending, pages, references, stages
 
-    return _SQL | references.SQL | pages.SQL | mending.SQL | stages.SQL
+    return _SQL | references.SQL | pages.SQL | mending.SQL | stages.SQL | enrichment.SQL
