@@ -179,12 +179,13 @@ def _bags(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return texts.join(wanted, "row", "left_semi").mapInArrow(run, "row long, bag binary")
 
 
-def _spread(many: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
+def _spread(many: DataFrame, one: DataFrame, key: str | list[str], by: str) -> DataFrame:
     """many joined with one (a row a key), a hot key of many being spread over salts of `by`. many is planned twice."""
+    keys = [key] if isinstance(key, str) else key
     salted = many.withColumn("salt", salt_of(by))
-    needed = salted.groupBy(key).agg(*salt_masks())
-    copies = needed.join(one, key).withColumn("salt", masked_salts()).drop("mask_hi", "mask_lo")
-    return salted.join(copies, [key, "salt"]).drop("salt")
+    needed = salted.groupBy(*keys).agg(*salt_masks())
+    copies = needed.join(one, keys).withColumn("salt", masked_salts()).drop("mask_hi", "mask_lo")
+    return salted.join(copies, [*keys, "salt"]).drop("salt")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -208,11 +209,11 @@ def _verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
 
 
 def _narrowed(rows: DataFrame, most: int) -> DataFrame:
-    """rows (hub, row, sig, ...) with `hub` replaced by a smaller meeting place where more than `most` rows have it.
+    """rows (hub, row, sig, ...) with `hub` replaced by smaller meeting places where more than `most` rows have it.
 
-    Rows of a crowded hub meet only where they share one more band: a row then
-    stands in up to BANDS places, and a pair at 0.8 that shares one band has
-    another one in common with probability 0.99995.
+    Such a place is a hub and a band: rows that came to one hub by different
+    buckets and share no band are no candidates and do not meet. Two rows that
+    share a bucket do, so banding alone decides which pairs are looked at.
     """
     counts = rows.groupBy("hub").agg((F.count(F.lit(1)) > most).alias("crowded"))
     bands = F.array(*(F.xxhash64("hub", F.lit(b), F.substring("sig", b * 4 * PER_BAND + 1, 4 * PER_BAND)) for b in range(BANDS)))
@@ -243,13 +244,16 @@ def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags:
     sig = signs.select("row", "sig")
 
     def blocks(rows: DataFrame, size: int, name: str, mass: int = 8_000_000) -> DataFrame:
-        rows = rows.join(sig, "row").join(bags, "row").withColumn("ring", F.floor(F.col("j") / (slack / 4)))
-        counts = rows.groupBy("hub", "ring").agg(
-            F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum(F.length("bag")) / mass)).cast("int").alias("k")
+        # blocks are dealt out before texts' bags join, and a ring of very many rows is salted
+        light = rows.join(bags.select("row", F.length("bag").alias("size")), "row").withColumn("ring", F.floor(F.col("j") / (slack / 4)))
+        counts = light.groupBy("hub", "ring").agg(
+            F.ceil(F.greatest(F.count(F.lit(1)) / size, F.sum("size") / mass)).cast("int").alias("k")
         )
         return (
-            rows.join(counts, ["hub", "ring"])
+            _spread(light, counts, ["hub", "ring"], "row")
             .withColumn("block", F.pmod(F.xxhash64("row"), F.col("k")))
+            .join(sig, "row")
+            .join(bags, "row")
             .groupBy("hub", "ring", "block")
             .agg(
                 F.collect_list(F.struct("row", "j", "sig", "bag")).alias(name),
@@ -281,8 +285,8 @@ def _against_stars(missed: DataFrame, stars: DataFrame, signs: DataFrame, bags:
     return tiles.select("missed", "star").mapInArrow(run, "a long, b long").distinct()
 
 
-def _links_among(placed: DataFrame, bags: DataFrame, similarity: float, size: int = 128, mass: int = 8_000_000) -> DataFrame:
-    """(a, b): links between rows (hub, row, root, sig) of one hub whose roots differ, enough to connect all that are linked.
+def _links_among(placed: DataFrame, signs: DataFrame, bags: DataFrame, similarity: float, size: int = 128, mass: int = 8_000_000) -> DataFrame:
+    """(a, b): links between rows (hub, row, root) of one hub whose roots differ, enough to connect all that are linked.
 
     placed: a written table of _narrowed() rows; hubs whose rows all have one
     root are passed over. The rows of a hub are cut into blocks of about `size`
@@ -297,6 +301,7 @@ def _links_among(placed: DataFrame, bags: DataFrame, similarity: float, size: in
     hubs = sized.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), blocks.alias("k")).where("r1 <> r2").select("hub", "k")
     cut = (
         _spread(placed, staged(hubs, "hubs"), "hub", "row")
+        .join(signs.select("row", "sig"), "row")
         .join(bags, "row")
         .withColumn("i", F.pmod(F.xxhash64("row"), F.col("k")).cast("int"))
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
@@ -412,9 +417,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        slots or more: five standard deviations under 0.8) and then on the full
        multisets. So no link between classes is lost to hubs.
 
-    In step 5 the rows of a crowded hub meet only where they share one more
-    band, so a hot bucket falls into small ones. Blocks are bounded in rows and
-    in bytes.
+    In step 5 rows meet where they share a hub and a band, at every size.
+    Blocks are bounded in rows and in bytes.
 
     Columns: __row, doc_id, class_id (least doc_id of the class), class_size,
     kept (one row of each class).
@@ -486,8 +490,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     left = staged(left, "left")
     split = left.groupBy("hub").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("hub")
     rest = staged(_spread(left, split, "hub", "row").join(signs.select("row", "sig"), "row"), "rest")
-    placed = staged(_narrowed(rest, 4096), "placed")
-    more = staged(_links_among(placed, bags, similarity), "more")
+    placed = staged(_narrowed(rest, 0).select("hub", "row", "root"), "placed")
+    more = staged(_links_among(placed, signs, bags, similarity), "more")
     used = [signs, crowded, ranked, pairs, wanted, bags, judged, missed, left, rest, placed, links, first_roots, more]
     if not more.isEmpty():
         used.append(roots)
