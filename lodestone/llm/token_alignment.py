@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.exact_dedup import ROW, numbered
 from lodestone.llm.packing import VOCABULARY, encoder, ids_of
 from lodestone.llm.piece_codec import MODEL, codec
-from lodestone.llm.shared import staged
+from lodestone.llm.shared import small_batches, staged
 
 #: Bits of an id within a pair of ids.
 _BITS = 20
@@ -22,6 +22,8 @@ _BITS = 20
 _COUNTED = 2_000_000
 #: Pairs whose counts every task holds; the others are joined.
 HEAD = 1 << 20
+#: Bytes of a row group of the written ids, which each writer and reader holds.
+_ROW_GROUP = 16 << 20
 #: Steps of the histogram of counts for each doubling.
 _STEPS = 8
 
@@ -39,6 +41,8 @@ class Coders:
         self.b_sizes = np.array([len(b) for b in self.b_bytes], np.int64)
         if max(len(self.a_sizes), len(self.b_sizes)) >= 1 << _BITS:
             raise ValueError(f"ids of more than {_BITS} bits")
+        #: How ids are written: the narrowest kind that holds those of both sides.
+        self.kind = "<u2" if max(len(self.a_sizes), len(self.b_sizes)) <= 1 << 16 else "<u4"
         self.a_said, self.b_said = (_said(len(sizes), end) for sizes, end in ((self.a_sizes, "|"), (self.b_sizes, ";")))
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -186,11 +190,8 @@ def _runs(batch: pa.RecordBatch, *columns: str, size: int = 300_000) -> Iterator
         yield first, run
 
 
-_IDS = "<u4"
-
-
-def _ids(raw: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(r, _IDS).astype(np.int64) for r in raw]
+def _ids(raw: list[bytes], c: Coders) -> list[np.ndarray]:
+    return [np.frombuffer(r, c.kind).astype(np.int64) for r in raw]
 
 
 def aligned(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, model: str) -> DataFrame:
@@ -214,7 +215,7 @@ def aligned(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, model:
                         part.column("doc_id"),
                         *(pa.array(table[:, k]) for k in range(4)),
                         pa.array(digests, pa.string()),
-                        *(pa.array([ids.astype(_IDS).tobytes() for ids in side], pa.binary()) for side in (a_ids, b_ids)),
+                        *(pa.array([ids.astype(c.kind).tobytes() for ids in side], pa.binary()) for side in (a_ids, b_ids)),
                     ],
                     [ROW, "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b"],
                 )
@@ -240,7 +241,7 @@ def pair_counts(encoded: DataFrame, vocabulary: str = VOCABULARY, model: str = M
 
         for batch in batches:
             for _, (a, b) in _runs(batch, "a", "b"):
-                held.append(pairs_of(_ids(a), _ids(b), c)[1])
+                held.append(pairs_of(_ids(a, c), _ids(b, c), c)[1])
                 if sum(map(len, held)) > _COUNTED:
                     yield out()
         yield out()
@@ -282,7 +283,7 @@ def _told(encoded: DataFrame, counts: DataFrame, head: int, vocabulary: str, mod
         pairs, n, best = sent.value
         for batch in batches:
             for first, (a, b) in _runs(batch, "a", "b"):
-                doc, pair, times = pairs_of(_ids(a), _ids(b), c)
+                doc, pair, times = pairs_of(_ids(a, c), _ids(b, c), c)
                 at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
                 hit = pairs[at] == pair if len(pairs) else np.zeros(len(pair), bool)
                 docs = len(a)
@@ -299,7 +300,7 @@ def _told(encoded: DataFrame, counts: DataFrame, head: int, vocabulary: str, mod
 
     told = encoded.where("n_a > 0").select(ROW, "a", "b").mapInArrow(run, f"{ROW} long, n_best long, count_sum long, pairs array<long>, times array<long>")
     if bound <= 1:
-        return told.select(ROW, "n_best", "count_sum")
+        return staged(told.select(ROW, "n_best", "count_sum"), "told")
     told = staged(told, "told")
     rest = told.select(ROW, F.explode(F.arrays_zip("pairs", "times")).alias("x")).select(ROW, F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
     rest = rest.join(counts.where(F.col("n") < bound), "pair").select(
@@ -324,7 +325,8 @@ def align(
     are linked; the components of that graph, by union-find, are the minimal
     groups. Each text is encoded once, in Arrow batches, and written with its
     ids; members of components are expanded to links from there, once for
-    counting the pairs over the corpus, once for telling each document.
+    counting the pairs over the corpus, once for telling each document. All
+    three passes run before this returns, in small batches.
 
     Columns: doc_id, n_a, n_b, n_groups, n_links, n_best (links whose count is
     the highest of their A id), count_sum (of the counts of all links),
@@ -337,9 +339,10 @@ def align(
     ids are rows of their own, and each counts; an empty table gives an empty
     table; other columns are ignored.
     """
-    encoded = staged(aligned(docs, id_col, text_col, vocabulary, model), "aligned")
-    counts = staged(pair_counts(encoded, vocabulary, model), "counts")
-    told = _told(encoded, counts, head, vocabulary, model)
+    with small_batches(docs.sparkSession):
+        encoded = staged(aligned(docs, id_col, text_col, vocabulary, model), "aligned", **{"parquet.block.size": _ROW_GROUP})
+        counts = staged(pair_counts(encoded, vocabulary, model), "counts")
+        told = _told(encoded, counts, head, vocabulary, model)
     zero = F.lit(0).cast("long")
     return encoded.drop("a", "b").join(told, ROW, "left").select(
         "doc_id",

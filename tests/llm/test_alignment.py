@@ -121,3 +121,34 @@ def test_groups(spark):
 
 def test_no_rows(spark):
     assert token_alignment.align(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_memory_of_a_pass_is_bounded(spark, monkeypatch, tmp_path):
+    """Each of the three passes sends Python batches of some 4 MB, not 10,000 rows; ids below 65,536 take two bytes."""
+    seen, runs, limit = str(tmp_path / "seen"), token_alignment._runs, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def noted(batch, *columns, **kwargs):
+        with open(seen, "a") as f:
+            f.write(f"{'-'.join(columns)} {batch.nbytes}\n")
+        yield from runs(batch, *columns, **kwargs)
+
+    monkeypatch.setattr(token_alignment, "_runs", noted)
+    docs = spark.range(0, 9_000, 1, 1).selectExpr("id doc_id", "repeat('the quick brown fox jumps, ', 40) text")
+    (n,) = {tuple(r)[1:] for r in token_alignment.align(docs).collect()}
+    sizes = [line.split() for line in open(seen)]
+    passes = {columns: sum(int(size) for c, size in sizes if c == columns) for columns in ("text", "a-b")}
+    assert passes["text"] > 9_000 * 1_000 and passes["a-b"] > 2 * 9_000 * 2 * (n[0] + n[1])
+    assert max(int(size) for _, size in sizes) < 4.5e6
+    row = token_alignment.aligned(docs.limit(1), "doc_id", "text", token_alignment.VOCABULARY, token_alignment.MODEL).first()
+    assert (len(row.a), len(row.b)) == (2 * row.n_a, 2 * row.n_b)
+    assert spark.conf.get(limit, None) is None
+
+
+def test_a_limit_of_batches_that_is_set_stays(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(limit, "1m")
+    try:
+        assert token_alignment.align(table(spark, TEXTS)).count() == len(TEXTS)
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.unset(limit)
