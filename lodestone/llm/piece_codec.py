@@ -7,21 +7,30 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise, repeat
+from operator import add
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from lodestone.llm.shared import keyed_texts, vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-#: What can merge inside: letters, other marks, each with the spaces before it; lone spaces; one digit.
-_FINE = re.compile(f"{SPACE}*[^\\W\\d_]+|{SPACE}*(?:[^\\w{SPACE}]|_)+|{SPACE}+|\\d")
+#: What can merge inside: letters, other marks, each with the spaces before it; lone spaces; one digit. Words of ASCII
+#: letters come first only because their class is quicker to match.
+_FINE = re.compile(
+    f"{SPACE}?[a-zA-Z]++(?![^\\W\\d_])|{SPACE}*[^\\W\\d_]+|{SPACE}*(?:[^\\w{SPACE}]|_)+|{SPACE}+|\\d"
+)
 #: Spaces and what follows them, always sound where no piece holds a space after another sign.
 _COARSE = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _CACHED_CHARS = 40
-_CACHED_SEGMENTS = 400_000
+#: In each of the two generations of the cache.
+_CACHED_SEGMENTS = 300_000
+#: Up to so many signs an agenda is quicker to scan than to keep as a heap.
+_SCANNED_SIGNS = 64
 
 
 class Codec:
@@ -29,7 +38,8 @@ class Codec:
 
     A text is cut where no piece of the vocabulary spans the cut, so that no
     merge can cross it; each segment is then merged by itself and kept in a
-    bounded cache. Of segments new to the cache both ways are compared with the
+    bounded cache of two generations, so that what is still in use outlives a
+    full one. Of segments new to the cache both ways are compared with the
     library. Whole texts are decoded from their ids.
     """
 
@@ -45,7 +55,7 @@ class Codec:
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special and i not in self.bytes_of}
         order = sorted({-lib.get_score(i) for i in self.ids.values()})
         place = {s: k for k, s in enumerate(order)}
-        self.rank = {p: place[-lib.get_score(i)] for p, i in self.ids.items() if len(p) > 1}
+        self.rank, self.unranked = {p: place[-lib.get_score(i)] for p, i in self.ids.items() if len(p) > 1}, len(order)
         if lib.normalize("A  ﬁ b ") != f"{SPACE}A{SPACE}{SPACE}ﬁ{SPACE}b{SPACE}":
             raise ValueError("only identity normalisation with a space put before the text is supported")
         if any(SPACE in p.lstrip(SPACE) for p in self.rank):
@@ -53,17 +63,40 @@ class Codec:
         crossing = {a + b for p in self.rank for a, b in zip(p, p[1:], strict=False) if len(_FINE.findall(a + b)) > 1}
         self.crossing = re.compile("|".join(map(re.escape, sorted(crossing)))) if crossing else None
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         #: What an id adds to a decoded text, in bytes.
         self.said = [
             b"" if i in special else bytes([self.bytes_of[i]]) if i in self.bytes_of else p.replace(SPACE, " ").encode()
             for i, p in enumerate(self.pieces)
         ]
+        self.said_arrow = pa.array(self.said, pa.binary())
+        #: By id: whether a text may start with it, and whether it then loses a space.
+        self.heard = np.array([i not in special for i in range(size)])
+        self.opening = np.array([self.ids.get(p) == i and p.startswith(SPACE) for i, p in enumerate(self.pieces)])
 
     def merge(self, segment: str) -> list[str]:
         """Symbols of a segment: an agenda of adjacent pairs gives the best score first, ties leftmost."""
+        return self._merge_scanned(segment) if len(segment) <= _SCANNED_SIGNS else self._merge_heaped(segment)
+
+    def _merge_scanned(self, segment: str) -> list[str]:
+        """The agenda is a list with the rank of each symbol and the next, by place."""
+        rank, none = self.rank.get, self.unranked
+        symbols = list(segment)
+        agenda = list(map(rank, map(add, symbols, symbols[1:]), repeat(none)))
+        agenda.append(none)
+        while (best := min(agenda)) < none:
+            i = agenda.index(best)
+            symbols[i] = pair = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if i + 1 < len(symbols):
+                agenda[i] = rank(pair + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = rank(symbols[i - 1] + pair, none)
+        return symbols
+
+    def _merge_heaped(self, segment: str) -> list[str]:
+        """The agenda is a heap, so that time doesn't grow with the square of the segment."""
         n = len(segment)
-        if n == 1:
-            return [segment]
         rank = self.rank.get
         symbols, after, before = list(segment), list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
@@ -88,8 +121,13 @@ class Codec:
         return [s for s in symbols if s]
 
     def segment_ids(self, segment: str) -> list[int]:
+        symbols = self.merge(segment)
+        try:
+            return [self.ids[symbol] for symbol in symbols]
+        except KeyError:
+            pass  # a sign outside the vocabulary is written in bytes
         out: list[int] = []
-        for symbol in self.merge(segment):
+        for symbol in symbols:
             if (i := self.ids.get(symbol)) is not None:
                 out.append(i)
             else:
@@ -103,12 +141,24 @@ class Codec:
         return (_COARSE if self.crossing and self.crossing.search(text) else _FINE).findall(text)
 
     def decode(self, ids: list[int]) -> str:
-        """Text of ids: specials vanish, runs of byte pieces are UTF-8, the first space is dropped."""
-        first = next((i for i in ids if i not in self.special), None)
-        text = b"".join(map(self.said.__getitem__, ids)).decode(errors="replace")
-        return text[1:] if first is not None and first not in self.bytes_of and self.pieces[first].startswith(SPACE) else text
+        return self.decode_many([np.array(ids, "<u4").tobytes()])[0]
+
+    def decode_many(self, raws: list[bytes]) -> list[str]:
+        """Texts of ids in little-endian uint32: specials vanish, runs of byte pieces are UTF-8, the first space is dropped."""
+        ids = np.frombuffer(b"".join(raws), "<u4")
+        edges = np.cumsum([0, *map(len, raws)]) // 4
+        said = self.said_arrow.take(pa.array(ids))
+        places = np.cumsum(pc.binary_length(pa.concat_arrays([pa.array([b""]), said])).to_numpy())[edges].tolist()
+        heard = np.flatnonzero(self.heard[ids])
+        first = np.append(heard, len(ids))[np.searchsorted(heard, edges[:-1])]
+        opened = (first < edges[1:]) & np.append(self.opening[ids], False)[first]
+        data = pc.binary_join(pa.ListArray.from_arrays([0, len(said)], said), b"")[0].as_py()
+        return [
+            data[a:b].decode(errors="replace")[skip:]
+            for a, b, skip in zip(places, places[1:], opened.tolist(), strict=False)
+        ]
 
-    def check(self, found: dict[str, list[int]]) -> None:
+    def check(self, found: dict[str, list[int]], raws: list[bytes]) -> None:
         """Compare segments with the library; those without a space before them are put behind a line break."""
         bare = [s for s in found if not s.startswith(SPACE)]
         lead = [s for s in found if s.startswith(SPACE)]
@@ -120,27 +170,32 @@ class Codec:
         wrong = [s for s, ids in found.items() if ids != got[s] and s != SPACE]
         if wrong:
             raise ValueError(f"the library encodes {wrong[0]!r} as {got[wrong[0]]}, not {found[wrong[0]]}")
-        for ids, text in zip(found.values(), self.library.decode(list(found.values())), strict=True):
-            if self.decode(ids) != text:
-                raise ValueError(f"the library decodes {ids} as {text!r}, not {self.decode(ids)!r}")
+        texts = self.library.decode(list(found.values()), num_threads=1)
+        for ids, text, own in zip(found.values(), texts, self.decode_many(raws), strict=True):
+            if own != text:
+                raise ValueError(f"the library decodes {ids} as {text!r}, not {own!r}")
 
     def encode_many(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids, begin and end ids included, as little-endian uint32, and its decoded text."""
-        cache = self.cache
-        if len(cache) > _CACHED_SEGMENTS:
-            cache.clear()
+        if len(self.cache) > _CACHED_SEGMENTS:
+            self.cache, self.older = {}, self.cache
+        cache, older = self.cache, self.older
         cut = [self.segments(t) for t in texts]
-        found = {s: self.segment_ids(s) for s in set(chain.from_iterable(cut)).difference(cache)}
+        new = set(chain.from_iterable(cut)).difference(cache)
+        cache.update({s: older[s] for s in new if s in older})
+        found = {s: self.segment_ids(s) for s in new.difference(older)}
         if found:
-            self.check(found)
-        for s, ids in found.items():
-            cache[s] = struct.pack(f"<{len(ids)}I", *ids)
+            ends = np.cumsum([0, *map(len, found.values())]) * 4
+            flat = np.fromiter(chain.from_iterable(found.values()), "<u4").tobytes()
+            raws = [flat[a:b] for a, b in pairwise(ends.tolist())]
+            self.check(found, raws)
+            cache.update(zip(found, raws, strict=True))
         begin, end = struct.pack("<I", self.library.bos_id()), struct.pack("<I", self.library.eos_id())
-        for segments in cut:
-            raw = b"".join((begin, *map(cache.__getitem__, segments), end))
-            yield raw, self.decode(memoryview(raw).cast("I").tolist())
-        for s in [s for s in found if len(s) > _CACHED_CHARS]:
-            del cache[s]
+        raws = [b"".join((begin, *map(cache.__getitem__, segments), end)) for segments in cut]
+        for s in found:
+            if len(s) > _CACHED_CHARS:
+                del cache[s]
+        yield from zip(raws, self.decode_many(raws), strict=True)
 
 
 _CODECS: dict[str, Codec] = {}

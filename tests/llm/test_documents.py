@@ -112,6 +112,34 @@ def test_pieces_equal_the_library(docs, nothing):
         assert coder.decode(ids) == lib.decode(ids)
 
 
+def test_segments_in_use_outlive_a_full_cache(monkeypatch):
+    from lodestone.llm.shared import vocabulary_path
+
+    monkeypatch.setattr(piece_codec, "_CACHED_SEGMENTS", 20)
+    coder, merged = piece_codec.Codec(vocabulary_path(piece_codec.MODEL)), []
+    ids_of = coder.segment_ids
+    monkeypatch.setattr(coder, "segment_ids", lambda s: merged.append(s) or ids_of(s))
+    letters = [a + b for a in "abcdefghijklm" for b in "nopqrstuvwxyz"]
+    for k in range(0, 160, 8):
+        text = " ".join(["often", *letters[k : k + 8]])
+        assert [t for _, t in coder.encode_many([text, "often"])] == [text, "often"]
+    assert len(merged) == 161 and merged.count("\u2581often") == 1
+    assert len(coder.cache) + len(coder.older) < 64  # bounded all the same
+    list(coder.encode_many([letters[0]]))
+    assert merged.count("\u2581" + letters[0]) == 2  # what is not in use goes
+
+
+def test_both_agendas_equal_the_library():
+    coder, rng = piece_codec.codec(), np.random.default_rng(5)
+    signs = np.array(list("aeinrstth.,- \n\u00e9\u00df\u20ac\U0001f600_7"))
+    texts = ["".join(rng.choice(signs[: rng.integers(2, len(signs))], n)) for n in (*range(1, 140), 700) for _ in range(4)]
+    for text, (raw, decoded) in zip(texts, coder.encode_many(texts), strict=True):
+        ids = np.frombuffer(raw, "<u4").tolist()
+        assert ids == coder.library.encode(text, add_bos=True, add_eos=True) and decoded == coder.library.decode(ids)
+        assert coder._merge_scanned(text) == coder._merge_heaped(text)
+    assert coder.decode([]) == coder.decode([coder.library.bos_id()]) == ""
+
+
 SPANS = (
     (re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 8, 1),
     (re.compile("AKIA[A-Z0-9]+"), 16, 0),
