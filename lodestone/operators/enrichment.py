@@ -47,8 +47,9 @@ def best_awards(courses: DataFrame, awards: DataFrame, key: str, scope: list[str
     name, kind, eligibility, amount, description. A course whose name or page
     says MBA takes awards that name the MBA, where there is one; other
     postgraduate courses take none of these. Courses without an open award
-    have no row. One equi-join by scope and level, then one aggregate that
-    combines before it shuffles; pages are read for the word before the join.
+    have no row. The best awards of each scope and level are chosen first, so
+    that the equi-join by scope and level gives each course one row however many
+    awards there are; pages are read for the word before the join.
     """
     heard = F.concat_ws("\n", "name", "body").rlike(r"(?i)\bmba\b")
     asked = courses.select(F.col(key), *scope, F.lower(F.trim("level")).alias("level"), heard.alias("__mba"))
@@ -68,10 +69,15 @@ def best_awards(courses: DataFrame, awards: DataFrame, key: str, scope: list[str
         F.struct(value.alias("value"), (-F.col("ix")).alias("place")).alias("__rank"),
         award_fields(*(F.col(c) for c in ("name", "kind", "eligibility", "amount", "description"))).alias("award"),
     )
-    joined = asked.join(offered, [*scope, "level"])
-    open_ = joined.where(F.col("__mba") | ~F.col("__of_mba") | (F.col("level") != "postgraduate"))
-    rank = F.struct((F.col("__mba") & F.col("__of_mba")).alias("own"), F.col("__rank").alias("rank"))
-    return open_.groupBy(key).agg(F.max_by("award", rank).alias("award"))
+    # of each scope and level only two awards can be the best: one for courses of the MBA, one for others
+    ranked = lambda own: F.struct(own.alias("own"), F.col("__rank").alias("rank"), F.col("award"))
+    plain = ~F.col("__of_mba") | (F.col("level") != "postgraduate")
+    best = offered.groupBy(*scope, "level").agg(
+        F.max(ranked(F.col("__of_mba"))).alias("__mine"), F.max(F.when(plain, ranked(F.lit(False)))).alias("__other")
+    )
+    picked = F.when(F.col("__mba"), F.col("__mine")).otherwise(F.col("__other"))
+    open_ = asked.join(best, [*scope, "level"]).select(key, picked.alias("best")).where("best is not null")
+    return open_.groupBy(key).agg(F.max("best")["award"].alias("award"))
 
 
 def entry_blocks(page_lines: Column, document_lines: Column, country: Column) -> Column:

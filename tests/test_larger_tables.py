@@ -6,6 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from lodestone.functions import numbers
+from lodestone.operators import enrichment
 from lodestone.plans import catalog
 
 ORDER = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
@@ -30,3 +31,37 @@ def test_the_fee_of_the_example_needs_a_source(spark):
     sane = lambda *a: tuple(spark.range(1).select(numbers.sane_fee(*map(F.lit, a)).alias("x")).collect()[0].x)
     assert sane("18570", "GBP", "", "", False) == ("", "")
     assert sane("18570", "GBP", "", "Fee £18,570", False) == sane("18570", "GBP", "", "", True) == ("18570", "GBP")
+
+
+def most_joined(df):
+    """The rows that the largest join of a query makes."""
+    df.collect()
+
+    def nodes(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            yield from nodes(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            yield from nodes(plan.plan())
+        else:
+            yield plan
+            for k in range(plan.children().size()):
+                yield from nodes(plan.children().apply(k))
+
+    joins = [n for n in nodes(df._jdf.queryExecution().executedPlan()) if "Join" in n.getClass().getSimpleName()]
+    return max(n.metrics().get("numOutputRows").get().value() for n in joins)
+
+
+def test_awards_of_one_group_make_no_pairs(spark):
+    n = 400
+    level, name = "CASE id % 2 WHEN 0 THEN 'postgraduate' ELSE 'diploma' END", "CASE WHEN id % 5 = 0 THEN 'MBA ' ELSE 'x' END"
+    courses = spark.range(n).selectExpr("id AS k", "'a' AS uni", f"{level} AS level", f"{name} AS name", "CAST(NULL AS STRING) AS body")
+    awards = spark.range(n).selectExpr("'a' AS uni", "id AS ix", "'postgraduate, diploma' AS levels", f"concat({name}, id) AS name", "'' AS kind", "'' AS eligibility", "concat('£', 100 + id % 7) AS amount", "'' AS description")
+    made = enrichment.best_awards(courses, awards, "k", ["uni"])
+    worth = lambda i, mba, level: (mba and i % 5 == 0, 100 + i % 7, -i) if mba or i % 5 or level == "diploma" else (False, -1, 0)
+    want = {k: max(range(n), key=lambda i: worth(i, k % 5 == 0, ("postgraduate", "diploma")[k % 2])) for k in range(n)}
+    named = lambda i: f"MBA {i}" if i % 5 == 0 else f"x{i}"
+    assert {r.k: r.award.scholarshipName for r in made.collect()} == {k: named(i) for k, i in want.items()}
+    assert most_joined(made) <= n
+    twice = enrichment.best_awards(courses.union(courses), awards, "k", ["uni"])
+    assert twice.count() == n
