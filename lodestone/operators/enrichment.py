@@ -160,8 +160,10 @@ def programme_by_rule(courses: DataFrame, programmes: DataFrame, rules: DataFram
     of their own), rank, pattern that the text must match, wanted (level of
     programmes), needle that the name must hold ({subject} stands for the
     subject), decides: no later rule counts once such a rule's pattern matches,
-    found or not. All by joins on equal columns and one aggregate; names and
-    texts are compared without regard to case.
+    found or not. All by joins on equal columns: each needle's first programme
+    of a scope and subject is found first, so that a course has one row for each
+    of its rules however many programmes there are; names and texts are compared
+    without regard to case.
     """
     low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
     own = rules.select(F.lower("level").alias("level"), F.lower("subject").alias("subject"), F.lit(True).alias("__own")).distinct()
@@ -176,9 +178,14 @@ def programme_by_rule(courses: DataFrame, programmes: DataFrame, rules: DataFram
         .select(key, *scope, "subject", "wanted", "needle", "rank", "decides")
     )
     listed = programmes.select(*scope, low(F.col("level")).alias("wanted"), low(F.col("subject")).alias("subject"), F.col("ix").alias("__ix"), F.col("name").alias("__name"))
-    found = tried.join(listed, [*scope, "wanted", "subject"], "left")
-    hit = F.contains(F.lower("__name"), F.col("needle"))
-    best = F.min(F.when(hit, F.struct("rank", "__ix", "__name")))
+    # what a needle finds is the same for all courses of a scope and subject: it is looked for once
+    looked = [*scope, "wanted", "subject", "needle"]
+    needles = told.select("wanted", "rule_of", "needle").distinct()
+    rule_of = F.explode(F.array_distinct(F.array(F.col("subject"), F.lit("")))).alias("rule_of")
+    tested = listed.select("*", rule_of).join(needles, ["wanted", "rule_of"]).withColumn("needle", F.replace("needle", F.lit("{subject}"), F.col("subject")))
+    firsts = tested.where(F.contains(F.lower("__name"), F.col("needle"))).groupBy(*looked).agg(F.min(F.struct("__ix", "__name")).alias("first"))
+    found = tried.join(firsts, looked, "left")
+    best = F.min(F.when(F.col("first").isNotNull(), F.struct("rank", F.col("first.__ix"), F.col("first.__name"))))
     cut = F.min(F.when(F.col("decides"), F.col("rank")))
     picked = found.groupBy(key).agg(best.alias("best"), cut.alias("cut"))
     name = F.when(F.col("cut").isNull() | (F.col("best.rank") <= F.col("cut")), F.col("best.__name"))

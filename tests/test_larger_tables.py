@@ -65,3 +65,17 @@ def test_awards_of_one_group_make_no_pairs(spark):
     assert most_joined(made) <= n
     twice = enrichment.best_awards(courses.union(courses), awards, "k", ["uni"])
     assert twice.count() == n
+
+
+def test_programmes_of_one_group_make_no_pairs(spark):
+    n = 400
+    rules = [("pg", "law", 1, "bar", "pg", "bar", True), ("pg", "law", 2, "", "pg", "llm", True), ("pg", "", 1, "", "pg", "msc", False), ("pg", "", 2, "", "pg", "{subject}", False)]
+    rules = spark.createDataFrame(rules, "level string, subject string, rank int, pattern string, wanted string, needle string, decides boolean")
+    courses = spark.range(n).selectExpr("id AS k", "'a' AS uni", "'pg' AS level", "CASE id % 3 WHEN 0 THEN 'law' WHEN 1 THEN 'art' ELSE 'music' END AS subject", "CASE WHEN id % 2 = 0 THEN 'bar' END AS text")
+    offered = "CASE WHEN id < 200 THEN 'none ' WHEN id % 2 = 0 THEN 'LLM ' ELSE 'Bar ' END"
+    programmes = spark.range(n).selectExpr("'a' AS uni", "id AS ix", "'PG' AS level", "CASE id % 2 WHEN 0 THEN 'law' ELSE 'art' END AS subject", f"concat({offered}, CASE WHEN id % 2 = 1 AND id > 300 THEN 'Art ' ELSE '' END, id) AS name")
+    made = enrichment.programme_by_rule(courses, programmes, rules, "k", ["uni"])
+    # the rule on the bar decides and no programme in law has it; art has no MSc, so its subject is looked for
+    want = {k: {0: None if k % 2 == 0 else "LLM 200", 1: "Bar Art 301", 2: None}[k % 3] for k in range(n)}
+    assert {r.k: r.programme for r in made.collect()} == want
+    assert most_joined(made) <= 3 * n
