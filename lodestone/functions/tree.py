@@ -8,13 +8,14 @@ siblings, ancestors and ids are found by place, without a join.
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from lodestone.functions.markup import Markup
+
 #: Elements without an end tag. Fixed values.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose text is none of the page's. Fixed values.
@@ -38,11 +39,11 @@ CELL = "struct<table:int,row:int,col:int,no:int,label:int,header:boolean>"
 TREE = f"struct<nodes:array<{NODE}>,named:map<string,int>,cells:array<{CELL}>>"
 
 
-class _Builder(HTMLParser):
+class _Builder(Markup):
     """Numbers of parent, last descendant, next and prior sibling element, and the place in the source, of every node."""
 
     def __init__(self, page: str):
-        super().__init__(convert_charrefs=True)
+        super().__init__()
         self.tags: list[str | None] = []
         self.attrs: list[dict[str, str]] = []
         self.texts: list[str | None] = []
@@ -50,18 +51,10 @@ class _Builder(HTMLParser):
         self.open: list[int] = []
         self.counts: dict[str, int] = {}
         self.latest: dict[int, int] = {}  # of an open element the last element inside
-        self.lines = [0]
-        for m in re.finditer("\n", page):
-            self.lines.append(m.end())
         self.size = len(page)
-        self.feed(page)
-        self.close()
+        self.read(page)
         self._shut(0, self.size)
 
-    def _place(self) -> int:
-        line, column = self.getpos()
-        return self.lines[line - 1] + column
-
     def _add(self, tag: str | None, attrs: dict[str, str], text: str | None, begin: int, end: int) -> int:
         no, parent = len(self.tags), self.open[-1] if self.open else -1
         prior = -1
@@ -73,8 +66,13 @@ class _Builder(HTMLParser):
         self.tags.append(tag)
         self.attrs.append(attrs)
         self.texts.append(text)
-        for name, value in zip(_NAMES, (parent, no, -1, prior, begin, end), strict=True):
-            self.numbers[name].append(value)
+        numbers = self.numbers
+        numbers["parent"].append(parent)
+        numbers["last"].append(no)
+        numbers["next"].append(-1)
+        numbers["prior"].append(prior)
+        numbers["begin"].append(begin)
+        numbers["end"].append(end)
         return no
 
     def _shut(self, depth: int, at: int) -> None:
@@ -87,11 +85,11 @@ class _Builder(HTMLParser):
             self.numbers["end"][no] = at
 
     def handle_starttag(self, tag, attrs):
-        at = self._place()
+        at = self.place()
         while self.open and self.tags[self.open[-1]] in ENDS.get(tag, ()):
             self._shut(len(self.open) - 1, at)
         known = {k: v or "" for k, v in reversed(attrs)}  # of a repeated attribute the first counts
-        no = self._add(tag, known, None, at, at + len(self.get_starttag_text() or ""))
+        no = self._add(tag, known, None, at, self.tag_end())
         if tag not in VOID:
             self.open.append(no)
             self.counts[tag] = self.counts.get(tag, 0) + 1
@@ -102,7 +100,7 @@ class _Builder(HTMLParser):
     def handle_endtag(self, tag):
         if not self.counts.get(tag):
             return
-        at = self._place()
+        at = self.place()
         depth = len(self.open) - 1
         while self.tags[self.open[depth]] != tag:
             depth -= 1
@@ -110,7 +108,7 @@ class _Builder(HTMLParser):
 
     def handle_data(self, data):
         if data.strip() and not (self.open and self.tags[self.open[-1]] in UNREAD):
-            at = self._place()
+            at = self.place()
             self._add(None, {}, " ".join(data.split()), at, at)
 
     def cells(self) -> list[tuple[int, int, int, int, int, bool]]:
@@ -352,16 +350,19 @@ def outermost(found: Column) -> Column:
     return F.filter(found, lambda x: ~inside(x, found))
 
 
-def labelled(tree: Column) -> Column:
+def labelled(tree: Column, root: Column | None = None) -> Column:
     """Array of (label, value, no) in page order: terms and their descriptions, cells under (or beside) their headers, and
-    elements of two children without a text of their own.
+    elements of two children without a text of their own; root: only those inside that element.
 
     A description may be several dd. What labels a cell is said by the tree.
     """
     nodes, cells = tree["nodes"], tree["cells"]
+    pool = nodes
+    if root is not None:
+        pool, cells = within(tree, root), F.filter(cells, lambda c: (c["no"] > root["no"]) & (c["no"] <= root["last"]))
     row = lambda label, value, no: F.struct(label.alias("label"), value.alias("value"), no.alias("no"))
     terms = F.transform(
-        F.filter(nodes, lambda e: e["tag"] == "dt"),
+        F.filter(pool, lambda e: e["tag"] == "dt"),
         lambda e: row(text_of(tree, e), F.array_join(F.transform(F.filter(following(tree, e, "dd"), lambda x: x["no"] > 0), lambda x: text_of(tree, x)), " "), e["no"]),
     )
     boxed = F.transform(
@@ -369,7 +370,7 @@ def labelled(tree: Column) -> Column:
         lambda c: row(text_of(tree, node(tree, c["label"])), text_of(tree, node(tree, c["no"])), c["no"]),
     )
     children = lambda e: F.filter(F.slice(nodes, e["no"] + 2, e["last"] - e["no"]), lambda x: x["parent"] == e["no"])
-    boxes = F.filter(nodes, lambda e: e["tag"].isin("td", "li", "div", "p", "section") & (e["last"] - e["no"]).between(2, 64))
+    boxes = F.filter(pool, lambda e: e["tag"].isin("td", "li", "div", "p", "section") & (e["last"] - e["no"]).between(2, 64))
     pairs = F.transform(boxes, lambda e: F.struct(e["no"].alias("no"), children(e).alias("of")))
     two = F.filter(
         pairs,

@@ -191,7 +191,7 @@ def sections(pages: DataFrame, key: str, html: str, layout: Layout) -> DataFrame
     rows, nor has a section without a body; panels inside a panel belong to its
     body; a null page has none.
     """
-    t, page, pairs = F.col("__tree"), F.col("__html"), F.col("__pairs")
+    t, page = F.col("__tree"), F.col("__html")
     empty = F.slice(t["nodes"], F.lit(1), F.lit(0))
     among = lambda selector, root: tree_.select(t, selector, root) if selector else empty
     bind = tree_.bind
@@ -206,8 +206,7 @@ def sections(pages: DataFrame, key: str, html: str, layout: Layout) -> DataFrame
         )
 
     def terms(listed: Column) -> Column:
-        own = F.filter(pairs, lambda p: (p["no"] > listed["no"]) & (p["no"] <= listed["last"]))
-        lines = F.transform(own, lambda p: F.concat(F.lit("- **"), p["label"], F.lit(":** "), p["value"]))
+        lines = F.transform(tree_.labelled(t, listed), lambda p: F.concat(F.lit("- **"), p["label"], F.lit(":** "), p["value"]))
         return F.nullif(F.array_join(lines, "\n"), F.lit(""))
 
     def tab(panel: Column) -> Column:
@@ -237,11 +236,12 @@ def sections(pages: DataFrame, key: str, html: str, layout: Layout) -> DataFrame
     blocks = [block(n, heading, selectors) for n, (heading, selectors) in enumerate(layout.blocks)]
     shape = "array<struct<block:int,heading:string,part:struct<place:int,kind:string,title:string,source:string,said:string>>>"
     rows = pages.select(F.col(key).alias("key"), F.col(html).alias("__html"), tree_.tree(F.col(html)).alias("__tree"))
-    rows = rows.withColumn("__pairs", tree_.labelled(t)) if layout.options else rows
     each = rows.select("key", F.explode(F.flatten(F.array(*(F.coalesce(b.cast(shape), F.array().cast(shape)) for b in blocks)))).alias("x"))
     flat = each.select("key", "x.block", "x.heading", "x.part.*")
-    body = F.trim(F.coalesce("said", html_.to_markdown(F.col("source"))))
-    return flat.select("key", "block", "heading", "place", "kind", "title", body.alias("body")).where("body <> ''")
+    body = F.trim(F.coalesce("said", html_.to_markdown(F.when(F.col("said").isNull(), F.col("source")))))
+    read = flat.select("key", "block", "heading", "place", "kind", "title", body.alias("body"))
+    # a row for each body that is not blank: a plain filter would be pushed below, and every body read twice
+    return read.select("key", "block", "heading", "place", "kind", "title", F.explode(F.filter(F.array("body"), lambda b: b != "")).alias("body"))
 
 
 def _by_no(a: Column, b: Column) -> Column:

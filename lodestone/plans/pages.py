@@ -30,6 +30,16 @@ def _made(spark: SparkSession, sf_dir: str, table: str, html: str, *more: str) -
     return readers.table(spark, sf_dir, table).selectExpr(*more, f"{html} AS html")
 
 
+#: Pages that a task reads, some seconds of work: a small file of short rows makes many pages, and would be one task.
+_DEALT = 2000
+
+
+def _dealt(spark: SparkSession, sf_dir: str, table: str, html: str, *more: str) -> DataFrame:
+    """As _made, the table's rows dealt to as many tasks as their number asks for, before they become pages."""
+    rows = readers.table(spark, sf_dir, table)
+    return rows.repartition(max(1, -(-rows.count() // _DEALT))).selectExpr(*more, f"{html} AS html")
+
+
 _K = "CAST(p_partkey AS STRING)"
 _TABBED = f"""concat('<html><body><h1>', p_name, '</h1><div id="entry"><h2>Entry</h2><div class="tabs"><ul>',
  '<li><a id="t', {_K}, '" href="#uk">UK ', p_brand, '</a></li><li><button aria-controls="world">World</button></li></ul>',
@@ -61,7 +71,7 @@ UNION ALL SELECT p_partkey, 1, 3, 'accordion', p_brand, '- Loan' FROM part WHERE
 
 @query(f"SELECT key, block, CAST(row_number() OVER (PARTITION BY key, block ORDER BY n) AS INTEGER) AS n, kind, title, body FROM ({_PARTS})")
 def page_sections(spark, sf_dir):
-    found = pages.sections(_made(spark, sf_dir, "part", _TABBED, "p_partkey"), "p_partkey", "html", TABS)
+    found = pages.sections(_dealt(spark, sf_dir, "part", _TABBED, "p_partkey"), "p_partkey", "html", TABS)
     place = F.expr("CAST(row_number() OVER (PARTITION BY key, block ORDER BY place) AS INT)")
     return found.select("key", "block", place.alias("n"), "kind", "title", "body")
 

@@ -1,13 +1,15 @@
 """Rows and groups that only larger tables have: queries against their SQL, operators by the rows they make on the way."""
 
 import datetime
+import random
 
 import duckdb
 from pyspark.sql import functions as F
 
-from lodestone.functions import numbers
-from lodestone.operators import enrichment
+from lodestone.functions import markup, numbers, tree
+from lodestone.operators import enrichment, pages
 from lodestone.plans import catalog
+from lodestone.plans import pages as plans
 
 ORDER = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
 
@@ -79,3 +81,61 @@ def test_programmes_of_one_group_make_no_pairs(spark):
     want = {k: {0: None if k % 2 == 0 else "LLM 200", 1: "Bar Art 301", 2: None}[k % 3] for k in range(n)}
     assert {r.k: r.programme for r in made.collect()} == want
     assert most_joined(made) <= 3 * n
+
+
+def test_pages_of_a_small_file_are_dealt_and_read_once(spark, tmp_path):
+    part = spark.range(9000).selectExpr("id AS p_partkey", "'x' AS p_name", "'Brand#1' AS p_brand", "'SMALL' AS p_type", "CAST(id % 50 AS INT) AS p_size", "1.0D AS p_retailprice")
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    found = pages.sections(plans._dealt(spark, str(tmp_path), "part", plans._TABBED, "p_partkey"), "p_partkey", "html", plans.TABS)
+    assert found.rdd.getNumPartitions() == 5
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 2  # the tree and the markdown, each once
+
+
+def test_sections_queries_deal_their_pages(spark, tmp_path, monkeypatch):
+    rows = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    rows.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    monkeypatch.setattr(plans, "_DEALT", 30)
+    for name in ("page_sections",):
+        df = catalog.queries()[name](spark, str(tmp_path))
+        assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, df.collect())) == by_sql(name, part=tmp_path / "part.parquet")
+
+
+def test_plain_markup_is_read_as_by_the_standard_parser():
+    class Told(markup.Markup):
+        def __init__(self, page, plain):
+            super().__init__()
+            self.told = []
+            if plain:
+                self.read(page)
+                return
+            self._starts = [0, *(k + 1 for k, c in enumerate(page) if c == "\n")]
+            self.feed(page)
+            self.close()
+
+        def handle_starttag(self, tag, attrs):
+            self.told.append((tag, attrs, self.place(), self.tag_end()))
+
+        def handle_endtag(self, tag):
+            self.told.append((tag, self.place()))
+
+        def handle_data(self, data):
+            self.told.append((data, self.place()))
+
+    pieces = ["<p>", "</P>", '<DIV Id="x"  class="a\nb" >', "</div>", "a > b\n", "<br>", "<br/>", "<script>x = '<p>';</script>", "<script></style>", "<style>", "</style>",
+              "&amp;", "&", "<", "<!-- c -->", "<a b>", "<a b=c>", '<a a="1" A="2">', "<title>t</title>", "</p >", '<p id="x>', "\r\n"]
+    rng = random.Random(0)
+    for n in range(3000):
+        page = "".join(rng.choice(pieces[: 8 if n % 2 else None]) for _ in range(rng.randrange(8)))
+        assert Told(page, True).told == Told(page, False).told, page
+    assert markup._PLAIN.fullmatch("".join(pieces[:6])) and not markup._PLAIN.fullmatch("<p")
+
+
+def test_labelled_pairs_of_an_element(spark):
+    html = "<dl><dt>A<dd>1</dl><div id=x><dl><dt>B<dd>2<dt>C<dd>3</dl><table><tr><th>H<tr><td>4</table></div><dl><dt>D<dd>5</dl>"
+    df = spark.createDataFrame([(html,)], "html string").withColumn("t", tree.tree(F.col("html")))
+    t = F.col("t")
+    some = tree.bind(F.get(tree.select(t, "#x"), 0), lambda e: tree.labelled(t, e))
+    every, inner = df.select(tree.labelled(t), some).collect()[0]
+    assert [r.label for r in every] == ["A", "B", "C", "H", "D"] and [tuple(r)[:2] for r in inner] == [("B", "2"), ("C", "3"), ("H", "4")]
