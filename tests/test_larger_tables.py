@@ -96,7 +96,7 @@ def test_sections_queries_deal_their_pages(spark, tmp_path, monkeypatch):
     rows = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
     rows.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     monkeypatch.setattr(plans, "_DEALT", 30)
-    for name in ("page_sections",):
+    for name in ("page_sections", "page_sections_markdown"):
         df = catalog.queries()[name](spark, str(tmp_path))
         assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
         assert sorted(map(tuple, df.collect())) == by_sql(name, part=tmp_path / "part.parquet")
